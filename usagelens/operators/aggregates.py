@@ -43,14 +43,37 @@ def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], aggs: Sequence[C
     Columns absent from a set come back null; ``id_col`` carries Spark's
     ``grouping_id()`` (bit i set = i-th grouping column aggregated away, in the order
     the columns first appear in ``sets``)."""
+    cols = set_columns(sets)
+    gs = [[F.col(c) for c in s] for s in sets]
+    extra = [F.grouping_id(*[F.col(c) for c in cols]).alias(id_col)] if id_col else []
+    return df.groupingSets(gs, *[F.col(c) for c in cols]).agg(*aggs, *extra)
+
+
+def set_columns(sets: Sequence[Sequence[str]]) -> list[str]:
+    """Grouping columns in first-appearance order (the order ``grouping_id`` uses)."""
     cols: list[str] = []
     for s in sets:
         for c in s:
             if c not in cols:
                 cols.append(c)
-    gs = [[F.col(c) for c in s] for s in sets]
-    extra = [F.grouping_id(*[F.col(c) for c in cols]).alias(id_col)] if id_col else []
-    return df.groupingSets(gs, *[F.col(c) for c in cols]).agg(*aggs, *extra)
+    return cols
+
+
+def grouping_id_of(cols: Sequence[str], present: Sequence[str]) -> int:
+    """Spark's ``grouping_id()`` value for a set: bit (n-1-i) is 1 when column i is
+    aggregated away."""
+    n = len(cols)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in present)
+
+
+def level_of(id_col: str, sets: Sequence[Sequence[str]], names: Mapping[str, Sequence[str]]) -> Column:
+    """Level name per grouping-sets row, from its grouping id."""
+    cols = set_columns(sets)
+    expr = None
+    for name, present in names.items():
+        cond = F.col(id_col) == grouping_id_of(cols, present)
+        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    return expr
 
 
 def label_levels(df: DataFrame, cols: Sequence[str], total: str = "t") -> DataFrame:

@@ -45,3 +45,174 @@ def usage_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
            .withColumn("totalflow", F.col("upflow") + F.col("downflow")))
     return A.unpivot_measures(agg, ["gather_cycle", "custid", "prov", "city"], USAGE_MEASURES,
                               "gather_type", "gather_value", drop_zero=True)
+
+
+def _long(df: DataFrame, ids: Sequence[str], rows: Sequence[tuple[str, Column, Column]],
+          type_col: str = "meas_obj", value_col: str = "meas_value",
+          rank_col: str = "meas_rank") -> DataFrame:
+    """Wide → long with a value *and* a rank per measure, in one projection
+    (``inline`` of an array of structs) instead of one union branch per measure."""
+    structs = [F.struct(F.lit(label).alias(type_col), value.cast("bigint").alias(value_col),
+                        rank.cast("int").alias(rank_col)) for label, value, rank in rows]
+    return df.select(*ids, F.inline(F.array(*structs)))
+
+
+def procedure_summary(log: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
+                      user_filter: Column | None = None, city_sentinel: str = "-") -> DataFrame:
+    """AN-2: per (cycle, customer, province, city): requests (REQS), failed requests
+    (FAILREQS) and distinct failing users (FAILUSERS), in long form.
+
+    log(mdn, enbid, result) ⋈ users(mdn, custid) [inner] ⋈ stations(enbid) [inner].
+    The reference joined a second aggregate of failing users back with a left join
+    and ``nvl(.., 0)``; a conditional distinct count in the same aggregate gives the
+    same zero-filled value in one pass."""
+    if user_filter is None:
+        user_filter = F.col("isnb") == "1"
+    u = users.where(user_filter).select("mdn", "custid")
+    b = stations.select("enbid", F.col("provname").alias("prov"),
+                        F.coalesce(F.col("cityname"), F.lit(city_sentinel)).alias("city"))
+    j = log.select(cycle.alias("gather_cycle"), "mdn", "enbid", "result").join(u, "mdn").join(b, "enbid")
+    failed = F.col("result") == "failed"
+    agg = j.groupBy("gather_cycle", "custid", "prov", "city").agg(
+        F.count(F.lit(1)).alias("reqcnt"),
+        A.sum_if(F.lit(1), failed).alias("failreqcnt"),
+        A.count_distinct_if(F.col("mdn"), failed).alias("failusers"))
+    return agg.select("gather_cycle", "custid", "prov", "city", F.inline(F.array(
+        *[F.struct(F.lit(t).alias("gather_type"), F.col(c).cast("bigint").alias("gather_value"))
+          for t, c in (("REQS", "reqcnt"), ("FAILREQS", "failreqcnt"), ("FAILUSERS", "failusers"))])))
+
+
+def message_summary(sms: DataFrame, users: DataFrame, cycle: Column,
+                    user_filter: Column | None = None) -> DataFrame:
+    """AN-3: messages per (cycle, customer).  A message counts once for the called
+    user's customer ('r') and once for the calling user's ('s').
+
+    The two roles are produced by exploding (callee, caller) per message, so the
+    user dimension is joined once instead of twice (JN-21 as one join)."""
+    if user_filter is None:
+        user_filter = F.col("isnb") == "1"
+    u = users.where(user_filter).select("mdn", "custid")
+    roles = sms.select(cycle.alias("gather_cycle"), F.inline(F.array(
+        F.struct(F.lit("r").alias("type"), F.col("callee").alias("mdn")),
+        F.struct(F.lit("s").alias("type"), F.col("caller").alias("mdn")))))
+    agg = roles.join(u, "mdn").groupBy("gather_cycle", "custid").agg(
+        F.count(F.lit(1)).alias("gather_value"))
+    return agg.select("gather_cycle", "custid", F.lit("-1").alias("prov"), F.lit("-1").alias("city"),
+                      F.lit("MSGS").alias("gather_type"), "gather_value")
+
+
+def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
+                            devices: DataFrame, cycle: Column, unknown_customer: str = "未知",
+                            city_sentinel: str = "-", user_filter: Column | None = None,
+                            ascending: bool = True, total_rank_from: str = "downflow") -> DataFrame:
+    """AN-4: usage summary at levels BS / CITY / PROV / TERMDETAIL.
+
+    Enrichment is one chain of left joins (users → custid or ``unknown_customer``;
+    stations on (enbid, prov); devices on tac).  All four levels are computed by one
+    ``GROUPING SETS`` aggregate (a single Expand over the enriched rows), measures
+    up / down / total volume, active users (distinct mdn) and sessions
+    (count of session ids); TERMDETAIL counts distinct users per model.  Each
+    measure is ranked per (cycle, level, customer) with ``row_number`` — ascending
+    by default, as in the reference, where the TOTALFLOW row also carries the
+    downlink rank (``total_rank_from``).  Output is long; zero values dropped."""
+    if user_filter is None:
+        user_filter = F.col("isnb") == "1"
+    u = users.where(user_filter).select("mdn", "custid")
+    b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"),
+                        F.lit(True).alias("bmatch"))
+    t = devices.select("tac", "modelname")
+    facts = usage.select(cycle.alias("summ_cycle"), "mdn", "enbid", "prov", "tac", "upflow",
+                         "downflow", "session_id")
+    # Province and city shown are the station's (province null, city '-' when unknown).
+    enriched = (facts.join(u, "mdn", "left").join(b, ["enbid", "prov"], "left").join(t, "tac", "left")
+                .select("summ_cycle", F.coalesce("custid", F.lit(unknown_customer)).alias("custid"),
+                        F.col("enbid").cast("string").alias("enbid"),
+                        F.when(F.col("bmatch"), F.col("prov")).alias("prov"),
+                        F.coalesce("bcity", F.lit(city_sentinel)).alias("city"),
+                        "modelname", F.col("tac").cast("string").alias("tac"),
+                        "upflow", "downflow", "mdn", "session_id"))
+    sets = {"BS": ["summ_cycle", "custid", "enbid", "prov", "city"],
+            "CITY": ["summ_cycle", "custid", "prov", "city"],
+            "PROV": ["summ_cycle", "custid", "prov"],
+            "TERMDETAIL": ["summ_cycle", "custid", "prov", "city", "modelname", "tac"]}
+    agg = A.grouping_sets(enriched, list(sets.values()), [
+        F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
+        F.count_distinct("mdn").alias("users"), F.count("session_id").alias("sessions")], id_col="gid")
+    level = A.level_of("gid", list(sets.values()), sets)
+    agg = agg.withColumn("dim_type", level).withColumn("totalflow", F.col("upflow") + F.col("downflow"))
+    agg = agg.withColumn("dim_obj", F.when(F.col("dim_type") == "BS", F.col("enbid"))
+                         .when(F.col("dim_type") == "CITY", F.col("city"))
+                         .when(F.col("dim_type") == "PROV", F.col("prov"))
+                         .otherwise(F.col("modelname")))
+    part = ["summ_cycle", "dim_type", "custid"]
+    tie = ["enbid", "prov", "city", "modelname", "tac"]
+    for m in ("upflow", "downflow", "users", "sessions"):
+        agg = W.rank_within(agg, part, [m], f"{m}_rank", ascending=ascending, tiebreak=tie)
+    out_city = F.when(F.col("dim_type") == "PROV", F.lit("-1")).otherwise(F.col("city"))
+    base = agg.select("summ_cycle", "custid", out_city.alias("city"), "prov",
+                      F.lit("-1").alias("district"), "dim_type", "dim_obj", "upflow", "downflow",
+                      "totalflow", "users", "sessions", "upflow_rank", "downflow_rank", "users_rank",
+                      "sessions_rank")
+    ids = ["summ_cycle", "custid", "city", "prov", "district", "dim_type", "dim_obj"]
+    flows = base.where(F.col("dim_type") != "TERMDETAIL")
+    terms = base.where(F.col("dim_type") == "TERMDETAIL")
+    long_flows = _long(flows, ids, [
+        ("OUTFLOW", F.col("upflow"), F.col("upflow_rank")),
+        ("INFLOW", F.col("downflow"), F.col("downflow_rank")),
+        ("TOTALFLOW", F.col("totalflow"), F.col(f"{total_rank_from}_rank")),
+        ("ACTIVEUSERS", F.col("users"), F.col("users_rank")),
+        ("SESSIONS", F.col("sessions"), F.col("sessions_rank"))])
+    long_terms = _long(terms, ids, [("-1", F.col("users"), F.col("users_rank"))])
+    return long_flows.unionByName(long_terms).where(F.col("meas_value") != 0)
+
+
+def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
+                          user_filter: Column | None = None,
+                          unknown_customer: str = "未知") -> DataFrame:
+    """AN-5: procedure requests and failures rolled up BS → CITY → PROV → CUST, plus
+    failure causes per customer ranked by failure count (desc).
+
+    The station level is aggregated from the log; coarser levels re-aggregate the
+    station rows (additive measures only, AG-16) with one grouping-sets pass over
+    the rows whose station is known (the reference re-joined the station table with
+    an inner join at each coarser level).  Cause rows carry MMEFAILREQS with its
+    rank and MMEFAILUSERS (distinct failing users, not additive, so computed from
+    the log) with rank -1."""
+    if user_filter is None:
+        user_filter = F.col("isnb") == "1"
+    u = users.where(user_filter).select("mdn", "custid")
+    b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("city"),
+                        F.lit(True).alias("known"))
+    base = (log.select(cycle.alias("summ_cycle"), "mdn", "enbid", "result", "cause")
+            .join(u, "mdn", "left").join(b, "enbid", "left")
+            .withColumn("custid", F.coalesce("custid", F.lit(unknown_customer))))
+    failed = F.col("result") == "failed"
+    bs = base.groupBy("summ_cycle", "custid", "enbid", "prov", "city", "known").agg(
+        F.count(F.lit(1)).alias("reqcnt"), A.sum_if(F.lit(1), failed).alias("failcnt"))
+    levels = {"CITY": ["summ_cycle", "custid", "prov", "city"], "PROV": ["summ_cycle", "custid", "prov"],
+              "CUST": ["summ_cycle", "custid"]}
+    coarse = A.grouping_sets(bs.where(F.col("known")), list(levels.values()),
+                             [F.sum("reqcnt").alias("reqcnt"), F.sum("failcnt").alias("failcnt")], "gid")
+    coarse = coarse.select("summ_cycle", "custid", F.coalesce("prov", F.lit("-1")).alias("prov"),
+                           F.coalesce("city", F.lit("-1")).alias("city"),
+                           A.level_of("gid", list(levels.values()), levels).alias("dim_type"),
+                           "reqcnt", "failcnt")
+    coarse = coarse.withColumn("dim_obj", F.when(F.col("dim_type") == "CITY", F.col("city"))
+                               .when(F.col("dim_type") == "PROV", F.col("prov")).otherwise(F.col("custid")))
+    bs_rows = bs.select("summ_cycle", "custid", "prov", "city", F.lit("BS").alias("dim_type"),
+                        "reqcnt", "failcnt", F.col("enbid").cast("string").alias("dim_obj"))
+    levels = bs_rows.unionByName(coarse).withColumn("dim_obj_2", F.lit("-1"))
+    ids = ["summ_cycle", "custid", "prov", "city", "dim_type", "dim_obj", "dim_obj_2"]
+    level_long = _long(levels, ids, [("MMEREQS", F.col("reqcnt"), F.lit(-1)),
+                                     ("MMEFAILREQS", F.col("failcnt"), F.lit(-1))])
+    causes = base.where(failed).groupBy("summ_cycle", "custid", "cause").agg(
+        F.count(F.lit(1)).alias("failcnt"), F.count_distinct("mdn").alias("failusers"))
+    causes = W.rank_within(causes, ["summ_cycle", "custid"], ["failcnt"], "failrank",
+                           ascending=False, tiebreak=["cause"])
+    cause_long = _long(causes.select("summ_cycle", "custid", F.lit("-1").alias("prov"),
+                                     F.lit("-1").alias("city"), F.lit("CAUSE").alias("dim_type"),
+                                     F.col("custid").alias("dim_obj"), F.col("cause").alias("dim_obj_2"),
+                                     "failcnt", "failusers", "failrank"),
+                       ids, [("MMEFAILREQS", F.col("failcnt"), F.col("failrank")),
+                             ("MMEFAILUSERS", F.col("failusers"), F.lit(-1))])
+    return level_long.unionByName(cause_long)
