@@ -216,3 +216,40 @@ def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame,
                        ids, [("MMEFAILREQS", F.col("failcnt"), F.col("failrank")),
                              ("MMEFAILUSERS", F.col("failusers"), F.lit(-1))])
     return level_long.unionByName(cause_long)
+
+
+# Grouping columns of the per-user daily table (AN-38) and their sources.
+DAY_KEYS = ["cycle", "custid", "mdn", "enbid", "provid", "lanid", "eci", "apn", "tac",
+            "own_provid", "own_lanid"]
+
+
+def day_aggregate(usage: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
+                  user_filter: Column | None = None, city_sentinel: str = "-") -> DataFrame:
+    """AN-38: per (cycle, customer, user, station, cell, apn, tac, home area) totals:
+    up / down volume, sessions (record count), duration (sum) and times (distinct
+    session ids).  Users inner-joined (``isnb = '1'``), stations left-joined on
+    (enbid, prov); the station's province/city become ``provid``/``lanid``."""
+    if user_filter is None:
+        user_filter = F.col("isnb") == "1"
+    u = users.where(user_filter).select("mdn", "custid", F.col("beloprov").alias("own_provid"),
+                                        F.col("belocity").alias("own_lanid"))
+    b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"),
+                        F.lit(True).alias("bmatch"))
+    j = (usage.withColumn("cycle", cycle).join(u, "mdn").join(b, ["enbid", "prov"], "left")
+         .withColumn("provid", F.when(F.col("bmatch"), F.col("prov")))
+         .withColumn("lanid", F.coalesce("bcity", F.lit(city_sentinel)))
+         .withColumnRenamed("cellid", "eci").withColumnRenamed("nai_domain", "apn"))
+    return j.groupBy(*DAY_KEYS).agg(
+        F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
+        F.count("mdn").alias("sessions"), F.sum("duration").alias("duration"),
+        F.count_distinct("session_id").alias("times"))
+
+
+def rollup_period(day_rows: DataFrame, period: Column, keys: Sequence[str]) -> DataFrame:
+    """AN-39: period (week / month) rows as sums of daily rows over ``keys``.  Distinct
+    counts (``times``) are **added** across days, not recomputed — the reference's
+    documented behaviour."""
+    return day_rows.withColumn("period", period).groupBy("period", *keys).agg(
+        F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
+        F.sum("sessions").alias("sessions"), F.sum("duration").alias("duration"),
+        F.sum("times").alias("times"))

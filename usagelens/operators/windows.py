@@ -136,3 +136,46 @@ def drop_min_max_sum(df: DataFrame, keys: Sequence[str], value_col: str, n_days:
         F.sum(F.when(keep, F.col(value_col)).otherwise(F.lit(0))).alias("trimmed_sum"),
         F.sum(F.col(value_col)).alias("total_sum"),
         F.count(F.lit(1)).alias("n_rows"))
+
+
+def positions_within(df: DataFrame, partition: Sequence[str], order: Sequence[str],
+                     pos: str = "__pos", size: str = "__n") -> DataFrame:
+    """Exact 1-based position of each row inside its group (ascending ``order``, which
+    must make rows unique) and the group size, without a window partitioned by the
+    group key.
+
+    A window would sort a whole group in one task; one group may hold a third of
+    the data.  Instead the rows are range-partitioned on (group, order...) — the
+    sampled range bounds split a hot group over many partitions — and sorted
+    within each partition.  A row's position is its offset inside its partition
+    plus the number of rows of the same group in earlier partitions.  The
+    per-(group, partition) count table has at most (#groups + #partitions) rows.
+    The sorted rows are checkpointed so every later pass sees the same layout."""
+    keys = list(partition) + list(order)
+    laid = (df.repartitionByRange(*[F.col(k) for k in keys])
+            .sortWithinPartitions(*[F.col(k) for k in keys])
+            .withColumn("__pid", F.spark_partition_id())
+            .withColumn("__local", F.monotonically_increasing_id()
+                        - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+            .checkpoint(eager=True))
+    # Per (group, partition): row count and the partition-local index of the group's
+    # first row there (a partition can hold the tail of one group and the head of
+    # the next).
+    counts = laid.groupBy(*partition, "__pid").agg(F.count(F.lit(1)).alias("__cnt"),
+                                                   F.min("__local").alias("__first"))
+    w = Window.partitionBy(*partition).orderBy("__pid")
+    offsets = counts.select(*partition, "__pid",
+                            (F.sum("__cnt").over(w) - F.col("__cnt") - F.col("__first")).alias("__off"),
+                            F.sum("__cnt").over(Window.partitionBy(*partition)).alias(size))
+    out = laid.join(offsets, [*partition, "__pid"])
+    return out.withColumn(pos, F.col("__off") + F.col("__local") + 1) \
+        .drop("__pid", "__local", "__off")
+
+
+def position_trim_skew_safe(df: DataFrame, partition: Sequence[str], order: Sequence[str],
+                            lo: int = 10, hi: int = 90) -> DataFrame:
+    """WN-9 for groups that grow with the data: same rows as :func:`position_trim`
+    (``pos*100/n`` strictly between ``lo`` and ``hi``) via :func:`positions_within`."""
+    ranked = positions_within(df, partition, order)
+    pct = F.col("__pos") * 100 / F.col("__n")
+    return ranked.where((pct > lo) & (pct < hi)).drop("__pos", "__n")

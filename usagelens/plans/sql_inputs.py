@@ -2,7 +2,9 @@
 
 The oracle queries in :mod:`usagelens.plans.catalog` start from these CTEs so both
 sides read the same rows.  Each CTE mirrors one function of ``inputs`` column for
-column; keep the two in step.
+column; keep the two in step.  ``day_usage`` / ``day_usage_d`` are the oracle of the
+per-user daily aggregate (AN-38, yearly and daily cycle), reused as the input of the
+operators that consume that table.
 """
 
 from __future__ import annotations
@@ -56,6 +58,28 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "messages": ("""SELECT event_id, user_id AS caller, user_id % 75 AS callee, ts AS committime,
                       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS result
                FROM events""", ()),
+    "day_usage": ("""SELECT CAST(year(n.starttime) AS VARCHAR) AS cycle, u.custid, n.mdn, n.enbid,
+                      CASE WHEN b.enbid IS NOT NULL THEN n.prov END AS provid,
+                      coalesce(b.cityname, '-') AS lanid, n.cellid AS eci, n.nai_domain AS apn, n.tac,
+                      u.beloprov AS own_provid, u.belocity AS own_lanid,
+                      CAST(sum(n.upflow) AS BIGINT) AS upflow, CAST(sum(n.downflow) AS BIGINT) AS downflow,
+                      count(n.mdn) AS sessions, CAST(sum(n.duration) AS BIGINT) AS duration,
+                      count(DISTINCT n.session_id) AS times
+               FROM home_usage n JOIN users u ON n.mdn = u.mdn
+               LEFT JOIN stations b ON n.enbid = b.enbid AND n.prov = b.provname
+               WHERE u.isnb = '1'
+               GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""", ("home_usage", "users", "stations")),
+    "day_usage_d": ("""SELECT CAST(n.d AS VARCHAR) AS cycle, u.custid, n.mdn, n.enbid,
+                      CASE WHEN b.enbid IS NOT NULL THEN n.prov END AS provid,
+                      coalesce(b.cityname, '-') AS lanid, n.cellid AS eci, n.nai_domain AS apn, n.tac,
+                      u.beloprov AS own_provid, u.belocity AS own_lanid,
+                      CAST(sum(n.upflow) AS BIGINT) AS upflow, CAST(sum(n.downflow) AS BIGINT) AS downflow,
+                      count(n.mdn) AS sessions, CAST(sum(n.duration) AS BIGINT) AS duration,
+                      count(DISTINCT n.session_id) AS times
+               FROM home_usage n JOIN users u ON n.mdn = u.mdn
+               LEFT JOIN stations b ON n.enbid = b.enbid AND n.prov = b.provname
+               WHERE u.isnb = '1'
+               GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""", ("home_usage", "users", "stations")),
 }
 
 
