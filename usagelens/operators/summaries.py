@@ -253,3 +253,125 @@ def rollup_period(day_rows: DataFrame, period: Column, keys: Sequence[str]) -> D
         F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
         F.sum("sessions").alias("sessions"), F.sum("duration").alias("duration"),
         F.sum("times").alias("times"))
+
+
+def roaming_matrix(usage: DataFrame, users: DataFrame, stations: DataFrame, home: str,
+                   cycle: Column, unknown: str = "未知") -> DataFrame:
+    """AN-11: local / roam-out / roam-in usage of a home province.
+
+    Records (visited province ``prov``) are left-joined to users (home province and
+    city, industry) and stations on (enbid, prov) (visited city).  A record is
+    LOCAL when visited and home province are ``home``, ROAMOUT when only the home
+    province is, ROAMIN when only the visited one is.  Per (cycle, class, visited
+    province, home province, home city, visited city, industry): distinct users and
+    up / down / total volume, as long rows ``USER_<class>``, ``FLUX_<class>``,
+    ``FLUX_<class>_U``, ``FLUX_<class>_D``.  The class is a column, so the three
+    classes are one aggregation instead of three scans."""
+    u = users.select("mdn", "beloprov", "belocity", "ind_type")
+    b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"))
+    j = (usage.select(cycle.alias("gather_date"), "mdn", "enbid", "prov", "upflow", "downflow")
+         .join(u, "mdn", "left").join(b, ["enbid", "prov"], "left")
+         .withColumn("regcity", F.coalesce("belocity", F.lit(unknown)))
+         .withColumn("city", F.coalesce("bcity", F.lit(unknown))))
+    h = F.lit(home)
+    klass = (F.when((F.col("prov") == h) & (F.col("beloprov") == h), F.lit("LOCAL"))
+             .when((F.col("prov") != h) & (F.col("beloprov") == h), F.lit("ROAMOUT"))
+             .when((F.col("prov") == h) & (F.col("beloprov") != h), F.lit("ROAMIN")))
+    keys = ["gather_date", "klass", "prov", "beloprov", "regcity", "city", "ind_type"]
+    agg = (j.withColumn("klass", klass).where(F.col("klass").isNotNull()).groupBy(*keys)
+           .agg(F.count_distinct("mdn").alias("users"), F.sum("upflow").alias("up"),
+                F.sum("downflow").alias("down")))
+    out = agg.select(F.col("gather_date"), F.col("beloprov").alias("regprovince"), "regcity",
+                     F.col("prov").alias("province"), "city", "ind_type", "klass", F.inline(F.array(
+                         F.struct(F.lit("USER_").alias("p"), F.lit("").alias("s"), F.col("users").alias("gather_value")),
+                         F.struct(F.lit("FLUX_").alias("p"), F.lit("").alias("s"), (F.col("up") + F.col("down")).alias("gather_value")),
+                         F.struct(F.lit("FLUX_").alias("p"), F.lit("_U").alias("s"), F.col("up").alias("gather_value")),
+                         F.struct(F.lit("FLUX_").alias("p"), F.lit("_D").alias("s"), F.col("down").alias("gather_value")))))
+    return out.select("gather_date", "regprovince", "regcity", "province", "city", "ind_type",
+                      F.concat("p", "klass", "s").alias("gather_type"),
+                      F.col("gather_value").cast("bigint").alias("gather_value"))
+
+
+def active_users_nday(usage: DataFrame, users: DataFrame, day_col: str, keys: Sequence[str],
+                      n: int = 7, user_filter: Column | None = None) -> DataFrame:
+    """AN-12: distinct users seen in the ``n`` days ending on each day, per key
+    (network type, city...).
+
+    Each distinct (user, day, key) is emitted once for each of the ``n`` window-end
+    days it belongs to (a bounded explode of ``n`` rows), then counted distinct per
+    (end day, key): one shuffle for every end day at once, instead of one job per
+    day reading the last ``n`` partitions."""
+    u = users if user_filter is None else users.where(user_filter)
+    seen = (usage.select("mdn", F.col(day_col).alias("day"), *[k for k in keys if k in usage.columns])
+            .join(u.select("mdn", *[k for k in keys if k not in usage.columns]), "mdn")
+            .select("mdn", "day", *keys).distinct())
+    ends = seen.withColumn("end_day", F.explode(F.sequence(F.col("day"), F.date_add(F.col("day"), n - 1))))
+    return ends.groupBy("end_day", *keys).agg(F.count_distinct("mdn").alias("active_users"))
+
+
+def gateway_reconciliation(records: DataFrame, gateways: dict[str, str], cycle: Column,
+                           session_class: Column, volume_class: Column) -> DataFrame:
+    """AN-13: per gateway (by address prefix) and record class: distinct users and
+    distinct (user, session) pairs for the session class; distinct users and
+    up / down / total volume for the volume class (records with any volume).
+
+    Both classes come from one scan and one aggregation (conditional distinct
+    counts and sums)."""
+    gw = None
+    for prefix, name in gateways.items():
+        cond = F.col("gwaddress").startswith(prefix)
+        gw = F.when(cond, F.lit(name)) if gw is None else gw.when(cond, F.lit(name))
+    vol = volume_class & ((F.col("upflow") > 0) | (F.col("downflow") > 0))
+    agg = (records.select(cycle.alias("sta_time"), gw.alias("pgw"), "mdn", "session_id", "upflow", "downflow",
+                          session_class.alias("is_s"), vol.alias("is_v"))
+           .where(F.col("pgw").isNotNull() & (F.col("is_s") | F.col("is_v")))
+           .groupBy("sta_time", "pgw")
+           .agg(F.count_distinct(F.when(F.col("is_s"), F.col("mdn"))).alias("s_users"),
+                F.count_distinct(F.when(F.col("is_s"), F.col("mdn")), F.when(F.col("is_s"), F.col("session_id"))).alias("s_sessions"),
+                F.count_distinct(F.when(F.col("is_v"), F.col("mdn"))).alias("v_users"),
+                F.sum(F.when(F.col("is_v"), F.col("upflow"))).alias("v_up"),
+                F.sum(F.when(F.col("is_v"), F.col("downflow"))).alias("v_down"),
+                F.max(F.col("is_s").cast("int")).alias("has_s"), F.max(F.col("is_v").cast("int")).alias("has_v")))
+    rows = agg.select("sta_time", "pgw", F.inline(F.array(
+        F.struct(F.lit("SESSION").alias("checktype"), F.col("s_users").alias("usernum"),
+                 F.col("s_sessions").alias("upflow"), F.lit(-1).cast("bigint").alias("downflow"),
+                 F.lit(-1).cast("bigint").alias("totalflow"), F.col("has_s").alias("present")),
+        F.struct(F.lit("VOLUME").alias("checktype"), F.col("v_users").alias("usernum"),
+                 F.col("v_up").alias("upflow"), F.col("v_down").alias("downflow"),
+                 (F.col("v_up") + F.col("v_down")).alias("totalflow"), F.col("has_v").alias("present")))))
+    return rows.where(F.col("present") == 1).drop("present")
+
+
+def customer_report(usage: DataFrame, users: DataFrame, cycle: Column,
+                    nation_label: str = "全国", all_label: str = "-1") -> DataFrame:
+    """AN-14: per customer × province × city: opened users (from the subscriber
+    table), active users (distinct users with usage) and volume; with province
+    totals, a national total and per-industry totals.
+
+    Opened and active figures are each one grouping-sets aggregate (customer rows,
+    province, nation, industry); activity rows drive the report and the opened
+    counts are attached with a left join (null-safe on the level keys)."""
+    sets = {"CUST": ["cycle", "custid", "beloprov", "belocity"], "PROV": ["cycle", "beloprov"],
+            "NATION": ["cycle"], "INDUSTRY": ["cycle", "ind_type"]}
+    active_rows = usage.select(cycle.alias("cycle"), "mdn", "upflow", "downflow").join(
+        users.select("mdn", "custid", "beloprov", "belocity", "ind_type"), "mdn")
+    active = A.grouping_sets(active_rows, list(sets.values()), [
+        F.count_distinct("mdn").alias("active_users"), F.sum("upflow").alias("upflow"),
+        F.sum("downflow").alias("downflow")], "gid")
+    active = active.withColumn("level", A.level_of("gid", list(sets.values()), sets)).drop("gid")
+    opened_sets = {k: [c for c in v if c != "cycle"] for k, v in sets.items()}
+    opened = A.grouping_sets(users, [s for s in opened_sets.values()],
+                             [F.count_distinct("mdn").alias("opened_users")], "gid")
+    opened = opened.withColumn("level", A.level_of("gid", list(opened_sets.values()), opened_sets)).drop("gid")
+    keys = ["level", "custid", "beloprov", "belocity", "ind_type"]
+    j = active.join(opened, [active[k].eqNullSafe(opened[k]) for k in keys], "left").select(
+        "cycle", *[active[k] for k in keys], "opened_users", "active_users", "upflow", "downflow")
+    label = lambda c, lv: F.when(F.col("level").isin(*lv), F.lit(all_label)).otherwise(F.col(c))
+    return j.select("cycle", "level",
+                    label("custid", ["PROV", "NATION", "INDUSTRY"]).alias("custid"),
+                    F.when(F.col("level") == "NATION", F.lit(nation_label))
+                    .otherwise(label("beloprov", ["INDUSTRY"])).alias("province"),
+                    label("belocity", ["PROV", "NATION", "INDUSTRY"]).alias("city"),
+                    F.coalesce("ind_type", F.lit(all_label)).alias("industry"),
+                    F.coalesce("opened_users", F.lit(0)).alias("opened_users"), "active_users",
+                    (F.col("upflow") + F.col("downflow")).alias("totalflow"))

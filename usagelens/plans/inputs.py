@@ -48,7 +48,7 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage records (one per lineitem).
 
-    Columns: mdn, session_id, enbid, cellid, tac, net, nai_domain, upflow, downflow,
+    Columns: mdn, session_id, enbid, cellid, tac, net, nai_domain, gwaddress, upflow, downflow,
     duration, starttime, d (yyyy-MM-dd day of the record).
     """
     li = table(spark, sf_dir, "lineitem")
@@ -61,6 +61,8 @@ def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_partkey").alias("tac"),
                     F.col("l_returnflag").alias("net"),
                     F.concat(F.lit("d"), (F.col("l_partkey") % 7).cast("string")).alias("nai_domain"),
+                    F.concat(F.lit("10.0."), (F.col("l_suppkey") % 4).cast("string"), F.lit("."),
+                             F.col("l_linenumber").cast("string")).alias("gwaddress"),
                     _units("l_quantity", 1).alias("upflow"),
                     _units("l_extendedprice").alias("downflow"),
                     F.round(F.col("l_discount") * 100).cast("bigint").alias("duration"),
@@ -68,14 +70,14 @@ def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.to_date("l_shipdate").alias("d")))
 
 
-def home_usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usage records that also carry ``prov``: the province of the gateway that wrote
-    the record, which is the subscriber's home province (the customer's region)."""
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+def located_usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage records that also carry ``prov``: the province reported by the gateway that
+    wrote the record, i.e. where the station serving the record is (the visited
+    province; station ids are only unique within a province)."""
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     g = geo(spark, sf_dir).select("city_id", "prov")
-    home = cust.join(g, cust.c_nationkey == g.city_id).select(
-        F.col("c_custkey").alias("mdn"), "prov")
-    return usage_records(spark, sf_dir).join(home, "mdn")
+    where = sup.join(g, sup.s_nationkey == g.city_id).select(F.col("s_suppkey").alias("enbid"), "prov")
+    return usage_records(spark, sf_dir).join(where, "enbid")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:

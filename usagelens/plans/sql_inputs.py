@@ -16,14 +16,15 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "usage_rec": ("""SELECT o.o_custkey AS mdn, l.l_orderkey AS session_id, l.l_suppkey AS enbid,
                       CAST(l.l_linenumber AS VARCHAR) AS cellid, l.l_partkey AS tac,
                       l.l_returnflag AS net, 'd' || CAST(l.l_partkey % 7 AS VARCHAR) AS nai_domain,
+                      '10.0.' || CAST(l.l_suppkey % 4 AS VARCHAR) || '.' || CAST(l.l_linenumber AS VARCHAR) AS gwaddress,
                       CAST(round(l.l_quantity) AS BIGINT) AS upflow,
                       CAST(round(l.l_extendedprice * 100) AS BIGINT) AS downflow,
                       CAST(round(l.l_discount * 100) AS BIGINT) AS duration,
                       l.l_shipdate AS starttime, CAST(l.l_shipdate AS DATE) AS d
                FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""", ()),
-    "home_usage": ("""SELECT u.*, g.prov FROM usage_rec u
-               JOIN customer c ON u.mdn = c.c_custkey
-               JOIN geo g ON c.c_nationkey = g.city_id""", ("usage_rec", "geo")),
+    "located_usage": ("""SELECT u.*, g.prov FROM usage_rec u
+               JOIN supplier s ON u.enbid = s.s_suppkey
+               JOIN geo g ON s.s_nationkey = g.city_id""", ("usage_rec", "geo")),
     "users": ("""SELECT c.c_custkey AS mdn, c.c_mktsegment AS custid,
                       'C' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS companycode,
                       g.prov AS beloprov, g.city AS belocity, c.c_mktsegment AS ind_type,
@@ -65,10 +66,10 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CAST(sum(n.upflow) AS BIGINT) AS upflow, CAST(sum(n.downflow) AS BIGINT) AS downflow,
                       count(n.mdn) AS sessions, CAST(sum(n.duration) AS BIGINT) AS duration,
                       count(DISTINCT n.session_id) AS times
-               FROM home_usage n JOIN users u ON n.mdn = u.mdn
+               FROM located_usage n JOIN users u ON n.mdn = u.mdn
                LEFT JOIN stations b ON n.enbid = b.enbid AND n.prov = b.provname
                WHERE u.isnb = '1'
-               GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""", ("home_usage", "users", "stations")),
+               GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""", ("located_usage", "users", "stations")),
     "day_usage_d": ("""SELECT CAST(n.d AS VARCHAR) AS cycle, u.custid, n.mdn, n.enbid,
                       CASE WHEN b.enbid IS NOT NULL THEN n.prov END AS provid,
                       coalesce(b.cityname, '-') AS lanid, n.cellid AS eci, n.nai_domain AS apn, n.tac,
@@ -76,10 +77,10 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CAST(sum(n.upflow) AS BIGINT) AS upflow, CAST(sum(n.downflow) AS BIGINT) AS downflow,
                       count(n.mdn) AS sessions, CAST(sum(n.duration) AS BIGINT) AS duration,
                       count(DISTINCT n.session_id) AS times
-               FROM home_usage n JOIN users u ON n.mdn = u.mdn
+               FROM located_usage n JOIN users u ON n.mdn = u.mdn
                LEFT JOIN stations b ON n.enbid = b.enbid AND n.prov = b.provname
                WHERE u.isnb = '1'
-               GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""", ("home_usage", "users", "stations")),
+               GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""", ("located_usage", "users", "stations")),
 }
 
 
