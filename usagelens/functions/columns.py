@@ -90,17 +90,23 @@ def epoch_seconds(ts: ColumnOrName) -> Column:
     return F.unix_timestamp(_c(ts))
 
 
+def ntz_from_epoch(seconds: ColumnOrName) -> Column:
+    """Wall-clock TIMESTAMP_NTZ for epoch seconds, independent of the session time
+    zone (``timestamp_seconds`` would produce a zoned instant)."""
+    return F.timestamp_add("SECOND", _c(seconds), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
 def bucket_ceil(ts: ColumnOrName, seconds: int, origin: int = 0) -> Column:
     """PRJ-6: end of the ``seconds``-long interval holding ``ts`` (relative to an origin
     epoch second), as a timestamp.  A time on a boundary is its own bucket end."""
     e = epoch_seconds(ts)
-    return F.timestamp_seconds(F.ceil((e - F.lit(origin)) / F.lit(seconds)) * F.lit(seconds) + F.lit(origin))
+    return ntz_from_epoch(F.ceil((e - F.lit(origin)) / F.lit(seconds)) * F.lit(seconds) + F.lit(origin))
 
 
 def bucket_floor(ts: ColumnOrName, seconds: int, origin: int = 0) -> Column:
     """Start of the ``seconds``-long interval holding ``ts``."""
     e = epoch_seconds(ts)
-    return F.timestamp_seconds(F.floor((e - F.lit(origin)) / F.lit(seconds)) * F.lit(seconds) + F.lit(origin))
+    return ntz_from_epoch(F.floor((e - F.lit(origin)) / F.lit(seconds)) * F.lit(seconds) + F.lit(origin))
 
 
 def quarter_label(ts: ColumnOrName) -> Column:
@@ -182,7 +188,7 @@ def extract_tag(col: ColumnOrName, pattern: str, group: int = 1) -> Column:
 
 def stop_time(start: ColumnOrName, duration_s: ColumnOrName) -> Column:
     """PRJ-20: start + duration seconds."""
-    return F.timestamp_seconds(epoch_seconds(start) + _c(duration_s).cast("bigint"))
+    return ntz_from_epoch(epoch_seconds(start) + _c(duration_s).cast("bigint"))
 
 
 def tag(df: DataFrame, **literals) -> DataFrame:
@@ -306,7 +312,7 @@ def zip_explode(df: DataFrame, cols: Sequence[str], sep: str = ",") -> DataFrame
 def shift_time(text: ColumnOrName, fmt: str, seconds: int, out_fmt: str | None = None) -> Column:
     """PRJ-34: parse a time label, add seconds, format again."""
     t = F.to_timestamp_ntz(_c(text), F.lit(fmt))
-    shifted = F.timestamp_seconds(epoch_seconds(t) + F.lit(seconds)).cast("timestamp_ntz")
+    shifted = ntz_from_epoch(epoch_seconds(t) + F.lit(seconds))
     return F.date_format(shifted, out_fmt or fmt)
 
 

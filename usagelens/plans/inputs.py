@@ -153,7 +153,8 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         "event_id",
         F.col("user_id").alias("mdn"),
-        F.col("user_id").cast("string").alias("session_id"),
+        F.concat(F.col("user_id").cast("string"), F.lit("-"),
+                 F.date_format("ts", "yyyyMMdd")).alias("session_id"),
         F.when(F.col("event_type") == "signup", "Start")
         .when(F.col("event_type") == "purchase", "Stop").otherwise("Interim").alias("status"),
         F.col("ts").alias("time"),

@@ -48,7 +48,7 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CAST(round(value * 100) AS BIGINT) AS delay,
                       CASE WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net
                FROM events""", ()),
-    "session_events": ("""SELECT event_id, user_id AS mdn, CAST(user_id AS VARCHAR) AS session_id,
+    "session_events": ("""SELECT event_id, user_id AS mdn, CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id,
                       CASE WHEN event_type = 'signup' THEN 'Start'
                            WHEN event_type = 'purchase' THEN 'Stop' ELSE 'Interim' END AS status,
                       ts AS time, json_extract_string(props, '$.k') AS cause,
