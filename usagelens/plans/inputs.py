@@ -173,3 +173,21 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 75).alias("callee"),
         F.col("ts").alias("committime"),
         F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("result"))
+
+
+def record_classes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three usage record classes of the multi-dimension reports, by network
+    flag: 'A' = 3G VPDN records (with an NAI ``mdn@domain``), 'N' = 3G home-agent
+    records, 'R' = 4G records (with an APN ``apn.<domain>``); plus the APN → domain
+    map, derived from the domains the records use."""
+    u = usage_records(spark, sf_dir)
+    base = ["mdn", F.col("enbid").alias("bsid"), "upflow", "downflow", "starttime"]
+    return {
+        "vpdn3g": u.where(F.col("net") == "A").select(
+            *base, F.concat(F.col("mdn").cast("string"), F.lit("@"), F.col("nai_domain")).alias("nai")),
+        "ha3g": u.where(F.col("net") == "N").select(*base),
+        "pgw4g": u.where(F.col("net") == "R").select(
+            *base, F.concat(F.lit("apn."), F.col("nai_domain")).alias("apn")),
+        "apn_map": u.select(F.col("nai_domain").alias("vpdndomain"),
+                            F.concat(F.lit("apn."), F.col("nai_domain")).alias("apn")).distinct(),
+    }

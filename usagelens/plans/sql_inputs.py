@@ -81,6 +81,12 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                LEFT JOIN stations b ON n.enbid = b.enbid AND n.prov = b.provname
                WHERE u.isnb = '1'
                GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""", ("located_usage", "users", "stations")),
+    "classes": ("""SELECT CASE net WHEN 'A' THEN 'vpdn3g' WHEN 'N' THEN 'ha3g' ELSE 'pgw4g' END AS klass,
+                      mdn, enbid AS bsid, upflow, downflow, starttime,
+                      CAST(mdn AS VARCHAR) || '@' || nai_domain AS nai, 'apn.' || nai_domain AS apn
+               FROM usage_rec WHERE net IN ('A', 'N', 'R')""", ("usage_rec",)),
+    "apn_map": ("""SELECT DISTINCT nai_domain AS vpdndomain, 'apn.' || nai_domain AS apn FROM usage_rec""",
+                ("usage_rec",)),
 }
 
 
