@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from . import aggregates as A
 from . import joins as J
 from . import windows as W
@@ -375,3 +376,99 @@ def customer_report(usage: DataFrame, users: DataFrame, cycle: Column,
                     F.coalesce("ind_type", F.lit(all_label)).alias("industry"),
                     F.coalesce("opened_users", F.lit(0)).alias("opened_users"), "active_users",
                     (F.col("upflow") + F.col("downflow")).alias("totalflow"))
+
+
+# Administrative words removed from province / city names.
+PROVINCE_WORDS = ["省", "市", "壮族", "自治区", "维吾尔", "回族"]
+CITY_WORDS = ["电信"]
+
+
+def province_access(usage: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
+                    net_label: str) -> DataFrame:
+    """AN-33: registered province / city / industry × visited province / city:
+    up / down / total volume, active users, duration and times (distinct sessions).
+    Names are cleaned of administrative words (PRJ-14)."""
+    u = users.select("mdn", F.col("beloprov").alias("own_provid"), F.col("belocity").alias("own_lanid"),
+                     F.col("ind_type").alias("industry_level1"))
+    b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("lanid"))
+    j = usage.withColumn("cycle", cycle).join(u, "mdn").join(b, ["enbid", "prov"], "left")
+    agg = j.groupBy("cycle", "own_provid", "own_lanid", "industry_level1", F.col("prov").alias("provid"), "lanid").agg(
+        F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
+        F.count_distinct("mdn").alias("activeusers"), F.sum("duration").alias("duration"),
+        F.count_distinct("session_id").alias("times"))
+    return agg.select("cycle", C.strip_words("own_provid", PROVINCE_WORDS).alias("own_provid"),
+                      C.strip_words("own_lanid", CITY_WORDS).alias("own_lanid"), "industry_level1",
+                      "provid", "lanid", "upflow", "downflow",
+                      (F.col("upflow") + F.col("downflow")).alias("totalflow"), "activeusers", "duration",
+                      "times", F.lit(net_label).alias("nettype"))
+
+
+def interphone_cell_usage(usage: DataFrame, numbers: DataFrame, cycle: Column) -> DataFrame:
+    """AN-40: for the numbers of a list (left-semi join, JN-11): accesses, distinct
+    users, duration and volume per station and cell."""
+    mine = J.semi(usage, numbers.select("mdn"), "mdn")
+    return mine.groupBy(cycle.alias("cycle"), "enbid", "cellid").agg(
+        F.count(F.lit(1)).alias("accesses"), F.count_distinct("mdn").alias("users"),
+        F.sum("duration").alias("duration"), F.sum("upflow").alias("upflow"),
+        F.sum("downflow").alias("downflow"))
+
+
+def pool_status(users: DataFrame, customer: str = "custid", product: str = "companycode") -> DataFrame:
+    """AN-41: users per (customer, product), ranked per customer by users (desc)."""
+    per = users.groupBy(customer, product).agg(F.count(F.lit(1)).alias("usernum"))
+    return W.rank_within(per, [customer], ["usernum"], "rank", ascending=False, tiebreak=[product])
+
+
+def region_kpi(gw: DataFrame, mme: DataFrame, stations: DataFrame, grain: str,
+               attach: Column, tau: Column) -> DataFrame:
+    """AN-43: per time grain (hour ``yyyyMMddHH`` / day / month format) and province /
+    city: distinct online users and volume in GB (PRJ-24) from the gateway records,
+    failed attach and failed tracking-area-update counts from the signalling log;
+    the two aggregates are merged by a full outer join (JN-8)."""
+    b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("city"))
+    g = (gw.join(b, "enbid", "left").groupBy(F.date_format("starttime", grain).alias("period"), "prov", "city")
+         .agg(F.count_distinct("mdn").alias("online_users"),
+              C.bytes_to_gb(F.sum(F.col("upflow") + F.col("downflow"))).alias("flow_gb")))
+    m = (mme.where(F.col("result") == "failed").join(b, "enbid", "left")
+         .groupBy(F.date_format("starttime", grain).alias("period"), "prov", "city")
+         .agg(A.count_if(attach).alias("attach_fail"), A.count_if(tau).alias("tau_fail")))
+    keys = ["period", "prov", "city"]
+    m = m.select(*[F.col(k).alias(f"m_{k}") for k in keys], "attach_fail", "tau_fail")
+    j = g.join(m, [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys], "full")
+    return j.select(*[F.coalesce(F.col(k), F.col(f"m_{k}")).alias(k) for k in keys],
+                    F.coalesce("online_users", F.lit(0)).alias("online_users"),
+                    F.coalesce("flow_gb", F.lit(0.0)).alias("flow_gb"),
+                    F.coalesce("attach_fail", F.lit(0)).alias("attach_fail"),
+                    F.coalesce("tau_fail", F.lit(0)).alias("tau_fail"))
+
+
+def auth_by_gateway(auth: DataFrame, ip_map: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
+    """AN-44: per customer × gateway province × gateway IP: attempts, distinct users
+    and success ratio (PRJ-25).  Users inner-joined; the IP map is a dimension
+    (Spark's size-checked join choice)."""
+    j = auth.join(users.select("mdn", "custid"), "mdn").join(ip_map, "pdsnip")
+    agg = j.groupBy(cycle.alias("cycle"), "custid", "prov", "pdsnip").agg(
+        F.count(F.lit(1)).alias("req_cnt"), F.count_distinct("mdn").alias("users"),
+        A.count_if(F.col("result") == "success").alias("succ_cnt"))
+    return agg.withColumn("succ_ratio", C.safe_ratio("succ_cnt", "req_cnt"))
+
+
+def session_count(usage: DataFrame, classes: Sequence[str], class_col: str = "net",
+                  key: str = "prov") -> DataFrame:
+    """AN-45: distinct (user, session) pairs per province over the starting or
+    complete records (AG-3, FLT-3)."""
+    return usage.where(F.col(class_col).isin(*classes)).groupBy(key).agg(
+        F.count_distinct("mdn", "session_id").alias("sessions"))
+
+
+def levels_long(usage: DataFrame, levels: Sequence[str], cycle: Column) -> DataFrame:
+    """AN-52: day measures at every depth of a dimension path (null for the absent
+    deeper levels).  The reference emitted each depth without re-aggregating (so
+    coarse keys repeated); here it is a real ``rollup``, one row per key and depth,
+    with the depth in ``level``."""
+    levels = list(levels)
+    agg = A.rollup(usage.withColumn("cycle", cycle), ["cycle", *levels], [
+        F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
+        F.count_distinct("mdn").alias("users")], id_col="gid")
+    depth = len(levels) - F.bit_count(F.col("gid"))
+    return agg.where(F.col("cycle").isNotNull()).withColumn("level", depth.cast("int")).drop("gid")

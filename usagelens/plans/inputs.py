@@ -103,7 +103,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(bal >= 6000, "1").otherwise("0").alias("iscommon"),
                     F.concat_ws(",", F.concat(F.lit("d"), (F.col("c_custkey") % 3).cast("string")),
                                 F.concat(F.lit("d"), (F.col("c_custkey") % 5 + 2).cast("string"))).alias("vpdndomain"),
-                    F.lpad(F.col("c_custkey").cast("string"), 15, "86").alias("imei"),
+                    F.concat(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit("0000000")).alias("imei"),
                     F.col("c_name").alias("username"),
                     _units("c_acctbal").alias("acctbal")))
 
@@ -141,7 +141,8 @@ def signalling(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("cause"),
         (F.col("event_id") % 97).alias("enbid"),
         _units("value").alias("delay"),
-        F.when(F.col("event_id") % 2 == 0, "3g").otherwise("4g").alias("net"))
+        F.when(F.col("event_id") % 2 == 0, "3g").otherwise("4g").alias("net"),
+        F.concat(F.lit("10.1."), (F.col("event_id") % 97).cast("string")).alias("pdsnip"))
 
 
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,3 +192,37 @@ def record_classes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "apn_map": u.select(F.col("nai_domain").alias("vpdndomain"),
                             F.concat(F.lit("apn."), F.col("nai_domain")).alias("apn")).distinct(),
     }
+
+
+def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register operations (open / close cards): signup = open, purchase = close,
+    others = query; even event ids in the 2/3G register (HLR), odd in the 4G one
+    (HSS); a value below 1 marks a failed operation.  The subscriber's province and
+    company travel with the log row, as in the reference."""
+    ev = table(spark, sf_dir, "events")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    g = geo(spark, sf_dir).select("city_id", "prov")
+    who = cust.join(g, cust.c_nationkey == g.city_id).select(
+        F.col("c_custkey").alias("user_id"), F.col("prov").alias("custprovince"),
+        F.concat(F.lit("C"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("vpdncompanycode"))
+    return ev.join(who, "user_id").select(
+        F.col("user_id").cast("string").alias("mdn"),
+        F.when(F.col("event_id") % 2 == 0, "HLR").otherwise("HSS").alias("logtype"),
+        F.when(F.col("event_type") == "signup", "open").when(F.col("event_type") == "purchase", "close")
+        .otherwise("query").alias("opername"),
+        F.when(F.col("value") >= 1.0, "success").otherwise("fail").alias("oper_result"),
+        "custprovince", "vpdncompanycode", F.col("ts").alias("opertime"))
+
+
+def raw_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw positional text log (T0..T4, all strings) as delivered before ETL."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").cast("string").alias("T0"), F.col("user_id").cast("string").alias("T1"),
+                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("T2"), F.col("event_type").alias("T3"),
+                     F.round(F.col("value") * 100).cast("bigint").cast("string").alias("T4"))
+
+
+def gateway_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gateway IP → province map: one gateway per station."""
+    return stations(spark, sf_dir).select(
+        F.concat(F.lit("10.1."), F.col("enbid").cast("string")).alias("pdsnip"), F.col("provname").alias("prov"))

@@ -33,7 +33,7 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CASE WHEN c.c_acctbal >= 1000 AND c.c_acctbal < 6000 THEN '1' ELSE '0' END AS isvpdn,
                       CASE WHEN c.c_acctbal >= 6000 THEN '1' ELSE '0' END AS iscommon,
                       'd' || CAST(c.c_custkey % 3 AS VARCHAR) || ',' || 'd' || CAST(c.c_custkey % 5 + 2 AS VARCHAR) AS vpdndomain,
-                      lpad(CAST(c.c_custkey AS VARCHAR), 15, '86') AS imei,
+                      lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') || '0000000' AS imei,
                       c.c_name AS username,
                       CAST(round(c.c_acctbal * 100) AS BIGINT) AS acctbal
                FROM customer c JOIN geo g ON c.c_nationkey = g.city_id""", ("geo",)),
@@ -46,7 +46,8 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS result,
                       json_extract_string(props, '$.k') AS cause, event_id % 97 AS enbid,
                       CAST(round(value * 100) AS BIGINT) AS delay,
-                      CASE WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net
+                      CASE WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net,
+                      '10.1.' || CAST(event_id % 97 AS VARCHAR) AS pdsnip
                FROM events""", ()),
     "session_events": ("""SELECT event_id, user_id AS mdn, CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id,
                       CASE WHEN event_type = 'signup' THEN 'Start'
@@ -87,6 +88,20 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                FROM usage_rec WHERE net IN ('A', 'N', 'R')""", ("usage_rec",)),
     "apn_map": ("""SELECT DISTINCT nai_domain AS vpdndomain, 'apn.' || nai_domain AS apn FROM usage_rec""",
                 ("usage_rec",)),
+    "operation_log": ("""SELECT CAST(e.user_id AS VARCHAR) AS mdn,
+                      CASE WHEN e.event_id % 2 = 0 THEN 'HLR' ELSE 'HSS' END AS logtype,
+                      CASE WHEN e.event_type = 'signup' THEN 'open' WHEN e.event_type = 'purchase' THEN 'close'
+                           ELSE 'query' END AS opername,
+                      CASE WHEN e.value >= 1.0 THEN 'success' ELSE 'fail' END AS oper_result,
+                      g.prov AS custprovince, 'C' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS vpdncompanycode,
+                      e.ts AS opertime
+               FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN geo g ON c.c_nationkey = g.city_id""",
+                      ("geo",)),
+    "raw_event_log": ("""SELECT CAST(event_id AS VARCHAR) AS T0, CAST(user_id AS VARCHAR) AS T1,
+                      strftime(ts, '%Y-%m-%d %H:%M:%S') AS T2, event_type AS T3,
+                      CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS T4 FROM events""", ()),
+    "gateway_ips": ("""SELECT '10.1.' || CAST(enbid AS VARCHAR) AS pdsnip, provname AS prov FROM stations""",
+                    ("stations",)),
 }
 
 
@@ -104,3 +119,12 @@ def with_inputs(*names: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][0]})" for n in order)
+
+
+def with_ctes(inputs: tuple[str, ...], ctes: dict[str, str]) -> str:
+    """``WITH`` clause of the stand-in CTEs followed by the query's own CTEs."""
+    parts = []
+    if inputs:
+        parts.append(with_inputs(*inputs)[len("WITH "):])
+    parts += [f"{name} AS ({q})" for name, q in ctes.items()]
+    return ("WITH " + ",\n".join(parts)) if parts else ""
