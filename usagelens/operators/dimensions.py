@@ -165,9 +165,9 @@ def terminal_stats(usage: DataFrame, users: DataFrame, devices: DataFrame,
     """AN-32: distinct users per device type × model × company × service, and per
     domain of VPDN users (service tags explode, AG-14), with the normal / abnormal
     device class.  The user's terminal is the TAC of their records."""
-    ut = usage.select("mdn", "tac").distinct().join(devices.select("tac", "devicetype", "modelname"), "tac")
+    ut = usage.select("mdn", "tac").distinct().join(J.sized(devices.select("tac", "devicetype", "modelname")), "tac")
     u = users.select("mdn", "companycode", "isvpdn", "isdirect", "vpdndomain")
-    tagged = with_service_tags(ut.join(u, "mdn"))
+    tagged = with_service_tags(ut.join(J.sized(u), "mdn"))
     cls = F.when(F.col("devicetype").isin(*abnormal_types), F.lit("abnormal")).otherwise(F.lit("normal"))
     return (tagged.withColumn("devclass", cls)
             .groupBy("devicetype", "modelname", "devclass", "companycode", "servtype", "domain")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from . import joins as J
 
 
 def normalize_log(raw: DataFrame, mapping: Mapping[str, str], time_col: str, time_fmt: str,
@@ -43,7 +44,7 @@ def enrich_log(log: DataFrame, users: DataFrame, devices: DataFrame, time_col: s
     flag."""
     u = users.select("mdn", "companycode", "vpdndomain", C.tac_of("imei").cast("bigint").alias("tac"))
     d = devices.select("tac", "modelname", "devicetype")
-    j = log.join(u, "mdn", "left").join(d, "tac", "left")
+    j = log.join(J.sized(u), "mdn", "left").join(J.sized(d), "tac", "left")
     return j.select(*log.columns, C.default_if_blank("companycode", unknown).alias("companycode"),
                     C.default_if_blank("vpdndomain", unknown).alias("vpdndomain"),
                     C.default_if_null("modelname", unknown).alias("modelname"),

@@ -1,16 +1,19 @@
 """Join shapes (survey JN-1..23).
 
-Broadcast policy: a side is hinted with ``broadcast()`` only when its size is bounded
-by a fixed domain (provinces, cities, network types, code tables).  Every other
-dimension (subscribers, stations, devices, companies) grows with the data; those
-joins are left to Spark, which broadcasts only below
-``spark.sql.autoBroadcastJoinThreshold`` (checked on plan statistics, and again on
-measured shuffle sizes under AQE) and otherwise plans a sort-merge or shuffled hash
-join.  Skewed join keys are split at run time by AQE's skew-join handling.
+Broadcast policy: a side is hinted with ``broadcast()`` when its size is bounded by a
+fixed domain (provinces, cities, network types, code tables), or after a measured
+check (:func:`fits_broadcast`) shows it is below
+``spark.sql.autoBroadcastJoinThreshold``.  Dimensions that grow with the data
+(subscribers, stations, devices) fail the check at scale and are joined with a
+shuffled join; AQE's skew-join handling splits hot keys at run time.  Deciding
+before planning matters: when Spark plans a sort-merge join and AQE only later
+finds the small side, the fact side has already been shuffled.
 """
 
 from __future__ import annotations
 
+import re
+import weakref
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,13 +24,56 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+_WIDTH = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "date": 4,
+          "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1, "string": 24}
+_SIZE_CHECKED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+
+
+def _bytes(conf_value: str) -> int:
+    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)b?\s*", conf_value.lower())
+    if not m:
+        return -1
+    return int(m.group(1)) * 1024 ** " kmgt".index(m.group(2) or " ")
+
+
+def broadcast_limit(spark) -> int:
+    """The broadcast budget in bytes: ``spark.sql.autoBroadcastJoinThreshold``."""
+    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
+
+
+def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
+    """Measured size check for a dimension: at most ``limit / row width`` rows.
+
+    Counts ``dim.limit(max_rows + 1)``, so the check reads at most max_rows + 1 rows
+    however large the dimension is.  Plan statistics are not used: for a dimension
+    derived by joins they multiply the inputs' sizes and would never allow it."""
+    if dim in _SIZE_CHECKED:
+        return _SIZE_CHECKED[dim]
+    limit = broadcast_limit(dim.sparkSession) if limit_bytes is None else limit_bytes
+    if limit <= 0:
+        return False
+    width = 16 + sum(_WIDTH.get(t, 32) for _, t in dim.dtypes)
+    max_rows = max(1, limit // width)
+    ok = dim.limit(max_rows + 1).count() <= max_rows
+    _SIZE_CHECKED[dim] = ok
+    return ok
+
+
+def sized(dim: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """JN-1/JN-6: the dimension with a broadcast hint when its measured size is under
+    the budget, otherwise unchanged (Spark then plans a shuffled join, and AQE may
+    still switch to a broadcast on the measured shuffle size)."""
+    return F.broadcast(dim) if fits_broadcast(dim, limit_bytes) else dim
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                    bounded: bool = False) -> DataFrame:
     """JN-1/JN-4/JN-6: enrich a fact with a dimension on one or more key columns.
 
-    ``bounded=True`` declares the dimension has a fixed-size domain and hints a
-    broadcast; otherwise the strategy is Spark's size-checked choice."""
-    d = F.broadcast(dim) if bounded else dim
+    ``bounded=True`` declares a fixed-size domain (provinces, network types, code
+    tables) and always hints a broadcast; otherwise the dimension is broadcast only
+    after :func:`fits_broadcast` measured it under the budget."""
+    d = F.broadcast(dim) if bounded else sized(dim)
     return fact.join(d, on, how)
 
 

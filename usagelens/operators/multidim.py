@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import aggregates as A
+from . import joins as J
 from . import windows as W
 from .sessions import with_service_tags
 
@@ -42,19 +43,19 @@ def multi_dim_rows(vpdn3g: DataFrame, ha3g: DataFrame, pgw4g: DataFrame, users:
       domain for non-direct owners, else '-1'."""
     u = users.select("mdn", "companycode", "vpdndomain", "isvpdn", "isdirect")
     nai_dom = C.domain_of("nai")
-    v = (vpdn3g.join(u.where(F.col("isvpdn") == "1"), "mdn")
+    v = (vpdn3g.join(J.sized(u.where(F.col("isvpdn") == "1")), "mdn")
          .withColumn("doms", F.when(F.array_contains(F.split("vpdndomain", ","), nai_dom), F.array(nai_dom))
                      .otherwise(F.split("vpdndomain", ",")))
          .select("companycode", F.lit("3g").alias("type"), "mdn", F.lit("C").alias("servtype"),
                  F.explode("doms").alias("vpdndomain"), "bsid", "upflow", "downflow", "starttime"))
-    h = (ha3g.join(u, "mdn")
+    h = (ha3g.join(J.sized(u), "mdn")
          .select("companycode", F.lit("3g").alias("type"), "mdn",
                  F.when(F.col("isdirect") == "1", "D").otherwise("P").alias("servtype"),
                  F.lit("-1").alias("vpdndomain"), "bsid", "upflow", "downflow", "starttime"))
-    p4 = pgw4g.join(u, "mdn")
+    p4 = pgw4g.join(J.sized(u), "mdn")
     m = apn_map.select(F.col("apn").alias("m_apn"), F.col("vpdndomain").alias("m_dom"))
     owns = F.array_contains(F.split(p4["vpdndomain"], ","), m["m_dom"])
-    j = p4.join(m, (p4["apn"] == m["m_apn"]) & owns, "left")
+    j = p4.join(J.sized(m), (p4["apn"] == m["m_apn"]) & owns, "left")
     owned = F.col("m_dom").isNotNull()
     g = j.select("companycode", F.lit("4g").alias("type"), "mdn",
                  F.when(F.col("isdirect") == "1", "D").when((F.col("isvpdn") == "1") & owned, "C")
@@ -85,7 +86,7 @@ def multi_dim_usage(rows: DataFrame, cycle: Column | None = None) -> DataFrame:
 def active_users_dim(rows: DataFrame, users: DataFrame) -> DataFrame:
     """AN-36: distinct active users per home province and the six company / service
     / domain / network sets (distinct counts are not inflated by domain rows)."""
-    r = rows.join(users.select("mdn", "beloprov"), "mdn")
+    r = rows.join(J.sized(users.select("mdn", "beloprov")), "mdn")
     sets = [["beloprov", *s] for s in SERVICE_SETS]
     agg = A.grouping_sets(r, sets, [F.count_distinct("mdn").alias("active_users")], id_col="gid")
     return agg.where(F.col("vpdndomain").isNull() | (F.col("vpdndomain") != "-1"))
@@ -109,7 +110,7 @@ def tagged_service_summary(df: DataFrame, users: DataFrame, keys_before: Sequenc
     'sum' or 'distinct'.  Each is computed twice, over base tags and over domain
     tags, and the right one is picked per set."""
     u = users.select("mdn", "companycode", "isvpdn", "isdirect", "vpdndomain")
-    tagged = with_service_tags(df.join(u, "mdn")).drop("vpdndomain") \
+    tagged = with_service_tags(df.join(J.sized(u), "mdn")).drop("vpdndomain") \
         .withColumnRenamed("domain", "vpdndomain") \
         .withColumn("__base", F.col("vpdndomain").isNull())
     sets = [[*keys_before, *[extra_dim if c == "type" else c for c in s]] for s in SERVICE_SETS]
@@ -146,7 +147,7 @@ def auth_summary(auth: DataFrame, users: DataFrame, cycle: Column,
 def auth_errors(auth: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
     """AN-21 error-code breakdown: failed attempts and distinct failing users per
     company, network and error code."""
-    j = auth.where(F.col("result") != "success").join(users.select("mdn", "companycode"), "mdn")
+    j = auth.where(F.col("result") != "success").join(J.sized(users.select("mdn", "companycode")), "mdn")
     return j.groupBy(cycle.alias("cycle"), "companycode", F.col("net").alias("type"), "cause").agg(
         F.count(F.lit(1)).alias("fail_cnt"), F.count_distinct("mdn").alias("fail_users"))
 
@@ -163,10 +164,10 @@ def failing_stations(log: DataFrame, users: DataFrame, stations: DataFrame, cycl
     (desc, station id breaks ties) with the station name; ranks below ``top``
     (the reference keeps ``rank < 1000``).  The ``row_number() < n`` filter is
     planned as a partial WindowGroupLimit before the shuffle."""
-    f = log.where(F.col("result") == "failed").join(users.select("mdn", "companycode"), "mdn")
+    f = log.where(F.col("result") == "failed").join(J.sized(users.select("mdn", "companycode")), "mdn")
     per = f.groupBy(cycle.alias("cycle"), "companycode", "enbid").agg(F.count(F.lit(1)).alias("fail_cnt"))
     ranked = W.top_n(per, ["cycle", "companycode"], ["fail_cnt"], top, "rank", tiebreak=["enbid"])
-    return ranked.join(stations.select("enbid", "stationname", "provname", "cityname"), "enbid", "left")
+    return ranked.join(J.sized(stations.select("enbid", "stationname", "provname", "cityname")), "enbid", "left")
 
 
 def sms_dim_summary(sms: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
@@ -191,7 +192,7 @@ def area_rank(metrics: DataFrame, stations: DataFrame, prefix_len: int | None =
     key = F.col("enbid").cast("string")
     if prefix_len:
         key = F.substring(key, 1, prefix_len)
-    m = metrics.withColumn("bkey", key).join(b, "bkey", "left").withColumn("enbid", F.col("enbid").cast("string"))
+    m = metrics.withColumn("bkey", key).join(J.sized(b), "bkey", "left").withColumn("enbid", F.col("enbid").cast("string"))
     geo = [["prov", "city", "enbid"], ["prov", "city"], ["prov"], []]
     sets = [["cycle", *g, *n] for g in geo for n in (["net"], [])]
     agg = A.grouping_sets(m, sets, [F.sum("req").alias("req"), F.sum("succ").alias("succ")], "gid")
@@ -241,7 +242,7 @@ def avg_flow_dense(usage: DataFrame, users: DataFrame, nets: Sequence[str],
     company × network type, zeros where a company had no usage on a network.  The
     company × network scaffold explodes the fixed network list per company (JN-18)."""
     u = users.select("mdn", "companycode")
-    facts = usage.join(u, "mdn").groupBy("companycode", "net").agg(
+    facts = usage.join(J.sized(u), "mdn").groupBy("companycode", "net").agg(
         (F.sum("upflow") + F.sum("downflow")).alias("flow"), F.count_distinct("mdn").alias("users"))
     companies = u.select("companycode").distinct()
     from .joins import densify
@@ -256,7 +257,7 @@ def station_quality(log: DataFrame, stations: DataFrame, cycle: Column) -> DataF
     procedure (grouping sets; stations left-joined so unknown stations keep their
     rows under null geography)."""
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("city"))
-    df = log.withColumn("cycle", cycle).join(b, "enbid", "left")
+    df = log.withColumn("cycle", cycle).join(J.sized(b), "enbid", "left")
     sets = [["cycle", "prov", "city", "enbid", "procedure"], ["cycle", "prov", "city", "procedure"],
             ["cycle", "prov", "procedure"]]
     return A.grouping_sets(df, sets, [

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import joins as J
 from . import windows as W
 
 
@@ -86,7 +87,7 @@ def message_outlier(sms: DataFrame, users: DataFrame, cycle: Column,
     roles = sms.select(cycle.alias("summ_cycle"), F.inline(F.array(
         F.struct(F.lit("r").alias("role"), F.col("callee").alias("mdn")),
         F.struct(F.lit("s").alias("role"), F.col("caller").alias("mdn")))))
-    enriched = roles.join(u, "mdn", "left").where(F.col(keys[0]).isNotNull())
+    enriched = roles.join(J.sized(u), "mdn", "left").where(F.col(keys[0]).isNotNull())
     per_number = enriched.groupBy("summ_cycle", *keys, "mdn").agg(
         F.count(F.when(F.col("role") == "s", 1)).alias("calling_cnt"),
         F.count(F.when(F.col("role") == "r", 1)).alias("called_cnt"))
@@ -123,4 +124,4 @@ def device_outlier(usage: DataFrame, devices: DataFrame, keys: Sequence[str],
     disallowed device type.  The device table is filtered to the disallowed types
     before the join, so only matching terminals are joined."""
     bad = devices.where(F.col("devicetype").isin(*disallowed)).select("tac", "devicetype")
-    return usage.join(bad, "tac").select(*keys, subject, "devicetype").distinct()
+    return usage.join(J.sized(bad), "tac").select(*keys, subject, "devicetype").distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import aggregates as A
+from . import joins as J
 from . import windows as W
 
 HOUR = 3600
@@ -102,7 +103,7 @@ def login_logout_summary(events: DataFrame, users: DataFrame, cycle: Column) ->
     stop with a normal cause for its network (PRJ-31)."""
     u = users.select("mdn", "companycode", "isvpdn", "isdirect", "vpdndomain")
     j = (events.select(cycle.alias("cycle"), "mdn", "status", "cause", "net")
-         .withColumn("result", C.radius_result("status", "cause", "net")).join(u, "mdn"))
+         .withColumn("result", C.radius_result("status", "cause", "net")).join(J.sized(u), "mdn"))
     tagged = with_service_tags(j)
     keys = ["cycle", "companycode", "servtype", "domain"]
     agg = A.grouping_sets(tagged, [keys, [*keys, "net"]], [
@@ -122,7 +123,7 @@ def abnormal_logouts(events: DataFrame, users: DataFrame, cycle: Column,
     company, network and cause — or per station with ``by=("enbid", "net")``."""
     u = users.select("mdn", "companycode")
     j = (events.select(cycle.alias("cycle"), "mdn", "status", "cause", "net", "enbid")
-         .where(C.radius_result("status", "cause", "net") == "f").join(u, "mdn"))
+         .where(C.radius_result("status", "cause", "net") == "f").join(J.sized(u), "mdn"))
     return j.groupBy("cycle", *by).agg(F.count(F.lit(1)).alias("failcnt"))
 
 
@@ -132,7 +133,7 @@ def logout_rollup(events: DataFrame, users: DataFrame, cycle: Column,
     (company total, grand total)."""
     u = users.select("mdn", "companycode")
     j = (events.select(cycle.alias("cycle"), "mdn", "status", "cause", "net")
-         .withColumn("result", C.radius_result("status", "cause", "net")).join(u, "mdn"))
+         .withColumn("result", C.radius_result("status", "cause", "net")).join(J.sized(u), "mdn"))
     agg = A.rollup(j, ["cycle", "companycode", "cause"], [
         A.count_if(F.col("status") == "Start").alias("starts"),
         A.count_if(F.col("status") == "Stop").alias("stops"),

@@ -40,7 +40,7 @@ def usage_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
     b = stations.select("enbid", F.col("provname").alias("prov"),
                         F.coalesce(F.col("cityname"), F.lit(city_sentinel)).alias("city"))
     facts = usage.select(cycle.alias("gather_cycle"), "mdn", "enbid", "prov", "upflow", "downflow")
-    joined = J.dimension_join(facts, u, "mdn").join(b, ["enbid", "prov"])
+    joined = J.dimension_join(facts, u, "mdn").join(J.sized(b), ["enbid", "prov"])
     agg = (joined.groupBy("gather_cycle", "custid", "prov", "city")
            .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"))
            .withColumn("totalflow", F.col("upflow") + F.col("downflow")))
@@ -72,7 +72,7 @@ def procedure_summary(log: DataFrame, users: DataFrame, stations: DataFrame, cyc
     u = users.where(user_filter).select("mdn", "custid")
     b = stations.select("enbid", F.col("provname").alias("prov"),
                         F.coalesce(F.col("cityname"), F.lit(city_sentinel)).alias("city"))
-    j = log.select(cycle.alias("gather_cycle"), "mdn", "enbid", "result").join(u, "mdn").join(b, "enbid")
+    j = log.select(cycle.alias("gather_cycle"), "mdn", "enbid", "result").join(J.sized(u), "mdn").join(J.sized(b), "enbid")
     failed = F.col("result") == "failed"
     agg = j.groupBy("gather_cycle", "custid", "prov", "city").agg(
         F.count(F.lit(1)).alias("reqcnt"),
@@ -96,7 +96,7 @@ def message_summary(sms: DataFrame, users: DataFrame, cycle: Column,
     roles = sms.select(cycle.alias("gather_cycle"), F.inline(F.array(
         F.struct(F.lit("r").alias("type"), F.col("callee").alias("mdn")),
         F.struct(F.lit("s").alias("type"), F.col("caller").alias("mdn")))))
-    agg = roles.join(u, "mdn").groupBy("gather_cycle", "custid").agg(
+    agg = roles.join(J.sized(u), "mdn").groupBy("gather_cycle", "custid").agg(
         F.count(F.lit(1)).alias("gather_value"))
     return agg.select("gather_cycle", "custid", F.lit("-1").alias("prov"), F.lit("-1").alias("city"),
                       F.lit("MSGS").alias("gather_type"), "gather_value")
@@ -125,7 +125,8 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
     facts = usage.select(cycle.alias("summ_cycle"), "mdn", "enbid", "prov", "tac", "upflow",
                          "downflow", "session_id")
     # Province and city shown are the station's (province null, city '-' when unknown).
-    enriched = (facts.join(u, "mdn", "left").join(b, ["enbid", "prov"], "left").join(t, "tac", "left")
+    enriched = (facts.join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
+                .join(J.sized(t), "tac", "left")
                 .select("summ_cycle", F.coalesce("custid", F.lit(unknown_customer)).alias("custid"),
                         F.col("enbid").cast("string").alias("enbid"),
                         F.when(F.col("bmatch"), F.col("prov")).alias("prov"),
@@ -185,7 +186,7 @@ def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame,
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("city"),
                         F.lit(True).alias("known"))
     base = (log.select(cycle.alias("summ_cycle"), "mdn", "enbid", "result", "cause")
-            .join(u, "mdn", "left").join(b, "enbid", "left")
+            .join(J.sized(u), "mdn", "left").join(J.sized(b), "enbid", "left")
             .withColumn("custid", F.coalesce("custid", F.lit(unknown_customer))))
     failed = F.col("result") == "failed"
     bs = base.groupBy("summ_cycle", "custid", "enbid", "prov", "city", "known").agg(
@@ -236,7 +237,7 @@ def day_aggregate(usage: DataFrame, users: DataFrame, stations: DataFrame, cycle
                                         F.col("belocity").alias("own_lanid"))
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"),
                         F.lit(True).alias("bmatch"))
-    j = (usage.withColumn("cycle", cycle).join(u, "mdn").join(b, ["enbid", "prov"], "left")
+    j = (usage.withColumn("cycle", cycle).join(J.sized(u), "mdn").join(J.sized(b), ["enbid", "prov"], "left")
          .withColumn("provid", F.when(F.col("bmatch"), F.col("prov")))
          .withColumn("lanid", F.coalesce("bcity", F.lit(city_sentinel)))
          .withColumnRenamed("cellid", "eci").withColumnRenamed("nai_domain", "apn"))
@@ -271,7 +272,7 @@ def roaming_matrix(usage: DataFrame, users: DataFrame, stations: DataFrame, home
     u = users.select("mdn", "beloprov", "belocity", "ind_type")
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"))
     j = (usage.select(cycle.alias("gather_date"), "mdn", "enbid", "prov", "upflow", "downflow")
-         .join(u, "mdn", "left").join(b, ["enbid", "prov"], "left")
+         .join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
          .withColumn("regcity", F.coalesce("belocity", F.lit(unknown)))
          .withColumn("city", F.coalesce("bcity", F.lit(unknown))))
     h = F.lit(home)
@@ -304,7 +305,7 @@ def active_users_nday(usage: DataFrame, users: DataFrame, day_col: str, keys: Se
     day reading the last ``n`` partitions."""
     u = users if user_filter is None else users.where(user_filter)
     seen = (usage.select("mdn", F.col(day_col).alias("day"), *[k for k in keys if k in usage.columns])
-            .join(u.select("mdn", *[k for k in keys if k not in usage.columns]), "mdn")
+            .join(J.sized(u.select("mdn", *[k for k in keys if k not in usage.columns])), "mdn")
             .select("mdn", "day", *keys).distinct())
     ends = seen.withColumn("end_day", F.explode(F.sequence(F.col("day"), F.date_add(F.col("day"), n - 1))))
     return ends.groupBy("end_day", *keys).agg(F.count_distinct("mdn").alias("active_users"))
@@ -355,7 +356,7 @@ def customer_report(usage: DataFrame, users: DataFrame, cycle: Column,
     sets = {"CUST": ["cycle", "custid", "beloprov", "belocity"], "PROV": ["cycle", "beloprov"],
             "NATION": ["cycle"], "INDUSTRY": ["cycle", "ind_type"]}
     active_rows = usage.select(cycle.alias("cycle"), "mdn", "upflow", "downflow").join(
-        users.select("mdn", "custid", "beloprov", "belocity", "ind_type"), "mdn")
+        J.sized(users.select("mdn", "custid", "beloprov", "belocity", "ind_type")), "mdn")
     active = A.grouping_sets(active_rows, list(sets.values()), [
         F.count_distinct("mdn").alias("active_users"), F.sum("upflow").alias("upflow"),
         F.sum("downflow").alias("downflow")], "gid")
@@ -391,7 +392,7 @@ def province_access(usage: DataFrame, users: DataFrame, stations: DataFrame, cyc
     u = users.select("mdn", F.col("beloprov").alias("own_provid"), F.col("belocity").alias("own_lanid"),
                      F.col("ind_type").alias("industry_level1"))
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("lanid"))
-    j = usage.withColumn("cycle", cycle).join(u, "mdn").join(b, ["enbid", "prov"], "left")
+    j = usage.withColumn("cycle", cycle).join(J.sized(u), "mdn").join(J.sized(b), ["enbid", "prov"], "left")
     agg = j.groupBy("cycle", "own_provid", "own_lanid", "industry_level1", F.col("prov").alias("provid"), "lanid").agg(
         F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
         F.count_distinct("mdn").alias("activeusers"), F.sum("duration").alias("duration"),
@@ -426,10 +427,10 @@ def region_kpi(gw: DataFrame, mme: DataFrame, stations: DataFrame, grain: str,
     failed attach and failed tracking-area-update counts from the signalling log;
     the two aggregates are merged by a full outer join (JN-8)."""
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("city"))
-    g = (gw.join(b, "enbid", "left").groupBy(F.date_format("starttime", grain).alias("period"), "prov", "city")
+    g = (gw.join(J.sized(b), "enbid", "left").groupBy(F.date_format("starttime", grain).alias("period"), "prov", "city")
          .agg(F.count_distinct("mdn").alias("online_users"),
               C.bytes_to_gb(F.sum(F.col("upflow") + F.col("downflow"))).alias("flow_gb")))
-    m = (mme.where(F.col("result") == "failed").join(b, "enbid", "left")
+    m = (mme.where(F.col("result") == "failed").join(J.sized(b), "enbid", "left")
          .groupBy(F.date_format("starttime", grain).alias("period"), "prov", "city")
          .agg(A.count_if(attach).alias("attach_fail"), A.count_if(tau).alias("tau_fail")))
     keys = ["period", "prov", "city"]
@@ -446,7 +447,7 @@ def auth_by_gateway(auth: DataFrame, ip_map: DataFrame, users: DataFrame, cycle:
     """AN-44: per customer × gateway province × gateway IP: attempts, distinct users
     and success ratio (PRJ-25).  Users inner-joined; the IP map is a dimension
     (Spark's size-checked join choice)."""
-    j = auth.join(users.select("mdn", "custid"), "mdn").join(ip_map, "pdsnip")
+    j = auth.join(J.sized(users.select("mdn", "custid")), "mdn").join(J.sized(ip_map), "pdsnip")
     agg = j.groupBy(cycle.alias("cycle"), "custid", "prov", "pdsnip").agg(
         F.count(F.lit(1)).alias("req_cnt"), F.count_distinct("mdn").alias("users"),
         A.count_if(F.col("result") == "success").alias("succ_cnt"))

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import sized
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -40,7 +42,7 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City (nation) → province (region) lookup: fixed, tiny domain."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city"),
                     F.col("r_regionkey").alias("prov_id"), F.col("r_name").alias("prov")))
 
@@ -76,8 +78,8 @@ def located_usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     province; station ids are only unique within a province)."""
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     g = geo(spark, sf_dir).select("city_id", "prov")
-    where = sup.join(g, sup.s_nationkey == g.city_id).select(F.col("s_suppkey").alias("enbid"), "prov")
-    return usage_records(spark, sf_dir).join(where, "enbid")
+    where = sup.join(F.broadcast(g), sup.s_nationkey == g.city_id).select(F.col("s_suppkey").alias("enbid"), "prov")
+    return usage_records(spark, sf_dir).join(sized(where), "enbid")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +92,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     g = geo(spark, sf_dir)
     bal = F.col("c_acctbal")
-    return (cust.join(g, cust.c_nationkey == g.city_id)
+    return (cust.join(F.broadcast(g), cust.c_nationkey == g.city_id)
             .select(F.col("c_custkey").alias("mdn"),
                     F.col("c_mktsegment").alias("custid"),
                     F.concat(F.lit("C"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("companycode"),
@@ -112,7 +114,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station dimension: enbid, provname, cityname, provid, cityid, stationname."""
     sup = table(spark, sf_dir, "supplier")
     g = geo(spark, sf_dir)
-    return (sup.join(g, sup.s_nationkey == g.city_id)
+    return (sup.join(F.broadcast(g), sup.s_nationkey == g.city_id)
             .select(F.col("s_suppkey").alias("enbid"), F.col("prov").alias("provname"),
                     F.col("city").alias("cityname"), F.col("prov_id").alias("provid"),
                     F.col("city_id").alias("cityid"), F.col("s_name").alias("stationname")))
@@ -202,10 +204,10 @@ def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     g = geo(spark, sf_dir).select("city_id", "prov")
-    who = cust.join(g, cust.c_nationkey == g.city_id).select(
+    who = cust.join(F.broadcast(g), cust.c_nationkey == g.city_id).select(
         F.col("c_custkey").alias("user_id"), F.col("prov").alias("custprovince"),
         F.concat(F.lit("C"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("vpdncompanycode"))
-    return ev.join(who, "user_id").select(
+    return ev.join(sized(who), "user_id").select(
         F.col("user_id").cast("string").alias("mdn"),
         F.when(F.col("event_id") % 2 == 0, "HLR").otherwise("HSS").alias("logtype"),
         F.when(F.col("event_type") == "signup", "open").when(F.col("event_type") == "purchase", "close")
