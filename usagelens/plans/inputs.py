@@ -228,3 +228,11 @@ def gateway_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gateway IP → province map: one gateway per station."""
     return stations(spark, sf_dir).select(
         F.concat(F.lit("10.1."), F.col("enbid").cast("string")).alias("pdsnip"), F.col("provname").alias("prov"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as a file stream (each new file in the folder would be a
+    new micro-batch; here the one file is the first batch)."""
+    schema = table(spark, sf_dir, "events").schema
+    return (spark.readStream.format("parquet").schema(schema)
+            .option("pathGlobFilter", "events.parquet").load(sf_dir.rstrip("/")))

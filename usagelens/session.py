@@ -25,7 +25,9 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Partition values such as h=00 / m5=05 stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # Arrow for the few pandas paths (applyInPandasWithState, tests).
+    # Non-Unicode source encodings (GBK logs) are decoded by the CSV/JSON readers.
+    "spark.sql.legacy.javaCharsets": "true",
+    # Arrow for the few pandas paths (tests).
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

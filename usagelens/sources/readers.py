@@ -62,6 +62,9 @@ def scan_lines(spark: SparkSession, path: str, charset: str | None = None) -> Da
     decoded with the requested charset."""
     if not charset or charset.upper().replace("-", "") == "UTF8":
         return spark.read.text(path)
+    # Spark 4 accepts only the standard Unicode / ASCII / Latin-1 charsets unless the
+    # full Java charset list is enabled; GBK logs need it.
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     schema = StructType([StructField("value", StringType())])
     return (spark.read.schema(schema).option("encoding", charset).option("sep", "\u0001")
             .option("quote", "\u0000").option("escape", "\u0000").option("header", "false")
@@ -77,7 +80,8 @@ def scan_encoded(spark: SparkSession, path: str, charset: str, fmt: str = "text"
     if fmt == "json":
         if schema is None:
             raise ValueError("JSON parsing needs an explicit schema")
-        return lines.select(F.from_json("value", schema).alias("r")).where(F.col("r").isNotNull()).select("r.*")
+        objects = lines.where(F.json_object_keys("value").isNotNull())   # JSON objects only
+        return objects.select(F.from_json("value", schema).alias("r")).select("r.*")
     return lines
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions import columns as C
 from ..session import checkpoint_dir
 
 # Fields of a radius session message (all text in the message).
@@ -31,7 +32,8 @@ def parse_radius(messages: DataFrame, value_col: str = "value") -> DataFrame:
     The event time is StartTime for 'Start' and StopTime otherwise, normalised to
     ``yyyyMMddHHmmss`` (digits only, 14 long) or '-1'; ``dayid`` is its day
     (yyyyMMdd) or '-1', so unparseable rows land in their own partition."""
-    parsed = messages.select(F.from_json(F.col(value_col), RADIUS_SCHEMA).alias("m")).where(F.col("m").isNotNull())
+    objects = messages.where(F.json_object_keys(F.col(value_col)).isNotNull())   # JSON objects only
+    parsed = objects.select(F.from_json(F.col(value_col), RADIUS_SCHEMA).alias("m"))
     cols = [F.coalesce(F.col(f"m.{f}"), F.lit(MISSING)).alias(f) for f in RADIUS_FIELDS]
     df = parsed.select(*cols)
     raw_time = F.when(F.col("Status") == "Start", F.col("StartTime")).otherwise(F.col("StopTime"))
@@ -69,13 +71,21 @@ def word_count(lines: DataFrame) -> DataFrame:
 def window_summary(events: DataFrame, ts: str, keys: Sequence[str], value: str,
                    window: str = "5 minutes", watermark: str = "10 minutes") -> DataFrame:
     """ST-7 + ST-9: tumbling-window counts and sums per key.  The watermark bounds the
-    state kept for late rows: a row later than ``watermark`` behind the newest event
-    time is dropped instead of reopening a closed window."""
-    return (events.withWatermark(ts, watermark)
-            .groupBy(F.window(ts, window).alias("w"), *keys)
+    state kept for late rows: a row more than ``watermark`` behind the newest event
+    time seen in earlier micro-batches is dropped instead of reopening a closed
+    window.
+
+    Watermarks need a zoned timestamp; a wall-clock (TIMESTAMP_NTZ) event time is
+    read as UTC (``timestamp_seconds(unix_timestamp(ts))``, zone independent) and the
+    window bounds are turned back into wall-clock values the same way."""
+    ntz = dict(events.dtypes)[ts] == "timestamp_ntz"
+    et = F.timestamp_seconds(F.unix_timestamp(ts)) if ntz else F.col(ts)
+    back = (lambda c: C.ntz_from_epoch(F.unix_timestamp(c))) if ntz else (lambda c: c)
+    return (events.withColumn("__et", et).withWatermark("__et", watermark)
+            .groupBy(F.window("__et", window).alias("w"), *keys)
             .agg(F.count(F.lit(1)).alias("events"), F.sum(value).alias("total"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
-                    "events", "total"))
+            .select(back(F.col("w.start")).alias("window_start"), back(F.col("w.end")).alias("window_end"),
+                    *keys, "events", "total"))
 
 
 def running_online(events: DataFrame, keys: Sequence[str], start_status: str = "Start",
