@@ -203,8 +203,11 @@ def area_rank(metrics: DataFrame, stations: DataFrame, prefix_len: int | None =
     agg = agg.withColumn("level", A.level_of("gid", sets, names))
     agg = agg.withColumn("net", F.coalesce("net", F.lit("t"))) \
         .withColumn("level", F.regexp_replace("level", "_NET$", ""))
-    ranked = W.rank_within(agg, ["cycle", "level", "net"], ["req"], "req_rank",
-                           tiebreak=["prov", "city", "enbid"])
+    # Ranks over all stations of a cycle: a group as large as the station table, so the
+    # positions come from the range-partitioned computation, not a one-task window.
+    ranked = W.positions_within(agg.withColumn("__neg_req", -F.col("req")), ["cycle", "level", "net"],
+                                ["__neg_req", "prov", "city", "enbid"], pos="req_rank", size="__n")
+    ranked = ranked.withColumn("req_rank", F.col("req_rank").cast("int"))
     return ranked.select("cycle", "level", "net", "prov", "city", "enbid",
                          F.col("req").cast("bigint").alias("req"), F.col("succ").cast("bigint").alias("succ"),
                          C.safe_ratio("succ", "req").alias("succ_ratio"), "req_rank")

@@ -29,18 +29,27 @@ def online_sessions(events: DataFrame, lookback_hours: int = 7, stop_status: str
     reference's left join + ``is null``, written as an aggregate with the stop
     test, which equals the anti join on (mdn, session)).  The user's station is the
     one of their latest non-stop record of an online session (``row_number() = 1``
-    by time desc, as ``max_by``).  Output: snapshot, mdn, enbid, net."""
+    by time desc, as ``max_by``).  Output: snapshot, mdn, enbid, net.
+
+    Records are first reduced to one row per (session, hour) — stop seen, latest
+    non-stop time and station — with a map-side partial aggregate; only those
+    hourly rows are copied to the ``lookback_hours`` snapshots they affect."""
     e = C.epoch_seconds(time_col)
-    first = F.floor(e / HOUR) * HOUR + HOUR
-    snap = events.select("mdn", "session_id", "status", "enbid", "net", time_col,
+    is_stop = F.col("status") == stop_status
+    hourly = events.groupBy("mdn", "session_id", (F.floor(e / HOUR) * HOUR).alias("hour_s")).agg(
+        F.max(is_stop.cast("int")).alias("h_stop"),
+        F.max(F.when(~is_stop, F.col(time_col))).alias("h_last"),
+        F.max_by(F.struct("enbid", "net"), F.when(~is_stop, F.struct(F.col(time_col), F.col("enbid"))))
+        .alias("h_where"))
+    first = F.col("hour_s") + HOUR
+    snap = hourly.select("mdn", "session_id", "h_stop", "h_last", "h_where",
                          F.explode(F.sequence(first, first + (lookback_hours - 1) * HOUR, F.lit(HOUR)))
                          .alias("snap_s"))
     per_session = snap.groupBy("snap_s", "mdn", "session_id").agg(
-        F.max((F.col("status") == stop_status).cast("int")).alias("has_stop"),
-        F.max_by(F.struct("enbid", "net"),
-                 F.when(F.col("status") != stop_status, F.struct(F.col(time_col), F.col("enbid"))))
-        .alias("last"),
-        F.max(F.when(F.col("status") != stop_status, F.col(time_col))).alias("last_time"))
+        F.max("h_stop").alias("has_stop"),
+        F.max_by(F.col("h_where"), F.when(F.col("h_last").isNotNull(),
+                                          F.struct(F.col("h_last"), F.col("h_where.enbid")))).alias("last"),
+        F.max("h_last").alias("last_time"))
     online = per_session.where((F.col("has_stop") == 0) & F.col("last_time").isNotNull())
     latest = online.groupBy("snap_s", "mdn").agg(
         F.max_by(F.col("last"), F.struct("last_time", "session_id")).alias("p"))
