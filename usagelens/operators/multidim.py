@@ -167,6 +167,8 @@ def failing_stations(log: DataFrame, users: DataFrame, stations: DataFrame, cycl
     f = log.where(F.col("result") == "failed").join(J.sized(users.select("mdn", "companycode")), "mdn")
     per = f.groupBy(cycle.alias("cycle"), "companycode", "enbid").agg(F.count(F.lit(1)).alias("fail_cnt"))
     ranked = W.top_n(per, ["cycle", "companycode"], ["fail_cnt"], top, "rank", tiebreak=["enbid"])
+    # SRT-2: rank left-padded to 3 digits so key order equals rank order.
+    ranked = ranked.withColumn("rank_key", F.concat_ws("_", "companycode", F.lpad(F.col("rank").cast("string"), 3, "0")))
     return ranked.join(J.sized(stations.select("enbid", "stationname", "provname", "cityname")), "enbid", "left")
 
 
