@@ -112,3 +112,34 @@ def test_fingerprint_tolerates_null(spark):
     df = spark.createDataFrame([("a", None), ("a", "b")], "x string, y string")
     fps = [r.f for r in df.select(C.row_fingerprint(["x", "y"]).alias("f")).collect()]
     assert fps[0] is not None and fps[0] != fps[1]
+
+
+def test_predicates(spark):
+    from usagelens.functions import predicates as P
+    df = spark.createDataFrame([("240101", "00", "ctnb.a", "115.170.14.2", 0, None),
+                                ("240101", "01", "psma.x", "115.170.15.9", 3, "-1"),
+                                ("240102", "00", "", "10.0.0.1", 5, "d1")],
+                               "d string, h string, apn string, gw string, v int, dom string")
+    def ids(cond):
+        return [r.v for r in df.where(cond).collect()]
+    assert ids(P.partition_is({"d": "240101", "h": "00"})) == [0]
+    assert ids(P.half_open("v", 0, 5)) == [0, 3]
+    assert ids(P.in_set("h", ["01"])) == [3]
+    assert ids(P.has_prefix("gw", ["115.170.14.", "115.170.15."])) == [0, 3]
+    assert ids(P.matches("apn", r"^ctnb")) == [0] and ids(P.matches("apn", r"^ctnb", negate=True)) == [3, 5]
+    assert ids(P.not_blank("apn")) == [0, 3] and ids(P.nonzero("v")) == [3, 5]
+    assert ids(P.having("v", ">", 2)) == [3, 5] and ids(P.not_sentinel_group("dom")) == [0, 5]
+
+
+def test_misc_helpers(spark):
+    df = spark.createDataFrame([("2024-01-01 23:59:00", 120, "1", "x", "y")], "t string, dur int, c string, a string, b string")
+    df = df.withColumn("t", F.to_timestamp_ntz("t"))
+    r = df.select(C.stop_time("t", "dur").alias("stop"), C.decode("c", {"1": "3G", "2": "4G"}, "-").alias("net"),
+                  C.default_via_if(F.col("c") == "1", "a", "b").alias("pick"),
+                  C.bytes_to_gb(F.lit(3 * 1024 ** 3)).alias("gb"), C.avg_per_user(F.lit(7), F.lit(2)).alias("avg")).first()
+    assert str(r.stop) == "2024-01-02 00:01:00" and r.net == "3G" and r.pick == "x" and r.gb == 3.0 and r.avg == 4.0
+    t = C.tag(df, cycle="202401", dim_type="BS").first()
+    assert t.cycle == "202401" and t.dim_type == "BS"
+    pos = spark.createDataFrame([("1", "a")], "T0 string, T1 string")
+    assert C.rename_positional(pos, {"T0": "mdn", "T1": "apn"}).columns == ["mdn", "apn"]
+    assert dict(C.cast_all(spark.createDataFrame([(1, 2.5)], "a int, b double")).dtypes) == {"a": "string", "b": "string"}
