@@ -102,28 +102,50 @@ def _base_or_domain(agg: DataFrame, measures: Sequence[str], domain_bit: int) ->
 
 
 def tagged_service_summary(df: DataFrame, users: DataFrame, keys_before: Sequence[str],
-                           extra_dim: str, measures: Mapping[str, tuple[str, Column]]) -> DataFrame:
-    """Shared core of AN-21..23: join users, explode service tags, one grouping-sets
-    aggregate over (keys_before..., companycode, servtype, vpdndomain, extra_dim).
-
-    ``measures`` maps a name to (kind, column) with kind 'count' (count of non-null),
-    'sum' or 'distinct'.  Each is computed twice, over base tags and over domain
-    tags, and the right one is picked per set."""
+                           extra_dim: str, measures: Mapping[str, tuple[str, Column]],
+                           subject: str = "mdn") -> DataFrame:
+    """Shared core of AN-21..23: join users, explode service tags, aggregate over the six
+    grouping sets of (keys_before..., companycode, servtype, vpdndomain, extra_dim).
+
+    ``measures`` maps a name to (kind, column): 'count' (non-null values), 'sum', or
+    'distinct' — the distinct number of ``subject`` values among the rows where the
+    column is not null (``count(distinct case when .. then mdn end)``).  Each measure
+    is computed over base tags and over domain tags; the right one is picked per set.
+
+    Distinct counts inside grouping sets are done in two levels (AG-11): first one
+    row per (set, keys, subject) with per-subject partial counts and 0/1 flags, then a
+    plain sum per (set, keys).  Spark's own plan for several conditional distinct
+    counts in grouping sets expands every row once per set *and* once per distinct
+    expression; the two-level form expands once per set, and the first level is
+    combined map-side, so a hot subject or company never meets in one task."""
     u = users.select("mdn", "companycode", "isvpdn", "isdirect", "vpdndomain")
     tagged = with_service_tags(df.join(J.sized(u), "mdn")).drop("vpdndomain") \
         .withColumnRenamed("domain", "vpdndomain") \
         .withColumn("__base", F.col("vpdndomain").isNull())
     sets = [[*keys_before, *[extra_dim if c == "type" else c for c in s]] for s in SERVICE_SETS]
-    aggs = []
+    level1 = []
+    level2 = []
     for name, (kind, col) in measures.items():
         for prefix, cond in (("b_", F.col("__base")), ("d_", ~F.col("__base"))):
             v = F.when(cond, col)
-            agg = {"count": F.count(v), "sum": F.sum(v), "distinct": F.count_distinct(v)}[kind]
-            aggs.append(F.coalesce(agg, F.lit(0)).cast("bigint").alias(prefix + name))
-    agg = A.grouping_sets(tagged, sets, aggs, id_col="gid")
+            part = {"count": F.count(v), "sum": F.sum(v),
+                    "distinct": F.max(F.when(v.isNotNull(), F.lit(1)))}[kind].alias(prefix + name)
+            level1.append(part)
+            final = F.count(prefix + name) if kind == "distinct" else F.sum(prefix + name)
+            level2.append(F.coalesce(final, F.lit(0)).cast("bigint").alias(prefix + name))
+    sets1 = [[*st, subject] for st in sets]
+    per_subject = A.grouping_sets(tagged, sets1, level1, id_col="gid1")
     cols = A.set_columns(sets)
+    cols1 = A.set_columns(sets1)
+    gid = None
+    for st, st1 in zip(sets, sets1):
+        cond = F.col("gid1") == A.grouping_id_of(cols1, st1)
+        value = F.lit(A.grouping_id_of(cols, st))
+        gid = F.when(cond, value) if gid is None else gid.when(cond, value)
+    agg = per_subject.groupBy("gid1", *cols).agg(*level2).withColumn("gid", gid).drop("gid1")
     domain_bit = 1 << (len(cols) - 1 - cols.index("vpdndomain"))
-    return _base_or_domain(agg, list(measures), domain_bit)
+    return _base_or_domain(agg.select(*cols, "gid", *[c for c in agg.columns if c[:2] in ("b_", "d_")]),
+                           list(measures), domain_bit)
 
 
 def auth_summary(auth: DataFrame, users: DataFrame, cycle: Column,

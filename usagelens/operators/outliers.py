@@ -57,7 +57,9 @@ def usage_outlier_period(period_usage: DataFrame, peer_keys: Sequence[str], tieb
     among the kept rows.  Subjects whose mean is below ``lo`` × or above ``hi`` ×
     the peer mean are returned."""
     total = F.col("upflow") + F.col("downflow")
-    rows = period_usage.withColumn("total_flow", total)
+    # Read three times below (range-bound sampling, the sorted layout, subject means):
+    # materialized once in the shared folder instead of recomputing the input each time.
+    rows = W.materialize(period_usage.withColumn("total_flow", total), "period-rows")
     kept = W.position_trim_skew_safe(rows, peer_keys, ["total_flow", *tiebreak], trim_lo, trim_hi)
     peers = (kept.groupBy(*peer_keys)
              .agg(exact_avg("total_flow").alias("avg_total_flow"), F.count_distinct(subject).alias("cnt"))

@@ -39,7 +39,10 @@ def usage_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
     u = users.where(user_filter).select("mdn", "custid")
     b = stations.select("enbid", F.col("provname").alias("prov"),
                         F.coalesce(F.col("cityname"), F.lit(city_sentinel)).alias("city"))
-    facts = usage.select(cycle.alias("gather_cycle"), "mdn", "enbid", "prov", "upflow", "downflow")
+    # Records are first reduced per (cycle, user, station) on narrow keys; the user and
+    # station joins then see one row per group instead of one per record.
+    facts = (usage.groupBy(cycle.alias("gather_cycle"), "mdn", "enbid", "prov")
+             .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow")))
     joined = J.dimension_join(facts, u, "mdn").join(J.sized(b), ["enbid", "prov"])
     agg = (joined.groupBy("gather_cycle", "custid", "prov", "city")
            .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"))
@@ -122,8 +125,11 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"),
                         F.lit(True).alias("bmatch"))
     t = devices.select("tac", "modelname")
-    facts = usage.select(cycle.alias("summ_cycle"), "mdn", "enbid", "prov", "tac", "upflow",
-                         "downflow", "session_id")
+    # Pre-aggregate records per (cycle, user, station, terminal) before the joins: sums
+    # and session counts are additive; distinct users are counted after the joins.
+    facts = (usage.groupBy(cycle.alias("summ_cycle"), "mdn", "enbid", "prov", "tac")
+             .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
+                  F.count("session_id").alias("sessions")))
     # Province and city shown are the station's (province null, city '-' when unknown).
     enriched = (facts.join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
                 .join(J.sized(t), "tac", "left")
@@ -132,14 +138,14 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
                         F.when(F.col("bmatch"), F.col("prov")).alias("prov"),
                         F.coalesce("bcity", F.lit(city_sentinel)).alias("city"),
                         "modelname", F.col("tac").cast("string").alias("tac"),
-                        "upflow", "downflow", "mdn", "session_id"))
+                        "upflow", "downflow", "mdn", "sessions"))
     sets = {"BS": ["summ_cycle", "custid", "enbid", "prov", "city"],
             "CITY": ["summ_cycle", "custid", "prov", "city"],
             "PROV": ["summ_cycle", "custid", "prov"],
             "TERMDETAIL": ["summ_cycle", "custid", "prov", "city", "modelname", "tac"]}
     agg = A.grouping_sets(enriched, list(sets.values()), [
         F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
-        F.count_distinct("mdn").alias("users"), F.count("session_id").alias("sessions")], id_col="gid")
+        F.count_distinct("mdn").alias("users"), F.sum("sessions").alias("sessions")], id_col="gid")
     level = A.level_of("gid", list(sets.values()), sets)
     agg = agg.withColumn("dim_type", level).withColumn("totalflow", F.col("upflow") + F.col("downflow"))
     agg = agg.withColumn("dim_obj", F.when(F.col("dim_type") == "BS", F.col("enbid"))
@@ -237,14 +243,18 @@ def day_aggregate(usage: DataFrame, users: DataFrame, stations: DataFrame, cycle
                                         F.col("belocity").alias("own_lanid"))
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"),
                         F.lit(True).alias("bmatch"))
-    j = (usage.withColumn("cycle", cycle).join(J.sized(u), "mdn").join(J.sized(b), ["enbid", "prov"], "left")
+    # Aggregate on the record's own narrow keys first, then attach the user and station
+    # attributes to the (much smaller) aggregate; the dimension keys are unique, so the
+    # result equals enriching every record before grouping.
+    agg = (usage.groupBy(cycle.alias("cycle"), "mdn", "enbid", "prov", F.col("cellid").alias("eci"),
+                         F.col("nai_domain").alias("apn"), "tac")
+           .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
+                F.count("mdn").alias("sessions"), F.sum("duration").alias("duration"),
+                F.count_distinct("session_id").alias("times")))
+    j = (agg.join(J.sized(u), "mdn").join(J.sized(b), ["enbid", "prov"], "left")
          .withColumn("provid", F.when(F.col("bmatch"), F.col("prov")))
-         .withColumn("lanid", F.coalesce("bcity", F.lit(city_sentinel)))
-         .withColumnRenamed("cellid", "eci").withColumnRenamed("nai_domain", "apn"))
-    return j.groupBy(*DAY_KEYS).agg(
-        F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
-        F.count("mdn").alias("sessions"), F.sum("duration").alias("duration"),
-        F.count_distinct("session_id").alias("times"))
+         .withColumn("lanid", F.coalesce("bcity", F.lit(city_sentinel))))
+    return j.select(*DAY_KEYS, "upflow", "downflow", "sessions", "duration", "times")
 
 
 def rollup_period(day_rows: DataFrame, period: Column, keys: Sequence[str]) -> DataFrame:
@@ -271,8 +281,9 @@ def roaming_matrix(usage: DataFrame, users: DataFrame, stations: DataFrame, home
     classes are one aggregation instead of three scans."""
     u = users.select("mdn", "beloprov", "belocity", "ind_type")
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"))
-    j = (usage.select(cycle.alias("gather_date"), "mdn", "enbid", "prov", "upflow", "downflow")
-         .join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
+    facts = (usage.groupBy(cycle.alias("gather_date"), "mdn", "enbid", "prov")
+             .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow")))
+    j = (facts.join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
          .withColumn("regcity", F.coalesce("belocity", F.lit(unknown)))
          .withColumn("city", F.coalesce("bcity", F.lit(unknown))))
     h = F.lit(home)

@@ -9,11 +9,24 @@ WindowGroupLimit before the shuffle.  "Latest per key" is an aggregate
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back:
+    cuts the lineage (a lost executor does not recompute the sort) and fixes the
+    row layout, so partition ids and positions stay the same for every later pass.
+    Columnar files are much cheaper than an RDD checkpoint of rows."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
 def _order(cols: Sequence[str | Column], ascending: bool) -> list[Column]:
     out = []
@@ -59,13 +72,13 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "rank",
     position is the low bits of ``monotonically_increasing_id``; each partition's
     offset is the running count of the partitions before it (a table with one row
     per partition, so its size is bounded by the partition count and it is safe to
-    broadcast).  The sorted rows are checkpointed first so both passes see the same
-    partitioning."""
+    broadcast).  The sorted rows are materialized first (:func:`materialize`) so both
+    passes see the same partitioning."""
     ordered = df.orderBy(*_order(order, ascending), *[F.col(t).asc() for t in tiebreak])
     ided = (ordered.withColumn("__pid", F.spark_partition_id())
             .withColumn("__pos", F.monotonically_increasing_id()
-                        - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-            .checkpoint(eager=True))
+                        - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    ided = materialize(ided, "global-rank")
     counts = ided.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n"))
                             .alias("__off"))
@@ -150,14 +163,15 @@ def positions_within(df: DataFrame, partition: Sequence[str], order: Sequence[st
     within each partition.  A row's position is its offset inside its partition
     plus the number of rows of the same group in earlier partitions.  The
     per-(group, partition) count table has at most (#groups + #partitions) rows.
-    The sorted rows are checkpointed so every later pass sees the same layout."""
+    The sorted rows are materialized (:func:`materialize`) so every later pass sees
+    the same layout."""
     keys = list(partition) + list(order)
     laid = (df.repartitionByRange(*[F.col(k) for k in keys])
             .sortWithinPartitions(*[F.col(k) for k in keys])
             .withColumn("__pid", F.spark_partition_id())
             .withColumn("__local", F.monotonically_increasing_id()
-                        - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-            .checkpoint(eager=True))
+                        - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    laid = materialize(laid, "positions")
     # Per (group, partition): row count and the partition-local index of the group's
     # first row there (a partition can hold the tail of one group and the head of
     # the next).
