@@ -13,7 +13,7 @@ finds the small side, the fact side has already been shuffled.
 from __future__ import annotations
 
 import re
-import weakref
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,11 @@ def _keys(on: str | Sequence[str]) -> list[str]:
 
 _WIDTH = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "date": 4,
           "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1, "string": 24}
-_SIZE_CHECKED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+# Measured decisions per dimension plan: {(semantic hash, budget): (decision, time)}.
+_SIZE_CHECKED: dict[tuple[int, int], tuple[bool, float]] = {}
+# A decision is re-measured after this many seconds (a long-lived session may see a
+# dimension grow past the budget).
+SIZE_CHECK_TTL_S = 900.0
 
 
 def _bytes(conf_value: str) -> int:
@@ -46,16 +50,20 @@ def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
 
     Counts ``dim.limit(max_rows + 1)``, so the check reads at most max_rows + 1 rows
     however large the dimension is.  Plan statistics are not used: for a dimension
-    derived by joins they multiply the inputs' sizes and would never allow it."""
-    if dim in _SIZE_CHECKED:
-        return _SIZE_CHECKED[dim]
+    derived by joins they multiply the inputs' sizes and would never allow it.  The
+    decision is remembered per logical plan (``semanticHash``) for
+    :data:`SIZE_CHECK_TTL_S` seconds."""
     limit = broadcast_limit(dim.sparkSession) if limit_bytes is None else limit_bytes
     if limit <= 0:
         return False
+    key = (dim.semanticHash(), limit)
+    hit = _SIZE_CHECKED.get(key)
+    if hit is not None and time.monotonic() - hit[1] < SIZE_CHECK_TTL_S:
+        return hit[0]
     width = 16 + sum(_WIDTH.get(t, 32) for _, t in dim.dtypes)
     max_rows = max(1, limit // width)
     ok = dim.limit(max_rows + 1).count() <= max_rows
-    _SIZE_CHECKED[dim] = ok
+    _SIZE_CHECKED[key] = (ok, time.monotonic())
     return ok
 
 
@@ -66,6 +74,21 @@ def sized(dim: DataFrame, limit_bytes: int | None = None) -> DataFrame:
     return F.broadcast(dim) if fits_broadcast(dim, limit_bytes) else dim
 
 
+def reduce_unless_broadcast(facts: DataFrame, keys: Sequence, sums: Sequence[str],
+                            dims: Sequence[DataFrame]) -> DataFrame:
+    """Aggregate-before-join, when it pays.
+
+    If every dimension the facts will be joined with fits the broadcast budget, the
+    joins run map-side and the facts are returned as they are (one shuffle, in the
+    final aggregate).  Otherwise at least one join shuffles the facts, so they are
+    first reduced to one row per ``keys`` (sums of ``sums``, combined map-side), which
+    divides the shuffled volume by the records-per-key factor.  The caller's final
+    aggregate must sum the ``sums`` columns, which is correct in both cases."""
+    if all(fits_broadcast(d) for d in dims):
+        return facts.select(*keys, *sums)
+    return facts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                    bounded: bool = False) -> DataFrame:
     """JN-1/JN-4/JN-6: enrich a fact with a dimension on one or more key columns.

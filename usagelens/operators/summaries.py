@@ -39,10 +39,9 @@ def usage_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
     u = users.where(user_filter).select("mdn", "custid")
     b = stations.select("enbid", F.col("provname").alias("prov"),
                         F.coalesce(F.col("cityname"), F.lit(city_sentinel)).alias("city"))
-    # Records are first reduced per (cycle, user, station) on narrow keys; the user and
-    # station joins then see one row per group instead of one per record.
-    facts = (usage.groupBy(cycle.alias("gather_cycle"), "mdn", "enbid", "prov")
-             .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow")))
+    # Records are reduced per (cycle, user, station) first when a join would shuffle them.
+    facts = J.reduce_unless_broadcast(usage.withColumn("gather_cycle", cycle),
+                                      ["gather_cycle", "mdn", "enbid", "prov"], ["upflow", "downflow"], [u, b])
     joined = J.dimension_join(facts, u, "mdn").join(J.sized(b), ["enbid", "prov"])
     agg = (joined.groupBy("gather_cycle", "custid", "prov", "city")
            .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"))
@@ -125,11 +124,13 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"),
                         F.lit(True).alias("bmatch"))
     t = devices.select("tac", "modelname")
-    # Pre-aggregate records per (cycle, user, station, terminal) before the joins: sums
-    # and session counts are additive; distinct users are counted after the joins.
-    facts = (usage.groupBy(cycle.alias("summ_cycle"), "mdn", "enbid", "prov", "tac")
-             .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
-                  F.count("session_id").alias("sessions")))
+    # Records are reduced per (cycle, user, station, terminal) first when a join would
+    # shuffle them; sums and session counts are additive, distinct users are counted
+    # after the joins.
+    facts = J.reduce_unless_broadcast(
+        usage.withColumn("summ_cycle", cycle)
+        .withColumn("sessions", F.when(F.col("session_id").isNotNull(), 1).otherwise(0)),
+        ["summ_cycle", "mdn", "enbid", "prov", "tac"], ["upflow", "downflow", "sessions"], [u, b, t])
     # Province and city shown are the station's (province null, city '-' when unknown).
     enriched = (facts.join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
                 .join(J.sized(t), "tac", "left")
@@ -281,8 +282,8 @@ def roaming_matrix(usage: DataFrame, users: DataFrame, stations: DataFrame, home
     classes are one aggregation instead of three scans."""
     u = users.select("mdn", "beloprov", "belocity", "ind_type")
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"))
-    facts = (usage.groupBy(cycle.alias("gather_date"), "mdn", "enbid", "prov")
-             .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow")))
+    facts = J.reduce_unless_broadcast(usage.withColumn("gather_date", cycle),
+                                      ["gather_date", "mdn", "enbid", "prov"], ["upflow", "downflow"], [u, b])
     j = (facts.join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
          .withColumn("regcity", F.coalesce("belocity", F.lit(unknown)))
          .withColumn("city", F.coalesce("bcity", F.lit(unknown))))
