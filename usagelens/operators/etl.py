@@ -51,3 +51,18 @@ def enrich_log(log: DataFrame, users: DataFrame, devices: DataFrame, time_col: s
                     C.default_if_null("devicetype", unknown).alias("devicetype"),
                     C.digits_only(F.date_format(time_col, "yyyy-MM-dd HH:mm:ss")).alias("timekey"),
                     F.when(F.col("result") == "success", 1).otherwise(0).alias("result_flag"))
+
+
+def normalize_mme(raw: DataFrame, hex_station_vendors: Sequence[str] = ("huawei",)) -> DataFrame:
+    """AN-46 (MME logs): vendor-coded positional fields → result ('success'/'failed',
+    PRJ-3), attach flag (PRJ-4), station id (hex text → decimal for vendors that log
+    it in hex, PRJ-12), cause code and the d/h/m5 partitions (PRJ-5).
+
+    ``raw``: vendor, T0 (msisdn), T1 (start time text), T8 (procedure code),
+    T12 (station id text), T13 (cause code)."""
+    station = F.when(F.col("vendor").isin(*hex_station_vendors), C.hex_to_dec("T12")).otherwise(F.col("T12"))
+    ts = F.to_timestamp_ntz(F.col("T1"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    out = raw.select(F.col("T0").alias("msisdn"), ts.alias("starttime"), F.col("vendor").alias("mmetype"),
+                     F.col("T8").alias("procedure"), station.alias("enbid"), F.col("T13").alias("pcause"),
+                     C.vendor_result("vendor", "T13").alias("result"), C.is_attach("vendor", "T8").alias("isattach"))
+    return out.withColumns(C.time_partition("starttime")).where(F.col("msisdn").isNotNull())

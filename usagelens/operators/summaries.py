@@ -163,16 +163,20 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
                       "totalflow", "users", "sessions", "upflow_rank", "downflow_rank", "users_rank",
                       "sessions_rank")
     ids = ["summ_cycle", "custid", "city", "prov", "district", "dim_type", "dim_obj"]
-    flows = base.where(F.col("dim_type") != "TERMDETAIL")
-    terms = base.where(F.col("dim_type") == "TERMDETAIL")
-    long_flows = _long(flows, ids, [
-        ("OUTFLOW", F.col("upflow"), F.col("upflow_rank")),
-        ("INFLOW", F.col("downflow"), F.col("downflow_rank")),
-        ("TOTALFLOW", F.col("totalflow"), F.col(f"{total_rank_from}_rank")),
-        ("ACTIVEUSERS", F.col("users"), F.col("users_rank")),
-        ("SESSIONS", F.col("sessions"), F.col("sessions_rank"))])
-    long_terms = _long(terms, ids, [("-1", F.col("users"), F.col("users_rank"))])
-    return long_flows.unionByName(long_terms).where(F.col("meas_value") != 0)
+
+    def m(label, value, rank):
+        return F.struct(F.lit(label).alias("meas_obj"), value.cast("bigint").alias("meas_value"),
+                        rank.cast("int").alias("meas_rank"))
+    flow_rows = F.array(m("OUTFLOW", F.col("upflow"), F.col("upflow_rank")),
+                        m("INFLOW", F.col("downflow"), F.col("downflow_rank")),
+                        m("TOTALFLOW", F.col("totalflow"), F.col(f"{total_rank_from}_rank")),
+                        m("ACTIVEUSERS", F.col("users"), F.col("users_rank")),
+                        m("SESSIONS", F.col("sessions"), F.col("sessions_rank")))
+    term_rows = F.array(m("-1", F.col("users"), F.col("users_rank")))
+    # One projection for every level (a union of per-level branches would make Spark
+    # run the whole aggregate and the rank windows once per branch).
+    rows = F.when(F.col("dim_type") == "TERMDETAIL", term_rows).otherwise(flow_rows)
+    return base.select(*ids, F.inline(rows)).where(F.col("meas_value") != 0)
 
 
 def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,

@@ -236,3 +236,26 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     return (spark.readStream.format("parquet").schema(schema)
             .option("pathGlobFilter", "events.parquet").load(sf_dir.rstrip("/")))
+
+
+def raw_mme_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw vendor-coded MME log (one row per event): the vendor cycles over the three
+    vendors; failed events carry a non-success cause code; signup / view events are
+    attach procedures; Huawei logs the station id in hex."""
+    from ..functions.columns import VENDOR_ATTACH_PROCEDURES, VENDOR_SUCCESS_CODES
+    ev = table(spark, sf_dir, "events")
+    vendors = list(VENDOR_SUCCESS_CODES)
+    vendor = F.element_at(F.array(*[F.lit(v) for v in vendors]), (F.col("event_id") % 3 + 1).cast("int"))
+    ok = {v: VENDOR_SUCCESS_CODES[v][0] for v in vendors}
+    attach = {v: VENDOR_ATTACH_PROCEDURES[v][0] for v in vendors}
+    pick = lambda m: F.element_at(F.map_from_arrays(F.array(*[F.lit(k) for k in m]),
+                                                    F.array(*[F.lit(x) for x in m.values()])), vendor)
+    failed = F.col("event_type") == "error"
+    is_att = F.col("event_type").isin("signup", "view")
+    station = F.col("event_id") % 97
+    return ev.select(
+        vendor.alias("vendor"), F.col("user_id").cast("string").alias("T0"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("T1"),
+        F.when(is_att, pick(attach)).otherwise(F.lit("other")).alias("T8"),
+        F.when(vendor == "huawei", F.concat(F.lit("0x"), F.hex(station))).otherwise(station.cast("string")).alias("T12"),
+        F.when(failed, F.concat(F.lit("e"), F.get_json_object("props", "$.k"))).otherwise(pick(ok)).alias("T13"))

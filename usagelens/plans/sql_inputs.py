@@ -102,6 +102,16 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS T4 FROM events""", ()),
     "gateway_ips": ("""SELECT '10.1.' || CAST(enbid AS VARCHAR) AS pdsnip, provname AS prov FROM stations""",
                     ("stations",)),
+    "raw_mme_log": ("""SELECT v.vendor, CAST(e.user_id AS VARCHAR) AS T0, strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS T1,
+                      CASE WHEN e.event_type IN ('signup', 'view')
+                           THEN CASE v.vendor WHEN 'huawei' THEN '0x00' WHEN 'zte' THEN '2101' ELSE 'attach' END
+                           ELSE 'other' END AS T8,
+                      CASE WHEN v.vendor = 'huawei' THEN '0x' || upper(hex(e.event_id % 97))
+                           ELSE CAST(e.event_id % 97 AS VARCHAR) END AS T12,
+                      CASE WHEN e.event_type = 'error' THEN 'e' || json_extract_string(e.props, '$.k')
+                           ELSE CASE v.vendor WHEN 'huawei' THEN '0x0000' WHEN 'zte' THEN '4294967295'
+                                              ELSE 'nocausecode' END END AS T13
+               FROM events e, LATERAL (SELECT ['huawei', 'zte', 'ericsson'][e.event_id % 3 + 1] AS vendor) v""", ()),
 }
 
 
