@@ -186,10 +186,29 @@ def positions_within(df: DataFrame, partition: Sequence[str], order: Sequence[st
         .drop("__pid", "__local", "__off")
 
 
+# Largest group a single task may sort for a window; bigger groups use the
+# range-partitioned positions.
+WINDOW_GROUP_LIMIT = 2_000_000
+
+
+def largest_group(df: DataFrame, partition: Sequence[str]) -> int:
+    """Row count of the largest group (one aggregate; map-side combined)."""
+    r = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(r["m"] or 0)
+
+
 def position_trim_skew_safe(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                            lo: int = 10, hi: int = 90) -> DataFrame:
+                            lo: int = 10, hi: int = 90,
+                            window_limit: int | None = None) -> DataFrame:
     """WN-9 for groups that grow with the data: same rows as :func:`position_trim`
-    (``pos*100/n`` strictly between ``lo`` and ``hi``) via :func:`positions_within`."""
+    (``pos*100/n`` strictly between ``lo`` and ``hi``).
+
+    The largest group is measured first: when it is at most ``window_limit`` rows a
+    window (one task per group) is used; beyond that the positions come from
+    :func:`positions_within`, which spreads a hot group over many tasks."""
+    limit = WINDOW_GROUP_LIMIT if window_limit is None else window_limit
+    if largest_group(df, partition) <= limit:
+        return position_trim(df, partition, order[0], lo, hi, tiebreak=list(order[1:]))
     ranked = positions_within(df, partition, order)
     pct = F.col("__pos") * 100 / F.col("__n")
     return ranked.where((pct > lo) & (pct < hi)).drop("__pos", "__n")
