@@ -119,3 +119,16 @@ def test_geo_series_load(spark, tmp_dir):
     out = R.geo_series_load(spark, p, "forecast", "province", "202401010000")
     got = sorted((r.measure, r.value, r.city) for r in out.collect())
     assert got == [("fcst", 11.0, "-"), ("high", 12.0, "-"), ("low", 8.0, "-"), ("num", 10.0, "-")]
+
+
+def test_catalog_table_insert_and_scan(spark, tmp_dir):
+    name = f"slots_{os.path.basename(tmp_dir).replace('-', '_')}"
+    base = _slots(spark)
+    base.write.option("path", os.path.join(tmp_dir, "tbl")).partitionBy("d").saveAsTable(name)
+    try:
+        K.insert_into_table(spark.createDataFrame([("02", "00", 7, "240103")], "h string, m5 string, v int, d string"),
+                            name)
+        assert R.scan_table(spark, name, F.col("d") == "240103").count() == 1
+        assert R.scan_table(spark, name).count() == 5
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -152,3 +152,26 @@ def test_open_close_classification(spark):
         "mdn string, logtype string, opername string, oper_result string, custprovince string, vpdncompanycode string")
     got = {r.nettype: (r.opennum, r.closenum) for r in D.open_close(op).collect()}
     assert got == {"2/3/4G": (1, 0), "2/3G": (1, 0), "4G": (0, 1)}
+
+
+def test_online_by_records_4g(spark):
+    t = dt.datetime
+    rec = spark.createDataFrame([
+        ("1", "apn", t(2024, 1, 1, 9, 0), t(2024, 1, 1, 10, 30)),    # began before, ends within 2 h: online
+        ("2", "apn", t(2024, 1, 1, 9, 0), t(2024, 1, 1, 13, 0)),     # ends later than 2 h
+        ("3", "apn", t(2024, 1, 1, 10, 5), t(2024, 1, 1, 10, 30)),   # began after now
+        ("1", "apn", t(2024, 1, 1, 8, 0), t(2024, 1, 1, 11, 0))],    # duplicate key
+        "mdn string, apn string, starttime timestamp_ntz, stoptime timestamp_ntz")
+    got = SS.online_by_records(rec, F.lit(t(2024, 1, 1, 10, 0)).cast("timestamp_ntz")).collect()
+    assert [(r.mdn, r.apn) for r in got] == [("1", "apn")]
+
+
+def test_rerun_slot_replaces_only_that_slot(spark, tmp_dir):
+    import os
+    from usagelens.streaming import ingest as ST
+    path = os.path.join(tmp_dir, "summary")
+    first = spark.createDataFrame([("240101", "00", 1), ("240101", "01", 2)], "d string, h string, n int")
+    K.write_partitioned(first, path, ["d", "h"])
+    recomputed = spark.createDataFrame([("240101", "00", 5), ("240101", "01", 99)], "d string, h string, n int")
+    ST.rerun_slot(recomputed, (F.col("d") == "240101") & (F.col("h") == "00"), path, ["d", "h"])
+    assert sorted((r.h, r.n) for r in spark.read.parquet(path).collect()) == [("00", 5), ("01", 2)]
