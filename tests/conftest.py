@@ -13,7 +13,9 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from usagelens.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=8, app_name="usagelens-tests")
+    warehouse = tempfile.mkdtemp(prefix="usagelens-warehouse-")
+    s = build_session(master="local[4]", shuffle_partitions=8, app_name="usagelens-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

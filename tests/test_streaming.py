@@ -5,7 +5,6 @@ import json
 import os
 import uuid
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from usagelens.sources import readers as R

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from . import aggregates as A
 from . import joins as J
-from . import windows as W
 
 HOUR = 3600
 

@@ -42,14 +42,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "usagelens") -> SparkSession:
+                  app_name: str = "usagelens", extra: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests, the bench and examples (UI off, no server)."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("USAGELENS_DRIVER_MEMORY", "16g")))
-    for key, value in DEFAULTS.items():
+    for key, value in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
