@@ -252,6 +252,17 @@ def interval_summary(log: DataFrame, dims: Sequence[str], seconds: int, origin:
     return agg.withColumn("cause", F.when(F.col("gid") == 1, F.lit("-1")).otherwise(F.col("cause"))).drop("gid")
 
 
+def calendar_summary(log: DataFrame, dims: Sequence[str], unit: str, label_fmt: str = "yyyyMMdd") -> DataFrame:
+    """AN-34 (day / week / month cycles): the same measures as :func:`interval_summary`
+    per calendar unit (``date_trunc`` — weeks start on Monday), labelled by the first
+    day of the unit."""
+    lab = F.date_format(F.date_trunc(unit, F.col("starttime")), label_fmt)
+    failed = F.col("result") == "failed"
+    return log.withColumn("label", lab).groupBy("label", *dims).agg(
+        F.count(F.lit(1)).alias("req_cnt"), A.count_if(failed).alias("fail_cnt"),
+        F.count_distinct("mdn").alias("users"), A.count_distinct_if(F.col("mdn"), failed).alias("fail_users"))
+
+
 def quarter_summary(log: DataFrame, dims: Sequence[str]) -> DataFrame:
     """AN-34 (15-minute form): the label is the next 15-minute mark in the hour
     (PRJ-7) prefixed by the day and hour of the shifted time."""

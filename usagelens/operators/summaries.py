@@ -310,6 +310,22 @@ def roaming_matrix(usage: DataFrame, users: DataFrame, stations: DataFrame, home
                       F.col("gather_value").cast("bigint").alias("gather_value"))
 
 
+def roaming_users_period(usage: DataFrame, users: DataFrame, home: str, period: Column,
+                         unknown: str = "未知") -> DataFrame:
+    """AN-11 (week / month form): distinct users of the home province per period,
+    home city and industry, split into records seen at home (visited province =
+    ``home``, LOCAL) and elsewhere (ROAMOUT); users only, no volumes.  Records are
+    reduced to distinct (period, user, visited province) first."""
+    seen = usage.select(period.alias("period"), "mdn", "prov").distinct()
+    u = users.where(F.col("beloprov") == home).select("mdn", "beloprov", "belocity", "ind_type")
+    j = seen.join(J.sized(u), "mdn").withColumn("regcity", F.coalesce("belocity", F.lit(unknown)))
+    klass = F.when(F.col("prov") == F.lit(home), F.lit("LOCAL")).otherwise(F.lit("ROAMOUT"))
+    return (j.withColumn("klass", klass)
+            .groupBy("period", F.col("beloprov").alias("regprovince"), "regcity", "ind_type",
+                     F.concat(F.lit("USER_"), F.col("klass")).alias("gather_type"))
+            .agg(F.count_distinct("mdn").alias("gather_value")))
+
+
 def active_users_nday(usage: DataFrame, users: DataFrame, day_col: str, keys: Sequence[str],
                       n: int = 7, user_filter: Column | None = None) -> DataFrame:
     """AN-12: distinct users seen in the ``n`` days ending on each day, per key
