@@ -123,6 +123,24 @@ def company_counts(users: DataFrame, label: str) -> DataFrame:
     return r.select(*cols).unionByName(total.select(*cols)).select(F.lit(label).alias("monthid"), *cols)
 
 
+# Labels of the company-count rows (companies with direct users, with
+# VPDN users).
+DIRECT_COMPANIES_LABEL = "定向企业数"
+VPDN_COMPANIES_LABEL = "VPDN企业数"
+
+
+def company_service_counts(users: DataFrame, nation_label: str = "全国") -> DataFrame:
+    """AN-29 (screen counts): number of companies, of companies with any direct user
+    and of companies with any VPDN user, as long rows (prov, datatype, value)."""
+    per = users.groupBy("companycode").agg(
+        A.count_if(F.col("isdirect") == "1").alias("d"), A.count_if(F.col("isvpdn") == "1").alias("c"))
+    tot = per.agg(F.count(F.lit(1)).alias("companynum"), A.count_if(F.col("d") > 0).alias("dnum"),
+                  A.count_if(F.col("c") > 0).alias("cnum"))
+    return tot.select(F.lit(nation_label).alias("prov"), "companynum", F.inline(F.array(
+        F.struct(F.lit(DIRECT_COMPANIES_LABEL).alias("datatype"), F.col("dnum").alias("value")),
+        F.struct(F.lit(VPDN_COMPANIES_LABEL).alias("datatype"), F.col("cnum").alias("value")))))
+
+
 def open_close(oplog: DataFrame, key: str = "mdn") -> DataFrame:
     """AN-30: open / close operations matched between the 2/3G (HLR) and 4G (HSS)
     registers by a full outer join per operation and number (JN-10): present only

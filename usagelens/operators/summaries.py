@@ -475,6 +475,21 @@ def region_kpi(gw: DataFrame, mme: DataFrame, stations: DataFrame, grain: str,
                     F.coalesce("tau_fail", F.lit(0)).alias("tau_fail"))
 
 
+def failure_causes_by_area(mme: DataFrame, stations: DataFrame, grain: str,
+                           items: dict[str, Column]) -> DataFrame:
+    """AN-43 (cause part): failed procedures per period, province, city, item (e.g.
+    attach / tau, each a predicate on the procedure) and cause code."""
+    b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("city"))
+    item = None
+    for name, cond in items.items():
+        item = F.when(cond, F.lit(name)) if item is None else item.when(cond, F.lit(name))
+    f = mme.where(F.col("result") == "failed").withColumn("itemcode", item).where(F.col("itemcode").isNotNull())
+    return (f.join(J.sized(b), "enbid", "left")
+            .groupBy(F.date_format("starttime", grain).alias("period"), "prov", "city", "itemcode",
+                     F.col("cause").alias("reasoncode"))
+            .agg(F.count(F.lit(1)).alias("itemvalue")))
+
+
 def auth_by_gateway(auth: DataFrame, ip_map: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
     """AN-44: per customer × gateway province × gateway IP: attempts, distinct users
     and success ratio (PRJ-25).  Users inner-joined; the IP map is a dimension

@@ -127,18 +127,24 @@ def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("manufacturer"), F.col("p_type").alias("devicetype"))
 
 
+# Signalling procedure names of the stand-in log, chosen by the event's code.
+PROCEDURES = ("attach", "tau", "detach", "auth", "paging")
+
+
 def signalling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signalling / authentication log (one row per event).
 
-    Columns: event_id, mdn, starttime, procedure, result ('success'/'failed'),
-    cause (props k), enbid (station the procedure ran on), delay, net.
+    Columns: event_id, mdn, starttime, procedure (one of :data:`PROCEDURES`, from the
+    event's code, so it is independent of the outcome), result ('failed' for error
+    events), cause (props k), enbid (station the procedure ran on), delay, net, pdsnip.
     """
     ev = table(spark, sf_dir, "events")
     return ev.select(
         "event_id",
         F.col("user_id").alias("mdn"),
         F.col("ts").alias("starttime"),
-        F.col("event_type").alias("procedure"),
+        F.element_at(F.array(*[F.lit(x) for x in PROCEDURES]),
+                     (F.get_json_object("props", "$.k").cast("int") % len(PROCEDURES) + 1)).alias("procedure"),
         F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("result"),
         F.get_json_object("props", "$.k").alias("cause"),
         (F.col("event_id") % 97).alias("enbid"),

@@ -42,7 +42,9 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                FROM supplier s JOIN geo g ON s.s_nationkey = g.city_id""", ("geo",)),
     "devices": ("""SELECT p_partkey AS tac, p_name AS modelname, p_brand AS manufacturer,
                       p_type AS devicetype FROM part""", ()),
-    "signalling": ("""SELECT event_id, user_id AS mdn, ts AS starttime, event_type AS procedure,
+    "signalling": ("""SELECT event_id, user_id AS mdn, ts AS starttime,
+                      ['attach', 'tau', 'detach', 'auth', 'paging'][CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 + 1]
+                        AS procedure,
                       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS result,
                       json_extract_string(props, '$.k') AS cause, event_id % 97 AS enbid,
                       CAST(round(value * 100) AS BIGINT) AS delay,
