@@ -83,6 +83,19 @@ def multi_dim_usage(rows: DataFrame, cycle: Column | None = None) -> DataFrame:
     return agg.where(F.col("vpdndomain").isNull() | (F.col("vpdndomain") != "-1"))
 
 
+STATION_SETS = [["companycode", "type", "bsid"], ["companycode", "servtype", "type", "bsid"],
+                ["companycode", "servtype", "vpdndomain", "type", "bsid"]]
+
+
+def multi_dim_station_usage(rows: DataFrame, cycle: Column) -> DataFrame:
+    """AN-20 (station part): volume per station over the three company / service /
+    domain grouping sets (network type always kept); the '-1' domain group dropped."""
+    sets = [["cycle", *st] for st in STATION_SETS]
+    agg = A.grouping_sets(rows.withColumn("cycle", cycle), sets,
+                          [F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow")], id_col="gid")
+    return agg.where(F.col("vpdndomain").isNull() | (F.col("vpdndomain") != "-1"))
+
+
 def active_users_dim(rows: DataFrame, users: DataFrame) -> DataFrame:
     """AN-36: distinct active users per home province and the six company / service
     / domain / network sets (distinct counts are not inflated by domain rows)."""
@@ -167,11 +180,12 @@ def auth_summary(auth: DataFrame, users: DataFrame, cycle: Column,
 
 
 def auth_errors(auth: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
-    """AN-21 error-code breakdown: failed attempts and distinct failing users per
-    company, network and error code."""
-    j = auth.where(F.col("result") != "success").join(J.sized(users.select("mdn", "companycode")), "mdn")
-    return j.groupBy(cycle.alias("cycle"), "companycode", F.col("net").alias("type"), "cause").agg(
-        F.count(F.lit(1)).alias("fail_cnt"), F.count_distinct("mdn").alias("fail_users"))
+    """AN-21 error-code breakdown: failed attempts per error code over the six company
+    / service / domain / network grouping sets (the code is kept in every set)."""
+    failed = auth.where(F.col("result") != "success").select(
+        cycle.alias("cycle"), "mdn", F.col("net").alias("type"), F.col("cause").alias("errcode"))
+    return tagged_service_summary(failed, users, ["cycle", "errcode"], "type",
+                                  {"err_cnt": ("count", F.lit(1))})
 
 
 def mme_summary(log: DataFrame, users: DataFrame, cycle: Column, attach: Column) -> DataFrame:
@@ -204,13 +218,18 @@ def sms_dim_summary(sms: DataFrame, users: DataFrame, cycle: Column) -> DataFram
         "msg_cnt": ("count", F.lit(1)), "user_cnt": ("distinct", F.col("mdn"))})
 
 
-def area_rank(metrics: DataFrame, stations: DataFrame, prefix_len: int | None = None) -> DataFrame:
+def area_rank(metrics: DataFrame, stations: DataFrame, measures: Mapping[str, tuple[str, str | None]],
+              prefix_len: int | None = None) -> DataFrame:
     """AN-24: station / city / province / total levels, each per network type and
-    over all networks: requests, successes, success ratio (PRJ-25) and a rank by
-    requests (desc) inside (cycle, level, network).
-
-    ``metrics``: (cycle, enbid, net, req, succ).  With ``prefix_len`` the station
-    dimension is keyed by an id prefix (3G stations by a 4-character prefix, JN-16)."""
+    over all networks (``net = 't'``); for every metric family in ``measures``
+    (name → (request column, success column or None)): requests, successes, success
+    ratio (PRJ-25) and a rank by requests (desc) inside (cycle, level, network).
+
+    ``metrics``: (cycle, enbid, net, <measure columns>).  With ``prefix_len`` the
+    station dimension is keyed by an id prefix (3G stations by a 4-character prefix,
+    JN-16).  A rank group holds every station of a cycle (bounded by the station
+    table); when the largest group exceeds the window budget the positions come
+    from the range-partitioned computation instead of one task per group."""
     b = stations.select(F.col("enbid").cast("string").alias("bkey"), F.col("provname").alias("prov"),
                         F.col("cityname").alias("city"))
     key = F.col("enbid").cast("string")
@@ -219,22 +238,30 @@ def area_rank(metrics: DataFrame, stations: DataFrame, prefix_len: int | None =
     m = metrics.withColumn("bkey", key).join(J.sized(b), "bkey", "left").withColumn("enbid", F.col("enbid").cast("string"))
     geo = [["prov", "city", "enbid"], ["prov", "city"], ["prov"], []]
     sets = [["cycle", *g, *n] for g in geo for n in (["net"], [])]
-    agg = A.grouping_sets(m, sets, [F.sum("req").alias("req"), F.sum("succ").alias("succ")], "gid")
+    cols = [c for pair in measures.values() for c in pair if c]
+    agg = A.grouping_sets(m, sets, [F.sum(c).alias(c) for c in cols], "gid")
     names = {}
     for g, lv in zip(geo, ["STATION", "CITY", "PROV", "TOTAL"]):
         names[lv + "_NET"] = ["cycle", *g, "net"]
         names[lv] = ["cycle", *g]
-    agg = agg.withColumn("level", A.level_of("gid", sets, names))
-    agg = agg.withColumn("net", F.coalesce("net", F.lit("t"))) \
-        .withColumn("level", F.regexp_replace("level", "_NET$", ""))
-    # Ranks over all stations of a cycle: a group as large as the station table, so the
-    # positions come from the range-partitioned computation, not a one-task window.
-    ranked = W.positions_within(agg.withColumn("__neg_req", -F.col("req")), ["cycle", "level", "net"],
-                                ["__neg_req", "prov", "city", "enbid"], pos="req_rank", size="__n")
-    ranked = ranked.withColumn("req_rank", F.col("req_rank").cast("int"))
-    return ranked.select("cycle", "level", "net", "prov", "city", "enbid",
-                         F.col("req").cast("bigint").alias("req"), F.col("succ").cast("bigint").alias("succ"),
-                         C.safe_ratio("succ", "req").alias("succ_ratio"), "req_rank")
+    out = (agg.withColumn("level", F.regexp_replace(A.level_of("gid", sets, names), "_NET$", ""))
+           .withColumn("net", F.coalesce("net", F.lit("t"))).drop("gid"))
+    part = ["cycle", "level", "net"]
+    use_window = W.largest_group(out, part) <= W.WINDOW_GROUP_LIMIT
+    for name, (req, _succ) in measures.items():
+        if use_window:
+            out = W.rank_within(out, part, [req], f"{name}_rank", tiebreak=["prov", "city", "enbid"])
+        else:
+            out = W.positions_within(out.withColumn("__neg", -F.col(req)), part,
+                                     ["__neg", "prov", "city", "enbid"], pos=f"{name}_rank", size="__n") \
+                .drop("__neg", "__n")
+    sel = ["cycle", "level", "net", "prov", "city", "enbid"]
+    for name, (req, succ) in measures.items():
+        sel.append(F.col(req).cast("bigint").alias(f"{name}_req"))
+        if succ:
+            sel += [F.col(succ).cast("bigint").alias(f"{name}_succ"), C.safe_ratio(succ, req).alias(f"{name}_ratio")]
+        sel.append(F.col(f"{name}_rank").cast("int").alias(f"{name}_rank"))
+    return out.select(*sel)
 
 
 def interval_summary(log: DataFrame, dims: Sequence[str], seconds: int, origin: int = 0,
