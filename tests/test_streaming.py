@@ -82,3 +82,24 @@ def test_running_online_matches_batch(spark, tmp_dir):
     q.awaitTermination()
     got = {r.key: r.online_delta for r in S.latest_versions(spark, out, ["key"]).collect()}
     assert got == {"k1": 1, "k2": -1}
+
+
+def test_track_sessions_across_batches(spark, tmp_dir):
+    schema = StructType([StructField("mdn", LongType()), StructField("session_id", StringType()),
+                         StructField("status", StringType()), StructField("time", TimestampNTZType()),
+                         StructField("enbid", LongType()), StructField("net", StringType())])
+    src = os.path.join(tmp_dir, "sess")
+    t = dt.datetime
+    spark.createDataFrame([(1, "a", "Start", t(2024, 1, 1, 0, 0), 10, "3g"),
+                           (2, "b", "Start", t(2024, 1, 1, 0, 0), 20, "4g")], schema) \
+        .coalesce(1).write.parquet(os.path.join(src, "f1"))
+    spark.createDataFrame([(1, "a", "Stop", t(2024, 1, 1, 0, 30), 11, "3g"),
+                           (2, "b", "Interim", t(2024, 1, 1, 0, 40), 21, "4g")], schema) \
+        .coalesce(1).write.parquet(os.path.join(src, "f2"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(src)
+    out = os.path.join(tmp_dir, "rows")
+    q = S.upsert_batches(S.track_sessions(stream), out, f"sess_{uuid.uuid4().hex[:6]}", ["mdn", "session_id"])
+    q.awaitTermination()
+    got = {r.session_id: (r.is_open, r.enbid) for r in S.latest_versions(spark, out, ["mdn", "session_id"]).collect()}
+    assert got == {"a": (False, 10), "b": (True, 21)}

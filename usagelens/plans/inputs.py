@@ -265,3 +265,15 @@ def raw_mme_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_att, pick(attach)).otherwise(F.lit("other")).alias("T8"),
         F.when(vendor == "huawei", F.concat(F.lit("0x"), F.hex(station))).otherwise(station.cast("string")).alias("T12"),
         F.when(failed, F.concat(F.lit("e"), F.get_json_object("props", "$.k"))).otherwise(pick(ok)).alias("T13"))
+
+
+def session_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`session_events` read as a file stream of the ``events`` folder."""
+    ev = event_stream(spark, sf_dir)
+    return ev.select(
+        "event_id", F.col("user_id").alias("mdn"),
+        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
+        F.when(F.col("event_type") == "signup", "Start").when(F.col("event_type") == "purchase", "Stop")
+        .otherwise("Interim").alias("status"),
+        F.col("ts").alias("time"), (F.col("event_id") % 97).alias("enbid"),
+        F.when(F.col("event_id") % 2 == 0, "3g").otherwise("4g").alias("net"))
