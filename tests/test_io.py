@@ -132,3 +132,13 @@ def test_catalog_table_insert_and_scan(spark, tmp_dir):
         assert R.scan_table(spark, name).count() == 5
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_compact_partitioned_keeps_layout(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "psrc"), os.path.join(tmp_dir, "pout")
+    spark.range(0, 2000, numPartitions=10).withColumn("d", (F.col("id") % 2).cast("string")) \
+        .write.partitionBy("d").parquet(src)
+    cap = K.compact(spark, src, out, target_bytes=1 << 30, partition_cols=["d"])
+    assert cap >= 2000
+    back = spark.read.parquet(out)
+    assert back.count() == 2000 and sorted(r.d for r in back.select("d").distinct().collect()) == ["0", "1"]

@@ -1,4 +1,4 @@
-"""Report families (survey AN-1..5, 11..14, 20..24, 33..45, 50..52).
+"""Report families (survey AN-1..5, 11..14, 33, 38..41, 43..45, 52).
 
 Each operator is DataFrame-in, DataFrame-out; column names and sentinels are
 parameters with the reference's defaults.  The cycle (5-minute slot, hour, day,

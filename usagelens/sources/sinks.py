@@ -128,16 +128,22 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 def compact(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet",
             target_bytes: int = TARGET_FILE_BYTES, partition_cols: Sequence[str] = ()) -> int:
-    """SNK-11: rewrite ``path`` into files of about ``target_bytes`` each
-    (``ceil(bytes / target)`` output partitions) at ``out_path``; returns the file
-    count.  Partitioned tables keep their layout and get ``maxRecordsPerFile``-free
-    rebalancing per partition."""
-    n = max(1, math.ceil(input_bytes(spark, path) / target_bytes))
+    """SNK-11: rewrite ``path`` into files of about ``target_bytes`` at ``out_path``.
+
+    Unpartitioned: ``ceil(bytes / target)`` output partitions; returns that count.
+    Partitioned: the table keeps its partition layout; rows are rebalanced by AQE
+    (a hot partition is split over several tasks instead of one) and each file is
+    capped at the row count worth ``target_bytes`` (``maxRecordsPerFile``); returns
+    that row cap."""
+    total = input_bytes(spark, path)
     df = spark.read.format(fmt).load(path)
     if partition_cols:
-        df.repartition(n, *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).format(fmt).save(out_path)
-    else:
-        df.repartition(n).write.mode("overwrite").format(fmt).save(out_path)
+        rows = df.count()
+        per_file = max(1, rows * target_bytes // max(total, 1))
+        write_partitioned(df, out_path, list(partition_cols), fmt, max_records_per_file=per_file)
+        return per_file
+    n = max(1, math.ceil(total / target_bytes))
+    df.repartition(n).write.mode("overwrite").format(fmt).save(out_path)
     return n
 
 
