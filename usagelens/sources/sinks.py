@@ -93,8 +93,10 @@ def keyed_rows(df: DataFrame, key_cols: Sequence[str], slot_col: str, metrics: S
                slot_seconds: int = 300) -> DataFrame:
     """SNK-8: a slot's metrics as tall keyed rows: the current value under its own
     slot (``c``), the same value as the *previous* value of the next slot (``p``),
-    and the running day total up to the slot (``d``).  Keys are
-    ``key1_key2_..._HHmm`` so a key-range scan (SRC-11) reads one entity's day."""
+    and the running day total up to the slot (``d``; the window is one entity's
+    metric over one day, at most one row per slot).  Keys are
+    ``key1_key2_..._yyyyMMddHHmm`` so a key-range scan (SRC-11) reads one entity's
+    slots in time order."""
     long = df.select(*key_cols, slot_col, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])))
     nxt = C.ntz_from_epoch(C.epoch_seconds(slot_col) + slot_seconds)
