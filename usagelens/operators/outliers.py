@@ -1,9 +1,9 @@
 """Outlier detection (survey AN-6..10).
 
 Peers are aggregates (one row per peer group), so the comparison is a join of each
-subject's aggregate to a small-per-key peer table; no step gathers a peer group's
-detail rows into one task except the trimmed mean, which uses the skew-safe
-position computation.
+subject's aggregate to a small-per-key peer table.  The only step that orders a
+peer group's rows is the trimmed mean, which switches to the range-partitioned
+position computation when a group is too large for one task.
 """
 
 from __future__ import annotations
@@ -52,8 +52,9 @@ def usage_outlier_period(period_usage: DataFrame, peer_keys: Sequence[str], tieb
 
     Peer rows (one per subject and day) are ordered by total volume; rows whose
     position percentile ``pos*100/n`` is strictly between ``trim_lo`` and ``trim_hi``
-    form the trimmed mean (positions from the skew-safe computation, ``tiebreak``
-    makes the order total).  Peers need more than ``min_users`` distinct subjects
+    form the trimmed mean (``tiebreak`` makes the order total; positions come from a
+    window when the largest peer group fits one task, otherwise from the
+    range-partitioned computation that splits a hot group over many tasks).  Peers need more than ``min_users`` distinct subjects
     among the kept rows.  Subjects whose mean is below ``lo`` × or above ``hi`` ×
     the peer mean are returned."""
     total = F.col("upflow") + F.col("downflow")
