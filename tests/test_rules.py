@@ -175,3 +175,12 @@ def test_rerun_slot_replaces_only_that_slot(spark, tmp_dir):
     recomputed = spark.createDataFrame([("240101", "00", 5), ("240101", "01", 99)], "d string, h string, n int")
     ST.rerun_slot(recomputed, (F.col("d") == "240101") & (F.col("h") == "00"), path, ["d", "h"])
     assert sorted((r.h, r.n) for r in spark.read.parquet(path).collect()) == [("00", 5), ("01", 2)]
+
+
+def test_open_close_counts_pairs_without_materializing(spark):
+    rows = ([("9", "HLR", "open", "success", "P", "C")] * 2 + [("9", "HSS", "open", "success", None, "C")] * 3
+            + [("8", "HSS", "open", "success", "Q", "C")])
+    op = spark.createDataFrame(rows, "mdn string, logtype string, opername string, oper_result string, "
+                                     "custprovince string, vpdncompanycode string")
+    got = {(r.custprovince, r.nettype): r.opennum for r in D.open_close(op).collect()}
+    assert got == {("P", "2/3/4G"): 6, ("Q", "4G"): 1}   # 2 HLR × 3 HSS records, as the record join counts

@@ -143,22 +143,31 @@ def company_service_counts(users: DataFrame, nation_label: str = "全国") -> Da
 
 def open_close(oplog: DataFrame, key: str = "mdn") -> DataFrame:
     """AN-30: open / close operations matched between the 2/3G (HLR) and 4G (HSS)
-    registers by a full outer join per operation and number (JN-10): present only
-    in HLR → '2/3G', only in HSS → '4G', both → '2/3/4G'; opened and closed
-    numbers per (province, company, network)."""
+    registers per operation and number (JN-10): present only in HLR → '2/3G', only
+    in HSS → '4G', both → '2/3/4G'; opened and closed numbers per (province, company,
+    network).
+
+    The reference full-outer-joined the operation *records*, so a number with h HLR
+    and s HSS records of one operation contributed h × s joined rows.  The same
+    counts come from joining per-(operation, number, province, company) aggregates
+    and multiplying their counts, so no pair of records is ever materialized and a
+    number with a third of all operations collapses map-side to a few rows."""
     ok = oplog.where(F.col("opername").isin("open", "close") & (F.col("oper_result") == "success")
                      & (F.length(key) > 0))
     cols = ["custprovince", "vpdncompanycode"]
-    hlr = ok.where(F.col("logtype") == "HLR").select("opername", key, *[F.col(c).alias(f"l1_{c}") for c in cols],
-                                                    F.lit(1).alias("in_l1"))
-    hss = ok.where(F.col("logtype") == "HSS").select("opername", key, *[F.col(c).alias(f"l2_{c}") for c in cols],
-                                                    F.lit(1).alias("in_l2"))
-    j = hlr.join(hss, ["opername", key], "full")
-    net = (F.when(F.col("in_l2").isNull(), F.lit("2/3G")).when(F.col("in_l1").isNull(), F.lit("4G"))
+
+    def side(logtype: str, tag: str) -> DataFrame:
+        return (ok.where(F.col("logtype") == logtype)
+                .groupBy("opername", key, *[F.col(c).alias(f"{tag}_{c}") for c in cols])
+                .agg(F.count(F.lit(1)).alias(f"{tag}_n")))
+
+    j = side("HLR", "l1").join(side("HSS", "l2"), ["opername", key], "full")
+    net = (F.when(F.col("l2_n").isNull(), F.lit("2/3G")).when(F.col("l1_n").isNull(), F.lit("4G"))
            .otherwise(F.lit("2/3/4G")))
+    pairs = F.coalesce(F.col("l1_n"), F.lit(1)) * F.coalesce(F.col("l2_n"), F.lit(1))
     rows = j.select(*[F.coalesce(f"l1_{c}", f"l2_{c}").alias(c) for c in cols], net.alias("nettype"),
-                    (F.col("opername") == "open").cast("int").alias("opennum"),
-                    (F.col("opername") == "close").cast("int").alias("closenum"))
+                    F.when(F.col("opername") == "open", pairs).otherwise(0).alias("opennum"),
+                    F.when(F.col("opername") == "close", pairs).otherwise(0).alias("closenum"))
     return rows.groupBy(*cols, "nettype").agg(F.sum("opennum").alias("opennum"),
                                               F.sum("closenum").alias("closenum"))
 
