@@ -107,6 +107,14 @@ def company_profile(users: DataFrame, companies: DataFrame) -> DataFrame:
                     F.when(counts["cnum"] > 0, 1).otherwise(0).alias("cflag"))
 
 
+def domain_profile(users: DataFrame) -> DataFrame:
+    """AN-28 (per domain): users per company and VPDN domain (each user counted once
+    per distinct domain they own) with the size tier of that count."""
+    ud = user_domains(users, ("mdn", "companycode"))
+    per = ud.groupBy("companycode", "vpdndomain").agg(F.count(F.lit(1)).alias("usernum"))
+    return per.withColumn("level", C.size_tier(F.col("usernum")))
+
+
 def company_counts(users: DataFrame, label: str) -> DataFrame:
     """AN-29: per company: total, direct and VPDN users with global ranks by direct
     and by VPDN users (desc, company code breaks ties; distributed global rank,
