@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from . import aggregates as A
 from . import joins as J
+from .summaries import NATION
 
 
 def failure_pivot(log: DataFrame, users: DataFrame, cycle: Column, nets: Sequence[str]) -> DataFrame:
@@ -26,7 +27,7 @@ def failure_pivot(log: DataFrame, users: DataFrame, cycle: Column, nets: Sequenc
     return out.select("cycle", "companycode", *[F.coalesce(F.col(n), F.lit(0)).alias(f"fail_{n}") for n in nets])
 
 
-def active_with_total(usage: DataFrame, users: DataFrame, cycle: Column, nation_label: str = "全国") -> DataFrame:
+def active_with_total(usage: DataFrame, users: DataFrame, cycle: Column, nation_label: str = NATION) -> DataFrame:
     """AG-17: active users and volume per customer plus a national total row, in one
     grouping-sets pass (the reference unioned a second aggregate)."""
     j = usage.withColumn("cycle", cycle).join(J.sized(users.select("mdn", "custid")), "mdn")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from . import aggregates as A
 from . import joins as J
+from .summaries import NATION
 from . import windows as W
 from .sessions import with_service_tags
 
@@ -137,7 +138,7 @@ DIRECT_COMPANIES_LABEL = "定向企业数"
 VPDN_COMPANIES_LABEL = "VPDN企业数"
 
 
-def company_service_counts(users: DataFrame, nation_label: str = "全国") -> DataFrame:
+def company_service_counts(users: DataFrame, nation_label: str = NATION) -> DataFrame:
     """AN-29 (screen counts): number of companies, of companies with any direct user
     and of companies with any VPDN user, as long rows (prov, datatype, value)."""
     per = users.groupBy("companycode").agg(

@@ -18,9 +18,18 @@ from . import aggregates as A
 from . import joins as J
 from . import windows as W
 
-# Measure labels written by the usage summary.  OUTFLOW is the uplink
-# volume and INFLOW the downlink volume (the reference's naming, kept as is).
+# Labels and sentinels the reference's reports write.
+# Usage measures (OUTFLOW is the uplink volume, INFLOW the downlink one, as named there).
 USAGE_MEASURES = {"OUTFLOW": "upflow", "INFLOW": "downflow", "TOTALFLOW": "totalflow"}
+ACTIVE_USERS, SESSIONS, TERM_MEASURE = "ACTIVEUSERS", "SESSIONS", "-1"
+LEVEL_BS, LEVEL_CITY, LEVEL_PROV, LEVEL_TERM = "BS", "CITY", "PROV", "TERMDETAIL"
+REQS, FAILREQS, FAILUSERS = "REQS", "FAILREQS", "FAILUSERS"
+MSGS = "MSGS"
+MME_REQS, MME_FAILREQS, MME_FAILUSERS = "MMEREQS", "MMEFAILREQS", "MMEFAILUSERS"
+LOCAL, ROAMOUT, ROAMIN = "LOCAL", "ROAMOUT", "ROAMIN"
+USER_PREFIX, FLUX_PREFIX = "USER_", "FLUX_"
+UNKNOWN = "未知"   # customer / city of a record whose dimension row is missing
+NATION = "全国"    # national total row
 
 
 def usage_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
@@ -82,7 +91,7 @@ def procedure_summary(log: DataFrame, users: DataFrame, stations: DataFrame, cyc
         A.count_distinct_if(F.col("mdn"), failed).alias("failusers"))
     return agg.select("gather_cycle", "custid", "prov", "city", F.inline(F.array(
         *[F.struct(F.lit(t).alias("gather_type"), F.col(c).cast("bigint").alias("gather_value"))
-          for t, c in (("REQS", "reqcnt"), ("FAILREQS", "failreqcnt"), ("FAILUSERS", "failusers"))])))
+          for t, c in ((REQS, "reqcnt"), (FAILREQS, "failreqcnt"), (FAILUSERS, "failusers"))])))
 
 
 def message_summary(sms: DataFrame, users: DataFrame, cycle: Column,
@@ -101,11 +110,11 @@ def message_summary(sms: DataFrame, users: DataFrame, cycle: Column,
     agg = roles.join(J.sized(u), "mdn").groupBy("gather_cycle", "custid").agg(
         F.count(F.lit(1)).alias("gather_value"))
     return agg.select("gather_cycle", "custid", F.lit("-1").alias("prov"), F.lit("-1").alias("city"),
-                      F.lit("MSGS").alias("gather_type"), "gather_value")
+                      F.lit(MSGS).alias("gather_type"), "gather_value")
 
 
 def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
-                            devices: DataFrame, cycle: Column, unknown_customer: str = "未知",
+                            devices: DataFrame, cycle: Column, unknown_customer: str = UNKNOWN,
                             city_sentinel: str = "-", user_filter: Column | None = None,
                             ascending: bool = True, total_rank_from: str = "downflow") -> DataFrame:
     """AN-4: usage summary at levels BS / CITY / PROV / TERMDETAIL.
@@ -140,10 +149,10 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
                         F.coalesce("bcity", F.lit(city_sentinel)).alias("city"),
                         "modelname", F.col("tac").cast("string").alias("tac"),
                         "upflow", "downflow", "mdn", "sessions"))
-    sets = {"BS": ["summ_cycle", "custid", "enbid", "prov", "city"],
-            "CITY": ["summ_cycle", "custid", "prov", "city"],
-            "PROV": ["summ_cycle", "custid", "prov"],
-            "TERMDETAIL": ["summ_cycle", "custid", "prov", "city", "modelname", "tac"]}
+    sets = {LEVEL_BS: ["summ_cycle", "custid", "enbid", "prov", "city"],
+            LEVEL_CITY: ["summ_cycle", "custid", "prov", "city"],
+            LEVEL_PROV: ["summ_cycle", "custid", "prov"],
+            LEVEL_TERM: ["summ_cycle", "custid", "prov", "city", "modelname", "tac"]}
     agg = A.grouping_sets(enriched, list(sets.values()), [
         F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
         F.count_distinct("mdn").alias("users"), F.sum("sessions").alias("sessions")], id_col="gid")
@@ -170,18 +179,18 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
     flow_rows = F.array(m("OUTFLOW", F.col("upflow"), F.col("upflow_rank")),
                         m("INFLOW", F.col("downflow"), F.col("downflow_rank")),
                         m("TOTALFLOW", F.col("totalflow"), F.col(f"{total_rank_from}_rank")),
-                        m("ACTIVEUSERS", F.col("users"), F.col("users_rank")),
-                        m("SESSIONS", F.col("sessions"), F.col("sessions_rank")))
-    term_rows = F.array(m("-1", F.col("users"), F.col("users_rank")))
+                        m(ACTIVE_USERS, F.col("users"), F.col("users_rank")),
+                        m(SESSIONS, F.col("sessions"), F.col("sessions_rank")))
+    term_rows = F.array(m(TERM_MEASURE, F.col("users"), F.col("users_rank")))
     # One projection for every level (a union of per-level branches would make Spark
     # run the whole aggregate and the rank windows once per branch).
-    rows = F.when(F.col("dim_type") == "TERMDETAIL", term_rows).otherwise(flow_rows)
+    rows = F.when(F.col("dim_type") == LEVEL_TERM, term_rows).otherwise(flow_rows)
     return base.select(*ids, F.inline(rows)).where(F.col("meas_value") != 0)
 
 
 def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
                           user_filter: Column | None = None,
-                          unknown_customer: str = "未知") -> DataFrame:
+                          unknown_customer: str = UNKNOWN) -> DataFrame:
     """AN-5: procedure requests and failures rolled up BS → CITY → PROV → CUST, plus
     failure causes per customer ranked by failure count (desc).
 
@@ -216,8 +225,8 @@ def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame,
                         "reqcnt", "failcnt", F.col("enbid").cast("string").alias("dim_obj"))
     levels = bs_rows.unionByName(coarse).withColumn("dim_obj_2", F.lit("-1"))
     ids = ["summ_cycle", "custid", "prov", "city", "dim_type", "dim_obj", "dim_obj_2"]
-    level_long = _long(levels, ids, [("MMEREQS", F.col("reqcnt"), F.lit(-1)),
-                                     ("MMEFAILREQS", F.col("failcnt"), F.lit(-1))])
+    level_long = _long(levels, ids, [(MME_REQS, F.col("reqcnt"), F.lit(-1)),
+                                     (MME_FAILREQS, F.col("failcnt"), F.lit(-1))])
     causes = base.where(failed).groupBy("summ_cycle", "custid", "cause").agg(
         F.count(F.lit(1)).alias("failcnt"), F.count_distinct("mdn").alias("failusers"))
     causes = W.rank_within(causes, ["summ_cycle", "custid"], ["failcnt"], "failrank",
@@ -226,8 +235,8 @@ def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame,
                                      F.lit("-1").alias("city"), F.lit("CAUSE").alias("dim_type"),
                                      F.col("custid").alias("dim_obj"), F.col("cause").alias("dim_obj_2"),
                                      "failcnt", "failusers", "failrank"),
-                       ids, [("MMEFAILREQS", F.col("failcnt"), F.col("failrank")),
-                             ("MMEFAILUSERS", F.col("failusers"), F.lit(-1))])
+                       ids, [(MME_FAILREQS, F.col("failcnt"), F.col("failrank")),
+                             (MME_FAILUSERS, F.col("failusers"), F.lit(-1))])
     return level_long.unionByName(cause_long)
 
 
@@ -273,7 +282,7 @@ def rollup_period(day_rows: DataFrame, period: Column, keys: Sequence[str]) -> D
 
 
 def roaming_matrix(usage: DataFrame, users: DataFrame, stations: DataFrame, home: str,
-                   cycle: Column, unknown: str = "未知") -> DataFrame:
+                   cycle: Column, unknown: str = UNKNOWN) -> DataFrame:
     """AN-11: local / roam-out / roam-in usage of a home province.
 
     Records (visited province ``prov``) are left-joined to users (home province and
@@ -292,26 +301,26 @@ def roaming_matrix(usage: DataFrame, users: DataFrame, stations: DataFrame, home
          .withColumn("regcity", F.coalesce("belocity", F.lit(unknown)))
          .withColumn("city", F.coalesce("bcity", F.lit(unknown))))
     h = F.lit(home)
-    klass = (F.when((F.col("prov") == h) & (F.col("beloprov") == h), F.lit("LOCAL"))
-             .when((F.col("prov") != h) & (F.col("beloprov") == h), F.lit("ROAMOUT"))
-             .when((F.col("prov") == h) & (F.col("beloprov") != h), F.lit("ROAMIN")))
+    klass = (F.when((F.col("prov") == h) & (F.col("beloprov") == h), F.lit(LOCAL))
+             .when((F.col("prov") != h) & (F.col("beloprov") == h), F.lit(ROAMOUT))
+             .when((F.col("prov") == h) & (F.col("beloprov") != h), F.lit(ROAMIN)))
     keys = ["gather_date", "klass", "prov", "beloprov", "regcity", "city", "ind_type"]
     agg = (j.withColumn("klass", klass).where(F.col("klass").isNotNull()).groupBy(*keys)
            .agg(F.count_distinct("mdn").alias("users"), F.sum("upflow").alias("up"),
                 F.sum("downflow").alias("down")))
     out = agg.select(F.col("gather_date"), F.col("beloprov").alias("regprovince"), "regcity",
                      F.col("prov").alias("province"), "city", "ind_type", "klass", F.inline(F.array(
-                         F.struct(F.lit("USER_").alias("p"), F.lit("").alias("s"), F.col("users").alias("gather_value")),
-                         F.struct(F.lit("FLUX_").alias("p"), F.lit("").alias("s"), (F.col("up") + F.col("down")).alias("gather_value")),
-                         F.struct(F.lit("FLUX_").alias("p"), F.lit("_U").alias("s"), F.col("up").alias("gather_value")),
-                         F.struct(F.lit("FLUX_").alias("p"), F.lit("_D").alias("s"), F.col("down").alias("gather_value")))))
+                         F.struct(F.lit(USER_PREFIX).alias("p"), F.lit("").alias("s"), F.col("users").alias("gather_value")),
+                         F.struct(F.lit(FLUX_PREFIX).alias("p"), F.lit("").alias("s"), (F.col("up") + F.col("down")).alias("gather_value")),
+                         F.struct(F.lit(FLUX_PREFIX).alias("p"), F.lit("_U").alias("s"), F.col("up").alias("gather_value")),
+                         F.struct(F.lit(FLUX_PREFIX).alias("p"), F.lit("_D").alias("s"), F.col("down").alias("gather_value")))))
     return out.select("gather_date", "regprovince", "regcity", "province", "city", "ind_type",
                       F.concat("p", "klass", "s").alias("gather_type"),
                       F.col("gather_value").cast("bigint").alias("gather_value"))
 
 
 def roaming_users_period(usage: DataFrame, users: DataFrame, home: str, period: Column,
-                         unknown: str = "未知") -> DataFrame:
+                         unknown: str = UNKNOWN) -> DataFrame:
     """AN-11 (week / month form): distinct users of the home province per period,
     home city and industry, split into records seen at home (visited province =
     ``home``, LOCAL) and elsewhere (ROAMOUT); users only, no volumes.  Records are
@@ -319,10 +328,10 @@ def roaming_users_period(usage: DataFrame, users: DataFrame, home: str, period:
     seen = usage.select(period.alias("period"), "mdn", "prov").distinct()
     u = users.where(F.col("beloprov") == home).select("mdn", "beloprov", "belocity", "ind_type")
     j = seen.join(J.sized(u), "mdn").withColumn("regcity", F.coalesce("belocity", F.lit(unknown)))
-    klass = F.when(F.col("prov") == F.lit(home), F.lit("LOCAL")).otherwise(F.lit("ROAMOUT"))
+    klass = F.when(F.col("prov") == F.lit(home), F.lit(LOCAL)).otherwise(F.lit(ROAMOUT))
     return (j.withColumn("klass", klass)
             .groupBy("period", F.col("beloprov").alias("regprovince"), "regcity", "ind_type",
-                     F.concat(F.lit("USER_"), F.col("klass")).alias("gather_type"))
+                     F.concat(F.lit(USER_PREFIX), F.col("klass")).alias("gather_type"))
             .agg(F.count_distinct("mdn").alias("gather_value")))
 
 
@@ -377,7 +386,7 @@ def gateway_reconciliation(records: DataFrame, gateways: dict[str, str], cycle:
 
 
 def customer_report(usage: DataFrame, users: DataFrame, cycle: Column,
-                    nation_label: str = "全国", all_label: str = "-1") -> DataFrame:
+                    nation_label: str = NATION, all_label: str = "-1") -> DataFrame:
     """AN-14: per customer × province × city: opened users (from the subscriber
     table), active users (distinct users with usage) and volume; with province
     totals, a national total and per-industry totals.

@@ -199,7 +199,8 @@ def file_stream(spark: SparkSession, directory: str, schema: StructType, fmt: st
     return r.load(directory)
 
 
-# Column layout of the externally computed online / offline / forecast series files.
+# Column layout of the externally computed online / offline / forecast
+# series files.
 GEO_SERIES_FIELDS = {
     "online": ["id", "custid", "prov", "city", "num"],
     "offline": ["id", "custid", "prov", "city", "cause", "num", "sessionNum"],
