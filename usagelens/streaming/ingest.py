@@ -135,38 +135,38 @@ SESSION_OUT_SCHEMA = "mdn long, session_id string, is_open boolean, enbid long,
 SESSION_STATE_SCHEMA = "stopped boolean, last_us long, enbid long, net string"
 
 
-def _track_sessions(key, batches, state):
-    """Per (mdn, session_id) group: fold the new records into the state — a stop
-    closes the session; the latest non-stop record (time, then station id) gives the
-    station — and emit the session's current status."""
-    import pandas as pd
-    if state.exists:
-        stopped, last_us, enbid, net = state.get
-    else:
-        stopped, last_us, enbid, net = False, None, None, None
-    for pdf in batches:
-        if (pdf["status"] == "Stop").any():
-            stopped = True
-        live = pdf[pdf["status"] != "Stop"]
-        if len(live):
-            top = live.sort_values(["t_us", "enbid"]).iloc[-1]
-            cand = (int(top["t_us"]), int(top["enbid"]))
-            if last_us is None or cand > (last_us, enbid):
-                last_us, enbid, net = cand[0], cand[1], top["net"]
-    state.update((bool(stopped), last_us, enbid, net))
-    yield pd.DataFrame({"mdn": [int(key[0])], "session_id": [key[1]], "is_open": [not stopped and last_us is not None],
-                        "enbid": [enbid], "net": [net]})
-
-
 def track_sessions(events: DataFrame, time_col: str = "time") -> DataFrame:
     """ST-8 as a custom stateful operator (``applyInPandasWithState``): the open /
     closed status and latest station of every session, updated as records arrive
     (update mode).  The state per session is four scalars; the pandas function only
     sees one session's new records at a time.  Event time is passed as wall-clock
     microseconds (zone independent)."""
+    # Defined here (not at module level) so it is shipped to the Python workers by
+    # value and does not need this package importable on the executors.
+    def fold(key, batches, state):
+        """One session's new records folded into its state: a stop closes it; the
+        latest non-stop record (time, then station id) gives the station."""
+        import pandas as pd
+        if state.exists:
+            stopped, last_us, enbid, net = state.get
+        else:
+            stopped, last_us, enbid, net = False, None, None, None
+        for pdf in batches:
+            if (pdf["status"] == "Stop").any():
+                stopped = True
+            live = pdf[pdf["status"] != "Stop"]
+            if len(live):
+                top = live.sort_values(["t_us", "enbid"]).iloc[-1]
+                cand = (int(top["t_us"]), int(top["enbid"]))
+                if last_us is None or cand > (last_us, enbid):
+                    last_us, enbid, net = cand[0], cand[1], top["net"]
+        state.update((bool(stopped), last_us, enbid, net))
+        yield pd.DataFrame({"mdn": [int(key[0])], "session_id": [key[1]],
+                            "is_open": [not stopped and last_us is not None], "enbid": [enbid], "net": [net]})
+
     t_us = (F.unix_timestamp(time_col) * 1_000_000
             + F.date_format(time_col, "SSSSSS").cast("bigint"))
     rows = events.select(F.col("mdn").cast("bigint").alias("mdn"), "session_id", "status",
                          F.col("enbid").cast("bigint").alias("enbid"), "net", t_us.alias("t_us"))
     return rows.groupBy("mdn", "session_id").applyInPandasWithState(
-        _track_sessions, SESSION_OUT_SCHEMA, SESSION_STATE_SCHEMA, "update", "NoTimeout")
+        fold, SESSION_OUT_SCHEMA, SESSION_STATE_SCHEMA, "update", "NoTimeout")
