@@ -230,3 +230,20 @@ def region_rollup(company_stats: DataFrame, companies: DataFrame, measure: str,
                           [F.sum(measure).alias(measure)], "gid")
     return agg.select(F.when(F.col("gid") != 0, F.lit(all_label)).otherwise(F.col("provincecode"))
                       .alias("provincecode"), "servtype", F.col(measure).cast("bigint").alias(measure))
+
+
+def operations_by_net(oplog: DataFrame, register_net: dict[str, str] | None = None) -> DataFrame:
+    """Successful open / close operations per company and network, the network being
+    the register's (HLR → 3g, HSS → 4g by default)."""
+    register_net = register_net or {"HLR": "3g", "HSS": "4g"}
+    net = C.decode("logtype", register_net)
+    ok = oplog.where(F.col("oper_result") == "success")
+    return ok.groupBy(F.col("vpdncompanycode").alias("companycode"), net.alias("net")).agg(
+        A.count_if(F.col("opername") == "open").alias("opennum"),
+        A.count_if(F.col("opername") == "close").alias("closenum"))
+
+
+def service_user_counts(users: DataFrame) -> DataFrame:
+    """Users per company and service type (D direct, C VPDN, P other)."""
+    serv = F.when(F.col("isdirect") == "1", "D").when(F.col("isvpdn") == "1", "C").otherwise("P")
+    return users.groupBy("companycode", serv.alias("servtype")).agg(F.count(F.lit(1)).alias("users"))

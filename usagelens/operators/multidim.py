@@ -328,3 +328,17 @@ def station_quality(log: DataFrame, stations: DataFrame, cycle: Column) -> DataF
     return A.grouping_sets(df, sets, [
         F.count(F.lit(1)).alias("req_cnt"), A.count_if(F.col("result") == "success").alias("succ_cnt"),
         (F.sum("delay").cast("double") / F.count("delay").cast("double")).alias("avg_delay")], "gid")
+
+
+def station_metrics(log: DataFrame, cycle: Column, families: Mapping[str, str],
+                    success: Column | None = None) -> DataFrame:
+    """Per (cycle, station, network) request and success counts of each procedure
+    family (family name → procedure value): the station metrics AN-24 ranks.  A
+    family whose success count is not wanted can be left out of the ratio by passing
+    ``None`` as its success column to :func:`area_rank`."""
+    ok = F.col("result") == "success" if success is None else success
+    aggs = []
+    for name, proc in families.items():
+        aggs += [A.count_if(F.col("procedure") == proc).alias(f"{name}_req"),
+                 A.count_if((F.col("procedure") == proc) & ok).alias(f"{name}_succ")]
+    return log.groupBy(cycle.alias("cycle"), "enbid", "net").agg(*aggs)

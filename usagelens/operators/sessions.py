@@ -151,3 +151,23 @@ def logout_rollup(events: DataFrame, users: DataFrame, cycle: Column,
         "cycle", F.when(F.col("gid") >= 3, F.lit(total_label)).otherwise(F.col("companycode")).alias("companycode"),
         F.when(F.col("gid") >= 1, F.lit(total_label)).otherwise(F.col("cause")).alias("cause"),
         "starts", "stops", "normal_stops")
+
+
+def online_by_key(snapshots: DataFrame, users: DataFrame, keys: Sequence[str] = ("companycode",)) -> DataFrame:
+    """Online users per (keys, network, snapshot) from :func:`online_sessions` rows."""
+    u = users.select("mdn", *keys)
+    return snapshots.join(J.sized(u), "mdn").groupBy(*keys, "net", "snapshot").agg(
+        F.count(F.lit(1)).alias("online"))
+
+
+def base_counts(snapshots: DataFrame, users: DataFrame, keys: Sequence[str] = ("companycode",),
+                base_hour: int = 0) -> DataFrame:
+    """AN-16 base: online users per (day, keys, network) at the day's base hour."""
+    per = online_by_key(snapshots.where(F.hour("snapshot") == base_hour), users, keys)
+    return per.select(F.to_date("snapshot").alias("day"), *keys, "net", F.col("online").alias("base_cnt"))
+
+
+def active_by_key(events: DataFrame, users: DataFrame, keys: Sequence[str] = ("companycode",)) -> DataFrame:
+    """Distinct active users per (keys, network) over the session events."""
+    return events.join(J.sized(users.select("mdn", *keys)), "mdn").groupBy(*keys, "net").agg(
+        F.count_distinct("mdn").alias("active"))
