@@ -38,7 +38,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2))))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions)
     times: dict[str, float] = {}
     for name in names:
         best = float("inf")
@@ -49,7 +50,8 @@ def main() -> None:
         times[name] = round(best, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat,
+                      "shuffle_partitions": partitions}))
     spark.stop()
 
 
