@@ -46,13 +46,16 @@ def broadcast_limit(spark) -> int:
 
 
 def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
-    """Measured size check for a dimension: at most ``limit / row width`` rows.
-
-    Counts ``dim.limit(max_rows + 1)``, so the check reads at most max_rows + 1 rows
-    however large the dimension is.  Plan statistics are not used: for a dimension
-    derived by joins they multiply the inputs' sizes and would never allow it.  The
-    decision is remembered per logical plan (``semanticHash``) for
-    :data:`SIZE_CHECK_TTL_S` seconds."""
+    """Measured size check for a dimension against the broadcast budget.
+
+    One bounded pass over ``dim.limit(max_rows + 1)`` counts the rows and sums the
+    byte length of its text columns; ``max_rows`` is the budget divided by the
+    row's fixed-width part, so the pass reads at most that many rows however large
+    the dimension is.  The dimension fits when its rows and its estimated bytes
+    (fixed-width part × rows + measured text bytes) are within the budget.  Plan
+    statistics are not used: for a dimension derived by joins they multiply the
+    inputs' sizes and would never allow it.  The decision is remembered per logical
+    plan (``semanticHash``) for :data:`SIZE_CHECK_TTL_S` seconds."""
     limit = broadcast_limit(dim.sparkSession) if limit_bytes is None else limit_bytes
     if limit <= 0:
         return False
@@ -60,9 +63,13 @@ def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
     hit = _SIZE_CHECKED.get(key)
     if hit is not None and time.monotonic() - hit[1] < SIZE_CHECK_TTL_S:
         return hit[0]
-    width = 16 + sum(_WIDTH.get(t, 32) for _, t in dim.dtypes)
-    max_rows = max(1, limit // width)
-    ok = dim.limit(max_rows + 1).count() <= max_rows
+    text = [c for c, t in dim.dtypes if t == "string"]
+    fixed = 16 + sum(_WIDTH.get(t, 32) for c, t in dim.dtypes if c not in text) + 8 * len(text)
+    max_rows = max(1, limit // fixed)
+    text_bytes = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in text), F.lit(0))
+    r = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes).alias("t")).first()
+    n, t = int(r["n"]), int(r["t"] or 0)
+    ok = n <= max_rows and n * fixed + t <= limit
     _SIZE_CHECKED[key] = (ok, time.monotonic())
     return ok
 
