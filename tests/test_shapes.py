@@ -49,3 +49,21 @@ def test_label_levels_and_ranks_within(spark):
     r = W.ranks_within(df.withColumn("w", -F.col("v")), ["prov"], ["v", "w"], tiebreak=["city"]).collect()
     got = {x.city: (x.v_rank, x.w_rank) for x in r}
     assert got == {"c1": (2, 1), "c2": (1, 2), "c3": (1, 1)}
+
+
+def test_reduce_unless_broadcast_both_branches(spark):
+    facts = spark.createDataFrame([(1, 10, 5), (1, 10, 7), (2, 10, 1)], "mdn int, enbid int, up long")
+    dim = spark.createDataFrame([(1, "c1"), (2, "c2")], "mdn int, custid string")
+    raw = J.reduce_unless_broadcast(facts, ["mdn", "enbid"], ["up"], [dim])
+    assert raw.count() == 3   # dimension fits: records kept, the join stays map-side
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        red = J.reduce_unless_broadcast(facts, ["mdn", "enbid"], ["up"], [dim])
+        assert sorted(tuple(r) for r in red.collect()) == [(1, 10, 12), (2, 10, 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # either way the final per-customer sums agree
+    for f in (raw, red):
+        got = {r.custid: r.up for r in f.join(dim, "mdn").groupBy("custid").agg(F.sum("up").alias("up")).collect()}
+        assert got == {"c1": 12, "c2": 1}
