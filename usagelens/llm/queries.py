@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from usagelens.llm import oracle
 from usagelens.llm.chat import conversation_digests
-from usagelens.llm.common import prepare, read_table
+from usagelens.llm.common import id_bucket, prepare, read_table
 from usagelens.llm.decontaminate import contained_items
+from usagelens.llm.language_id import identify
 from usagelens.llm.packing import pack
+from usagelens.llm.quality_classifier import quality_scores
+from usagelens.llm.quality_rules import quality_rules
 from usagelens.llm.token_counts import token_counts
 
 SEQUENCE_TOKENS = 2048
@@ -20,6 +24,32 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(modulus: int, rest: int):
+    """True for ids whose crc32 leaves ``rest``; a null id is not held out."""
+    return F.coalesce(id_bucket("doc_id", modulus) == rest, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those whose id's crc32 mod 3 is not 1."""
+    docs = read_table(spark, sf_dir, "documents")
+    labelled = docs.where(id_bucket("doc_id", 3) != 1).select("text", "lang")
+    return identify(docs, labelled).select("doc_id", held_out(3, 1).alias("held_out"),
+                                           "lang_pred", "score")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, labels learned where the id's crc32 mod 5 is not 0."""
+    labels = (read_table(spark, sf_dir, "labels").where(id_bucket("doc_id", 5) != 0)
+              .select("doc_id", F.col("quality").alias("label")))
+    return (quality_scores(read_table(spark, sf_dir, "documents"), labels, 0.3)
+            .select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surface counts and perplexity-band verdict of every document."""
+    return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formats every conversation, and one whose texts are control strings; read back."""
     prepare(spark)
@@ -48,6 +78,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_quality_rules": op3_quality_rules,
     "op4_chat_format": op4_chat_format,
     "op5_pack": op5_pack,
     "op8_decontaminate": op8_decontaminate,
