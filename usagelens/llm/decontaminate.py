@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.llm.common import materialize
+
 SHINGLE = 5
 SPACES = r"[\x20\x09-\x0D]+"
 # Sketch rows (hash, item) that may be broadcast: about 100 bytes each in a hash table.
@@ -29,7 +31,7 @@ def words_of(text: Column) -> Column:
 def shingle_hashes(words: Column, n: int = SHINGLE) -> Column:
     """Distinct hashes of all n-word shingles; the whole sequence where it is shorter."""
     size = F.size(words)
-    inner = F.transform(F.sequence(F.lit(0), size - n), lambda i: F.xxhash64(
+    inner = F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), lambda i: F.xxhash64(
         *[F.get(words, i + k) for k in range(n)]))
     return F.when(size >= n, F.array_distinct(inner)).when(
         size > 0, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(
@@ -39,7 +41,7 @@ def shingle_hashes(words: Column, n: int = SHINGLE) -> Column:
 def shingle_texts(words: Column, n: int = SHINGLE) -> Column:
     """Distinct shingles as text, words joined by one space."""
     size = F.size(words)
-    inner = F.transform(F.sequence(F.lit(0), size - n), lambda i: F.array_join(
+    inner = F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), lambda i: F.array_join(
         F.slice(words, i + 1, F.lit(n)), " "))
     return F.when(size >= n, F.array_distinct(inner)).when(
         size > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
@@ -71,14 +73,15 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
     lookup = tagged.select("item_row", F.explode("sketch").alias("h")).distinct()
     if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         lookup = F.broadcast(lookup)
-    found = (docs.select("doc_id", F.explode(shingle_hashes(words_of(F.col("text")))).alias("h"))
-             .join(lookup, "h").select("doc_id", "item_row").distinct())
+    found = materialize(
+        docs.select("doc_id", F.explode(shingle_hashes(words_of(F.col("text")))).alias("h"))
+        .join(lookup, "h").select(F.col("doc_id").alias("hit_id"), "item_row").distinct(),
+        "containment-candidates")
     wanted = found.join(tagged.select("item_row", "item_id", "n", "shingles")
-                        .dropDuplicates(["item_row"]), "item_row")
-    d, w = docs.select("doc_id", "text").alias("d"), wanted.alias("w")
-    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("d.text"), SPACES, " "), F.lit(" "))
-    checked = (d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-               .select("d.doc_id", "w.item_id", "w.n", "w.shingles", spaced.alias("spaced"))
+                        .dropDuplicates(["item_row"]), "item_row").drop("item_row")
+    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), SPACES, " "), F.lit(" "))
+    checked = (docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("hit_id")))
+               .select("doc_id", "item_id", "n", "shingles", spaced.alias("spaced"))
                .select("doc_id", "item_id", "n", F.size(F.filter("shingles", lambda s: F.contains(
                    F.col("spaced"), F.concat(F.lit(" "), s, F.lit(" "))))).alias("matched"))
                .where(F.col("matched") * 100 >= F.col("n") * percent))
@@ -90,5 +93,6 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that contain an item (all columns kept)."""
-    hit = contained_items(docs, items, percent).select(F.col("doc_id").alias("hit")).distinct()
+    hit = materialize(contained_items(docs, items, percent)
+                      .select(F.col("doc_id").alias("hit")).distinct(), "contaminated")
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit"]), "left_anti")
