@@ -39,3 +39,36 @@ SELECT doc_id, item_id, count(*) AS matched, CAST(any_value(n) AS BIGINT) AS n_s
 FROM doc_rows JOIN item_rows USING (s)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)
 """
+
+# Texts as hexadecimal: byte i is the two characters from 2 * i + 1 on.
+OP7 = """
+WITH doc AS (
+    SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h,
+           octet_length(encode(coalesce(text, ''))) AS n
+    FROM documents),
+win AS (
+    SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS w
+    FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS s FROM doc WHERE n >= 100)),
+again AS (
+    SELECT doc_id, s FROM (
+        SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS k FROM win)
+    WHERE k > 1),
+edge AS (
+    SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100
+                           THEN 0 ELSE 1 END AS opens FROM again),
+run AS (
+    SELECT doc_id, min(s) AS a, max(s) + 100 AS b
+    FROM (SELECT doc_id, s, sum(opens) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM edge)
+    GROUP BY doc_id, g),
+gap AS (
+    SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM run),
+kept AS (
+    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS tail,
+           string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+    FROM gap JOIN doc USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN head IS NULL THEN h ELSE head || substr(h, 2 * tail + 1) END))
+           AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""

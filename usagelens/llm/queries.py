@@ -13,6 +13,7 @@ from usagelens.llm.language_id import identify
 from usagelens.llm.packing import pack
 from usagelens.llm.quality_classifier import quality_scores
 from usagelens.llm.quality_rules import quality_rules
+from usagelens.llm.suffix_dedup import remove_repeats
 from usagelens.llm.token_counts import token_counts
 
 SEQUENCE_TOKENS = 2048
@@ -60,6 +61,12 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(told.unionByName(hostile))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain at least 80 % of a benchmark item's five-word shingles."""
     prepare(spark)
@@ -83,11 +90,13 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_format": op4_chat_format,
     "op5_pack": op5_pack,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
     "op4_chat_format": oracle.OP4,
+    "op7_suffix_dedup": oracle.OP7,
     "op8_decontaminate": oracle.OP8,
 }
