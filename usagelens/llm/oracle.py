@@ -72,3 +72,41 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
            AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
 """
+
+
+def op9(phrases: dict[str, str], templates, percent: int) -> str:
+    """SQL of the license scan for given phrases and templates."""
+    base = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in phrases.items())
+    known = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(templates))
+    words = "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+            "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH phrase(p, label, k) AS (VALUES {base}),
+template(t, label, ws) AS (
+    SELECT t, label, list_distinct(string_split(body, ' ')) FROM (VALUES {known}) AS v(t, label, body)),
+doc AS (SELECT doc_id, coalesce(text, '') AS text, {words.format(t="coalesce(text, '')")} AS w
+        FROM documents),
+place AS (
+    SELECT doc_id, i, label
+    FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM doc) CROSS JOIN phrase
+    WHERE array_to_string(w[i + 1:i + k], ' ') = p),
+based AS (
+    SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+           list(DISTINCT label) AS ls FROM place GROUP BY doc_id),
+line AS (
+    SELECT doc_id, list_distinct({words.format(t="l")}) AS ws
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM doc)),
+matched AS (
+    SELECT doc_id, label, len(list_intersect(line.ws, template.ws)) / len(template.ws) AS share
+    FROM line CROSS JOIN template
+    WHERE len(line.ws) > 0
+      AND 100 * len(list_intersect(line.ws, template.ws)) >= {percent} * len(template.ws)),
+method AS (
+    SELECT doc_id, max(share) AS share, list(DISTINCT label) AS ls FROM matched GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(based.ls), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(
+           coalesce(based.ls, []), coalesce(method.ls, [])))), ','), '') AS labels,
+       CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(share, 0) END AS DOUBLE) AS score
+FROM doc LEFT JOIN based USING (doc_id) LEFT JOIN method USING (doc_id)
+"""

@@ -10,6 +10,7 @@ from usagelens.llm.chat import conversation_digests
 from usagelens.llm.common import id_bucket, prepare, read_table
 from usagelens.llm.decontaminate import contained_items
 from usagelens.llm.language_id import identify
+from usagelens.llm.license_scan import PERCENT, PHRASES, TEMPLATES, license_scan
 from usagelens.llm.packing import pack
 from usagelens.llm.quality_classifier import quality_scores
 from usagelens.llm.quality_rules import quality_rules
@@ -79,6 +80,11 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template matches of every document."""
+    return license_scan(read_table(spark, sf_dir, "documents")).drop("blocks")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document."""
     return token_counts(read_table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
@@ -92,6 +98,7 @@ QUERIES = {
     "op5_pack": op5_pack,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -99,4 +106,5 @@ ORACLE: dict[str, str] = {
     "op4_chat_format": oracle.OP4,
     "op7_suffix_dedup": oracle.OP7,
     "op8_decontaminate": oracle.OP8,
+    "op9_license_scan": oracle.op9(PHRASES, TEMPLATES, PERCENT),
 }
