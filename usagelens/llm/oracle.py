@@ -40,6 +40,21 @@ FROM doc_rows JOIN item_rows USING (s)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)
 """
 
+OP6 = f"""
+WITH RECURSIVE doc AS ({_SHINGLES.format(
+    key="doc_id", table="documents",
+    text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}),
+token AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS s FROM doc),
+pair AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb
+    FROM token a JOIN token b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair WHERE 100 * k >= 80 * (na + nb - k)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
+       least(doc_id, coalesce(lowest, doc_id)) AS component_id
+FROM doc LEFT JOIN (SELECT a AS doc_id, min(b) AS lowest FROM reach GROUP BY a) USING (doc_id)
+"""
+
 # Texts as hexadecimal: byte i is the two characters from 2 * i + 1 on.
 OP7 = """
 WITH doc AS (

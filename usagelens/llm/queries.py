@@ -9,6 +9,7 @@ from usagelens.llm import oracle
 from usagelens.llm.chat import conversation_digests
 from usagelens.llm.common import id_bucket, prepare, read_table
 from usagelens.llm.decontaminate import contained_items
+from usagelens.llm.jaccard_join import jaccard_classes
 from usagelens.llm.language_id import identify
 from usagelens.llm.license_scan import PERCENT, PHRASES, TEMPLATES, license_scan
 from usagelens.llm.packing import pack
@@ -62,6 +63,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(told.unionByName(hostile))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under five-word shingle Jaccard similarity of 0.8 or more."""
+    return jaccard_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 100-byte strings that start earlier."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +102,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_format": op4_chat_format,
     "op5_pack": op5_pack,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_license_scan": op9_license_scan,
@@ -104,6 +111,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op4_chat_format": oracle.OP4,
+    "op6_jaccard_join": oracle.OP6,
     "op7_suffix_dedup": oracle.OP7,
     "op8_decontaminate": oracle.OP8,
     "op9_license_scan": oracle.op9(PHRASES, TEMPLATES, PERCENT),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import batches, materialize, mix64, prepare, run_starts
+from usagelens.llm.common import batches, materialize, mix64, numbered, prepare, run_starts
 
 WINDOW = 100
 GRAM = 32
@@ -446,20 +446,6 @@ def cut(text: bytes, spans) -> tuple[bytes, int]:
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), runs
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a distinct long ``row`` in document order and null texts as empty.
-
-    Distinct non-null ids number the rows themselves.  Otherwise rows are sorted by id
-    (nulls first), then text, and numbered in that order.
-    """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    repeated = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
-    if repeated.isEmpty():
-        return docs.withColumn("text", text).withColumn("row", F.col("doc_id").cast("long"))
-    return materialize(docs.withColumn("text", text).orderBy("doc_id", "text")
-                       .withColumn("row", F.monotonically_increasing_id()), "numbered-texts")
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document: its columns with the text cut, n_bytes, n_removed, n_spans, kept_sha256.
 
