@@ -28,23 +28,34 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), SPACES, -1), lambda w: w != "")
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, however often the body uses it.
+
+    (A column expression used inside a lambda would be computed again for every element.)
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shingle_hashes(words: Column, n: int = SHINGLE) -> Column:
     """Distinct hashes of all n-word shingles; the whole sequence where it is shorter."""
-    size = F.size(words)
-    inner = F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), lambda i: F.xxhash64(
-        *[F.get(words, i + k) for k in range(n)]))
-    return F.when(size >= n, F.array_distinct(inner)).when(
-        size > 0, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(
-        F.array().cast("array<bigint>"))
+    def of(w):
+        inner = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))),
+                            lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
+        return F.when(F.size(w) >= n, F.array_distinct(inner)).when(
+            F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
+            F.array().cast("array<bigint>"))
+    return bound(words, of)
 
 
 def shingle_texts(words: Column, n: int = SHINGLE) -> Column:
     """Distinct shingles as text, words joined by one space."""
-    size = F.size(words)
-    inner = F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), lambda i: F.array_join(
-        F.slice(words, i + 1, F.lit(n)), " "))
-    return F.when(size >= n, F.array_distinct(inner)).when(
-        size > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
+    def of(w):
+        inner = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))),
+                            lambda i: F.array_join(F.slice(w, i + 1, F.lit(n)), " "))
+        return F.when(F.size(w) >= n, F.array_distinct(inner)).when(
+            F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(
+            F.array().cast("array<string>"))
+    return bound(words, of)
 
 
 def item_sketches(items: DataFrame, percent: int) -> DataFrame:
@@ -80,10 +91,10 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
     wanted = found.join(tagged.select("item_row", "item_id", "n", "shingles")
                         .dropDuplicates(["item_row"]), "item_row").drop("item_row")
     spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), SPACES, " "), F.lit(" "))
+    standing = bound(spaced, lambda t: F.size(F.filter("shingles", lambda s: F.contains(
+        t, F.concat(F.lit(" "), s, F.lit(" "))))))
     checked = (docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("hit_id")))
-               .select("doc_id", "item_id", "n", "shingles", spaced.alias("spaced"))
-               .select("doc_id", "item_id", "n", F.size(F.filter("shingles", lambda s: F.contains(
-                   F.col("spaced"), F.concat(F.lit(" "), s, F.lit(" "))))).alias("matched"))
+               .select("doc_id", "item_id", "n", standing.alias("matched"))
                .where(F.col("matched") * 100 >= F.col("n") * percent))
     best = F.max(F.struct((F.col("matched") / F.col("n")).alias("share"), "matched", "n"))
     return (checked.groupBy("doc_id", "item_id").agg(best.alias("b"))
