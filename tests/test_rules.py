@@ -28,6 +28,36 @@ def test_positions_within_skewed_group_match_window(spark):
     assert j.where((F.col("__pos") != F.col("rn")) | (F.col("__n") != F.col("cnt"))).count() == 0
 
 
+def test_positions_with_nulls_everywhere_match_window(spark):
+    # null group keys, null, negative, tied and fractional values, descending order
+    nul = lambda c, n: F.when(F.col("id") % n != 0, c)
+    df = spark.range(0, 4000).select(
+        nul((F.col("id") % 3).cast("string"), 5).alias("k"), nul(F.col("id") % 2, 7).alias("g"),
+        nul(((F.col("id") * 31) % 40 - 20) / 8, 11).alias("v"),
+        nul(F.concat(F.lit("s"), (F.col("id") % 97).cast("string")), 13).alias("s"), "id")
+    for up in (True, False):
+        got = W.positions_within(df, ["k", "g"], [("v", up), "s", "id"])
+        order = [F.col("v").asc() if up else F.col("v").desc(), "s", "id"]
+        ref = df.select("id", F.row_number().over(Window.partitionBy("k", "g").orderBy(*order)).alias("rn"),
+                        F.count(F.lit(1)).over(Window.partitionBy("k", "g")).alias("cnt"))
+        j = got.join(ref, "id")
+        assert j.count() == 4000
+        assert j.where((F.col("__pos") != F.col("rn")) | (F.col("__n") != F.col("cnt"))).count() == 0
+    kept = W.position_trim_skew_safe(df, ["k", "g"], ["v", "s", "id"]).select("id")
+    ref = W.position_trim(df, ["k", "g"], "v", tiebreak=["s", "id"]).select("id")
+    assert kept.exceptAll(ref).count() == 0 and ref.exceptAll(kept).count() == 0
+
+
+def test_null_network_is_not_the_total(spark):
+    m = spark.createDataFrame([("c", 1, None, 5), ("c", 1, "3g", 7), (None, 1, "3g", 2)],
+                              "cycle string, enbid long, net string, req long")
+    st = spark.createDataFrame([(1, "p", "x")], "enbid long, provname string, cityname string")
+    got = [(r.cycle, r.net, r.r_req) for r in M.area_rank(m, st, {"r": ("req", None)})
+           .where("level = 'TOTAL'").collect()]
+    assert sorted(got, key=str) == sorted([("c", None, 5), ("c", "3g", 7), ("c", "t", 12),
+                                           (None, "3g", 2), (None, "t", 2)], key=str)
+
+
 def test_global_rank_matches_row_number(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 37) % 101).alias("v"), "id")
     got = W.global_rank(df, ["v"], "r", tiebreak=["id"])

@@ -66,6 +66,12 @@ def grouping_id_of(cols: Sequence[str], present: Sequence[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in present)
 
 
+def grouping_id_bit(sets: Sequence[Sequence[str]], column: str) -> int:
+    """Bit of Spark's ``grouping_id()`` that is 1 where ``column`` is aggregated away."""
+    cols = set_columns(sets)
+    return 1 << (len(cols) - 1 - cols.index(column))
+
+
 def level_of(id_col: str, sets: Sequence[Sequence[str]], names: Mapping[str, Sequence[str]]) -> Column:
     """Level name per grouping-sets row, from its grouping id."""
     cols = set_columns(sets)

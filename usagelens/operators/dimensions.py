@@ -125,9 +125,10 @@ def company_counts(users: DataFrame, label: str) -> DataFrame:
         A.count_if(F.col("isvpdn") == "1").alias("vpdnSum"))
     r = W.global_rank(per, ["directSum"], "directRank", tiebreak=["companycode"])
     r = W.global_rank(r, ["vpdnSum"], "vpdnRank", tiebreak=["companycode"])
-    total = per.agg(F.lit("-1").alias("companycode"), F.sum("totalSum").alias("totalSum"),
-                    F.sum("directSum").alias("directSum"), F.sum("vpdnSum").alias("vpdnSum"),
-                    F.lit(0).alias("directRank"), F.lit(0).alias("vpdnRank"))
+    total = users.agg(F.lit("-1").alias("companycode"), F.count(F.lit(1)).alias("totalSum"),
+                      A.count_if(F.col("isdirect") == "1").alias("directSum"),
+                      A.count_if(F.col("isvpdn") == "1").alias("vpdnSum"),
+                      F.lit(0).alias("directRank"), F.lit(0).alias("vpdnRank"))
     cols = ["companycode", "totalSum", "directSum", "vpdnSum", "directRank", "vpdnRank"]
     return r.select(*cols).unionByName(total.select(*cols)).select(F.lit(label).alias("monthid"), *cols)
 

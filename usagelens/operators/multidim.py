@@ -227,9 +227,9 @@ def area_rank(metrics: DataFrame, stations: DataFrame, measures: Mapping[str, tu
 
     ``metrics``: (cycle, enbid, net, <measure columns>).  With ``prefix_len`` the
     station dimension is keyed by an id prefix (3G stations by a 4-character prefix,
-    JN-16).  A rank group holds every station of a cycle (bounded by the station
-    table); when the largest group exceeds the window budget the positions come
-    from the range-partitioned computation instead of one task per group."""
+    JN-16).  All-network rows are told by the grouping id, so rows whose network is null
+    keep a group of their own.  Ranks are positions that split a large group over
+    many tasks (:func:`windows.positions_within`)."""
     b = stations.select(F.col("enbid").cast("string").alias("bkey"), F.col("provname").alias("prov"),
                         F.col("cityname").alias("city"))
     key = F.col("enbid").cast("string")
@@ -245,16 +245,12 @@ def area_rank(metrics: DataFrame, stations: DataFrame, measures: Mapping[str, tu
         names[lv + "_NET"] = ["cycle", *g, "net"]
         names[lv] = ["cycle", *g]
     out = (agg.withColumn("level", F.regexp_replace(A.level_of("gid", sets, names), "_NET$", ""))
-           .withColumn("net", F.coalesce("net", F.lit("t"))).drop("gid"))
+           .withColumn("net", F.when(F.col("gid").bitwiseAND(F.lit(A.grouping_id_bit(sets, "net"))) > 0,
+                                     F.lit("t")).otherwise(F.col("net"))).drop("gid"))
     part = ["cycle", "level", "net"]
-    use_window = W.largest_group(out, part) <= W.WINDOW_GROUP_LIMIT
     for name, (req, _succ) in measures.items():
-        if use_window:
-            out = W.rank_within(out, part, [req], f"{name}_rank", tiebreak=["prov", "city", "enbid"])
-        else:
-            out = W.positions_within(out.withColumn("__neg", -F.col(req)), part,
-                                     ["__neg", "prov", "city", "enbid"], pos=f"{name}_rank", size="__n") \
-                .drop("__neg", "__n")
+        out = W.positions_within(out, part, [(req, False), "prov", "city", "enbid"],
+                                 pos=f"{name}_rank", size="__n").drop("__n")
     sel = ["cycle", "level", "net", "prov", "city", "enbid"]
     for name, (req, succ) in measures.items():
         sel.append(F.col(req).cast("bigint").alias(f"{name}_req"))

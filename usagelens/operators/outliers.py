@@ -52,15 +52,15 @@ def usage_outlier_period(period_usage: DataFrame, peer_keys: Sequence[str], tieb
 
     Peer rows (one per subject and day) are ordered by total volume; rows whose
     position percentile ``pos*100/n`` is strictly between ``trim_lo`` and ``trim_hi``
-    form the trimmed mean (``tiebreak`` makes the order total; positions come from a
-    window when the largest peer group fits one task, otherwise from the
-    range-partitioned computation that splits a hot group over many tasks).  Peers need more than ``min_users`` distinct subjects
-    among the kept rows.  Subjects whose mean is below ``lo`` × or above ``hi`` ×
+    form the trimmed mean (``tiebreak`` makes the order total; the positions split a
+    hot peer group over many tasks).  Rows whose peer key is null or blank are left out,
+    as in the reference.  Peers need more than ``min_users`` distinct subjects among the
+    kept rows.  Subjects whose mean is below ``lo`` × or above ``hi`` ×
     the peer mean are returned."""
     total = F.col("upflow") + F.col("downflow")
-    # Read three times below (range-bound sampling, the sorted layout, subject means):
-    # materialized once in the shared folder instead of recomputing the input each time.
-    rows = W.materialize(period_usage.withColumn("total_flow", total), "period-rows")
+    rows = period_usage.withColumn("total_flow", total)
+    for k in peer_keys:
+        rows = rows.where(F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != ""))
     kept = W.position_trim_skew_safe(rows, peer_keys, ["total_flow", *tiebreak], trim_lo, trim_hi)
     peers = (kept.groupBy(*peer_keys)
              .agg(exact_avg("total_flow").alias("avg_total_flow"), F.count_distinct(subject).alias("cnt"))

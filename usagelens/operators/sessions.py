@@ -81,12 +81,19 @@ def online_count(events: DataFrame, base: DataFrame, keys: Sequence[str], day_co
     deltas = events.groupBy(day_col, slot_col, *keys, "net").agg(
         (A.count_if(F.col("status") == start_status) - A.count_if(F.col("status") == stop_status)).alias("delta"))
     run = A.running_total(deltas, [day_col, *keys, "net"], slot_col, "delta", "cum_delta")
-    j = run.join(base, [day_col, *keys, "net"], "full")
+    # A null network is a network of its own: matched null-safely through a key that is
+    # never null.
+    mark = F.coalesce(F.concat(F.lit("="), F.col("net")), F.lit("null"))
+    run = run.withColumn("__net", mark).drop("net")
+    base = base.withColumn("__net", mark).drop("net")
+    j = (run.join(base, [day_col, *keys, "__net"], "full")
+         .withColumn("net", F.when(F.col("__net") != "null", F.substr("__net", F.lit(2)))))
     per_net = j.select(day_col, F.coalesce(slot_col, F.lit("base")).alias(slot_col), *keys, "net",
                        (F.coalesce("base_cnt", F.lit(0)) + F.coalesce("cum_delta", F.lit(0))).alias("online"))
-    totals = A.grouping_sets(per_net, [[day_col, slot_col, *keys, "net"], [day_col, slot_col, *keys]],
-                             [F.sum("online").alias("online")], id_col=None)
-    return totals.select(day_col, slot_col, *keys, F.coalesce("net", F.lit(all_nets)).alias("net"),
+    sets = [[day_col, slot_col, *keys, "net"], [day_col, slot_col, *keys]]
+    totals = A.grouping_sets(per_net, sets, [F.sum("online").alias("online")], "gid")
+    every = F.col("gid").bitwiseAND(F.lit(A.grouping_id_bit(sets, "net"))) > 0
+    return totals.select(day_col, slot_col, *keys, F.when(every, F.lit(all_nets)).otherwise(F.col("net")).alias("net"),
                          F.col("online").cast("bigint").alias("online"))
 
 

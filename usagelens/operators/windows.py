@@ -9,24 +9,11 @@ WindowGroupLimit before the shuffle.  "Latest per key" is an aggregate
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back:
-    cuts the lineage (a lost executor does not recompute the sort) and fixes the
-    row layout, so partition ids and positions stay the same for every later pass.
-    Columnar files are much cheaper than an RDD checkpoint of rows."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
 
 def _order(cols: Sequence[str | Column], ascending: bool) -> list[Column]:
     out = []
@@ -63,28 +50,14 @@ def top_n(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column]
     return rank_within(df, partition, order, out, ascending, tiebreak).where(F.col(out) < n)
 
 
-def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "rank",
+def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
                 ascending: bool = False, tiebreak: Sequence[str] = ()) -> DataFrame:
     """WN-8: position of every row in one global order, without an unpartitioned
-    window (which would pull all rows into one task).
-
-    The rows are range-partitioned and sorted by ``orderBy``; inside a partition the
-    position is the low bits of ``monotonically_increasing_id``; each partition's
-    offset is the running count of the partitions before it (a table with one row
-    per partition, so its size is bounded by the partition count and it is safe to
-    broadcast).  The sorted rows are materialized first (:func:`materialize`) so both
-    passes see the same partitioning."""
-    ordered = df.orderBy(*_order(order, ascending), *[F.col(t).asc() for t in tiebreak])
-    ided = (ordered.withColumn("__pid", F.spark_partition_id())
-            .withColumn("__pos", F.monotonically_increasing_id()
-                        - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    ided = materialize(ided, "global-rank")
-    counts = ided.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n"))
-                            .alias("__off"))
-    ranked = ided.join(F.broadcast(offsets), "__pid")
-    return ranked.withColumn(out, (F.col("__off") + F.col("__pos") + 1).cast("int")) \
-        .drop("__pid", "__pos", "__off")
+    window over the rows (which would pull them all into one task): positions inside
+    one all-embracing group, see :func:`positions_within`."""
+    ranked = positions_within(df, [], [*[(c, ascending) for c in order],
+                                       *[(c, True) for c in tiebreak]], out, "__n")
+    return ranked.withColumn(out, F.col(out).cast("int")).drop("__n")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
@@ -151,64 +124,85 @@ def drop_min_max_sum(df: DataFrame, keys: Sequence[str], value_col: str, n_days:
         F.count(F.lit(1)).alias("n_rows"))
 
 
-def positions_within(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                     pos: str = "__pos", size: str = "__n") -> DataFrame:
-    """Exact 1-based position of each row inside its group (ascending ``order``, which
-    must make rows unique) and the group size, without a window partitioned by the
-    group key.
-
-    A window would sort a whole group in one task; one group may hold a third of
-    the data.  Instead the rows are range-partitioned on (group, order...) — the
-    sampled range bounds split a hot group over many partitions — and sorted
-    within each partition.  A row's position is its offset inside its partition
-    plus the number of rows of the same group in earlier partitions.  The
-    per-(group, partition) count table has at most (#groups + #partitions) rows.
-    The sorted rows are materialized (:func:`materialize`) so every later pass sees
-    the same layout."""
-    keys = list(partition) + list(order)
-    laid = (df.repartitionByRange(*[F.col(k) for k in keys])
-            .sortWithinPartitions(*[F.col(k) for k in keys])
-            .withColumn("__pid", F.spark_partition_id())
-            .withColumn("__local", F.monotonically_increasing_id()
-                        - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    laid = materialize(laid, "positions")
-    # Per (group, partition): row count and the partition-local index of the group's
-    # first row there (a partition can hold the tail of one group and the head of
-    # the next).
-    counts = laid.groupBy(*partition, "__pid").agg(F.count(F.lit(1)).alias("__cnt"),
-                                                   F.min("__local").alias("__first"))
-    w = Window.partitionBy(*partition).orderBy("__pid")
-    offsets = counts.select(*partition, "__pid",
-                            (F.sum("__cnt").over(w) - F.col("__cnt") - F.col("__first")).alias("__off"),
-                            F.sum("__cnt").over(Window.partitionBy(*partition)).alias(size))
-    out = laid.join(offsets, [*partition, "__pid"])
-    return out.withColumn(pos, F.col("__off") + F.col("__local") + 1) \
-        .drop("__pid", "__local", "__off")
-
-
-# Largest group a single task may sort for a window; bigger groups use the
-# range-partitioned positions.
-WINDOW_GROUP_LIMIT = 2_000_000
-
-
-def largest_group(df: DataFrame, partition: Sequence[str]) -> int:
-    """Row count of the largest group (one aggregate; map-side combined)."""
-    r = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(r["m"] or 0)
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def _bucket(df: DataFrame, column: str, ascending: bool) -> Column:
+    """A coarse key that never decreases along the order of ``column``.
+
+    Numbers: 256 steps per doubling of the distance from zero; text (ascending): its
+    first four characters; anything else: one bucket.  Nulls stay null, so they keep
+    the place the order gives them."""
+    kind = dict(df.dtypes)[column]
+    if kind.startswith(NUMBERS):
+        x = F.col(column).cast("double")
+        far = F.floor(F.log2(F.abs(x) + 1) * 256)
+        step = F.when(F.isnan(x), F.lit(1 << 40)).when(x < 0, -far).otherwise(far)
+        step = F.when(x.isNotNull(), step)
+        return step if ascending else -step
+    if kind == "string" and ascending:
+        return F.substring(column, 1, 4)
+    return F.lit(0)
+
+
+def positions_within(df: DataFrame, partition: Sequence[str],
+                     order: Sequence[str | tuple[str, bool]], pos: str = "__pos",
+                     size: str = "__n") -> DataFrame:
+    """Exact 1-based position of each row inside its group and the group size.
+
+    ``order`` must make the rows of a group unique; entries are column names
+    (ascending) or (name, ascending) pairs; nulls come first ascending and last
+    descending, and null group keys form a group like any other.
+
+    A window over the group would sort it in one task, and one group may hold a third
+    of the data.  Here rows are numbered only among rows of one group that agree in the
+    first order column and in a coarse, order-preserving bucket of the second; the rows
+    before them are counted from two tables of counts, per value and bucket inside a
+    bucket of the first column, and per bucket of the first column inside the group (a
+    bounded number).  It is one lazy plan, the same at every size."""
+    pairs = [(o, True) if isinstance(o, str) else o for o in order]
+    cols = [F.col(c).asc() if up else F.col(c).desc() for c, up in pairs]
+    value, up = pairs[0]
+    second = pairs[1] if len(pairs) > 1 else None
+    rows = df.withColumn("__b1", _bucket(df, value, up)).withColumn(
+        "__b2", _bucket(df, *second) if second else F.lit(0))
+    # Descending buckets are negated; a null one (null value) comes first ascending and
+    # last descending, like the value.
+    b1 = F.col("__b1").asc_nulls_first() if up else F.col("__b1").asc_nulls_last()
+    b2 = (F.col("__b2").asc_nulls_first() if not second or second[1]
+          else F.col("__b2").asc_nulls_last())
+    keys = [*partition, "__b1", value, "__b2"]
+    fine = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    inside = Window.partitionBy(*partition, "__b1")
+    fine = fine.withColumn("__off", F.coalesce(F.sum("__c").over(
+        inside.orderBy(cols[0], b2).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    group = Window.partitionBy(*partition)
+    coarse = rows.groupBy(*partition, "__b1").agg(F.count(F.lit(1)).alias("__c"))
+    coarse = coarse.withColumn("__before", F.coalesce(F.sum("__c").over(
+        group.orderBy(b1).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).withColumn(size, F.sum("__c").over(group))
+    numbered = rows.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*cols)))
+    out = _null_safe_join(numbered, fine.drop("__c"), keys)
+    out = _null_safe_join(out, coarse.drop("__c"), [*partition, "__b1"])
+    return (out.withColumn(pos, F.col("__before") + F.col("__off") + F.col("__rn"))
+            .drop("__rn", "__off", "__before", "__b1", "__b2"))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; the keys appear once."""
+    renamed = right.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                           *[c for c in right.columns if c not in keys])
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return left.join(renamed, match).drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 def position_trim_skew_safe(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                            lo: int = 10, hi: int = 90,
-                            window_limit: int | None = None) -> DataFrame:
-    """WN-9 for groups that grow with the data: same rows as :func:`position_trim`
-    (``pos*100/n`` strictly between ``lo`` and ``hi``).
-
-    The largest group is measured first: when it is at most ``window_limit`` rows a
-    window (one task per group) is used; beyond that the positions come from
-    :func:`positions_within`, which spreads a hot group over many tasks."""
-    limit = WINDOW_GROUP_LIMIT if window_limit is None else window_limit
-    if largest_group(df, partition) <= limit:
-        return position_trim(df, partition, order[0], lo, hi, tiebreak=list(order[1:]))
+                            lo: int = 10, hi: int = 90) -> DataFrame:
+    """WN-9 for groups that grow with the data: the rows of :func:`position_trim`
+    (``pos*100/n`` strictly between ``lo`` and ``hi``), with the positions of
+    :func:`positions_within`, which spread a hot group over many tasks."""
     ranked = positions_within(df, partition, order)
     pct = F.col("__pos") * 100 / F.col("__n")
     return ranked.where((pct > lo) & (pct < hi)).drop("__pos", "__n")
