@@ -38,6 +38,24 @@ def _units(c: str, scale: int = 100) -> F.Column:
     return F.round(F.col(c) * scale).cast("bigint")
 
 
+def key_of(spark: SparkSession, sf_dir: str, name: str, key: str, source: F.Column) -> F.Column:
+    """A key of dimension ``name`` for every row: ``source`` spread over the dimension's
+    whole key range (0 to its largest key; a key the dimension lacks stays unknown)."""
+    largest = table(spark, sf_dir, name).agg((F.max(key) + 1).alias("n")).scalar()
+    return (source * 7919) % largest
+
+
+def station_of(spark: SparkSession, sf_dir: str) -> F.Column:
+    """Station on which an event ran."""
+    return key_of(spark, sf_dir, "supplier", "s_suppkey", F.col("event_id"))
+
+
+def net_of() -> F.Column:
+    """Network type of an event; some logs leave it out."""
+    return F.when(F.col("event_id") % 11 == 0, F.lit(None)).when(
+        F.col("event_id") % 2 == 0, "3g").otherwise("4g")
+
+
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City (nation) → province (region) lookup: fixed, tiny domain."""
     nation = table(spark, sf_dir, "nation")
@@ -73,13 +91,13 @@ def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def located_usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usage records that also carry ``prov``: the province reported by the gateway that
-    wrote the record, i.e. where the station serving the record is (the visited
-    province; station ids are only unique within a province)."""
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    """Usage records that also carry ``prov``: the province the record itself names (that of
+    the subscriber's address).  Station ids are only unique within a province, so records
+    whose station lies elsewhere find no station row under (enbid, prov)."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     g = geo(spark, sf_dir).select("city_id", "prov")
-    where = sup.join(F.broadcast(g), sup.s_nationkey == g.city_id).select(F.col("s_suppkey").alias("enbid"), "prov")
-    return usage_records(spark, sf_dir).join(sized(where), "enbid")
+    where = cust.join(F.broadcast(g), cust.c_nationkey == g.city_id).select(F.col("c_custkey").alias("mdn"), "prov")
+    return usage_records(spark, sf_dir).join(sized(where), "mdn")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +118,10 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("city").alias("belocity"),
                     F.col("c_mktsegment").alias("ind_type"),
                     F.when(bal >= 0, "1").otherwise("0").alias("isnb"),
-                    F.when(bal < 1000, "1").otherwise("0").alias("isdirect"),
+                    # The flags overlap, and some subscribers have none of them.
+                    F.when(bal < 2000, "1").otherwise("0").alias("isdirect"),
                     F.when((bal >= 1000) & (bal < 6000), "1").otherwise("0").alias("isvpdn"),
-                    F.when(bal >= 6000, "1").otherwise("0").alias("iscommon"),
+                    F.when((bal >= 5000) & (bal < 9000), "1").otherwise("0").alias("iscommon"),
                     F.concat_ws(",", F.concat(F.lit("d"), (F.col("c_custkey") % 3).cast("string")),
                                 F.concat(F.lit("d"), (F.col("c_custkey") % 5 + 2).cast("string"))).alias("vpdndomain"),
                     F.concat(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit("0000000")).alias("imei"),
@@ -147,10 +166,10 @@ def signalling(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.get_json_object("props", "$.k").cast("int") % len(PROCEDURES) + 1)).alias("procedure"),
         F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("result"),
         F.get_json_object("props", "$.k").alias("cause"),
-        (F.col("event_id") % 97).alias("enbid"),
+        station_of(spark, sf_dir).alias("enbid"),
         _units("value").alias("delay"),
-        F.when(F.col("event_id") % 2 == 0, "3g").otherwise("4g").alias("net"),
-        F.concat(F.lit("10.1."), (F.col("event_id") % 97).cast("string")).alias("pdsnip"))
+        net_of().alias("net"),
+        F.concat(F.lit("10.1."), station_of(spark, sf_dir).cast("string")).alias("pdsnip"))
 
 
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +187,8 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "purchase", "Stop").otherwise("Interim").alias("status"),
         F.col("ts").alias("time"),
         k.alias("cause"),
-        (F.col("event_id") % 97).alias("enbid"),
-        F.when(F.col("event_id") % 2 == 0, "3g").otherwise("4g").alias("net"),
+        station_of(spark, sf_dir).alias("enbid"),
+        net_of().alias("net"),
         _units("value").alias("octets"))
 
 
@@ -179,7 +198,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         "event_id",
         F.col("user_id").alias("caller"),
-        (F.col("user_id") % 75).alias("callee"),
+        key_of(spark, sf_dir, "customer", "c_custkey", F.col("event_id")).alias("callee"),
         F.col("ts").alias("committime"),
         F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("result"))
 
@@ -237,11 +256,11 @@ def gateway_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table as a file stream (each new file in the folder would be a
-    new micro-batch; here the one file is the first batch)."""
+    """The ``events`` table as a file stream (each new file would be a new micro-batch; the
+    files that are there make the first one).  The table may be one file or a folder of
+    part files."""
     schema = table(spark, sf_dir, "events").schema
-    return (spark.readStream.format("parquet").schema(schema)
-            .option("pathGlobFilter", "events.parquet").load(sf_dir.rstrip("/")))
+    return spark.readStream.format("parquet").schema(schema).load(f"{sf_dir.rstrip('/')}/events.parque[t]")
 
 
 def raw_mme_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +277,7 @@ def raw_mme_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     F.array(*[F.lit(x) for x in m.values()])), vendor)
     failed = F.col("event_type") == "error"
     is_att = F.col("event_type").isin("signup", "view")
-    station = F.col("event_id") % 97
+    station = station_of(spark, sf_dir)
     return ev.select(
         vendor.alias("vendor"), F.col("user_id").cast("string").alias("T0"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("T1"),
@@ -275,5 +294,5 @@ def session_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
         F.when(F.col("event_type") == "signup", "Start").when(F.col("event_type") == "purchase", "Stop")
         .otherwise("Interim").alias("status"),
-        F.col("ts").alias("time"), (F.col("event_id") % 97).alias("enbid"),
-        F.when(F.col("event_id") % 2 == 0, "3g").otherwise("4g").alias("net"))
+        F.col("ts").alias("time"), station_of(spark, sf_dir).alias("enbid"),
+        net_of().alias("net"))

@@ -23,15 +23,15 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       l.l_shipdate AS starttime, CAST(l.l_shipdate AS DATE) AS d
                FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""", ()),
     "located_usage": ("""SELECT u.*, g.prov FROM usage_rec u
-               JOIN supplier s ON u.enbid = s.s_suppkey
-               JOIN geo g ON s.s_nationkey = g.city_id""", ("usage_rec", "geo")),
+               JOIN customer c ON u.mdn = c.c_custkey
+               JOIN geo g ON c.c_nationkey = g.city_id""", ("usage_rec", "geo")),
     "users": ("""SELECT c.c_custkey AS mdn, c.c_mktsegment AS custid,
                       'C' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS companycode,
                       g.prov AS beloprov, g.city AS belocity, c.c_mktsegment AS ind_type,
                       CASE WHEN c.c_acctbal >= 0 THEN '1' ELSE '0' END AS isnb,
-                      CASE WHEN c.c_acctbal < 1000 THEN '1' ELSE '0' END AS isdirect,
+                      CASE WHEN c.c_acctbal < 2000 THEN '1' ELSE '0' END AS isdirect,
                       CASE WHEN c.c_acctbal >= 1000 AND c.c_acctbal < 6000 THEN '1' ELSE '0' END AS isvpdn,
-                      CASE WHEN c.c_acctbal >= 6000 THEN '1' ELSE '0' END AS iscommon,
+                      CASE WHEN c.c_acctbal >= 5000 AND c.c_acctbal < 9000 THEN '1' ELSE '0' END AS iscommon,
                       'd' || CAST(c.c_custkey % 3 AS VARCHAR) || ',' || 'd' || CAST(c.c_custkey % 5 + 2 AS VARCHAR) AS vpdndomain,
                       lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') || '0000000' AS imei,
                       c.c_name AS username,
@@ -46,20 +46,20 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       ['attach', 'tau', 'detach', 'auth', 'paging'][CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 + 1]
                         AS procedure,
                       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS result,
-                      json_extract_string(props, '$.k') AS cause, event_id % 97 AS enbid,
+                      json_extract_string(props, '$.k') AS cause, (event_id * 7919) % (SELECT max(s_suppkey) + 1 FROM supplier) AS enbid,
                       CAST(round(value * 100) AS BIGINT) AS delay,
-                      CASE WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net,
-                      '10.1.' || CAST(event_id % 97 AS VARCHAR) AS pdsnip
+                      CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net,
+                      '10.1.' || CAST((event_id * 7919) % (SELECT max(s_suppkey) + 1 FROM supplier) AS VARCHAR) AS pdsnip
                FROM events""", ()),
     "session_events": ("""SELECT event_id, user_id AS mdn, CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id,
                       CASE WHEN event_type = 'signup' THEN 'Start'
                            WHEN event_type = 'purchase' THEN 'Stop' ELSE 'Interim' END AS status,
                       ts AS time, json_extract_string(props, '$.k') AS cause,
-                      event_id % 97 AS enbid,
-                      CASE WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net,
+                      (event_id * 7919) % (SELECT max(s_suppkey) + 1 FROM supplier) AS enbid,
+                      CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net,
                       CAST(round(value * 100) AS BIGINT) AS octets
                FROM events""", ()),
-    "messages": ("""SELECT event_id, user_id AS caller, user_id % 75 AS callee, ts AS committime,
+    "messages": ("""SELECT event_id, user_id AS caller, (event_id * 7919) % (SELECT max(c_custkey) + 1 FROM customer) AS callee, ts AS committime,
                       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS result
                FROM events""", ()),
     "day_usage": ("""SELECT CAST(year(n.starttime) AS VARCHAR) AS cycle, u.custid, n.mdn, n.enbid,
@@ -108,12 +108,13 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CASE WHEN e.event_type IN ('signup', 'view')
                            THEN CASE v.vendor WHEN 'huawei' THEN '0x00' WHEN 'zte' THEN '2101' ELSE 'attach' END
                            ELSE 'other' END AS T8,
-                      CASE WHEN v.vendor = 'huawei' THEN '0x' || upper(hex(e.event_id % 97))
-                           ELSE CAST(e.event_id % 97 AS VARCHAR) END AS T12,
+                      CASE WHEN v.vendor = 'huawei' THEN '0x' || upper(hex(v.station))
+                           ELSE CAST(v.station AS VARCHAR) END AS T12,
                       CASE WHEN e.event_type = 'error' THEN 'e' || json_extract_string(e.props, '$.k')
                            ELSE CASE v.vendor WHEN 'huawei' THEN '0x0000' WHEN 'zte' THEN '4294967295'
                                               ELSE 'nocausecode' END END AS T13
-               FROM events e, LATERAL (SELECT ['huawei', 'zte', 'ericsson'][e.event_id % 3 + 1] AS vendor) v""", ()),
+               FROM events e, (SELECT max(s_suppkey) + 1 AS n FROM supplier) st, LATERAL (SELECT ['huawei', 'zte', 'ericsson'][e.event_id % 3 + 1] AS vendor,
+                      (e.event_id * 7919) % st.n AS station) v""", ()),
 }
 
 
