@@ -57,12 +57,11 @@ def pointer_tables(nodes: DataFrame) -> list[DataFrame]:
     while (1 << len(tables)) <= 2 * largest and not table.where("up is not null").isEmpty():
         above = table.select("tree", F.col("id").alias("up"), F.col("up").alias("up2"),
                              F.col("total").alias("total2"), F.col("steps").alias("steps2"))
-        table = materialize(
-            table.join(above, ["tree", "up"], "left")
-            .select("tree", "id", F.col("up2").alias("up"),
-                    (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-                    (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps")),
-            "reply-pointers")
+        climbing = (table.where("up is not null").join(above, ["tree", "up"], "left")
+                    .select("tree", "id", F.col("up2").alias("up"),
+                            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
+                            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps")))
+        table = materialize(climbing.unionByName(table.where("up is null")), "reply-pointers")
         tables.append(table)
     return tables
 
@@ -104,13 +103,13 @@ def format_reply_trees(messages: DataFrame, branches: int | None = None) -> Data
     else:
         chosen = leaves.withColumn("branch_rank", F.row_number().over(best)).where(
             F.col("branch_rank") <= branches)
-    paths = chosen.select("tree", F.col("id").alias("leaf"), "id", "branch_rank",
-                          F.col("total").alias("branch_score"))
+    paths = materialize(chosen.select("tree", F.col("id").alias("leaf"), "id", "branch_rank",
+                                      F.col("total").alias("branch_score")), "reply-paths")
     for table in reversed(tables[:-1]):
         up = table.where("up is not null").select("tree", "id", "up")
         higher = paths.join(up, ["tree", "id"]).select(
             "tree", "leaf", F.col("up").alias("id"), "branch_rank", "branch_score")
-        paths = paths.unionByName(higher)
+        paths = materialize(paths.unionByName(higher), "reply-paths")
     turns = (paths.join(rooted.select("tree", "id", F.col("steps").alias("depth")), ["tree", "id"])
              .join(unique.select("tree", "id", "role", "text", "tree_id", "message_id"),
                    ["tree", "id"]))
