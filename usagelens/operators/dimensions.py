@@ -17,7 +17,6 @@ from . import aggregates as A
 from . import joins as J
 from .summaries import NATION
 from . import windows as W
-from .sessions import with_service_tags
 
 # Idle-day thresholds of the sector status (status i when the idle days
 # are below the i-th bound; 6 beyond the last).
@@ -197,18 +196,32 @@ def card_overview(online: DataFrame, active: DataFrame, opened: DataFrame, compa
                      {"avg_online": 0, "active": 0, "opennum": 0, "closenum": 0})
 
 
-def terminal_stats(usage: DataFrame, users: DataFrame, devices: DataFrame,
-                   abnormal_types: Sequence[str]) -> DataFrame:
-    """AN-32: distinct users per device type × model × company × service, and per
-    domain of VPDN users (service tags explode, AG-14), with the normal / abnormal
-    device class.  The user's terminal is the TAC of their records."""
-    ut = usage.select("mdn", "tac").distinct().join(J.sized(devices.select("tac", "devicetype", "modelname")), "tac")
-    u = users.select("mdn", "companycode", "isvpdn", "isdirect", "vpdndomain")
-    tagged = with_service_tags(ut.join(J.sized(u), "mdn"))
-    cls = F.when(F.col("devicetype").isin(*abnormal_types), F.lit("abnormal")).otherwise(F.lit("normal"))
-    return (tagged.withColumn("devclass", cls)
-            .groupBy("devicetype", "modelname", "devclass", "companycode", "servtype", "domain")
-            .agg(F.count_distinct("mdn").alias("users")))
+# Codes of users whose company, or whose company's province, is unknown.
+UNKNOWN_PROVINCE = "N999999999"
+UNKNOWN_COMPANY = "P999999999"
+
+
+def terminal_stats(users: DataFrame, companies: DataFrame, devices: DataFrame) -> DataFrame:
+    """AN-32: users per device type × model × province × company × service (domain '-1'), and
+    for VPDN users also per domain they own.
+
+    The terminal is told by the first eight digits of the user's IMEI; users whose terminal
+    is unknown stay, with null device columns.  Here a user has one service, VPDN before
+    direct before common; the province is the company's."""
+    dev = devices.select(F.lpad(F.col("tac").cast("string"), 8, "0").alias("__tac"), "devicetype", "modelname")
+    known = companies.select("companycode", "provincecode")
+    j = (users.select("mdn", "imei", "companycode", "isvpdn", "isdirect", "vpdndomain")
+         .join(J.sized(known), "companycode", "left")
+         .join(J.sized(dev), F.substring("imei", 1, 8) == F.col("__tac"), "left"))
+    serv = F.when(F.col("isvpdn") == "1", "C").when(F.col("isdirect") == "1", "D").otherwise("P")
+    code = lambda c, default: F.when(F.length(c) > 0, F.col(c)).otherwise(F.lit(default))
+    all_domains = F.array(F.lit("-1"))
+    domains = F.when(serv == "C", F.concat(all_domains, F.split("vpdndomain", ","))).otherwise(all_domains)
+    return (j.select("devicetype", "modelname", code("provincecode", UNKNOWN_PROVINCE).alias("custprovince"),
+                     code("companycode", UNKNOWN_COMPANY).alias("companycode"), serv.alias("servtype"),
+                     F.explode(domains).alias("domain"))
+            .groupBy("devicetype", "modelname", "custprovince", "companycode", "servtype", "domain")
+            .agg(F.count(F.lit(1)).alias("tercnt")))
 
 
 def detect_changes(today: DataFrame, yesterday: DataFrame, keys: Sequence[str],

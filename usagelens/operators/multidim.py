@@ -2,10 +2,9 @@
 
 Company × service type × domain × network reports.  The reference builds them
 from unions of per-service branches; here each record gets its service tags in one
-explode and every level comes out of one grouping-sets aggregate.  Where a
-record carries several domain tags, company-level measures are taken from the
-record's single base tag so nothing is counted twice (AN-21..23); AN-20 keeps the
-reference's row semantics (documented there).
+explode and every level comes out of one grouping-sets aggregate.  A tag's level
+(company, service, domain) says which sets it counts for, so nothing is counted twice
+(AN-21..23); AN-20 keeps the reference's row semantics (documented there).
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from ..functions import columns as C
 from . import aggregates as A
 from . import joins as J
 from . import windows as W
-from .sessions import with_service_tags
+from .sessions import COMPANY, DOMAIN, SERVICE, USER_SERVICES, service_tag, with_service_tags
 
 # Grouping sets of the company / service / domain / network reports (the six sets of
 # the reference's realtime summaries).
@@ -105,93 +104,100 @@ def active_users_dim(rows: DataFrame, users: DataFrame) -> DataFrame:
     return agg.where(F.col("vpdndomain").isNull() | (F.col("vpdndomain") != "-1"))
 
 
-def _base_or_domain(agg: DataFrame, measures: Sequence[str], domain_bit: int) -> DataFrame:
-    """Pick, per grouping-sets row, the measure computed from base tags (sets without
-    the domain) or from domain tags (sets with it)."""
-    has_dom = (F.col("gid").bitwiseAND(F.lit(domain_bit)) == 0)
-    out = agg.where(~has_dom | F.col("vpdndomain").isNotNull())
-    return out.select(*[c for c in out.columns if not c.startswith("b_") and not c.startswith("d_")],
-                      *[F.when(has_dom, F.col(f"d_{m}")).otherwise(F.col(f"b_{m}")).alias(m) for m in measures])
-
-
-def tagged_service_summary(df: DataFrame, users: DataFrame, keys_before: Sequence[str],
-                           extra_dim: str, measures: Mapping[str, tuple[str, Column]],
+def tagged_service_summary(tagged: DataFrame, keys_before: Sequence[str], extra_dim: str,
+                           measures: Mapping[str, tuple[str, Column]],
                            subject: str = "mdn") -> DataFrame:
-    """Shared core of AN-21..23: join users, explode service tags, aggregate over the six
-    grouping sets of (keys_before..., companycode, servtype, vpdndomain, extra_dim).
+    """Shared core of AN-21..23 over records with service tags (level, servtype, domain).
+
+    A tag's level says which of the six grouping sets of (keys_before..., companycode,
+    servtype, vpdndomain, extra_dim) it counts for: company, company and service, or
+    company, service and domain, each with and without ``extra_dim``.  ``gid`` is the
+    grouping id those six sets would have.
 
     ``measures`` maps a name to (kind, column): 'count' (non-null values), 'sum', or
     'distinct' — the distinct number of ``subject`` values among the rows where the
-    column is not null (``count(distinct case when .. then mdn end)``).  Each measure
-    is computed over base tags and over domain tags; the right one is picked per set.
-
-    Distinct counts inside grouping sets are done in two levels (AG-11): first one
-    row per (set, keys, subject) with per-subject partial counts and 0/1 flags, then a
-    plain sum per (set, keys).  Spark's own plan for several conditional distinct
-    counts in grouping sets expands every row once per set *and* once per distinct
-    expression; the two-level form expands once per set, and the first level is
-    combined map-side, so a hot subject or company never meets in one task."""
-    u = users.select("mdn", "companycode", "isvpdn", "isdirect", "vpdndomain")
-    tagged = with_service_tags(df.join(J.sized(u), "mdn")).drop("vpdndomain") \
-        .withColumnRenamed("domain", "vpdndomain") \
-        .withColumn("__base", F.col("vpdndomain").isNull())
-    sets = [[*keys_before, *[extra_dim if c == "type" else c for c in s]] for s in SERVICE_SETS]
-    level1 = []
-    level2 = []
+    column is not null (``count(distinct case when .. then mdn end)``).
+
+    Distinct counts inside grouping sets are done in two levels (AG-11): first one row per
+    (set, keys, subject) with partial counts and 0/1 flags, combined map-side, then a plain
+    sum per (set, keys); a hot subject or company never meets in one task."""
+    keys = [*keys_before, "companycode", "level", "servtype", "domain"]
+    first, second = [], []
     for name, (kind, col) in measures.items():
-        for prefix, cond in (("b_", F.col("__base")), ("d_", ~F.col("__base"))):
-            v = F.when(cond, col)
-            part = {"count": F.count(v), "sum": F.sum(v),
-                    "distinct": F.max(F.when(v.isNotNull(), F.lit(1)))}[kind].alias(prefix + name)
-            level1.append(part)
-            final = F.count(prefix + name) if kind == "distinct" else F.sum(prefix + name)
-            level2.append(F.coalesce(final, F.lit(0)).cast("bigint").alias(prefix + name))
-    sets1 = [[*st, subject] for st in sets]
-    per_subject = A.grouping_sets(tagged, sets1, level1, id_col="gid1")
-    cols = A.set_columns(sets)
-    cols1 = A.set_columns(sets1)
-    gid = None
-    for st, st1 in zip(sets, sets1):
-        cond = F.col("gid1") == A.grouping_id_of(cols1, st1)
-        value = F.lit(A.grouping_id_of(cols, st))
-        gid = F.when(cond, value) if gid is None else gid.when(cond, value)
-    agg = per_subject.groupBy("gid1", *cols).agg(*level2).withColumn("gid", gid).drop("gid1")
-    domain_bit = 1 << (len(cols) - 1 - cols.index("vpdndomain"))
-    return _base_or_domain(agg.select(*cols, "gid", *[c for c in agg.columns if c[:2] in ("b_", "d_")]),
-                           list(measures), domain_bit)
+        part = {"count": F.count(col), "sum": F.sum(col),
+                "distinct": F.max(F.when(col.isNotNull(), F.lit(1)))}[kind]
+        first.append(part.alias(name))
+        final = F.count(name) if kind == "distinct" else F.sum(name)
+        second.append(F.coalesce(final, F.lit(0)).cast("bigint").alias(name))
+    per_subject = A.grouping_sets(tagged, [[*keys, subject], [*keys, extra_dim, subject]], first, "gid1")
+    agg = per_subject.groupBy("gid1", *keys, extra_dim).agg(*second)
+    columns = [*keys_before, "companycode", extra_dim, "servtype", "vpdndomain"]
+    by_level = {COMPANY: [], SERVICE: ["servtype"], DOMAIN: ["servtype", "vpdndomain"]}
+    gid = F.lit(None).cast("int")
+    for level, dims in by_level.items():
+        for with_extra in (False, True):
+            present = [*keys_before, "companycode", *([extra_dim] if with_extra else []), *dims]
+            # gid1 is 0 for the set that holds every column of the first level.
+            gid = F.when((F.col("level") == level) & ((F.col("gid1") == 0) == with_extra),
+                         F.lit(A.grouping_id_of(columns, present))).otherwise(gid)
+    return agg.withColumnRenamed("domain", "vpdndomain").withColumn("gid", gid).select(
+        *columns, "gid", *measures)
+
+
+def by_own_domain(auth: DataFrame, users: DataFrame) -> DataFrame:
+    """Authentication records with service tags by the record's own domain (AN-21): 'D' for
+    a direct user; 'C' with that domain where a VPDN user owns it; else 'P'."""
+    u = users.select(*USER_SERVICES)
+    j = auth.join(J.sized(u), "mdn")
+    serv = C.service_type("isdirect", "isvpdn", "vpdndomain", "authdomain")
+    tags = F.concat(
+        F.array(service_tag(COMPANY, None)),
+        F.array(F.struct(F.lit(SERVICE).alias("level"), serv.alias("servtype"),
+                         F.lit(None).cast("string").alias("domain"))),
+        F.when(serv == "C", F.array(service_tag(DOMAIN, "C", F.col("authdomain"))))
+        .otherwise(F.array().cast("array<struct<level:int,servtype:string,domain:string>>")))
+    return A.tagged_explode(j, tags, ["level", "servtype", "domain"])
+
+
+def _attempt_measures() -> dict[str, tuple[str, Column]]:
+    ok = F.col("ok")
+    return {"req_cnt": ("count", F.lit(1)), "req_s_cnt": ("count", F.when(ok, 1)),
+            "req_card_cnt": ("distinct", F.col("mdn")),
+            "req_card_s_cnt": ("distinct", F.when(ok, F.col("mdn"))),
+            "req_card_f_cnt": ("distinct", F.when(~ok, F.col("mdn")))}
 
 
 def auth_summary(auth: DataFrame, users: DataFrame, cycle: Column,
                  success: Column | None = None) -> DataFrame:
-    """AN-21: authentication attempts, successes, distinct users, users with a
-    success and users with a failure (a user may be in both) per company × service
-    × domain × network over the six grouping sets (AG-10/AG-11: distinct counts
-    inside grouping sets).  ``success`` defaults to ``result = 'success'`` (the
-    reference's code 0 for 3G/4G and 1 for VPDN is decided when the log is
-    normalised)."""
+    """AN-21: authentication attempts, successes, distinct users, users with a success and
+    users with a failure (a user may be in both) per company × service × domain × network
+    over the six grouping sets.  ``auth``: mdn, nai (``user@domain``), net, result.  A
+    record belongs to one service, by its own domain (:func:`by_own_domain`).  ``success``
+    defaults to ``result = 'success'`` (the code 0 of 3G/4G and 1 of VPDN logs is decided
+    when the log is normalised)."""
     ok = F.col("result") == "success" if success is None else success
-    df = auth.select(cycle.alias("cycle"), "mdn", F.col("net").alias("type"), ok.alias("ok"))
-    return tagged_service_summary(df, users, ["cycle"], "type", {
-        "req_cnt": ("count", F.lit(1)),
-        "req_s_cnt": ("count", F.when(F.col("ok"), 1)),
-        "req_card_cnt": ("distinct", F.col("mdn")),
-        "req_card_s_cnt": ("distinct", F.when(F.col("ok"), F.col("mdn"))),
-        "req_card_f_cnt": ("distinct", F.when(~F.col("ok"), F.col("mdn")))})
+    df = auth.select(cycle.alias("cycle"), "mdn", F.col("net").alias("type"), ok.alias("ok"),
+                     C.domain_of("nai").alias("authdomain"))
+    return tagged_service_summary(by_own_domain(df, users), ["cycle"], "type", _attempt_measures())
 
 
 def auth_errors(auth: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
     """AN-21 error-code breakdown: failed attempts per error code over the six company
     / service / domain / network grouping sets (the code is kept in every set)."""
     failed = auth.where(F.col("result") != "success").select(
-        cycle.alias("cycle"), "mdn", F.col("net").alias("type"), F.col("cause").alias("errcode"))
-    return tagged_service_summary(failed, users, ["cycle", "errcode"], "type",
+        cycle.alias("cycle"), "mdn", F.col("net").alias("type"), F.col("cause").alias("errcode"),
+        C.domain_of("nai").alias("authdomain"))
+    return tagged_service_summary(by_own_domain(failed, users), ["cycle", "errcode"], "type",
                                   {"err_cnt": ("count", F.lit(1))})
 
 
 def mme_summary(log: DataFrame, users: DataFrame, cycle: Column, attach: Column) -> DataFrame:
-    """AN-22: attach requests — same measures and sets as :func:`auth_summary`, over
-    the records whose procedure is an attach (PRJ-4)."""
-    return auth_summary(log.where(attach), users, cycle)
+    """AN-22: attach requests (PRJ-4) with the measures of :func:`auth_summary`, per service
+    the user has (flags tested independently) and over all users of the company."""
+    df = log.where(attach).select(cycle.alias("cycle"), "mdn", F.col("net").alias("type"),
+                                  (F.col("result") == "success").alias("ok"))
+    tagged = with_service_tags(df.join(J.sized(users.select(*USER_SERVICES)), "mdn"))
+    return tagged_service_summary(tagged, ["cycle"], "type", _attempt_measures())
 
 
 def failing_stations(log: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
@@ -214,7 +220,8 @@ def sms_dim_summary(sms: DataFrame, users: DataFrame, cycle: Column) -> DataFram
     roles = sms.select(cycle.alias("cycle"), F.inline(F.array(
         F.struct(F.lit("r").alias("direction"), F.col("callee").alias("mdn")),
         F.struct(F.lit("s").alias("direction"), F.col("caller").alias("mdn")))))
-    return tagged_service_summary(roles, users, ["cycle"], "direction", {
+    tagged = with_service_tags(roles.join(J.sized(users.select(*USER_SERVICES)), "mdn"))
+    return tagged_service_summary(tagged, ["cycle"], "direction", {
         "msg_cnt": ("count", F.lit(1)), "user_cnt": ("distinct", F.col("mdn"))})
 
 

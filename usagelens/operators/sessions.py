@@ -97,36 +97,64 @@ def online_count(events: DataFrame, base: DataFrame, keys: Sequence[str], day_co
                          F.col("online").cast("bigint").alias("online"))
 
 
-def with_service_tags(df: DataFrame) -> DataFrame:
-    """Service dimension tags per record (AG-14): VPDN users get one ('C', null)
-    company-level tag plus one ('C', domain) tag per domain they own; direct users
-    ('D', null); the rest ('P', null).  One explode replaces the reference's
-    union of per-service branches."""
+# Levels of a service tag: the whole company, one service, one domain of a service.
+COMPANY, SERVICE, DOMAIN = 0, 1, 2
+
+
+def service_tag(level: int, servtype: str | None, domain: Column | None = None) -> Column:
+    """One tag: (level, servtype, domain)."""
+    return F.struct(F.lit(level).alias("level"), F.lit(servtype).cast("string").alias("servtype"),
+                    (F.lit(None).cast("string") if domain is None else domain).alias("domain"))
+
+
+def _if_flag(flag: str, tags: Column) -> Column:
+    """The tags where the user flag is set, else none."""
+    return F.when(F.col(flag) == "1", tags).otherwise(F.slice(tags, F.lit(1), F.lit(0)))
+
+
+def vpdn_tags() -> Column:
+    """Tags of a VPDN user: the service, and each domain the user owns."""
     domains = F.filter(F.split(F.col("vpdndomain"), ","), lambda x: F.length(x) > 0)
-    vpdn_tags = F.concat(F.array(F.struct(F.lit("C").alias("servtype"), F.lit(None).cast("string").alias("domain"))),
-                         F.transform(domains, lambda d: F.struct(F.lit("C").alias("servtype"), d.alias("domain"))))
-    tags = (F.when(F.col("isvpdn") == "1", vpdn_tags)
-            .when(F.col("isdirect") == "1", F.array(F.struct(F.lit("D").alias("servtype"), F.lit(None).cast("string").alias("domain"))))
-            .otherwise(F.array(F.struct(F.lit("P").alias("servtype"), F.lit(None).cast("string").alias("domain")))))
-    return A.tagged_explode(df, tags, ["servtype", "domain"])
+    return F.concat(F.array(service_tag(SERVICE, "C")),
+                    F.transform(domains, lambda d: service_tag(DOMAIN, "C", d)))
+
+
+def with_service_tags(df: DataFrame, common_is_rest: bool = False) -> DataFrame:
+    """Service dimension tags per record (AG-14): every record counts for its company;
+    direct ('D'), VPDN ('C', also once per domain owned) and common ('P') users are told
+    by three flags that are tested independently, so a user with two flags counts in
+    both services and one with none only for the company.
+
+    ``common_is_rest``: the common flag only counts where the direct one is not set
+    (AN-17).  One explode replaces the reference's union of per-service branches."""
+    direct, common = F.array(service_tag(SERVICE, "D")), F.array(service_tag(SERVICE, "P"))
+    plain = _if_flag("iscommon", common)
+    if common_is_rest:
+        plain = F.when(F.col("isdirect") == "1", F.slice(common, F.lit(1), F.lit(0))).otherwise(plain)
+    tags = F.concat(F.array(service_tag(COMPANY, None)), _if_flag("isdirect", direct),
+                    _if_flag("isvpdn", vpdn_tags()), plain)
+    return A.tagged_explode(df, tags, ["level", "servtype", "domain"])
+
+
+USER_SERVICES = ["mdn", "companycode", "isvpdn", "isdirect", "iscommon", "vpdndomain"]
 
 
 def login_logout_summary(events: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
-    """AN-17: logins (Start), logouts (Stop) and normal logouts per company ×
-    service type × domain, per network type and over all networks (grouping sets
-    (company, servtype, domain) and (company, servtype, domain, net)).  Normal =
-    stop with a normal cause for its network (PRJ-31)."""
-    u = users.select("mdn", "companycode", "isvpdn", "isdirect", "vpdndomain")
+    """AN-17: logins (Start), logouts (Stop) and normal logouts per company, per company
+    and service, and per company and VPDN domain, each per network type and over all
+    networks.  Normal = stop with a normal cause for its network (PRJ-31)."""
     j = (events.select(cycle.alias("cycle"), "mdn", "status", "cause", "net")
-         .withColumn("result", C.radius_result("status", "cause", "net")).join(J.sized(u), "mdn"))
-    tagged = with_service_tags(j)
-    keys = ["cycle", "companycode", "servtype", "domain"]
+         .withColumn("result", C.radius_result("status", "cause", "net"))
+         .join(J.sized(users.select(*USER_SERVICES)), "mdn"))
+    tagged = with_service_tags(j.drop("domain"), common_is_rest=True)
+    keys = ["cycle", "companycode", "level", "servtype", "domain"]
     agg = A.grouping_sets(tagged, [keys, [*keys, "net"]], [
         A.sum_if(F.lit(1), F.col("status") == "Start").alias("logincnt"),
         A.sum_if(F.lit(1), F.col("status") == "Stop").alias("logoutcnt"),
         A.sum_if(F.lit(1), (F.col("status") == "Stop") & (F.col("result") == "s")).alias("normallogoutcnt")],
         id_col="gid")
-    return agg.select(*keys, F.when(F.col("gid") == 1, F.lit("-1")).otherwise(F.col("net")).alias("net"),
+    return agg.select("cycle", "companycode", F.coalesce("servtype", F.lit("-1")).alias("servtype"), "domain",
+                      F.when(F.col("gid") == 1, F.lit("-1")).otherwise(F.col("net")).alias("net"),
                       F.col("logincnt").cast("bigint").alias("logincnt"),
                       F.col("logoutcnt").cast("bigint").alias("logoutcnt"),
                       F.col("normallogoutcnt").cast("bigint").alias("normallogoutcnt"))

@@ -420,6 +420,37 @@ def customer_report(usage: DataFrame, users: DataFrame, cycle: Column,
                     (F.col("upflow") + F.col("downflow")).alias("totalflow"))
 
 
+def customer_report_by_type(usage: DataFrame, users: DataFrame, cycle: Column,
+                            nation_label: str = NATION) -> DataFrame:
+    """AN-14 (open types): per open type NB / 4G / 3G and customer × province × city: opened
+    users, volume and active users; then province and national totals that add up the
+    customer rows of the type.
+
+    A user is opened for NB by its flag, for 4G if it may use 4G, and for 3G if it may use
+    3G without 4G, or 2G, 3G and 4G all.  Customer rows exist where there was usage; one
+    without opened users keeps a null there, as in the left join of the rule."""
+    keys = ["opentype", "custid", "beloprov", "belocity"]
+    u = users.select("mdn", "custid", "beloprov", "belocity", "isnb", "is2g", "is3g", "is4g")
+    yes = lambda c: F.col(c) == "Y"
+    types = F.filter(F.array(
+        F.when(F.col("isnb") == "1", F.lit("NB")), F.when(yes("is4g"), F.lit("4G")),
+        F.when((yes("is3g") & (F.col("is4g") == "N")) | (yes("is2g") & yes("is3g") & yes("is4g")), F.lit("3G"))),
+        lambda t: t.isNotNull())
+    opened = u.withColumn("opentype", F.explode(types)).groupBy(*keys).agg(F.count(F.lit(1)).alias("opened"))
+    active = (usage.select(cycle.alias("cycle"), "mdn", "opentype", "upflow", "downflow")
+              .join(J.sized(u.select("mdn", "custid", "beloprov", "belocity")), "mdn")
+              .groupBy("cycle", *keys).agg(F.sum("upflow").alias("inflow"), F.sum("downflow").alias("outflow"),
+                                           F.count_distinct("mdn").alias("active")))
+    rows = active.join(opened, keys, "left")
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("opened", "active", "inflow", "outflow")]
+    sets = {"CUST": ["cycle", *keys], "PROV": ["cycle", "opentype", "beloprov"], "NATION": ["cycle", "opentype"]}
+    out = A.grouping_sets(rows, list(sets.values()), sums, "gid")
+    level = A.level_of("gid", list(sets.values()), sets)
+    return out.select("cycle", level.alias("level"), "opentype", "custid",
+                      F.when(level == "NATION", F.lit(nation_label)).otherwise(F.col("beloprov")).alias("province"),
+                      F.col("belocity").alias("city"), "opened", "active", "inflow", "outflow")
+
+
 # Administrative words removed from province / city names.
 PROVINCE_WORDS = ["省", "市", "壮族", "自治区", "维吾尔", "回族"]
 CITY_WORDS = ["电信"]

@@ -125,10 +125,34 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat_ws(",", F.concat(F.lit("d"), (F.col("c_custkey") % 3).cast("string")),
                                 F.concat(F.lit("d"), (F.col("c_custkey") % 5 + 2).cast("string"))).alias("vpdndomain"),
                     F.concat(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit("0000000")).alias("imei"),
+                    F.when(F.col("c_custkey") % 4 == 0, "Y").otherwise("N").alias("is2g"),
+                    F.when(F.col("c_custkey") % 3 != 0, "Y").otherwise("N").alias("is3g"),
+                    F.when(F.col("c_custkey") % 5 < 3, "Y").otherwise("N").alias("is4g"),
                     F.col("c_name").alias("username"),
                     _units("c_acctbal").alias("acctbal")))
 
 
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company register: companycode, provincecode (some companies have none)."""
+    return geo(spark, sf_dir).select(
+        F.concat(F.lit("C"), F.lpad(F.col("city_id").cast("string"), 2, "0")).alias("companycode"),
+        F.when(F.col("prov_id") != 0, F.col("prov")).alias("provincecode"))
+
+
+def typed_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage records with the network class they were written by: opentype NB / 4G / 3G."""
+    return usage_records(spark, sf_dir).withColumn(
+        "opentype", F.when(F.col("net") == "N", "NB").when(F.col("net") == "R", "4G").otherwise("3G"))
+
+
+def timed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4G records with their first and last usage: mdn, apn, starttime, stoptime (the volume
+    unit count in hours after the start)."""
+    u = usage_records(spark, sf_dir).where(F.col("net") == "R")
+    return u.select("mdn", F.concat(F.lit("apn."), F.col("nai_domain")).alias("apn"), "starttime",
+                    (F.col("starttime") + F.make_dt_interval(hours=F.col("upflow").cast("int"))).alias("stoptime"))
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station dimension: enbid, provname, cityname, provid, cityid, stationname."""
     sup = table(spark, sf_dir, "supplier")
@@ -155,7 +179,8 @@ def signalling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: event_id, mdn, starttime, procedure (one of :data:`PROCEDURES`, from the
     event's code, so it is independent of the outcome), result ('failed' for error
-    events), cause (props k), enbid (station the procedure ran on), delay, net, pdsnip.
+    events), cause (props k), enbid (station the procedure ran on), delay, nai (the
+    identifier used, ``user@domain``), net, pdsnip.
     """
     ev = table(spark, sf_dir, "events")
     return ev.select(
@@ -168,6 +193,7 @@ def signalling(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("cause"),
         station_of(spark, sf_dir).alias("enbid"),
         _units("value").alias("delay"),
+        F.concat(F.col("user_id").cast("string"), F.lit("@d"), (F.col("event_id") % 7).cast("string")).alias("nai"),
         net_of().alias("net"),
         F.concat(F.lit("10.1."), station_of(spark, sf_dir).cast("string")).alias("pdsnip"))
 

@@ -34,9 +34,16 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CASE WHEN c.c_acctbal >= 5000 AND c.c_acctbal < 9000 THEN '1' ELSE '0' END AS iscommon,
                       'd' || CAST(c.c_custkey % 3 AS VARCHAR) || ',' || 'd' || CAST(c.c_custkey % 5 + 2 AS VARCHAR) AS vpdndomain,
                       lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') || '0000000' AS imei,
+                      CASE WHEN c.c_custkey % 4 = 0 THEN 'Y' ELSE 'N' END AS is2g,
+                      CASE WHEN c.c_custkey % 3 <> 0 THEN 'Y' ELSE 'N' END AS is3g,
+                      CASE WHEN c.c_custkey % 5 < 3 THEN 'Y' ELSE 'N' END AS is4g,
                       c.c_name AS username,
                       CAST(round(c.c_acctbal * 100) AS BIGINT) AS acctbal
                FROM customer c JOIN geo g ON c.c_nationkey = g.city_id""", ("geo",)),
+    "companies": ("""SELECT 'C' || lpad(CAST(city_id AS VARCHAR), 2, '0') AS companycode,
+                      CASE WHEN prov_id <> 0 THEN prov END AS provincecode FROM geo""", ("geo",)),
+    "typed_usage": ("""SELECT *, CASE net WHEN 'N' THEN 'NB' WHEN 'R' THEN '4G' ELSE '3G' END AS opentype
+               FROM usage_rec""", ("usage_rec",)),
     "stations": ("""SELECT s.s_suppkey AS enbid, g.prov AS provname, g.city AS cityname,
                       g.prov_id AS provid, g.city_id AS cityid, s.s_name AS stationname
                FROM supplier s JOIN geo g ON s.s_nationkey = g.city_id""", ("geo",)),
@@ -48,6 +55,7 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS result,
                       json_extract_string(props, '$.k') AS cause, (event_id * 7919) % (SELECT max(s_suppkey) + 1 FROM supplier) AS enbid,
                       CAST(round(value * 100) AS BIGINT) AS delay,
+                      CAST(user_id AS VARCHAR) || '@d' || CAST(event_id % 7 AS VARCHAR) AS nai,
                       CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net,
                       '10.1.' || CAST((event_id * 7919) % (SELECT max(s_suppkey) + 1 FROM supplier) AS VARCHAR) AS pdsnip
                FROM events""", ()),
