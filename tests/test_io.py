@@ -3,6 +3,9 @@
 import datetime as dt
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -142,3 +145,53 @@ def test_compact_partitioned_keeps_layout(spark, tmp_dir):
     assert cap >= 2000
     back = spark.read.parquet(out)
     assert back.count() == 2000 and sorted(r.d for r in back.select("d").distinct().collect()) == ["0", "1"]
+
+
+def test_gbk_lines_keep_blank_lines_and_control_bytes(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "gbk.txt")
+    lines = ["ab\x01cd", "", "中国|电信", ' "quoted" ']
+    with open(path, "wb") as f:
+        f.write("\n".join(lines).encode("gbk") + b"\n")
+    assert [r.value for r in R.scan_lines(spark, path, "GBK").collect()] == lines
+    with pytest.raises(ValueError):
+        R.scan_lines(spark, path, "UTF-16")
+
+
+def test_first_line_as_header(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "h.txt")
+    with open(path, "w") as f:
+        f.write("id,name\n1,a\nid,name\n2,b\n")
+    got = R.scan_delimited(spark, path, ",", ["id", "name"], first_line_is_header=True)
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "a"), ("2", "b")]
+
+
+def test_broken_vendor_input_is_an_error(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "v.txt")
+    with open(path, "w") as f:
+        f.write("x\n")
+    keep = lambda df: df
+    assert R.scan_multi_vendor(spark, [(path, keep), (path + "-missing", keep)]).count() == 1
+    with pytest.raises(AnalysisException):
+        R.scan_multi_vendor(spark, [(path, lambda df: df.select("nothing"))])
+
+
+def test_events_stream_reads_a_file_or_a_folder(spark, tmp_dir):
+    from usagelens.plans import inputs as I
+    source = "/root/testdata/sf0.001/events.parquet"
+    n = spark.read.parquet(source).count()
+    spark.read.parquet(source).repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
+    for k, sf in enumerate([tmp_dir, "/root/testdata/sf0.001"]):
+        q = (I.event_stream(spark, sf).writeStream.format("memory").queryName(f"events_{k}")
+             .option("checkpointLocation", f"{tmp_dir}/ckpt-{k}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert spark.table(f"events_{k}").count() == n
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from usagelens.session import checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))

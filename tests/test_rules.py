@@ -157,6 +157,9 @@ def test_breakpoint_ignores_out_of_order(spark):
     upd = spark.createDataFrame([("job", "202401010950"), ("job", "202401011005")], "name string, cycle string")
     r = K.advance_breakpoint(state, upd).first()
     assert (r.curr, r.last) == ("202401011005", "202401011000")
+    again = spark.createDataFrame([("job", "202401011000"), ("new", "1")], "name string, cycle string")
+    got = {r.name: (r.curr, r.last) for r in K.advance_breakpoint(state, again).collect()}
+    assert got == {"job": ("202401011000", "202401011000"), "new": ("1", None)}
 
 
 def test_fits_broadcast_is_measured(spark):

@@ -171,7 +171,7 @@ def normalize_number(col: ColumnOrName, country: str = "86") -> Column:
     return F.when(c.startswith(country), c).otherwise(F.concat(F.lit(country), c))
 
 
-def section_key(col: ColumnOrName, length: int = 7) -> Column:
+def section_key(col: ColumnOrName, length: int = 9) -> Column:
     """PRJ-17: number-section prefix used to join the number-section dimension."""
     return F.substring(_c(col), 1, length)
 

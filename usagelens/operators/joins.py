@@ -13,7 +13,6 @@ finds the small side, the fact side has already been shuffled.
 from __future__ import annotations
 
 import re
-import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,11 +25,10 @@ def _keys(on: str | Sequence[str]) -> list[str]:
 
 _WIDTH = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "date": 4,
           "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1, "string": 24}
-# Measured decisions per dimension plan: {(semantic hash, budget): (decision, time)}.
-_SIZE_CHECKED: dict[tuple[int, int], tuple[bool, float]] = {}
-# A decision is re-measured after this many seconds (a long-lived session may see a
-# dimension grow past the budget).
-SIZE_CHECK_TTL_S = 900.0
+# Measured decisions of recent dimension plans.  The key is the canonical plan in full with
+# the byte size of the files it reads, so a dimension that has grown is measured again.
+_SIZE_CHECKED: dict[tuple[str, str, int], bool] = {}
+SIZE_CHECKS_KEPT = 256
 
 
 def _bytes(conf_value: str) -> int:
@@ -54,15 +52,15 @@ def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
     the dimension is.  The dimension fits when its rows and its estimated bytes
     (fixed-width part × rows + measured text bytes) are within the budget.  Plan
     statistics are not used: for a dimension derived by joins they multiply the
-    inputs' sizes and would never allow it.  The decision is remembered per logical
-    plan (``semanticHash``) for :data:`SIZE_CHECK_TTL_S` seconds."""
+    inputs' sizes and would never allow it.  The decision is remembered for the same plan
+    over inputs of the same size."""
     limit = broadcast_limit(dim.sparkSession) if limit_bytes is None else limit_bytes
     if limit <= 0:
         return False
-    key = (dim.semanticHash(), limit)
-    hit = _SIZE_CHECKED.get(key)
-    if hit is not None and time.monotonic() - hit[1] < SIZE_CHECK_TTL_S:
-        return hit[0]
+    plan = dim._jdf.queryExecution().optimizedPlan()
+    key = (plan.canonicalized().toString(), str(plan.stats().sizeInBytes()), limit)
+    if key in _SIZE_CHECKED:
+        return _SIZE_CHECKED[key]
     text = [c for c, t in dim.dtypes if t == "string"]
     fixed = 16 + sum(_WIDTH.get(t, 32) for c, t in dim.dtypes if c not in text) + 8 * len(text)
     max_rows = max(1, limit // fixed)
@@ -70,7 +68,9 @@ def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
     r = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes).alias("t")).first()
     n, t = int(r["n"]), int(r["t"] or 0)
     ok = n <= max_rows and n * fixed + t <= limit
-    _SIZE_CHECKED[key] = (ok, time.monotonic())
+    if len(_SIZE_CHECKED) >= SIZE_CHECKS_KEPT:
+        _SIZE_CHECKED.clear()
+    _SIZE_CHECKED[key] = ok
     return ok
 
 
@@ -96,21 +96,17 @@ def reduce_unless_broadcast(facts: DataFrame, keys: Sequence, sums: Sequence[str
     return facts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   bounded: bool = False) -> DataFrame:
-    """JN-1/JN-4/JN-6: enrich a fact with a dimension on one or more key columns.
-
-    ``bounded=True`` declares a fixed-size domain (provinces, network types, code
-    tables) and always hints a broadcast; otherwise the dimension is broadcast only
-    after :func:`fits_broadcast` measured it under the budget."""
-    d = F.broadcast(dim) if bounded else sized(dim)
-    return fact.join(d, on, how)
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """JN-1/JN-4/JN-6: enrich a fact with a dimension on one or more key columns; the
+    dimension is broadcast only after :func:`fits_broadcast` measured it under the
+    budget."""
+    return fact.join(sized(dim), on, how)
 
 
 def left_with_default(fact: DataFrame, dim: DataFrame, on,
-                      defaults: Mapping[str, object], bounded: bool = False) -> DataFrame:
+                      defaults: Mapping[str, object]) -> DataFrame:
     """JN-3: left join keeping unmatched facts; missing dimension values get sentinels."""
-    joined = dimension_join(fact, dim, on, "left", bounded)
+    joined = dimension_join(fact, dim, on, "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
@@ -120,8 +116,7 @@ def enrich_chain(fact: DataFrame, steps: Sequence[tuple]) -> DataFrame:
     for step in steps:
         dim, on, how = step[0], step[1], step[2]
         defaults = step[3] if len(step) > 3 else {}
-        bounded = step[4] if len(step) > 4 else False
-        out = dimension_join(out, dim, on, how, bounded)
+        out = dimension_join(out, dim, on, how)
         if defaults:
             out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
     return out

@@ -8,6 +8,7 @@ and :func:`configure` only fills in settings that are still unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,7 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is always used.
-    Only when it is unset (a laptop or a test) is a private temporary folder taken.
+    Only a ``local`` master (a laptop or a test) may leave it unset: a private temporary
+    folder is taken then.  On any other master the driver's folder would be out of the
+    executors' sight, so an unset value is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -72,6 +75,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all "
+                           f"executors share (master {sc.master})")
     local = tempfile.mkdtemp(prefix="usagelens-ckpt-")
     sc.setCheckpointDir(local)
     return local

@@ -9,6 +9,7 @@ parsed with column expressions (``split``/``size``), never with Python per line.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -57,19 +58,18 @@ def scan_json(spark: SparkSession, path: str, schema: StructType, corrupt_col: s
 def scan_lines(spark: SparkSession, path: str, charset: str | None = None) -> DataFrame:
     """Raw lines (column ``value``), decoded from ``charset`` (e.g. GBK) when given.
 
-    The text source only reads UTF-8, so a non-UTF-8 file is read through the CSV
-    source with a separator and quote that never occur, which yields whole lines
-    decoded with the requested charset."""
+    The text source hands on the bytes of a line as they are, so they are decoded line by
+    line: blank lines and control characters stay.  The charset's line feed must be the
+    single byte 0A (true for GBK, Latin-1 and the like, not for UTF-16)."""
+    lines = spark.read.text(path)
     if not charset or charset.upper().replace("-", "") == "UTF8":
-        return spark.read.text(path)
-    # Spark 4 accepts only the standard Unicode / ASCII / Latin-1 charsets unless the
-    # full Java charset list is enabled; GBK logs need it.
+        return lines
+    if charset.upper().startswith(("UTF-16", "UTF16", "UTF-32", "UTF32")):
+        raise ValueError(f"{charset}: lines cannot be told apart byte by byte")
+    # Spark 4 decodes only the standard Unicode / ASCII / Latin-1 charsets unless the full
+    # Java charset list is enabled; GBK logs need it.
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    schema = StructType([StructField("value", StringType())])
-    return (spark.read.schema(schema).option("encoding", charset).option("sep", "\u0001")
-            .option("quote", "\u0000").option("escape", "\u0000").option("header", "false")
-            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-            .csv(path))
+    return lines.select(F.decode(F.col("value").cast("binary"), charset).alias("value"))
 
 
 def scan_encoded(spark: SparkSession, path: str, charset: str, fmt: str = "text",
@@ -86,11 +86,15 @@ def scan_encoded(spark: SparkSession, path: str, charset: str, fmt: str = "text"
 
 
 def parse_delimited(lines: DataFrame, sep: str, names: Sequence[str], n_fields: int | None = None,
-                    header_first_field: str | None = None, regex: bool = False) -> DataFrame:
+                    header_first_field: str | None = None, regex: bool = False,
+                    first_line_is_header: bool = False) -> DataFrame:
     """SRC-6/7/8 on a DataFrame of lines: split on ``sep``; keep lines with exactly
-    ``n_fields`` fields (a malformed line is dropped, not failed); drop header lines
-    whose first field equals ``header_first_field``; name the fields."""
-    import re
+    ``n_fields`` fields (a malformed line is dropped, not failed); drop header lines —
+    those whose first field equals ``header_first_field``, or those equal to the input's
+    first line (one line is read for it); name the fields."""
+    if first_line_is_header:
+        for header in lines.head(1):
+            lines = lines.where(F.col("value") != header["value"])
     pattern = sep if regex else re.escape(sep)
     parts = F.split(F.col("value"), pattern, -1)
     n = n_fields or len(names)
@@ -102,10 +106,11 @@ def parse_delimited(lines: DataFrame, sep: str, names: Sequence[str], n_fields:
 
 def scan_delimited(spark: SparkSession, path: str, sep: str, names: Sequence[str],
                    n_fields: int | None = None, header_first_field: str | None = None,
-                   charset: str | None = None) -> DataFrame:
+                   charset: str | None = None, first_line_is_header: bool = False) -> DataFrame:
     """SRC-6/7/8: delimited text (``,`` ``\\t`` ``|``) with field-count validation,
     header dropping and optional decoding."""
-    return parse_delimited(scan_lines(spark, path, charset), sep, names, n_fields, header_first_field)
+    return parse_delimited(scan_lines(spark, path, charset), sep, names, n_fields, header_first_field,
+                           first_line_is_header=first_line_is_header)
 
 
 def scan_table(spark: SparkSession, name: str, where: Column | None = None) -> DataFrame:
@@ -135,7 +140,7 @@ def scan_keyed(spark: SparkSession, path: str, start: str, stop: str, names: Seq
     Parquet table sorted by key; the range predicate is pushed to the scan and
     prunes row groups), with the composite key split into named columns."""
     df = _reader(spark, fmt).load(path).where((F.col(key_col) >= start) & (F.col(key_col) < stop))
-    parts = F.split(F.col(key_col), sep, len(names))
+    parts = F.split(F.col(key_col), re.escape(sep), len(names))
     return df.select(*[parts[i].alias(n) for i, n in enumerate(names)],
                      *[c for c in df.columns if c != key_col])
 
@@ -146,11 +151,15 @@ def scan_optional(spark: SparkSession, path: str, schema: StructType, fmt: str =
     try:
         return spark.read.format(fmt).schema(schema).load(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if _path_missing(e):
             return spark.createDataFrame([], schema)
         raise
 
 
+def _path_missing(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
+
+
 def scan_multi_vendor(spark: SparkSession, specs: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]],
                       charset: str | None = None) -> DataFrame:
     """SRC-13: for each (path pattern, parser) whose input exists, read the lines and
@@ -161,8 +170,10 @@ def scan_multi_vendor(spark: SparkSession, specs: Sequence[tuple[str, Callable[[
         try:
             lines = scan_lines(spark, pattern, charset)
             lines.schema  # resolves the path now, so a missing input is skipped here
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if _path_missing(e):
+                continue
+            raise
         frames.append(parser(lines))
     if not frames:
         raise FileNotFoundError("none of the vendor inputs exists")

@@ -151,12 +151,15 @@ def compact(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet",
 
 def advance_breakpoint(state: DataFrame, updates: DataFrame) -> DataFrame:
     """SNK-12: monotone (current, last) cycle per job name.  ``state``: (name, curr,
-    last); ``updates``: (name, cycle).  The new current cycle is the greatest cycle
-    seen and the new last the second greatest, so an out-of-order (older) cycle
-    never moves ``curr`` back.  Each name folds at most a handful of values."""
-    vals = (state.select("name", F.col("curr").alias("cycle"))
-            .unionByName(state.select("name", F.col("last").alias("cycle")))
-            .unionByName(updates.select("name", "cycle"))
-            .where(F.col("cycle").isNotNull()))
-    top = vals.groupBy("name").agg(F.sort_array(F.collect_set("cycle"), asc=False).alias("c"))
-    return top.select("name", F.col("c")[0].alias("curr"), F.col("c")[1].alias("last"))
+    last); ``updates``: (name, cycle).  A cycle at or after the current one becomes the
+    current, and the one before it the last: a re-run of the current cycle therefore sets
+    ``last`` to it too, as the reference does.  An older cycle changes nothing."""
+    known = state.select("name", F.col("curr").alias("__curr"))
+    fresh = (updates.where(F.col("cycle").isNotNull()).join(known, "name", "left")
+             .where(F.col("__curr").isNull() | (F.col("cycle") >= F.col("__curr"))).select("name", "cycle"))
+    values = (state.select("name", F.col("curr").alias("cycle"))
+              .unionAll(state.select("name", F.col("last").alias("cycle"))).unionAll(fresh))
+    order = Window.partitionBy("name").orderBy(F.col("cycle").desc_nulls_last())
+    top = values.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= 2)
+    return top.groupBy("name").agg(F.max(F.when(F.col("__k") == 1, F.col("cycle"))).alias("curr"),
+                                   F.max(F.when(F.col("__k") == 2, F.col("cycle"))).alias("last"))
