@@ -125,16 +125,48 @@ def test_multi_dim_rows_owned_domain_single_row(spark):
     assert sorted(r.vpdndomain for r in rows) == ["d1", "d2", "d2"]   # owned: 1 row; not owned: all domains
 
 
-def test_tagged_summary_company_level_not_doubled(spark):
-    users = spark.createDataFrame([(1, "C1", "1", "0", "d1,d2")], "mdn int, companycode string, isvpdn string, "
-                                                                  "isdirect string, vpdndomain string")
-    auth = spark.createDataFrame([(1, "3g", "success", dt.datetime(2024, 1, 1))],
-                                 "mdn int, net string, result string, starttime timestamp_ntz")
-    out = M.auth_summary(auth, users, F.lit("c")).collect()
-    company = [r for r in out if r.servtype is None and r.type is None]
-    assert company[0].req_cnt == 1
-    domains = sorted((r.vpdndomain, r.req_cnt) for r in out if r.vpdndomain is not None and r.type is None)
-    assert domains == [("d1", 1), ("d2", 1)]
+SERVICE_USERS = ("mdn int, companycode string, isvpdn string, isdirect string, iscommon string, vpdndomain string")
+
+
+def test_auth_service_follows_the_records_own_domain(spark):
+    users = spark.createDataFrame([(1, "C1", "1", "0", "0", "d1,d2"), (2, "C1", "1", "1", "0", "d1")], SERVICE_USERS)
+    t = dt.datetime(2024, 1, 1)
+    auth = spark.createDataFrame([(1, "3g", "success", t, "1@d1"), (1, "3g", "failed", t, "1@zz"),
+                                  (2, "4g", "success", t, "2@d1")],
+                                 "mdn int, net string, result string, starttime timestamp_ntz, nai string")
+    out = [r for r in M.auth_summary(auth, users, F.lit("c")).collect() if r.type is None]
+    got = {(r.servtype, r.vpdndomain): (r.req_cnt, r.req_card_cnt, r.req_card_f_cnt) for r in out}
+    assert got == {(None, None): (3, 2, 1), ("C", None): (1, 1, 0), ("C", "d1"): (1, 1, 0),
+                   ("P", None): (1, 1, 1), ("D", None): (1, 1, 0)}
+
+
+def test_user_flags_are_tested_independently(spark):
+    users = spark.createDataFrame([(1, "C1", "1", "1", "0", "d1,d2"), (2, "C1", "0", "0", "0", "d1"),
+                                   (3, "C1", "0", "1", "1", "")], SERVICE_USERS)
+    t = dt.datetime(2024, 1, 1)
+    log = spark.createDataFrame([(m, "3g", "success", t) for m in (1, 2, 3)],
+                                "mdn int, net string, result string, starttime timestamp_ntz")
+    out = [r for r in M.mme_summary(log, users, F.lit("c"), F.lit(True)).collect() if r.type is None]
+    assert {(r.servtype, r.vpdndomain): r.req_cnt for r in out} == {
+        (None, None): 3, ("D", None): 2, ("C", None): 1, ("C", "d1"): 1, ("C", "d2"): 1, ("P", None): 1}
+    ev = spark.createDataFrame([(m, "Start", None, "3g") for m in (1, 2, 3)],
+                               "mdn int, status string, cause string, net string")
+    out = [r for r in SS.login_logout_summary(ev, users, F.lit("c")).collect() if r.net == "-1"]
+    # here the common flag only counts where the direct one is not set
+    assert {(r.servtype, r.domain): r.logincnt for r in out} == {
+        ("-1", None): 3, ("D", None): 2, ("C", None): 1, ("C", "d1"): 1, ("C", "d2"): 1}
+
+
+def test_terminals_keep_users_of_unknown_devices(spark):
+    users = spark.createDataFrame([(1, "00000007xxxxxxx", "C1", "1", "1", "a,b"), (2, "99999999xxxxxxx", "", "0", "1", ""),
+                                   (3, None, "C9", "0", "0", "")],
+                                  "mdn int, imei string, companycode string, isvpdn string, isdirect string, vpdndomain string")
+    companies = spark.createDataFrame([("C1", "P1"), ("C9", None)], "companycode string, provincecode string")
+    devices = spark.createDataFrame([(7, "phone", "m")], "tac int, devicetype string, modelname string")
+    got = {tuple(r) for r in D.terminal_stats(users, companies, devices).collect()}
+    assert got == {("phone", "m", "P1", "C1", "C", "-1", 1), ("phone", "m", "P1", "C1", "C", "a", 1),
+                   ("phone", "m", "P1", "C1", "C", "b", 1), (None, None, "N999999999", "P999999999", "D", "-1", 1),
+                   (None, None, "N999999999", "C9", "P", "-1", 1)}
 
 
 def test_sector_lifecycle_dormant_resets_first_use(spark):
