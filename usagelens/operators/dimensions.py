@@ -123,7 +123,8 @@ def company_counts(users: DataFrame, label: str) -> DataFrame:
         F.count(F.lit(1)).alias("totalSum"), A.count_if(F.col("isdirect") == "1").alias("directSum"),
         A.count_if(F.col("isvpdn") == "1").alias("vpdnSum"))
     r = W.global_rank(per, ["directSum"], "directRank", tiebreak=["companycode"])
-    r = W.global_rank(r, ["vpdnSum"], "vpdnRank", tiebreak=["companycode"])
+    v = W.global_rank(per, ["vpdnSum"], "vpdnRank", tiebreak=["companycode"])
+    r = r.join(v.select("companycode", "vpdnRank"), "companycode")
     total = users.agg(F.lit("-1").alias("companycode"), F.count(F.lit(1)).alias("totalSum"),
                       A.count_if(F.col("isdirect") == "1").alias("directSum"),
                       A.count_if(F.col("isvpdn") == "1").alias("vpdnSum"),

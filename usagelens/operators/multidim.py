@@ -235,8 +235,8 @@ def area_rank(metrics: DataFrame, stations: DataFrame, measures: Mapping[str, tu
     ``metrics``: (cycle, enbid, net, <measure columns>).  With ``prefix_len`` the
     station dimension is keyed by an id prefix (3G stations by a 4-character prefix,
     JN-16).  All-network rows are told by the grouping id, so rows whose network is null
-    keep a group of their own.  Ranks are positions that split a large group over
-    many tasks (:func:`windows.positions_within`)."""
+    keep a group of their own.  A rank group holds one aggregated row per station at most,
+    so its size is bounded by the station register and one window serves at every size."""
     b = stations.select(F.col("enbid").cast("string").alias("bkey"), F.col("provname").alias("prov"),
                         F.col("cityname").alias("city"))
     key = F.col("enbid").cast("string")
@@ -256,8 +256,7 @@ def area_rank(metrics: DataFrame, stations: DataFrame, measures: Mapping[str, tu
                                      F.lit("t")).otherwise(F.col("net"))).drop("gid"))
     part = ["cycle", "level", "net"]
     for name, (req, _succ) in measures.items():
-        out = W.positions_within(out, part, [(req, False), "prov", "city", "enbid"],
-                                 pos=f"{name}_rank", size="__n").drop("__n")
+        out = W.rank_within(out, part, [req], f"{name}_rank", tiebreak=["prov", "city", "enbid"])
     sel = ["cycle", "level", "net", "prov", "city", "enbid"]
     for name, (req, succ) in measures.items():
         sel.append(F.col(req).cast("bigint").alias(f"{name}_req"))
@@ -267,6 +266,54 @@ def area_rank(metrics: DataFrame, stations: DataFrame, measures: Mapping[str, tu
     return out.select(*sel)
 
 
+SLOT_COUNTERS = ["ma_sn", "ma_rn", "a_sn", "a_rn", "f_d", "f_u", "o_ln", "o_fln"]
+STATION_KEYS = ["cycle", "csd", "nettype", "provname", "cityname", "enbid", "enbname"]
+
+
+def station_counters(slots: DataFrame, cycle: Column, stations3g: DataFrame, stations4g: DataFrame,
+                     unknown_label: str | None = "0") -> DataFrame:
+    """AN-24 front half: counters per (cycle, company-service-domain key, network, station)
+    with the station's place.  3G stations are found by the first four characters of their
+    id, 4G stations by the whole id; a station that is not registered keeps its rows under
+    '0'.  A 3G name is ``id_city``, a 4G name the register's label (``unknown_label``, or the
+    id itself when that is None).  Rows without a network match no station."""
+    places = stations3g.select(F.lit("3g").alias("__net"), F.col("bsidpre").alias("__key"), "provname", "cityname",
+                               F.lit(None).cast("string").alias("zhlabel")).unionByName(
+        stations4g.select(F.lit("4g").alias("__net"), F.col("enbid").alias("__key"), "provname", "cityname", "zhlabel"))
+    key = F.when(F.col("nettype") == "3g", F.substring("enbid", 1, 4)).otherwise(F.col("enbid"))
+    per = slots.groupBy(cycle.alias("cycle"), "csd", "nettype", "enbid").agg(
+        *[F.sum(c).alias(c) for c in SLOT_COUNTERS])
+    j = per.join(J.sized(places), (per["nettype"] == F.col("__net")) & (key == F.col("__key")), "left")
+    unknown = F.col("enbid") if unknown_label is None else F.lit(unknown_label)
+    name = F.when(F.col("nettype") == "3g", F.concat_ws("_", "enbid", "cityname")).otherwise(
+        F.coalesce("zhlabel", unknown))
+    return j.select("cycle", "csd", "nettype", F.coalesce("provname", F.lit("0")).alias("provname"),
+                    F.coalesce("cityname", F.lit("0")).alias("cityname"), "enbid", name.alias("enbname"),
+                    *SLOT_COUNTERS)
+
+
+def station_ranks(counters: DataFrame, base: DataFrame | None = None, top: int = 1000) -> DataFrame:
+    """AN-24: stations ranked inside (cycle, company-service-domain key, network) by attach
+    requests, authentication requests, volume and failed logouts, and inside (cycle, key)
+    over all networks by volume; with success ratios.  ``base`` (rows of the same form, the
+    stored part of the day) is added first: the day horizon.  Stations stay that are below
+    ``top`` in any rank (the reference keeps ``rank < 1000``).  A rank group holds one
+    aggregated row per station at most; all but the total rank share one shuffle."""
+    rows = counters if base is None else counters.unionByName(base)
+    agg = (rows.groupBy(*STATION_KEYS).agg(*[F.sum(c).cast("bigint").alias(c) for c in SLOT_COUNTERS])
+           .withColumn("f_t", F.col("f_d") + F.col("f_u")))
+    ranks = {"ma_rank": (["nettype"], "ma_rn"), "a_rank": (["nettype"], "a_rn"), "f_rank": (["nettype"], "f_t"),
+             "f_total_rank": ([], "f_t"), "o_rank": (["nettype"], "o_fln")}
+    keep = F.lit(False)
+    for name, (net, measure) in ranks.items():
+        tie = ["enbid", "nettype", "provname", "cityname", "enbname"]
+        agg = W.rank_within(agg, ["cycle", "csd", *net], [measure], name, tiebreak=tie)
+        keep = keep | (F.col(name) < top)
+    ratio = lambda s, r: F.when(F.col(r) > 0, F.col(s).cast("double") / F.col(r)).otherwise(F.lit(0.0))
+    return agg.where(keep).select(*STATION_KEYS, *SLOT_COUNTERS, "f_t", ratio("ma_sn", "ma_rn").alias("ma_ratio"),
+                                  ratio("a_sn", "a_rn").alias("a_ratio"), *ranks)
+
+
 def interval_summary(log: DataFrame, dims: Sequence[str], seconds: int, origin: int = 0,
                      label_fmt: str = "yyyyMMddHHmm") -> DataFrame:
     """AN-34: per interval (label = interval end, PRJ-6) and dimensions: attempts,

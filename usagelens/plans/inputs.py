@@ -198,6 +198,43 @@ def signalling(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("10.1."), station_of(spark, sf_dir).cast("string")).alias("pdsnip"))
 
 
+def station_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored station counters as the realtime jobs leave them (one row per event here):
+    time, csd (company_service_domain key), nettype (may be missing), enbid, and the counters
+    ma (attach), a (authentication), f (volume) and o (logins / failed logouts).
+
+    A 3G station id carries a cell digit after its four-character station part."""
+    log = signalling(spark, sf_dir)
+    u = users(spark, sf_dir).select("mdn", "companycode", "isvpdn")
+    number = F.col("enbid").cast("string")
+    part = F.lpad(F.conv(number, 10, 36), 4, "0")
+    one = lambda cond: F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    ok, proc = F.col("result") == "success", F.col("procedure")
+    return log.join(sized(u), "mdn").select(
+        F.col("starttime").alias("time"),
+        F.concat("companycode", F.when(F.col("isvpdn") == "1", F.lit("_C_-1")).otherwise(F.lit("_P_-1"))).alias("csd"),
+        F.col("net").alias("nettype"),
+        F.when(F.col("net") == "3g", F.concat(part, (F.col("event_id") % 10).cast("string")))
+        .otherwise(number).alias("enbid"),
+        one((proc == "attach") & ok).alias("ma_sn"), one(proc == "attach").alias("ma_rn"),
+        one((proc == "auth") & ok).alias("a_sn"), one(proc == "auth").alias("a_rn"),
+        F.when(proc == "tau", F.col("delay")).otherwise(F.lit(0)).cast("bigint").alias("f_d"),
+        F.when(proc == "paging", F.col("delay")).otherwise(F.lit(0)).cast("bigint").alias("f_u"),
+        one(proc == "detach").alias("o_ln"), one((proc == "detach") & ~ok).alias("o_fln"))
+
+
+def stations_3g(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3G station register: bsidpre (four characters), provname, cityname."""
+    return stations(spark, sf_dir).select(
+        F.lpad(F.conv(F.col("enbid").cast("string"), 10, 36), 4, "0").alias("bsidpre"), "provname", "cityname")
+
+
+def stations_4g(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4G station register: enbid, provname, cityname, zhlabel."""
+    return stations(spark, sf_dir).select(F.col("enbid").cast("string").alias("enbid"), "provname", "cityname",
+                                          F.col("stationname").alias("zhlabel"))
+
+
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Radius-like session events: signup = Start, purchase = Stop, others Interim.
 

@@ -59,6 +59,19 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 2 = 0 THEN '3g' ELSE '4g' END AS net,
                       '10.1.' || CAST((event_id * 7919) % (SELECT max(s_suppkey) + 1 FROM supplier) AS VARCHAR) AS pdsnip
                FROM events""", ()),
+    "station_slots": ("""SELECT l.starttime AS time, u.companycode || CASE WHEN u.isvpdn = '1' THEN '_C_-1' ELSE '_P_-1' END AS csd,
+                      l.net AS nettype,
+                      CASE WHEN l.net = '3g' THEN lpad(to_base(l.enbid, 36), 4, '0') || CAST(l.event_id % 10 AS VARCHAR)
+                           ELSE CAST(l.enbid AS VARCHAR) END AS enbid,
+                      CAST(l.procedure = 'attach' AND l.result = 'success' AS BIGINT) AS ma_sn,
+                      CAST(l.procedure = 'attach' AS BIGINT) AS ma_rn,
+                      CAST(l.procedure = 'auth' AND l.result = 'success' AS BIGINT) AS a_sn,
+                      CAST(l.procedure = 'auth' AS BIGINT) AS a_rn,
+                      CASE WHEN l.procedure = 'tau' THEN l.delay ELSE 0 END AS f_d,
+                      CASE WHEN l.procedure = 'paging' THEN l.delay ELSE 0 END AS f_u,
+                      CAST(l.procedure = 'detach' AS BIGINT) AS o_ln,
+                      CAST(l.procedure = 'detach' AND l.result <> 'success' AS BIGINT) AS o_fln
+               FROM signalling l JOIN users u ON l.mdn = u.mdn""", ("signalling", "users")),
     "session_events": ("""SELECT event_id, user_id AS mdn, CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id,
                       CASE WHEN event_type = 'signup' THEN 'Start'
                            WHEN event_type = 'purchase' THEN 'Stop' ELSE 'Interim' END AS status,
