@@ -116,12 +116,12 @@ def test_online_sessions_start_without_stop(spark):
 def test_multi_dim_rows_owned_domain_single_row(spark):
     users = spark.createDataFrame([(1, "C1", "d1,d2", "1", "0")], "mdn int, companycode string, vpdndomain string, "
                                                                  "isvpdn string, isdirect string")
-    v = spark.createDataFrame([(1, 9, 1, 1, dt.datetime(2024, 1, 1), "1@d2"), (1, 9, 1, 1, dt.datetime(2024, 1, 1), "1@zz")],
-                              "mdn int, bsid int, upflow bigint, downflow bigint, starttime timestamp_ntz, nai string")
-    empty_ha = v.drop("nai").limit(0)
-    empty_4g = v.drop("nai").withColumn("apn", F.lit("a")).limit(0)
+    t = dt.datetime(2024, 1, 1)
+    v = spark.createDataFrame([("vpdn3g", 1, 9, 1, 1, t, "1@d2", "a"), ("vpdn3g", 1, 9, 1, 1, t, "1@zz", "a")],
+                              "klass string, mdn int, bsid int, upflow bigint, downflow bigint, "
+                              "starttime timestamp_ntz, nai string, apn string")
     apn = spark.createDataFrame([("d1", "a")], "vpdndomain string, apn string")
-    rows = M.multi_dim_rows(v, empty_ha, empty_4g, users, apn).collect()
+    rows = M.multi_dim_rows(v, users, apn).collect()
     assert sorted(r.vpdndomain for r in rows) == ["d1", "d2", "d2"]   # owned: 1 row; not owned: all domains
 
 

@@ -47,22 +47,17 @@ def platform_split(left: DataFrame, right: DataFrame, users: DataFrame,
 
 
 def activity_flags(users: DataFrame, usage: DataFrame, cutoff: Column) -> DataFrame:
-    """JN-11 / JN-12 / JN-13 / JN-22 per company: users with usage (left semi), users
-    whose first use is before ``cutoff`` (semi join with an extra predicate on the
-    per-user first use), users without usage (left anti), and the share flagged by a
-    membership join."""
+    """JN-11 / JN-12 / JN-13 / JN-22 per company: users, users with usage, users whose
+    first use is before ``cutoff`` and users without usage.  The semi, anti and membership
+    questions all ask about the same per-user aggregate, so one left join and conditional
+    counts answer them."""
     firsts = usage.groupBy("mdn").agg(F.min("starttime").alias("first_use"))
-    u = users.select("mdn", "companycode")
-    active = J.semi(u, firsts, "mdn").groupBy("companycode").agg(F.count(F.lit(1)).alias("active"))
-    early = J.semi(u, firsts, "mdn", condition=firsts["first_use"] < cutoff) \
-        .groupBy("companycode").agg(F.count(F.lit(1)).alias("early"))
-    idle = J.anti(u, firsts, "mdn").groupBy("companycode").agg(F.count(F.lit(1)).alias("idle"))
-    flagged = J.membership_flag(u, firsts, "mdn", "mdn").groupBy("companycode").agg(
-        F.sum("is_member").alias("flagged"), F.count(F.lit(1)).alias("users"))
-    out = flagged.join(active, "companycode", "left").join(early, "companycode", "left") \
-        .join(idle, "companycode", "left")
-    return out.select("companycode", "users", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-                                                 for c in ("flagged", "active", "early", "idle")])
+    j = users.select("mdn", "companycode").join(firsts.withColumn("is_member", F.lit(1)), "mdn", "left")
+    j = j.withColumn("is_member", F.coalesce("is_member", F.lit(0)))
+    member = F.col("is_member") == 1
+    return j.groupBy("companycode").agg(
+        F.count(F.lit(1)).alias("users"), A.count_if(member).alias("flagged"), A.count_if(member).alias("active"),
+        A.count_if(member & (F.col("first_use") < cutoff)).alias("early"), A.count_if(~member).alias("idle"))
 
 
 def message_pairs(sms: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:

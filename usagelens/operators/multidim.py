@@ -27,42 +27,34 @@ SERVICE_SETS = [["companycode"], ["companycode", "type"], ["companycode", "servt
                 ["companycode", "servtype", "vpdndomain", "type"]]
 
 
-def multi_dim_rows(vpdn3g: DataFrame, ha3g: DataFrame, pgw4g: DataFrame, users: DataFrame,
-                   apn_map: DataFrame) -> DataFrame:
-    """AN-20 front half: three record classes normalised to
-    (companycode, type, mdn, servtype, vpdndomain, bsid, upflow, downflow, starttime).
-
-    * 3G VPDN records (VPDN users only): the NAI domain when the user owns it,
-      otherwise one row per domain of the user (explode of the domain list);
-      service 'C'.
-    * 3G home-agent records: service 'D' for direct users else 'P'; domain '-1'.
-    * 4G records: APN → domain through ``apn_map``, matched only when the user
-      owns that domain (equality + ``array_contains`` join condition, JN-14);
-      service 'D' direct / 'C' VPDN owning the domain / 'P'; domain the matched
-      domain for non-direct owners, else '-1'."""
+def multi_dim_rows(records: DataFrame, users: DataFrame, apn_map: DataFrame) -> DataFrame:
+    """AN-20 front half: records of three classes normalised to (companycode, type, mdn,
+    servtype, vpdndomain, bsid, upflow, downflow, starttime) in one pass.
+
+    ``records``: klass ('vpdn3g', 'ha3g' or 'pgw4g'), mdn, bsid, upflow, downflow, starttime,
+    nai (3G VPDN) and apn (4G).  Every class reads the same user row; what differs is the
+    service and the list of domains a record counts for, which is exploded at the end:
+
+    * 3G VPDN (VPDN users only): service 'C'; the NAI's domain when the user owns it, else
+      every domain of the user;
+    * 3G home agent: 'D' for direct users else 'P'; no domain ('-1');
+    * 4G: the APN's domain counts when the user owns it — 'D' direct, 'C' VPDN owning the
+      domain, else 'P'; the domain is kept for non-direct owners, else '-1'."""
     u = users.select("mdn", "companycode", "vpdndomain", "isvpdn", "isdirect")
-    nai_dom = C.domain_of("nai")
-    v = (vpdn3g.join(J.sized(u.where(F.col("isvpdn") == "1")), "mdn")
-         .withColumn("doms", F.when(F.array_contains(F.split("vpdndomain", ","), nai_dom), F.array(nai_dom))
-                     .otherwise(F.split("vpdndomain", ",")))
-         .select("companycode", F.lit("3g").alias("type"), "mdn", F.lit("C").alias("servtype"),
-                 F.explode("doms").alias("vpdndomain"), "bsid", "upflow", "downflow", "starttime"))
-    h = (ha3g.join(J.sized(u), "mdn")
-         .select("companycode", F.lit("3g").alias("type"), "mdn",
-                 F.when(F.col("isdirect") == "1", "D").otherwise("P").alias("servtype"),
-                 F.lit("-1").alias("vpdndomain"), "bsid", "upflow", "downflow", "starttime"))
-    p4 = pgw4g.join(J.sized(u), "mdn")
+    owned = F.split("vpdndomain", ",")
     m = apn_map.select(F.col("apn").alias("m_apn"), F.col("vpdndomain").alias("m_dom"))
-    owns = F.array_contains(F.split(p4["vpdndomain"], ","), m["m_dom"])
-    j = p4.join(J.sized(m), (p4["apn"] == m["m_apn"]) & owns, "left")
-    owned = F.col("m_dom").isNotNull()
-    g = j.select("companycode", F.lit("4g").alias("type"), "mdn",
-                 F.when(F.col("isdirect") == "1", "D").when((F.col("isvpdn") == "1") & owned, "C")
-                 .otherwise("P").alias("servtype"),
-                 F.when((F.col("isdirect") != "1") & owned, F.col("m_dom")).otherwise(F.lit("-1")).alias("vpdndomain"),
-                 "bsid", F.coalesce("upflow", F.lit(0)).alias("upflow"),
-                 F.coalesce("downflow", F.lit(0)).alias("downflow"), "starttime")
-    return v.unionByName(h).unionByName(g)
+    is4g, isvpdn3g = F.col("klass") == "pgw4g", F.col("klass") == "vpdn3g"
+    direct, vpdn = F.col("isdirect") == "1", F.col("isvpdn") == "1"
+    j = (records.join(J.sized(u), "mdn").where(~isvpdn3g | vpdn)
+         .join(J.sized(m), is4g & (F.col("apn") == F.col("m_apn")) & F.array_contains(owned, F.col("m_dom")), "left"))
+    own_apn, nai_dom = F.col("m_dom").isNotNull(), C.domain_of("nai")
+    none = F.array(F.lit("-1"))
+    domains = (F.when(isvpdn3g, F.when(F.array_contains(owned, nai_dom), F.array(nai_dom)).otherwise(owned))
+               .when(is4g & own_apn & ~direct, F.array(F.col("m_dom"))).otherwise(none))
+    serv = F.when(isvpdn3g | (is4g & vpdn & ~direct & own_apn), "C").when(direct, "D").otherwise("P")
+    flow = lambda c: F.when(is4g, F.coalesce(c, F.lit(0))).otherwise(F.col(c)).alias(c)
+    return j.select("companycode", F.when(is4g, "4g").otherwise("3g").alias("type"), "mdn", serv.alias("servtype"),
+                    F.explode(domains).alias("vpdndomain"), "bsid", flow("upflow"), flow("downflow"), "starttime")
 
 
 def multi_dim_usage(rows: DataFrame, cycle: Column | None = None) -> DataFrame:

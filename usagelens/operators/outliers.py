@@ -116,8 +116,10 @@ def movement_outlier(usage: DataFrame, keys: Sequence[str], cell: str = "cellid"
     counted = usage if record_filter is None else usage.where(record_filter)
     movers = (counted.groupBy(*keys, *subject).agg(F.count_distinct(cell).alias("cnt"))
               .where(F.col("cnt") > max_cells).drop("cnt"))
-    # Partial collect_set per map task dedups cells before the shuffle.
-    cells = usage.groupBy(*subject).agg(F.concat_ws(",", F.sort_array(F.collect_set(cell))).alias("cells"))
+    # Only the movers' records are gathered; the partial collect_set of a map task dedups
+    # cells before the shuffle.
+    of_movers = usage.join(movers.select(*subject).distinct(), subject, "left_semi")
+    cells = of_movers.groupBy(*subject).agg(F.concat_ws(",", F.sort_array(F.collect_set(cell))).alias("cells"))
     return movers.join(cells, subject)
 
 

@@ -260,7 +260,9 @@ def day_aggregate(usage: DataFrame, users: DataFrame, stations: DataFrame, cycle
     # Aggregate on the record's own narrow keys first, then attach the user and station
     # attributes to the (much smaller) aggregate; the dimension keys are unique, so the
     # result equals enriching every record before grouping.
-    agg = (usage.groupBy(cycle.alias("cycle"), "mdn", "enbid", "prov", F.col("cellid").alias("eci"),
+    # Records of users outside the filter go first: a map-side semi join where the users fit.
+    kept = usage.join(J.sized(u.select("mdn")), "mdn", "left_semi")
+    agg = (kept.groupBy(cycle.alias("cycle"), "mdn", "enbid", "prov", F.col("cellid").alias("eci"),
                          F.col("nai_domain").alias("apn"), "tac")
            .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
                 F.count("mdn").alias("sessions"), F.sum("duration").alias("duration"),

@@ -266,22 +266,22 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("result"))
 
 
-def record_classes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three usage record classes of the multi-dimension reports, by network
-    flag: 'A' = 3G VPDN records (with an NAI ``mdn@domain``), 'N' = 3G home-agent
-    records, 'R' = 4G records (with an APN ``apn.<domain>``); plus the APN → domain
-    map, derived from the domains the records use."""
-    u = usage_records(spark, sf_dir)
-    base = ["mdn", F.col("enbid").alias("bsid"), "upflow", "downflow", "starttime"]
-    return {
-        "vpdn3g": u.where(F.col("net") == "A").select(
-            *base, F.concat(F.col("mdn").cast("string"), F.lit("@"), F.col("nai_domain")).alias("nai")),
-        "ha3g": u.where(F.col("net") == "N").select(*base),
-        "pgw4g": u.where(F.col("net") == "R").select(
-            *base, F.concat(F.lit("apn."), F.col("nai_domain")).alias("apn")),
-        "apn_map": u.select(F.col("nai_domain").alias("vpdndomain"),
-                            F.concat(F.lit("apn."), F.col("nai_domain")).alias("apn")).distinct(),
-    }
+def classified_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage records with the class that wrote them (``klass``), by network flag: 'A' = 3G
+    VPDN records (with an NAI ``mdn@domain``), 'N' = 3G home-agent records, 'R' = 4G records
+    (with an APN ``apn.<domain>``)."""
+    u = usage_records(spark, sf_dir).where(F.col("net").isin("A", "N", "R"))
+    klass = F.when(F.col("net") == "A", "vpdn3g").when(F.col("net") == "N", "ha3g").otherwise("pgw4g")
+    return u.select(klass.alias("klass"), "mdn", F.col("enbid").alias("bsid"), "upflow", "downflow", "starttime",
+                    F.concat(F.col("mdn").cast("string"), F.lit("@"), F.col("nai_domain")).alias("nai"),
+                    F.concat(F.lit("apn."), F.col("nai_domain")).alias("apn"))
+
+
+def apn_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """APN → domain register: one APN per domain that a terminal is set up for."""
+    domain = F.concat(F.lit("d"), (F.col("p_partkey") % 7).cast("string"))
+    return (table(spark, sf_dir, "part").select(domain.alias("vpdndomain")).distinct()
+            .withColumn("apn", F.concat(F.lit("apn."), "vpdndomain")))
 
 
 def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,8 +109,8 @@ _CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                       mdn, enbid AS bsid, upflow, downflow, starttime,
                       CAST(mdn AS VARCHAR) || '@' || nai_domain AS nai, 'apn.' || nai_domain AS apn
                FROM usage_rec WHERE net IN ('A', 'N', 'R')""", ("usage_rec",)),
-    "apn_map": ("""SELECT DISTINCT nai_domain AS vpdndomain, 'apn.' || nai_domain AS apn FROM usage_rec""",
-                ("usage_rec",)),
+    "apn_map": ("""SELECT DISTINCT 'd' || CAST(p_partkey % 7 AS VARCHAR) AS vpdndomain,
+                      'apn.d' || CAST(p_partkey % 7 AS VARCHAR) AS apn FROM part""", ()),
     "operation_log": ("""SELECT CAST(e.user_id AS VARCHAR) AS mdn,
                       CASE WHEN e.event_id % 2 = 0 THEN 'HLR' ELSE 'HSS' END AS logtype,
                       CASE WHEN e.event_type = 'signup' THEN 'open' WHEN e.event_type = 'purchase' THEN 'close'

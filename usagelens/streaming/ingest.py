@@ -100,13 +100,15 @@ def running_online(events: DataFrame, keys: Sequence[str], start_status: str = "
 
 def upsert_batches(df: DataFrame, path: str, name: str, keys: Sequence[str],
                    available_now: bool = True, trigger_seconds: int = 300) -> StreamingQuery:
-    """Update-mode result rows appended per micro-batch with the batch id, so the
+    """Update-mode result rows written per micro-batch into a partition of its id, so the
     newest row per key (the current value) can be read back with
-    :func:`latest_versions`; the stream itself never collects to the driver."""
+    :func:`latest_versions`; a batch that is replayed after a failure replaces its own
+    partition.  The stream itself never collects to the driver."""
     spark = df.sparkSession
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
     w = (df.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", query_checkpoint(spark, name)).queryName(name))
@@ -118,7 +120,7 @@ def latest_versions(spark: SparkSession, path: str, keys: Sequence[str]) -> Data
     """Newest row per key among the appended batches (max batch id, ``max_by``)."""
     df = spark.read.parquet(path)
     cols = [c for c in df.columns if c not in keys and c != "batch_id"]
-    picked = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("batch_id"))
+    picked = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("batch_id").cast("bigint"))
     return df.groupBy(*keys).agg(picked.alias("p")).select(*keys, "p.*")
 
 
@@ -130,43 +132,21 @@ def rerun_slot(batch_summary: DataFrame, slot_filter: Column, path: str, partiti
     write_partitioned(batch_summary.where(slot_filter), path, partition_cols)
 
 
-# Output and state of the per-session tracker.
-SESSION_OUT_SCHEMA = "mdn long, session_id string, is_open boolean, enbid long, net string"
-SESSION_STATE_SCHEMA = "stopped boolean, last_us long, enbid long, net string"
-
-
-def track_sessions(events: DataFrame, time_col: str = "time") -> DataFrame:
-    """ST-8 as a custom stateful operator (``applyInPandasWithState``): the open /
-    closed status and latest station of every session, updated as records arrive
-    (update mode).  The state per session is four scalars; the pandas function only
-    sees one session's new records at a time.  Event time is passed as wall-clock
-    microseconds (zone independent)."""
-    # Defined here (not at module level) so it is shipped to the Python workers by
-    # value and does not need this package importable on the executors.
-    def fold(key, batches, state):
-        """One session's new records folded into its state: a stop closes it; the
-        latest non-stop record (time, then station id) gives the station."""
-        import pandas as pd
-        if state.exists:
-            stopped, last_us, enbid, net = state.get
-        else:
-            stopped, last_us, enbid, net = False, None, None, None
-        for pdf in batches:
-            if (pdf["status"] == "Stop").any():
-                stopped = True
-            live = pdf[pdf["status"] != "Stop"]
-            if len(live):
-                top = live.sort_values(["t_us", "enbid"]).iloc[-1]
-                cand = (int(top["t_us"]), int(top["enbid"]))
-                if last_us is None or cand > (last_us, enbid):
-                    last_us, enbid, net = cand[0], cand[1], top["net"]
-        state.update((bool(stopped), last_us, enbid, net))
-        yield pd.DataFrame({"mdn": [int(key[0])], "session_id": [key[1]],
-                            "is_open": [not stopped and last_us is not None], "enbid": [enbid], "net": [net]})
-
-    t_us = (F.unix_timestamp(time_col) * 1_000_000
-            + F.date_format(time_col, "SSSSSS").cast("bigint"))
-    rows = events.select(F.col("mdn").cast("bigint").alias("mdn"), "session_id", "status",
-                         F.col("enbid").cast("bigint").alias("enbid"), "net", t_us.alias("t_us"))
-    return rows.groupBy("mdn", "session_id").applyInPandasWithState(
-        fold, SESSION_OUT_SCHEMA, SESSION_STATE_SCHEMA, "update", "NoTimeout")
+def track_sessions(events: DataFrame, time_col: str = "time", watermark: str = "1 day") -> DataFrame:
+    """ST-8: open / closed status and latest station of every session, kept in the state
+    store by a native update-mode aggregation and updated as records arrive: a stop closes
+    the session; the latest other record (time, then station id) gives the station.
+
+    Sessions are told apart per day of their records, and that day is the event-time key of
+    the state: once the watermark has passed it, the day's state is dropped."""
+    ntz = dict(events.dtypes)[time_col] == "timestamp_ntz"
+    et = F.timestamp_seconds(F.unix_timestamp(time_col)) if ntz else F.col(time_col)
+    live = F.col("status") != "Stop"
+    agg = (events.withColumn("__et", et).withWatermark("__et", watermark)
+           .groupBy(F.window("__et", "1 day").alias("__day"), "mdn", "session_id")
+           .agg(F.max(F.when(live, F.lit(0)).otherwise(F.lit(1))).alias("__stopped"),
+                F.max(F.when(live, F.struct(F.col(time_col).alias("at"), F.col("enbid"), F.col("net"))))
+                .alias("__last")))
+    return agg.select(F.col("mdn").cast("bigint").alias("mdn"), "session_id",
+                      ((F.col("__stopped") == 0) & F.col("__last").isNotNull()).alias("is_open"),
+                      F.col("__last.enbid").cast("bigint").alias("enbid"), F.col("__last.net").alias("net"))
