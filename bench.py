@@ -3,8 +3,10 @@
 Runs each query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints one JSON line.  Every query is executed with the
 ``noop`` sink: the whole plan runs (scans, shuffles, aggregates) but nothing is
-collected to the driver.  Each query runs ``$BENCH_REPEAT`` times (default 2) and the
-best time counts, so JVM warm-up is not billed to the first query.
+collected to the driver.  Each query runs ``$BENCH_REPEAT`` times (default 2); the best
+time counts in ``queries`` and ``value``.  ``first`` has each query's first run, with JVM
+warm-up and the size checks of its dimensions (later runs remember those), and ``spread``
+the slowest run over the fastest.
 """
 
 from __future__ import annotations
@@ -40,18 +42,20 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2))))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions)
-    times: dict[str, float] = {}
+    runs: dict[str, list[float]] = {}
     for name in names:
-        best = float("inf")
+        runs[name] = []
         for _ in range(repeat):
             t0 = time.perf_counter()
             catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            best = min(best, time.perf_counter() - t0)
-        times[name] = round(best, 3)
+            runs[name].append(time.perf_counter() - t0)
+    times = {name: round(min(r), 3) for name, r in runs.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat,
-                      "shuffle_partitions": partitions}))
+                      "shuffle_partitions": partitions,
+                      "first": {n: round(r[0], 3) for n, r in runs.items()},
+                      "spread": {n: round(max(r) / min(r), 2) for n, r in runs.items()}}))
     spark.stop()
 
 
