@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import predicates as P
 from . import aggregates as A
 from . import joins as J
 from .summaries import NATION
@@ -67,3 +68,16 @@ def message_pairs(sms: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
     j = J.role_join(sms.withColumn("cycle", cycle), u, "caller", "mdn", "calling_", ["custid"])
     j = J.role_join(j, u, "callee", "mdn", "called_", ["custid"])
     return j.groupBy("cycle", "calling_custid", "called_custid").agg(F.count(F.lit(1)).alias("msgs"))
+
+
+def hourly_cause_listing(events: DataFrame, time_col: str = "time") -> DataFrame:
+    """SRT-3: stop causes counted per hour, listed in hour order (records without a cause are
+    left out)."""
+    hour = F.date_format(time_col, "yyyyMMddHH")
+    return (events.where(P.not_blank("cause")).groupBy(hour.alias("hourid"), "cause")
+            .agg(F.count(F.lit(1)).alias("tercase")).orderBy("hourid", "cause"))
+
+
+def by_level(summary: DataFrame, id_col: str = "gid") -> DataFrame:
+    """SRT-1: a grouping-sets result listed by grouping id, coarse keys of a level together."""
+    return summary.orderBy(id_col, *[c for c in summary.columns if c != id_col])

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import predicates as P
+
 
 def count_if(cond: Column) -> Column:
     """AG-4: ``count(case when cond then 1 end)``."""
@@ -114,7 +116,7 @@ def unpivot_measures(df: DataFrame, ids: Sequence[str], measures: Mapping[str, s
     ``measures`` maps the label written to ``type_col`` to the source column."""
     src = df.select(*ids, *[F.col(c).alias(label) for label, c in measures.items()])
     long = src.unpivot(list(ids), list(measures.keys()), type_col, value_col)
-    return long.where(F.col(value_col) != 0) if drop_zero else long
+    return long.where(P.nonzero(value_col)) if drop_zero else long
 
 
 def tagged_explode(df: DataFrame, tags: Column, names: Sequence[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import predicates as P
 from . import windows as W
 
 
@@ -90,7 +91,7 @@ def slot_history(series: DataFrame, keys: Sequence[str], days_ago: int = 7,
 def backfill(series: DataFrame, src_day: str, dst_day: str, t0: str, t1: str) -> DataFrame:
     """AN-49: replace the slots [t0, t1) of ``dst_day`` by the same slots of
     ``src_day`` (other rows unchanged)."""
-    in_slice = (F.col("slot") >= t0) & (F.col("slot") < t1)
+    in_slice = P.half_open("slot", t0, t1)
     keep = series.where(~((F.col("day") == F.lit(dst_day).cast("date")) & in_slice))
     copied = series.where((F.col("day") == F.lit(src_day).cast("date")) & in_slice) \
         .withColumn("day", F.lit(dst_day).cast("date"))

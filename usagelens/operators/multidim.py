@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import predicates as P
 from . import aggregates as A
 from . import joins as J
 from . import windows as W
@@ -71,7 +72,7 @@ def multi_dim_usage(rows: DataFrame, cycle: Column | None = None) -> DataFrame:
         (F.sum("upflow").cast("double") / F.count("upflow").cast("double")).alias("avgupflow"),
         (F.sum("downflow").cast("double") / F.count("downflow").cast("double")).alias("avgdownflow")],
         id_col="gid")
-    return agg.where(F.col("vpdndomain").isNull() | (F.col("vpdndomain") != "-1"))
+    return agg.where(P.not_sentinel_group("vpdndomain"))
 
 
 STATION_SETS = [["companycode", "type", "bsid"], ["companycode", "servtype", "type", "bsid"],
@@ -84,7 +85,7 @@ def multi_dim_station_usage(rows: DataFrame, cycle: Column) -> DataFrame:
     sets = [["cycle", *st] for st in STATION_SETS]
     agg = A.grouping_sets(rows.withColumn("cycle", cycle), sets,
                           [F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow")], id_col="gid")
-    return agg.where(F.col("vpdndomain").isNull() | (F.col("vpdndomain") != "-1"))
+    return agg.where(P.not_sentinel_group("vpdndomain"))
 
 
 def active_users_dim(rows: DataFrame, users: DataFrame) -> DataFrame:
@@ -93,7 +94,7 @@ def active_users_dim(rows: DataFrame, users: DataFrame) -> DataFrame:
     r = rows.join(J.sized(users.select("mdn", "beloprov")), "mdn")
     sets = [["beloprov", *s] for s in SERVICE_SETS]
     agg = A.grouping_sets(r, sets, [F.count_distinct("mdn").alias("active_users")], id_col="gid")
-    return agg.where(F.col("vpdndomain").isNull() | (F.col("vpdndomain") != "-1"))
+    return agg.where(P.not_sentinel_group("vpdndomain"))
 
 
 def tagged_service_summary(tagged: DataFrame, keys_before: Sequence[str], extra_dim: str,

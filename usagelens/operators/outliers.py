@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import predicates as P
 from . import joins as J
 from . import windows as W
 
@@ -97,7 +98,7 @@ def message_outlier(sms: DataFrame, users: DataFrame, cycle: Column,
     customers = per_number.groupBy("summ_cycle", *keys).agg(
         (F.sum("calling_cnt") + F.sum("called_cnt")).alias("total_cnt"),
         (F.count(F.when(F.col("calling_cnt") > 0, 1)) + F.count(F.when(F.col("called_cnt") > 0, 1))).alias("cnt"))
-    qualifying = customers.where(F.col("cnt") > min_numbers).drop("cnt")
+    qualifying = customers.where(P.having("cnt", ">", min_numbers)).drop("cnt")
     both = per_number.where((F.col("calling_cnt") > 0) & (F.col("called_cnt") > 0)) \
         .withColumn("calls_cnt", F.col("calling_cnt") + F.col("called_cnt"))
     j = both.join(qualifying, ["summ_cycle", *keys])
@@ -115,7 +116,7 @@ def movement_outlier(usage: DataFrame, keys: Sequence[str], cell: str = "cellid"
     subject = list(subject)
     counted = usage if record_filter is None else usage.where(record_filter)
     movers = (counted.groupBy(*keys, *subject).agg(F.count_distinct(cell).alias("cnt"))
-              .where(F.col("cnt") > max_cells).drop("cnt"))
+              .where(P.having("cnt", ">", max_cells)).drop("cnt"))
     # Only the movers' records are gathered; the partial collect_set of a map task dedups
     # cells before the shuffle.
     of_movers = usage.join(movers.select(*subject).distinct(), subject, "left_semi")
@@ -128,5 +129,5 @@ def device_outlier(usage: DataFrame, devices: DataFrame, keys: Sequence[str],
     """AN-10: distinct (keys, subject, device type) whose terminal (TAC) maps to a
     disallowed device type.  The device table is filtered to the disallowed types
     before the join, so only matching terminals are joined."""
-    bad = devices.where(F.col("devicetype").isin(*disallowed)).select("tac", "devicetype")
+    bad = devices.where(P.in_set("devicetype", disallowed)).select("tac", "devicetype")
     return usage.join(J.sized(bad), "tac").select(*keys, subject, "devicetype").distinct()

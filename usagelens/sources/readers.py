@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions import predicates as P
+
 
 def _reader(spark: SparkSession, fmt: str, schema: StructType | None = None):
     r = spark.read.format(fmt)
@@ -27,9 +29,7 @@ def scan_partition(spark: SparkSession, path: str, fmt: str = "parquet", **parti
     """SRC-1: one time partition (``d=.., h=.., m5=..``) — or a whole day when only
     ``d`` is given — as a pruned predicate on the partition columns."""
     df = _reader(spark, fmt).load(path)
-    for col, value in partition.items():
-        df = df.where(F.col(col) == F.lit(value))
-    return df
+    return df.where(P.partition_is(partition)) if partition else df
 
 
 def scan_range(spark: SparkSession, path: str, col: str, lo: str, hi: str, fmt: str = "parquet",
