@@ -32,10 +32,10 @@ from usagelens.llm.components import components
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
-RUN_BYTES = 2_000_000
-FLUSH_TOKENS = 1_500_000
+RUN_BYTES = 1_000_000
+FLUSH_TOKENS = 600_000
 BLOCK_DOCS = 2_048            # largest cluster, and largest block, compared in one place
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 400_000
 
 _U = np.uint64
 _K = _U(0x9E3779B97F4A7C15)
@@ -49,7 +49,7 @@ class WordHashes(dict):
     """64-bit hash of a word; bounded cache of a worker."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -129,13 +129,19 @@ def frequency_class(df: np.ndarray) -> np.ndarray:
 
 def settle(parts):
     """Documents' sizes pass through; tokens of two or more rows go back to their rows."""
-    posted = []
+    posted: dict[int, list] = {}
     for batch in parts:
         rows = batch.to_pylist()
         yield from to_batches(r for r in rows if r["kind"])
-        posted += [(r["token"], r["row"], r["n"]) for r in rows if not r["kind"]]
-    if not posted:
-        return
+        for r in rows:
+            if not r["kind"]:
+                posted.setdefault(r["bucket"], []).append((r["token"], r["row"], r["n"]))
+    while posted:
+        yield from settle_bucket(posted.popitem()[1])
+
+
+def settle_bucket(posted: list[tuple]):
+    """The shared tokens of one bucket, packed for their rows' home buckets."""
     buckets = int.from_bytes(posted[0][2], "little")
     token = np.frombuffer(b"".join(p[0] for p in posted), np.uint64)
     row = np.frombuffer(b"".join(p[1] for p in posted), np.int64)
@@ -161,9 +167,16 @@ def home(row: np.ndarray, buckets: int) -> np.ndarray:
 def assemble(parts):
     """One row per document: size, fingerprint, number of shared tokens, and those tokens
     (by class, then token) where they can still reach the threshold."""
-    rows = [r for batch in parts for r in batch.to_pylist()]
-    info, posts = [r for r in rows if r["kind"] == 1], [r for r in rows if r["kind"] == 2]
-    del rows
+    by_bucket: dict[int, tuple[list, list]] = {}
+    for batch in parts:
+        for r in batch.to_pylist():
+            by_bucket.setdefault(r["bucket"], ([], []))[r["kind"] - 1].append(r)
+    while by_bucket:
+        yield from assemble_bucket(*by_bucket.popitem()[1])
+
+
+def assemble_bucket(info: list[dict], posts: list[dict]):
+    """The documents of one home bucket."""
     row, n = field(info, "row", np.int64), field(info, "n", np.int64)
     fp = field(info, "fp", np.uint8).reshape(-1, 16)
     who, token = field(posts, "row", np.int64), field(posts, "token", np.uint64)
@@ -347,6 +360,7 @@ def shingle_documents(rows: DataFrame) -> DataFrame:
                     tokens, owners, seen, size = [], [], set(), 0
         if size:
             yield from to_batches(flush())
+        word_hashes().clear()      # learned again in no time; other operators need the memory
 
     posted = rows.select("row", "text").mapInArrow(post, POSTS)
     shared = posted.repartition(parts, "bucket").mapInArrow(settle, POSTS)
@@ -406,7 +420,9 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     spark = prepare(docs.sparkSession)
     rows = numbered(docs)
     sets = shingle_documents(rows)
-    same = (sets.where("n > 0").groupBy("n", "fp").agg(F.min("row").alias("rep")))
+    # A table of its own: Spark then splits a large group of copies in the join below.
+    same = materialize(sets.where("n > 0").groupBy("n", "fp").agg(F.min("row").alias("rep")),
+                       "set-representatives")
     own = sets.select("row", "n", "fp").join(same, ["n", "fp"], "left").select(
         "row", "n", F.coalesce("rep", "row").alias("rep"))
     own = materialize(own, "set-copies")

@@ -38,8 +38,8 @@ GRAM = 32
 SPAN = WINDOW - GRAM                # an anchor starts 0..SPAN bytes into its window
 RUN_BYTES = 1_500_000
 FLUSH_ENTRIES = 600_000
-LOCAL_CONTEXTS = 32
-GROUP_CONTEXTS = 4_096
+LOCAL_CONTEXTS = 128
+GROUP_CONTEXTS = 50_000           # at 168 bytes each
 POSITION_BITS = 24                  # positions inside a run of texts
 MARK = 255                          # entry length that stands for "this anchor is hot"
 
@@ -198,7 +198,7 @@ def verdict_batch(row, first, last, anchor, verdict) -> pa.RecordBatch:
 
 def settle(batches_in):
     """Step 2 over the posts of a partition; a task's own verdicts pass through."""
-    posted: list[dict] = []
+    posted: dict[int, list[dict]] = {}
     for batch in batches_in:
         for r in batch.to_pylist():
             if r["kind"]:
@@ -206,9 +206,14 @@ def settle(batches_in):
                                     joined([r], "length", np.uint32),
                                     joined([r], "ahead", np.uint32), r["kind"])
             else:
-                posted.append({k: r[k] for k in ("key", "digest", "row", "start", "length", "ahead")})
-    if not posted:
-        return
+                posted.setdefault(r["bucket"], []).append(
+                    {k: r[k] for k in ("key", "digest", "row", "start", "length", "ahead")})
+    while posted:
+        yield from settle_bucket(posted.popitem()[1])
+
+
+def settle_bucket(posted: list[dict]):
+    """Verdicts on the posts of one bucket (all posts of a key are in one bucket)."""
     key, digest = joined(posted, "key", np.uint64), joined(posted, "digest", np.uint64)
     row, first = joined(posted, "row", np.int64), joined(posted, "start", np.uint32)
     length, ahead = joined(posted, "length", np.uint8), joined(posted, "ahead", np.uint8)

@@ -45,7 +45,7 @@ class PieceCache(dict):
     and only the ``frequent`` part stays, so a worker's memory is bounded.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
