@@ -310,12 +310,14 @@ def repeats(key, row, anchor, length, ahead, left, right):
     left_rank = np.empty(len(key), np.int64)
     left_rank[left_order] = np.arange(len(key))
     low, high = ahead.astype(np.int64), ahead.astype(np.int64) + length
-    out: list[tuple[int, int, int]] = []
+    # Bit o of a member: the window starting o bytes before its anchor goes.  Intervals nest,
+    # so a window may be met many times; it is reported once.
+    gone = [0] * len(key)
 
     def remove(member: int, shortest: int, longest: int) -> None:
         a, b = max(shortest, int(low[member])), min(longest, int(high[member]))
         if a <= b:
-            out.append((int(row[member]), int(anchor[member]) - b, int(anchor[member]) - a))
+            gone[member] |= ((1 << (b - a + 1)) - 1) << a
 
     cuts = np.append(run_starts(key[right_order]), len(key))
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -332,6 +334,14 @@ def repeats(key, row, anchor, length, ahead, left, right):
                 for member in group.tolist():
                     if member != keeper:
                         remove(member, WINDOW - r, depth)
+    out: list[tuple[int, int, int]] = []
+    for member, bits in enumerate(gone):
+        while bits:
+            a = (bits & -bits).bit_length() - 1
+            run = bits >> a
+            n = (~run & (run + 1)).bit_length() - 1          # ones from bit a on
+            out.append((int(row[member]), int(anchor[member]) - a - n + 1, int(anchor[member]) - a))
+            bits = (run >> n) << (a + n)
     return out
 
 
