@@ -80,6 +80,16 @@ def test_large_clusters_in_blocks(spark, monkeypatch):
     check(spark, corpus(2, groups=4, copies=30))
 
 
+def test_copies_met_in_descending_order(spark, monkeypatch):
+    monkeypatch.setattr(J, "RUN_BYTES", 1)
+    texts = corpus(3)
+    texts = texts[:60] + texts + texts[30:]
+    want, edges = brute(texts)
+    df = frame(spark, texts).coalesce(1).sortWithinPartitions("doc_id", ascending=False)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_classes(df).collect()}
+    assert got == want and len(edges) > 50
+
+
 def test_prefixes_of_similar_sets_meet_under_every_order():
     rng = np.random.default_rng(0)
     for _ in range(200):

@@ -344,7 +344,7 @@ def shingle_documents(rows: DataFrame) -> DataFrame:
                 n, fp = fingerprints(who, token, len(run))
                 yield from to_batches(packed(1, home(row, buckets), row=row,
                                              n=n.astype(np.int64), fp=fp))
-                # Copies of a set inside the task are posted once (by their smallest row).
+                # Copies of a set inside the task are posted once, by the row met first.
                 first = np.zeros(len(run), bool)
                 for i in np.argsort(row, kind="stable").tolist():
                     k = (int(n[i]), fp[i].tobytes())
@@ -421,13 +421,16 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     rows = numbered(docs)
     sets = shingle_documents(rows)
     # A table of its own: Spark then splits a large group of copies in the join below.
-    same = materialize(sets.where("n > 0").groupBy("n", "fp").agg(F.min("row").alias("rep")),
-                       "set-representatives")
+    # The smallest row names the copies; its tokens may have been posted by another of them.
+    holder = F.min(F.when(F.col("tokens").isNotNull(), F.col("row")))
+    same = materialize(sets.where("n > 0").groupBy("n", "fp").agg(
+        F.min("row").alias("rep"), holder.alias("holder")), "set-representatives")
     own = sets.select("row", "n", "fp").join(same, ["n", "fp"], "left").select(
-        "row", "n", F.coalesce("rep", "row").alias("rep"))
+        "row", "n", F.coalesce("rep", "row").alias("rep"), "holder")
     own = materialize(own, "set-copies")
     alive = materialize(sets.where("tokens is not null").join(
-        own.where("row = rep").select("row"), "row"), "candidate-sets")
+        own.where("row = holder").select("row", "rep"), "row").select(
+        F.col("rep").alias("row"), "n", "fp", "shared", "tokens", "cls"), "candidate-sets")
     groups, hub_links = cluster_groups(alive)
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = (groups.repartition(parts, "grp").sortWithinPartitions("grp")
