@@ -78,6 +78,35 @@ def test_anchor_entries_cover_every_window_once():
     assert (S.hash_rows(grams) == key).all()
 
 
+def long_texts(seed):
+    rng = random.Random(seed)
+    passage = "".join(rng.choices("abcdé 漢", k=500))
+    return ["".join(rng.choices("abcdé 漢", k=3000)) + passage + "y" * 700 + passage,
+            passage * 4, "z" * 2000, "".join(rng.choices("xyz", k=1500)) + passage]
+
+
+def test_long_texts_in_pieces_have_the_entries_of_whole_texts(monkeypatch):
+    texts = [t.encode() for t in long_texts(5)]
+    whole = S.Entries(8)
+    whole.add(np.arange(len(texts)), texts)
+    want = sorted(zip(*(np.concatenate(x).tolist() for x in zip(*whole.parts, strict=True)),
+                      strict=True))
+    monkeypatch.setattr(S, "POSITION_BITS", 10)
+    with pytest.raises(ValueError):
+        S.Entries(8).add(np.arange(len(texts)), texts)
+    for limit in (S.WINDOW + S.SPAN + 1, 400, 500):
+        pieces = S.Entries(8)
+        for _ in pieces.fill(list(enumerate(texts)), limit):
+            pass
+        got = zip(*(np.concatenate(x).tolist() for x in zip(*pieces.parts, strict=True)), strict=True)
+        assert sorted(got) == want and pieces.size == len(want)
+
+
+def test_long_texts_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "RUN_BYTES", 300)
+    check(spark, long_texts(6) + corpus(7) + long_texts(6)[1:])
+
+
 def test_stack_scan_lists_the_interval_tree():
     assert sorted(S.stack_scan([-1, 5, 5, 2, 7], 1)) == [(2, 0, 4), (5, 0, 2), (7, 3, 4)]
     assert list(S.stack_scan([-1], 0)) == []

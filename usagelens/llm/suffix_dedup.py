@@ -8,7 +8,8 @@ anchor by anchor on different machines.  Neighbouring windows with one anchor fo
 entry; the bytes they span are its context.
 
 1. Every task anchors its texts and posts (anchor hash, context digest) once per distinct
-   context; identical contexts inside the task are settled there.
+   context; identical contexts inside the task are settled there.  Long texts are anchored
+   in pieces that begin where an entry begins, so no entry is cut.
 2. Per anchor hash, contexts with equal digests are settled: all but the earliest go.
    Where different contexts meet at an anchor, their bytes are asked for.
 3. For those a suffix array of the anchors' right-hand bytes and one of their left-hand
@@ -61,6 +62,8 @@ def power(base: np.uint64, n: int) -> np.uint64:
 def anchors(buf: np.ndarray, begin: np.ndarray, end: np.ndarray):
     """Entries of a run of texts: text index, first and last window start, anchor, its hash
     and the digest of the context.  Positions are positions in ``buf``."""
+    if len(buf) > 1 << POSITION_BITS:
+        raise ValueError(f"a run of {len(buf)} bytes has positions beyond {POSITION_BITS} bits")
     v = _BYTE[buf]
     h, k = v, 1
     while k < GRAM:
@@ -100,15 +103,36 @@ class Entries:
         self.parts: list[tuple] = []
         self.size = 0
 
-    def add(self, rows: np.ndarray, texts: list[bytes]) -> None:
-        """Anchors of texts of at least WINDOW bytes."""
+    def fill(self, pairs: list[tuple[int, bytes]], limit: int):
+        """Adds (row, text) pairs in runs of about ``limit`` bytes, longer texts in pieces of
+        that size; yields after each, for the caller to flush."""
+        short = [p for p in pairs if len(p[1]) <= limit]
+        for run in batches(short, lambda p: len(p[1]), limit):
+            self.add(np.array([r for r, _ in run], np.int64), [t for _, t in run])
+            yield
+        for row, text in pairs:
+            at, more = 0, len(text) > limit
+            while more:
+                more = at + limit < len(text)
+                at = self.add(np.array([row], np.int64), [text[at:at + limit]], at, more)
+                yield
+
+    def add(self, rows: np.ndarray, texts: list[bytes], at: int = 0, more: bool = False) -> int:
+        """Anchors of texts of at least WINDOW bytes, or of one piece that begins at ``at``.
+
+        With ``more`` to come the last entry may go on behind the piece: it is left to the
+        next one, which has to begin at the position returned.
+        """
         lengths = np.array([len(t) for t in texts])
         end = np.cumsum(lengths)
         buf = np.frombuffer(b"".join(texts), np.uint8)
         owner, first, last, anchor, key, digest = anchors(buf, end - lengths, end)
-        base = (end - lengths)[owner]
-        self.parts.append((key, digest, rows[owner], first - base, last - base, anchor - base))
-        self.size += len(key)
+        base = (end - lengths)[owner] - at
+        n = len(key) - more
+        self.parts.append(tuple(x[:n] for x in (key, digest, rows[owner], first - base,
+                                                last - base, anchor - base)))
+        self.size += n
+        return at + int(first[-1])
 
     def flush(self):
         """Posts (one row per bucket) and the task's own verdicts."""
@@ -394,8 +418,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
             pairs = [(r, t.encode()) for r, t in zip(batch.column(0).to_pylist(),
                                                      batch.column(1).to_pylist(), strict=True)]
             long_enough = [p for p in pairs if len(p[1]) >= WINDOW]
-            for run in batches(long_enough, lambda p: len(p[1]), RUN_BYTES):
-                entries.add(np.array([r for r, _ in run], np.int64), [t for _, t in run])
+            for _ in entries.fill(long_enough, RUN_BYTES):
                 if entries.size >= FLUSH_ENTRIES:
                     yield from in_batches(entries.flush())
         yield from in_batches(entries.flush())
