@@ -51,6 +51,37 @@ def test_cross_parsing_equals_substring_search():
             assert cost[i, k] == pytest.approx(n * math.log2(len(ref)))
 
 
+def script(rng, first, letters, n):
+    """Words of a script of many letters, frequent ones first."""
+    return "".join(" " if rng.random() < 0.1 else chr(first + int(letters ** rng.random()) - 1)
+                   for _ in range(n))
+
+
+def test_every_language_has_all_letters_of_its_reference(monkeypatch):
+    rng = random.Random(5)
+    samples = tuple((lang, script(rng, first, 1500, 6000)) for lang, first in
+                    (("aa", 0x4E00), ("bb", 0x4E00 + 700), ("cc", 0xAC00)))
+    texts = [script(rng, first, 1500, 200) for first in (0x4E00, 0x4E00 + 700, 0xAC00)] + [
+        samples[1][1][3000:3100], "漢zzz漢字", "abc", samples[2][1][:50] + "qq" + samples[0][1][9:60]]
+    for dense in (L.DENSE_LETTERS, 3):
+        monkeypatch.setattr(L, "DENSE_LETTERS", dense)
+        m = L.Model(samples)
+        cost, _ = m.costs(texts)
+        for i, t in enumerate(texts):
+            text = "".join(map(chr, L.normalised(t)))
+            for k, (_, sample) in enumerate(samples):
+                ref = "".join(map(chr, L.normalised(sample)))
+                assert cost[i, k] == pytest.approx(phrases(text, ref) * math.log2(len(ref)))
+
+
+def test_reference_takes_evenly_from_all_texts():
+    texts = [f"{chr(0x4E00 + i)} " + "some words " * 300 for i in range(48)] + ["short", ""]
+    letters = set(L.normalised(L.even_reference(texts))[:L.REFERENCE_CHARS].tolist())
+    assert {0x4E00 + i for i in range(48)} <= letters
+    assert len(L.normalised(L.even_reference(texts))) > 0.99 * L.REFERENCE_CHARS
+    assert L.even_reference(["a b!", "c"]) == "a b c"
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     rows = {r.doc_id: r for r in QUERIES["op1_language_id"](spark, sf_dir).collect()}
     truth = documents(spark, sf_dir).collect()

@@ -8,8 +8,10 @@ of pointing at a phrase), wins.
 
 Reading an automaton from its root, a failed step restarts at the root with the same
 letter, so the greedy parse is itself a deterministic automaton: a dense table gives next
-state and "a phrase begins here" for (state, letter).  Blocks of many texts step through
-that table together, one vectorised step per letter.
+state and "a phrase begins here" for (state, letter).  Every language has all letters of
+its reference as its own alphabet; transitions by letters beyond the DENSE_LETTERS most
+frequent ones stand in a sorted array instead of the table.  Blocks of many texts step
+through the tables together, one vectorised step per letter.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ SAMPLE_TEXTS = 48         # labelled texts per language, picked by hash (bounded
 REFERENCE_CHARS = 24_000  # normalised letters of them that make a language's reference
 BLOCK = 1024              # phrases do not cross blocks of this many normalised letters
 BATCH_CHARS = 3_000_000
-MAX_ALPHABET = 250
+DENSE_LETTERS = 250       # letters of a language with a column in its parse table
 PREDICTED = "__predicted_language"
 
 _LETTER: dict[str, np.ndarray] = {}
@@ -87,28 +89,57 @@ def suffix_automaton(letters: list[int]) -> list[dict[int, int]]:
 
 
 class Reference:
-    """Parse table of one language over a shared alphabet (class 0: any other letter)."""
+    """Parse table of one language (``letters``: classes 1..n_classes - 1 of its reference)."""
 
     def __init__(self, letters: np.ndarray, n_classes: int):
-        edges = suffix_automaton(letters.tolist())
+        seen = np.bincount(letters, minlength=n_classes)
+        alphabet = np.argsort(-seen, kind="stable")[:np.count_nonzero(seen)]
+        # The language's own letters from 1 on, most frequent first; 0: a letter it lacks.
+        self.own = np.zeros(n_classes, np.int32)
+        self.own[alphabet] = np.arange(1, len(alphabet) + 1)
+        edges = suffix_automaton(self.own[letters].tolist())
         self.bits = float(np.log2(max(len(letters), 2)))
-        self.width = n_classes
-        root = np.ones(n_classes, np.int32)        # unknown letter: a phrase, back to the root
+        self.width = width = min(len(alphabet), DENSE_LETTERS) + 1
+        self.rare = len(alphabet) + 1 - width
+        # Entry: 2 * (row start of the next state) + phrase begins.
+        root = np.ones(len(alphabet) + 1, np.int32)   # letter it lacks: a phrase, back to the root
         for c, t in edges[0].items():
-            root[c] = 2 * t * n_classes + 1
-        table = np.tile(root, (len(edges), 1))
+            root[c] = 2 * t * width + 1
+        table = np.tile(root[:width], (len(edges), 1))
+        rare = {}
         for s, out in enumerate(edges[1:], 1):
             for c, t in out.items():
-                table[s, c] = 2 * t * n_classes
-        # Entry: 2 * (row start of the next state) + phrase begins.
+                if c < width:
+                    table[s, c] = 2 * t * width
+                else:
+                    rare[s * width * self.rare + c - width] = 2 * t * width
         self.table = table.ravel()
+        self.rare_root = root[width:]
+        self.rare_keys = np.array(sorted(rare), np.int64)
+        self.rare_entries = np.array([rare[k] for k in self.rare_keys.tolist()], np.int64)
+
+    def rare_values(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """Entries for letters without a column in the table."""
+        value = self.rare_root[letter - self.width].astype(np.int64)
+        if len(self.rare_keys):
+            wanted = state * self.rare + letter - self.width
+            at = np.minimum(np.searchsorted(self.rare_keys, wanted), len(self.rare_keys) - 1)
+            value = np.where(self.rare_keys[at] == wanted, self.rare_entries[at], value)
+        return value
 
     def phrases(self, steps: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Phrases per lane; ``steps[i, :active[i]]`` are the lanes' i-th letters."""
+        steps = self.own[steps]
         state = np.zeros(steps.shape[1], np.int64)
         count = np.zeros(steps.shape[1], np.int32)
         for i, n in enumerate(active):
-            value = self.table[state[:n] + steps[i, :n]]
+            letter = steps[i, :n]
+            if self.rare:
+                value = self.table[state[:n] + np.minimum(letter, self.width - 1)].astype(np.int64)
+                far = np.flatnonzero(letter >= self.width)
+                value[far] = self.rare_values(state[far], letter[far])
+            else:
+                value = self.table[state[:n] + letter]
             count[:n] += value & 1
             state[:n] = value >> 1
         return count
@@ -119,9 +150,8 @@ class Model:
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         letters = {lang: normalised(text)[:REFERENCE_CHARS] for lang, text in samples}
-        codes, seen = np.unique(np.concatenate([*letters.values(), [32]]), return_counts=True)
-        codes = np.sort(codes[np.argsort(-seen, kind="stable")[:MAX_ALPHABET]])
-        self.classes = np.zeros(0x110000, np.int16)
+        codes = np.unique(np.concatenate([*letters.values(), [32]])).astype(np.int64)
+        self.classes = np.zeros(0x110000, np.int32)      # 0: in no reference
         self.classes[codes] = np.arange(1, len(codes) + 1)
         self.langs = [lang for lang, _ in samples]
         self.references = [Reference(self.classes[letters[x]], len(codes) + 1)
@@ -138,9 +168,9 @@ class Model:
         sizes[np.cumsum(blocks)[full] - 1] = lengths[full] - (blocks[full] - 1) * BLOCK
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
         order = np.argsort(-sizes, kind="stable")
-        flat = np.concatenate(coded) if coded else np.zeros(0, np.int16)
+        flat = np.concatenate(coded) if coded else np.zeros(0, np.int32)
         height = int(sizes.max()) if len(sizes) else 0
-        steps = np.zeros((height, len(order)), np.int16)
+        steps = np.zeros((height, len(order)), np.int32)
         for lane, b in enumerate(order):
             steps[:sizes[b], lane] = flat[starts[b]:starts[b] + sizes[b]]
         active = np.searchsorted(-sizes[order], -np.arange(height), side="left")
@@ -172,6 +202,16 @@ def model(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(samples)
 
 
+def even_reference(texts: list[str]) -> str:
+    """REFERENCE_CHARS normalised letters, as evenly from all texts as their lengths allow."""
+    parts = ["".join(map(chr, normalised(t).tolist())) for t in texts]
+    left = REFERENCE_CHARS + 1
+    for k, i in enumerate(sorted(range(len(parts)), key=lambda i: len(parts[i]))):
+        parts[i] = parts[i][:max(left // (len(parts) - k) - 1, 0)]       # and a space
+        left -= len(parts[i]) + 1
+    return " ".join(parts)
+
+
 def labelled_samples(labelled: DataFrame) -> tuple[tuple[str, str], ...]:
     """Reference text per language from a bounded sample of the labelled rows.
 
@@ -190,8 +230,7 @@ def labelled_samples(labelled: DataFrame) -> tuple[tuple[str, str], ...]:
         texts.setdefault(r.lang, []).append((r.h, r.text))
     out = []
     for lang in sorted(texts):
-        share = max(1, REFERENCE_CHARS * 4 // len(texts[lang]))
-        joined = " ".join(t[:share] for _, t in sorted(texts[lang]))
+        joined = even_reference([t for _, t in sorted(texts[lang])])
         if len(normalised(joined)):
             out.append((lang, joined))
     return tuple(out)
