@@ -234,6 +234,38 @@ def test_rules_query(spark, sf_dir):
     assert sum(got[d].kept for d in clean) >= 0.99 * len(clean)
 
 
+def test_noise_and_boilerplate_are_rejected(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").collect()
+    rng = random.Random(6)
+    english = [d.text for d in docs if d.lang == "en" and len(d.text.split()) >= 60]
+    common = "the that this then than them they there these other another and in".split()
+    noise, boilerplate = [], []
+    for t in english[:8]:
+        words = t.split()
+        some = set(rng.sample(range(len(words)), len(words) // 2))
+        noise.append(" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=len(w)))
+                              if i in some else w for i, w in enumerate(words)))
+        boilerplate.append(" ".join(rng.choices(common, k=120)))
+    rows = [(d.doc_id, d.text, d.lang) for d in docs]
+    rows += [(-1 - i, t, "en") for i, t in enumerate(noise + boilerplate)]
+    got = {r.doc_id: r for r in Q.quality_rules(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string")).collect()}
+    planted = [got[-1 - i] for i in range(16)]
+    assert all(r.log_ppl > r.high for r in planted[:8])
+    assert all(r.log_ppl < r.low and not r.base_failed for r in planted[8:])
+    assert not any(r.kept for r in planted)
+
+
+def test_low_quality_labels_are_rejected(spark, sf_dir):
+    folder = sf_dir.replace("sf0.001", "sf0.01")
+    got = {r.doc_id: r for r in QUERIES["op3_quality_rules"](spark, folder).collect()}
+    labels = [r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()
+              if not got[r.doc_id].base_failed]
+    low = [got[r.doc_id].kept for r in labels if r.quality == 0]
+    clean = [got[r.doc_id].kept for r in labels if r.quality == 1]
+    assert sum(low) <= 0.5 * len(low) and sum(clean) >= 0.99 * len(clean)
+
+
 def test_rules_odd_rows(spark):
     df = spark.createDataFrame([(i, t, None, 0.5, "x") for i, t in enumerate(ODD)], SCHEMA)
     got = Q.quality_rules(df).collect()
