@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 from tests_llm_helpers import compare_with_oracle
 from usagelens.llm import license_scan as S
@@ -54,5 +55,45 @@ def test_scan_by_brute_force(spark):
     assert [r.labels for r in S.license_scan(df.limit(3), templates=()).collect()] == ["", "", "mit"]
 
 
+def test_templates_wrapped_at_72_columns(spark):
+    texts = []
+    for _, body in S.TEMPLATES:
+        lines = textwrap.wrap("some words before it " + body + " and after it", 72)
+        texts.append("int x;\n" + "\n".join(" * " + x for x in lines) + "\nint y;")
+    texts += ["the software is free of charge and is provided to the public\n" * 5, None]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.notices for r in S.license_scan(df).collect()}
+    for i, (label, body) in enumerate(S.TEMPLATES):
+        assert (6, label, 1.0) in {tuple(b) for b in got[i]}
+    assert got[len(texts) - 2] == got[len(texts) - 1] == []
+
+
+def brute_windows(words):
+    """Labels of the templates that some window of their length holds."""
+    out = set()
+    for label, body in S.TEMPLATES:
+        n, t = len(body.split()), set(body.encode().split())
+        if any(100 * len(t & set(words[i:i + n])) >= S.PERCENT * len(t) for i in range(len(words))):
+            out.add(label)
+    return out
+
+
+def test_notices_by_brute_force():
+    rng = random.Random(4)
+    pool = [w for _, t in S.TEMPLATES for w in t.split()] + ["other"] * 20
+    vocabulary = sorted({w.encode() for w in pool})
+    index = S.Templates(S.TEMPLATES, {w: rng.randrange(9) for w in vocabulary}, S.PERCENT)
+    hits = 0
+    for _ in range(400):
+        t = rng.choice(S.TEMPLATES)[1].split()
+        for _ in range(rng.randrange(4)):
+            t.insert(rng.randrange(len(t)), rng.choice(pool))
+        words = " ".join(rng.choices(pool, k=9) + t + rng.choices(pool, k=9)).encode().split()
+        want = brute_windows(words)
+        assert {b["label"] for b in index.notices(words)} == want
+        hits += bool(want)
+    assert 100 < hits
+
+
 def test_oracle(spark, sf_dir):
     compare_with_oracle(spark, sf_dir, "op9_license_scan")

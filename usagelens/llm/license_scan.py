@@ -6,6 +6,10 @@ first; a block that matches must share one of a template's first n - need + 1 wo
 (prefix filter), must have at least ``need`` template words at all (length filter), and
 the positions of the shared word in both ordered sets bound what can still be shared
 (positional filter).  What passes is verified, so every matching block is found.
+
+A notice may be wrapped over several lines.  Notices are windows over the whole word
+sequence, as long as the template, that hold the same share of its distinct words; only
+the words around a prefix word are looked at, and only where enough template words stand.
 """
 
 from __future__ import annotations
@@ -72,6 +76,8 @@ class Templates:
         self.labels = [label for label, _ in sets]
         self.sets = [sorted(self.rank[w] for w in s) for _, s in sets]
         self.members = [frozenset(s) for s in self.sets]
+        self.words = [s for _, s in sets]
+        self.lengths = [len(words_of(t)) for _, t in templates]
         self.need = [-(-len(s) * percent // 100) for s in self.sets]
         self.index: dict[int, list[tuple[int, int]]] = {}
         for t, ranks in enumerate(self.sets):
@@ -106,6 +112,52 @@ class Templates:
         return found
 
 
+    def notices(self, words: list[bytes]) -> list[dict]:
+        """The fullest window of every stretch of windows that hold a template."""
+        if self.hooks.isdisjoint(words):
+            return []
+        near: dict[int, list[int]] = {}
+        for p, w in enumerate(words):
+            if w in self.hooks:
+                for t, _ in self.index[self.rank[w]]:
+                    near.setdefault(t, []).append(p)
+        found = []
+        for t, places in near.items():
+            reach = self.lengths[t] - 1
+            lo, hi = places[0] - reach, places[0] + reach
+            for p in places[1:]:
+                if p - reach > hi:
+                    found += self.stretches(t, words, lo, hi)
+                    lo = p - reach
+                hi = p + reach
+            found += self.stretches(t, words, lo, hi)
+        return found
+
+    def stretches(self, t: int, words: list[bytes], lo: int, hi: int):
+        """Notices of one template whose windows lie in words[lo..hi]."""
+        lo, hi, length, wanted = max(lo, 0), min(hi, len(words) - 1), self.lengths[t], self.words[t]
+        if sum(w in wanted for w in words[lo:hi + 1]) < self.need[t]:
+            return
+        held: Counter = Counter()
+        best, at = 0, 0
+        for i in range(lo, hi + 1):
+            if words[i] in wanted:
+                held[words[i]] += 1
+            gone = i - length
+            if gone >= lo and words[gone] in wanted:
+                held[words[gone]] -= 1
+                if not held[words[gone]]:
+                    del held[words[gone]]
+            if len(held) >= self.need[t]:
+                if len(held) > best:
+                    best, at = len(held), max(gone + 1, lo)
+            elif best:
+                yield {"first_word": at, "label": self.labels[t], "containment": best / len(wanted)}
+                best = 0
+        if best:
+            yield {"first_word": at, "label": self.labels[t], "containment": best / len(wanted)}
+
+
 def base_places(words: list[bytes], phrases: dict[str, str]) -> tuple[list[int], set[str]]:
     """Word positions at which a phrase starts, and the labels found."""
     line = b" " + b" ".join(words) + b" "
@@ -143,11 +195,12 @@ def word_frequencies(docs: DataFrame, words: list[bytes], text: str = "text") ->
 def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates=TEMPLATES,
                  percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels,
-    labels, score, blocks (line, label, containment of every matching block).
+    labels, score, blocks (line, label, containment of every matching block), notices
+    (first_word, label, containment of template-long windows, whatever the line breaks).
 
     ``docs``: doc_id, text; other columns are ignored.  A null text is an empty one: no
     words, no labels, score 0.  ``score`` is 1 where a phrase stands, else the largest
-    containment found, else 0.  Repeated rows give repeated rows; an empty table gives an
+    containment of a block, else 0.  Repeated rows give repeated rows; an empty table gives an
     empty result; without templates only the phrases count.
     """
     prepare(docs.sparkSession)
@@ -165,15 +218,19 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templat
                 blocks.append({"line": number, "label": index.labels[t], "containment": share})
         places, labels = base_places(words, phrases)
         blocks.sort(key=lambda b: (b["line"], b["label"], -b["containment"]))
+        notices = sorted(index.notices(words), key=lambda b: (b["first_word"], b["label"],
+                                                              -b["containment"]))
         score = 1.0 if places else max((b["containment"] for b in blocks), default=0.0)
         return (len(words), len(places), min(places, default=None), max(places, default=None),
                 ",".join(sorted(labels)), ",".join(sorted(labels | {b["label"] for b in blocks})),
-                score, blocks)
+                score, blocks, notices)
 
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.struct(
-        [("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))]
+        [("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())])),
+        pa.list_(pa.struct([("first_word", pa.int64()), ("label", pa.string()),
+                            ("containment", pa.float64())]))]
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
-             "blocks"]
+             "blocks", "notices"]
 
     def scan_batches(parts):
         for batch in parts:
@@ -188,4 +245,6 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templat
             .mapInArrow(scan_batches, "doc_id long, n_words long, n_base long, first_word long, "
                                       "last_word long, base_labels string, labels string, "
                                       "score double, blocks array<struct<line: long, "
+                                      "label: string, containment: double>>, "
+                                      "notices array<struct<first_word: long, "
                                       "label: string, containment: double>>"))
