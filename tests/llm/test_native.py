@@ -42,6 +42,13 @@ def test_reply_tree_paths_and_ranks(spark):
     assert format_reply_trees(df.limit(0)).collect() == []
 
 
+def test_all_branches_are_ranked(spark):
+    rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "a", 2.0),
+            (1, 3, 1, "assistant", "b", 5.0), (1, 4, 2, "user", "c", 3.0), (2, 1, None, "user", "d", 1.0)]
+    got = format_reply_trees(spark.createDataFrame(rows, MESSAGE)).collect()
+    assert {(r.tree_id, r.leaf_id, r.branch_rank) for r in got} == {(1, 4, 1), (1, 3, 2), (2, 1, 1)}
+
+
 def test_deep_chain(spark):
     rows = [(1, i, i - 1, "assistant", str(i), 1.0) for i in range(1, 70)]
     got = read_back(format_reply_trees(spark.createDataFrame(rows, MESSAGE))).collect()

@@ -98,11 +98,9 @@ def format_reply_trees(messages: DataFrame, branches: int | None = None) -> Data
     parents = tables[0].where("up is not null").select("tree", F.col("up").alias("id")).distinct()
     leaves = rooted.join(parents, ["tree", "id"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("steps"), "id")
-    if branches is None:
-        chosen = leaves.withColumn("branch_rank", F.lit(None).cast("int"))
-    else:
-        chosen = leaves.withColumn("branch_rank", F.row_number().over(best)).where(
-            F.col("branch_rank") <= branches)
+    chosen = leaves.withColumn("branch_rank", F.row_number().over(best))
+    if branches is not None:
+        chosen = chosen.where(F.col("branch_rank") <= branches)
     paths = materialize(chosen.select("tree", F.col("id").alias("leaf"), "id", "branch_rank",
                                       F.col("total").alias("branch_score")), "reply-paths")
     for table in reversed(tables[:-1]):
