@@ -132,5 +132,21 @@ def test_repeated_null_and_no_ids(spark):
     assert J.jaccard_classes(df.limit(0)).collect() == []
 
 
+def test_packed_rows_do_not_follow_the_partitions(spark):
+    """Four times the partitions, the same packed rows (and the same entries in them)."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in ("8", "32", "128"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            J.prepare(spark)
+            found.append([(d.count(), d.selectExpr("sum(octet_length(row))").first()[0])
+                          for d in J.packed_posts(J.numbered(docs))])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for (rows, entries), (first_rows, first_entries) in zip(sum(found, []), found[0] * 3, strict=True):
+        assert abs(rows - first_rows) <= first_rows / 10 and entries == first_entries
+
+
 def test_oracle(spark, sf_dir):
     compare_with_oracle(spark, sf_dir, "op6_jaccard_join")

@@ -18,7 +18,7 @@ one are linked through it and their blocks are not compared with each other.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,7 @@ PERCENT = 80
 ORDERS = 3
 RUN_BYTES = 1_000_000
 FLUSH_TOKENS = 600_000
+BUCKET_BYTES = 2_000_000      # text per bucket: tokens and documents are packed by bucket
 BLOCK_DOCS = 2_048            # largest cluster, and largest block, compared in one place
 BLOCK_TOKENS = 400_000
 
@@ -127,22 +128,34 @@ def frequency_class(df: np.ndarray) -> np.ndarray:
     return np.minimum(np.round(8 * np.log2(df)), 255).astype(np.uint8)
 
 
-def settle(parts):
-    """Documents' sizes pass through; tokens of two or more rows go back to their rows."""
+def settle(buckets: int, parts):
+    """Documents' sizes pass through; tokens of two or more rows go back to their rows.
+
+    What all token buckets of the task have found is packed together, so the number of packed
+    rows follows from the tokens and not from how the buckets were dealt.
+    """
     posted: dict[int, list] = {}
     for batch in parts:
         rows = batch.to_pylist()
         yield from to_batches(r for r in rows if r["kind"])
         for r in rows:
             if not r["kind"]:
-                posted.setdefault(r["bucket"], []).append((r["token"], r["row"], r["n"]))
+                posted.setdefault(r["bucket"], []).append((r["token"], r["row"]))
+    found, size = [], 0
     while posted:
-        yield from settle_bucket(posted.popitem()[1])
-
-
-def settle_bucket(posted: list[tuple]):
-    """The shared tokens of one bucket, packed for their rows' home buckets."""
-    buckets = int.from_bytes(posted[0][2], "little")
+        found.append(shared_tokens(posted.popitem()[1]))
+        size += len(found[-1][0])
+        if size >= FLUSH_TOKENS or not posted:
+            token, cls, row = (np.concatenate(x) for x in zip(*found, strict=True))
+            found, size = [], 0
+            for i in np.array_split(np.arange(len(token)), max(1, len(token) // FLUSH_TOKENS)):
+                by_row = i[np.argsort(row[i], kind="stable")]
+                yield from to_batches(packed(2, home(row[by_row], buckets), token=token[by_row],
+                                             cls=cls[by_row], row=row[by_row]))
+
+
+def shared_tokens(posted: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, frequency class, row) of one bucket's tokens that two or more rows hold."""
     token = np.frombuffer(b"".join(p[0] for p in posted), np.uint64)
     row = np.frombuffer(b"".join(p[1] for p in posted), np.int64)
     posted.clear()
@@ -151,12 +164,7 @@ def settle_bucket(posted: list[tuple]):
     starts = run_starts(token)
     df = np.diff(np.append(starts, len(token)))
     many = np.repeat(df > 1, df)
-    cls = np.repeat(frequency_class(df), df)[many]
-    token, row = token[many], row[many]
-    for i in np.array_split(np.arange(len(token)), max(1, len(token) // FLUSH_TOKENS)):
-        by_row = i[np.argsort(row[i], kind="stable")]
-        yield from to_batches(packed(2, home(row[by_row], buckets), token=token[by_row],
-                                     cls=cls[by_row], row=row[by_row]))
+    return token[many], np.repeat(frequency_class(df), df)[many], row[many]
 
 
 def home(row: np.ndarray, buckets: int) -> np.ndarray:
@@ -320,20 +328,30 @@ def hub_distance(parts):
                                          names=["row", "band"])
 
 
-def shingle_documents(rows: DataFrame) -> DataFrame:
-    """SETS of every document of ``rows`` (row, text): steps up to the shared tokens."""
+def bucket_count(rows: DataFrame, parts: int) -> int:
+    """Buckets for tokens and for documents: by the bytes of all texts, at most a few a task.
+
+    A small corpus has few buckets however many partitions there are, so a packed row holds
+    many entries; a large one has a few per task, each of which fits a task's memory.
+    """
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(min(4 * parts, 1 + total // BUCKET_BYTES))
+
+
+def packed_posts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """POSTS of ``rows`` (row, text) by token, and those that go back to the documents."""
     spark = rows.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets = 4 * parts
-    header = np.array([buckets], np.int64).tobytes()
+    buckets = bucket_count(rows, parts)
 
     def post(batches_in):
-        tokens, owners, seen, size = [], [], set(), 0
+        tokens, owners, infos, seen, size = [], [], [], set(), 0
 
         def flush():
             token, row = np.concatenate(tokens), np.concatenate(owners)
-            for p in packed(0, (token % _U(buckets)).astype(np.int64), token=token, row=row):
-                yield {**p, "n": header}
+            yield from packed(0, (token % _U(buckets)).astype(np.int64), token=token, row=row)
+            row, n, fp = (np.concatenate(x) for x in zip(*infos, strict=True))
+            yield from packed(1, home(row, buckets), row=row, n=n, fp=fp)
 
         for batch in batches_in:
             pairs = [(r, t.encode().lower()) for r, t in zip(
@@ -342,8 +360,7 @@ def shingle_documents(rows: DataFrame) -> DataFrame:
                 row = np.array([r for r, _ in run], np.int64)
                 who, token = shingle_sets([t for _, t in run])
                 n, fp = fingerprints(who, token, len(run))
-                yield from to_batches(packed(1, home(row, buckets), row=row,
-                                             n=n.astype(np.int64), fp=fp))
+                infos.append((row, n.astype(np.int64), fp))
                 # Copies of a set inside the task are posted once, by the row met first.
                 first = np.zeros(len(run), bool)
                 for i in np.argsort(row, kind="stable").tolist():
@@ -357,14 +374,20 @@ def shingle_documents(rows: DataFrame) -> DataFrame:
                 size += int(keep.sum())
                 if size >= FLUSH_TOKENS:
                     yield from to_batches(flush())
-                    tokens, owners, seen, size = [], [], set(), 0
-        if size:
+                    tokens, owners, infos, seen, size = [], [], [], set(), 0
+        if infos:
             yield from to_batches(flush())
         word_hashes().clear()      # learned again in no time; other operators need the memory
 
     posted = rows.select("row", "text").mapInArrow(post, POSTS)
-    shared = posted.repartition(parts, "bucket").mapInArrow(settle, POSTS)
-    return materialize(shared.repartition(parts, "bucket").mapInArrow(assemble, SETS), "shingle-sets")
+    return posted, posted.repartition(parts, "bucket").mapInArrow(partial(settle, buckets), POSTS)
+
+
+def shingle_documents(rows: DataFrame) -> DataFrame:
+    """SETS of every document of ``rows`` (row, text): steps up to the shared tokens."""
+    parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shared = packed_posts(rows)[1].repartition(parts, "bucket")
+    return materialize(shared.mapInArrow(assemble, SETS), "shingle-sets")
 
 
 def cluster_groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
