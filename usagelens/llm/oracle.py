@@ -88,6 +88,33 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
+OP12 = """
+WITH doc AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+           CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 8)
+                AS BIGINT) / 4294967296.0 AS coin
+    FROM documents),
+src AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+    FROM doc GROUP BY source),
+filled AS (     -- sources by how soon they are full; k of them are full
+    SELECT *, row_number() OVER o - 1 AS k,
+           1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free,
+           sum(weight) OVER () - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_weight
+    FROM src WINDOW o AS (ORDER BY 2 * source_size / weight, source NULLS LAST)),
+level AS (
+    SELECT CAST(free AS DOUBLE) AS free, CAST(left_weight AS BIGINT) AS left_weight FROM filled
+    WHERE CAST(free AS DOUBLE) * weight / left_weight <= 2 * source_size ORDER BY k LIMIT 1),
+target AS (
+    SELECT source, source_size, least(CAST(2 * source_size AS DOUBLE), free * weight / left_weight) AS target
+    FROM src CROSS JOIN level),
+rate AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM target)
+SELECT doc_id, size, source_size, target,
+       size * CAST(floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken
+FROM doc JOIN rate ON doc.source IS NOT DISTINCT FROM rate.source
+"""
+
 
 def op9(phrases: dict[str, str], templates, percent: int) -> str:
     """SQL of the license scan for given phrases and templates."""

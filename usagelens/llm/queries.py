@@ -12,6 +12,7 @@ from usagelens.llm.decontaminate import contained_items
 from usagelens.llm.jaccard_join import jaccard_classes
 from usagelens.llm.language_id import identify
 from usagelens.llm.license_scan import PERCENT, PHRASES, TEMPLATES, license_scan
+from usagelens.llm.mixing import mixing_plan
 from usagelens.llm.packing import pack
 from usagelens.llm.quality_classifier import quality_scores
 from usagelens.llm.quality_rules import quality_rules
@@ -96,6 +97,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
 
 
+def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes from every document."""
+    plan = mixing_plan(read_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_classifier": op2_quality_classifier,
@@ -107,6 +114,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
+    "op12_mix_sources": op12_mix_sources,
 }
 
 ORACLE: dict[str, str] = {
@@ -115,4 +123,5 @@ ORACLE: dict[str, str] = {
     "op7_suffix_dedup": oracle.OP7,
     "op8_decontaminate": oracle.OP8,
     "op9_license_scan": oracle.op9(PHRASES, TEMPLATES, PERCENT),
+    "op12_mix_sources": oracle.OP12,
 }
