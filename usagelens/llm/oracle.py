@@ -115,6 +115,50 @@ SELECT doc_id, size, source_size, target,
 FROM doc JOIN rate ON doc.source IS NOT DISTINCT FROM rate.source
 """
 
+OP13 = """
+WITH doc AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+label AS (SELECT doc_id, max(quality) AS good, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+    SELECT part, good, toxic, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+           100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d,
+           coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+    FROM doc LEFT JOIN label USING (doc_id)),
+mask AS (
+    SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, count(*) FILTER (good = 1) AS good,
+           count(*) FILTER (toxic = 1) AS toxic FROM failed GROUP BY ALL),
+letter(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+perm AS (
+    SELECT p.l || q.l || r.l || s.l || t.l AS filter_order
+    FROM letter p, letter q, letter r, letter s, letter t
+    WHERE len(list_distinct([p.l, q.l, r.l, s.l, t.l])) = 5),
+step AS (
+    SELECT filter_order, step, filter_order[step] AS own,
+           list_transform(string_split(filter_order[1:step - 1], ''), lambda x: ascii(x) - 64) AS before
+    FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM perm)),
+met AS (
+    SELECT part, filter_order, step, own, n, good, toxic, fails[ascii(own) - 64] AS here,
+           len(list_filter(before, lambda i: i > 0 AND fails[i])) > 0 AS gone,
+           len(list_filter(fails, lambda x: x)) = 1 AS single
+    FROM mask CROSS JOIN step),
+counted AS (
+    SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT here), 0) AS kept,
+           coalesce(sum(n) FILTER (NOT gone AND here), 0) AS removed,
+           coalesce(sum(n) FILTER (gone AND here), 0) AS redundant,
+           coalesce(sum(n) FILTER (here AND single), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (NOT gone AND here), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT gone AND here), 0) AS toxic_lost
+    FROM met GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
 
 def op9(phrases: dict[str, str], templates, percent: int) -> str:
     """SQL of the license scan for given phrases and templates."""

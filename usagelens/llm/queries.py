@@ -9,6 +9,7 @@ from usagelens.llm import oracle
 from usagelens.llm.chat import conversation_digests
 from usagelens.llm.common import id_bucket, prepare, read_table
 from usagelens.llm.decontaminate import contained_items
+from usagelens.llm.filter_audit import filter_audit
 from usagelens.llm.jaccard_join import jaccard_classes
 from usagelens.llm.language_id import identify
 from usagelens.llm.license_scan import PERCENT, PHRASES, TEMPLATES, license_scan
@@ -103,6 +104,11 @@ def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every filter removes in every order of the five, per source."""
+    return filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_classifier": op2_quality_classifier,
@@ -115,6 +121,7 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
     "op12_mix_sources": op12_mix_sources,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE: dict[str, str] = {
@@ -124,4 +131,5 @@ ORACLE: dict[str, str] = {
     "op8_decontaminate": oracle.OP8,
     "op9_license_scan": oracle.op9(PHRASES, TEMPLATES, PERCENT),
     "op12_mix_sources": oracle.OP12,
+    "op13_filter_audit": oracle.OP13,
 }
