@@ -88,6 +88,31 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
+_TERMS = ("regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+OP11 = f"""
+WITH said AS (SELECT doc_id, {_TERMS.format(t="coalesce(text, '')")} AS w FROM documents),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS HUGEINT) AS n_terms FROM said WHERE len(w) > 0),
+posting AS (
+    SELECT doc_id, n, term, count(*) AS tf
+    FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM said) GROUP BY ALL),
+weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM posting CROSS JOIN size GROUP BY term),
+asked AS (
+    SELECT DISTINCT item_id, unnest({_TERMS.format(t="coalesce(text, '')")}) AS term FROM benchmark),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (
+        100 - 90 + CAST((CAST(90 AS HUGEINT) * n * n_docs) // n_terms AS BIGINT))))) AS BIGINT) AS score
+    FROM asked JOIN posting USING (term) JOIN weight USING (term) CROSS JOIN size
+    GROUP BY item_id, doc_id),
+placed AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+           doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM placed WHERE rank <= 10
+"""
+
 OP12 = """
 WITH doc AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,

@@ -17,6 +17,7 @@ from usagelens.llm.mixing import mixing_plan
 from usagelens.llm.packing import pack
 from usagelens.llm.quality_classifier import quality_scores
 from usagelens.llm.quality_rules import quality_rules
+from usagelens.llm.ranked_search import ranked_search
 from usagelens.llm.suffix_dedup import remove_repeats
 from usagelens.llm.token_counts import token_counts
 
@@ -98,6 +99,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all sources takes from every document."""
     plan = mixing_plan(read_table(spark, sf_dir, "documents"))
@@ -120,6 +126,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
+    "op11_ranked_search": op11_ranked_search,
     "op12_mix_sources": op12_mix_sources,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -130,6 +137,7 @@ ORACLE: dict[str, str] = {
     "op7_suffix_dedup": oracle.OP7,
     "op8_decontaminate": oracle.OP8,
     "op9_license_scan": oracle.op9(PHRASES, TEMPLATES, PERCENT),
+    "op11_ranked_search": oracle.OP11,
     "op12_mix_sources": oracle.OP12,
     "op13_filter_audit": oracle.OP13,
 }
