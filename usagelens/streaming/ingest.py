@@ -12,11 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import columns as C
 from ..session import checkpoint_dir
+from ..sources.sinks import remove_path, write_partitioned
 
 # Fields of a radius session message (all text in the message).
 RADIUS_FIELDS = ["MDN", "APN", "NetType", "Status", "StartTime", "StopTime", "TerminateCause",
@@ -48,6 +49,13 @@ def query_checkpoint(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
 
+def started(writer: DataStreamWriter, available_now: bool, trigger_seconds: int | None) -> StreamingQuery:
+    """Start a query over what is there now (then stop), or every ``trigger_seconds``."""
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
+
+
 def ingest_to_partitions(events: DataFrame, path: str, name: str, partition_cols: Sequence[str] = ("dayid",),
                          trigger_seconds: int | None = 300, available_now: bool = False) -> StreamingQuery:
     """ST-1 + ST-4 + ST-5: micro-batches (300 s by default) appended to a table
@@ -58,8 +66,7 @@ def ingest_to_partitions(events: DataFrame, path: str, name: str, partition_cols
     w = (events.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", query_checkpoint(spark, name))
          .partitionBy(*partition_cols).outputMode("append").queryName(name))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
-    return w.start()
+    return started(w, available_now, trigger_seconds)
 
 
 def word_count(lines: DataFrame) -> DataFrame:
@@ -68,6 +75,29 @@ def word_count(lines: DataFrame) -> DataFrame:
     return words.groupBy("word").count()
 
 
+def complete_results(df: DataFrame, path: str, name: str, available_now: bool = True,
+                     trigger_seconds: int = 300) -> StreamingQuery:
+    """ST-6: complete output mode.  Every micro-batch writes the whole running result under
+    its batch id; a replayed batch replaces its own.  The one before it stays for readers that
+    have it open, older ones go."""
+    spark = df.sparkSession
+
+    def write_all(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        remove_path(spark, f"{path}/batch_id={batch_id - 2}")
+
+    w = (df.writeStream.outputMode("complete").foreachBatch(write_all).queryName(name)
+         .option("checkpointLocation", query_checkpoint(spark, name)))
+    return started(w, available_now, trigger_seconds)
+
+
+def newest_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The last whole result that :func:`complete_results` wrote."""
+    df = spark.read.parquet(path)
+    newest = df.select(F.max(F.col("batch_id").cast("bigint"))).first()[0]
+    return df.where(F.col("batch_id") == str(newest)).drop("batch_id")
+
+
 def window_summary(events: DataFrame, ts: str, keys: Sequence[str], value: str,
                    window: str = "5 minutes", watermark: str = "10 minutes") -> DataFrame:
     """ST-7 + ST-9: tumbling-window counts and sums per key.  The watermark bounds the
@@ -112,8 +142,7 @@ def upsert_batches(df: DataFrame, path: str, name: str, keys: Sequence[str],
 
     w = (df.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", query_checkpoint(spark, name)).queryName(name))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
-    return w.start()
+    return started(w, available_now, trigger_seconds)
 
 
 def latest_versions(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -128,7 +157,6 @@ def rerun_slot(batch_summary: DataFrame, slot_filter: Column, path: str, partiti
     """ST-9 (batch side): recompute one closed slot from the stored records and
     overwrite just that slot's partitions (picks up rows that arrived after the
     watermark closed it)."""
-    from ..sources.sinks import write_partitioned
     write_partitioned(batch_summary.where(slot_filter), path, partition_cols)
 
 
