@@ -307,6 +307,23 @@ def station_ranks(counters: DataFrame, base: DataFrame | None = None, top: int =
                                   ratio("a_sn", "a_rn").alias("a_ratio"), *ranks)
 
 
+def station_ratio_ranks(slots: DataFrame, stations: DataFrame, top: int = 1000) -> DataFrame:
+    """WN-4: registered stations with attach requests, ranked inside their
+    company-service-domain key by the exact success ratio (highest first), equal ratios by
+    the number of requests, then by station id; ranks below ``top``.
+
+    ``slots``: csd, enbid, ma_sn, ma_rn (stored slot counters); ``stations``: enbid, zhlabel.
+    A rank group holds one aggregated row per station of the register at most."""
+    named = stations.select(F.col("enbid").cast("string").alias("enbid"), "zhlabel")
+    per = (slots.where(F.col("ma_rn") > 0).groupBy("csd", F.col("enbid").cast("string").alias("enbid"))
+           .agg(F.sum("ma_sn").cast("bigint").alias("rsn"), F.sum("ma_rn").cast("bigint").alias("rn"))
+           .join(J.sized(named), "enbid"))
+    ranked = W.rank_by_ratio(per, ["csd"], "rsn", "rn", "rank", top, ["enbid", "zhlabel"])
+    return ranked.select("csd", "enbid", "zhlabel", "rsn", "rn",
+                         (F.col("rsn").cast("double") / F.col("rn")).alias("ratio"), "rank",
+                         F.concat_ws("_", "csd", F.lpad(F.col("rank").cast("string"), 3, "0")).alias("rowkey"))
+
+
 def interval_summary(log: DataFrame, dims: Sequence[str], seconds: int, origin: int = 0,
                      label_fmt: str = "yyyyMMddHHmm") -> DataFrame:
     """AN-34: per interval (label = interval end, PRJ-6) and dimensions: attempts,

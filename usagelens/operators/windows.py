@@ -44,6 +44,36 @@ def ranks_within(df: DataFrame, partition: Sequence[str], measures: Sequence[str
     return out
 
 
+def with_exact_ratio(df: DataFrame, num: str, den: str, names: Sequence[str]) -> DataFrame:
+    """Three whole columns ``names`` that order rows as the exact quotient ``num / den`` does.
+
+    Double division makes unlike quotients of large sums alike, and two engines may round
+    them differently.  Long division in whole numbers does not: the whole part and two blocks
+    of 18 decimal digits tell apart any two quotients of 63-bit numbers whose denominators
+    are below 10^18, and equal quotients (1/3 and 2/6) get equal digits.  ``num`` is not
+    negative; a denominator that is null or not above zero gives nulls."""
+    whole, first, second = names
+    shifted = "CAST(__rest * CAST(1000000000000000000 AS DECIMAL(19,0)) AS DECIMAL(38,0))"
+    out = df.withColumns({"__num": F.col(num).cast("decimal(38,0)"),
+                          "__den": F.when(F.col(den) > 0, F.col(den).cast("decimal(38,0)"))})
+    out = out.withColumns({whole: F.expr("__num div __den"), "__rest": F.expr("__num % __den")})
+    out = out.withColumns({first: F.expr(f"{shifted} div __den"), "__rest": F.expr(f"{shifted} % __den")})
+    return out.withColumn(second, F.expr(f"{shifted} div __den")).drop("__num", "__den", "__rest")
+
+
+def rank_by_ratio(df: DataFrame, partition: Sequence[str], num: str, den: str, out: str = "rank",
+                  below: int | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """WN-4: ``row_number()`` by the exact ratio ``num / den``, highest first, equal ratios by
+    the greater ``den``, then by ``tiebreak`` ascending; ranks from ``below`` on are left out
+    (the filter keeps the shape from which Spark drops rows before the shuffle).  Rows whose
+    denominator is not above zero come last."""
+    digits = ["__ratio_0", "__ratio_1", "__ratio_2"]
+    w = Window.partitionBy(*partition).orderBy(*[F.col(d).desc_nulls_last() for d in digits],
+                                               F.col(den).desc_nulls_last(), *[F.col(t).asc() for t in tiebreak])
+    ranked = with_exact_ratio(df, num, den, digits).withColumn(out, F.row_number().over(w)).drop(*digits)
+    return ranked if below is None else ranked.where(F.col(out) < below)
+
+
 def top_n(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column], n: int,
           out: str = "rank", ascending: bool = False, tiebreak: Sequence[str] = ()) -> DataFrame:
     """WN-7: keep ranks below ``n`` (the reference keeps ``rank < 1000``)."""

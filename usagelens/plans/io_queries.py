@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Column, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -110,6 +111,164 @@ def q_io_keyed(spark, sf_dir):
     return R.scan_keyed(spark, path, "a", "z", ["kind_key", "slot"]).select("kind_key", "slot", "kind", "value")
 
 
+@register("io_replace_where", """
+SELECT strftime(ts, '%Y%m%d') AS d, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids,
+       count(CASE WHEN event_type = 'error' AND value >= 1 THEN 1 END) AS corrected
+FROM events WHERE NOT (event_type = 'error' AND value < 1) GROUP BY 1""")
+def q_io_replace_where(spark, sf_dir):
+    """SNK-7: the stored failures are replaced by a corrected list (those below 1 are taken
+    back), twice; days without failures keep their files."""
+    path = _folder(spark, "replace")
+    ev = I.table(spark, sf_dir, "events").select("event_id", "event_type", "value",
+                                                 F.date_format("ts", "yyyyMMdd").alias("d"),
+                                                 F.lit(False).alias("corrected"))
+    K.write_partitioned(ev, path, ["d"])
+    failures = F.col("event_type") == "error"
+    new = ev.where(failures & (F.col("value") >= 1)).withColumn("corrected", F.lit(True))
+    for _ in range(2):
+        K.replace_where(new, path, failures, ["d"])
+    return R.scan_range(spark, path, "d", "00000000", "99999999").groupBy("d").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("bigint").alias("ids"),
+        F.count(F.when(F.col("corrected"), 1)).alias("corrected"))
+
+
+@register("io_compact_partitions", """
+SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, true AS planned_files
+FROM events GROUP BY 1""")
+def q_io_compact_partitions(spark, sf_dir):
+    """SNK-11: a table of many small files in partitions of unlike size; every partition ends
+    with ceil(bytes / target) files."""
+    path, target = _folder(spark, "fragments"), 40_000
+    ev = I.table(spark, sf_dir, "events")
+    ev.repartition(12).write.partitionBy("event_type").parquet(path)
+    K.compact(spark, path, f"{path}-compact", target_bytes=target, partition_cols=["event_type"])
+
+    def files(folder):
+        return spark.read.format("binaryFile").load(folder).groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+    planned = files(path).select("event_type", F.ceil(F.col("bytes") / target).alias("planned"))
+    met = files(f"{path}-compact").join(planned, "event_type").select(
+        "event_type", (F.col("files") == F.col("planned")).alias("planned_files"))
+    rows = spark.read.parquet(f"{path}-compact").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("bigint").alias("ids"))
+    return rows.join(met, "event_type").select("event_type", "n", "ids", "planned_files")
+
+
+@register("io_breakpoint", """
+WITH seen AS (SELECT DISTINCT event_type AS name, strftime(ts, '%Y%m%d%H%M') AS cycle FROM events),
+placed AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY cycle DESC) AS k FROM seen)
+SELECT name, max(CASE WHEN k = 1 THEN cycle END) AS curr, max(CASE WHEN k = 2 THEN cycle END) AS last
+FROM placed WHERE k <= 2 GROUP BY 1""")
+def q_io_breakpoint(spark, sf_dir):
+    """SNK-12: the cycles of all events advance the kept breakpoints in random order, each step
+    twice."""
+    path = _folder(spark, "breakpoints")
+    ev = I.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("name"), F.date_format("ts", "yyyyMMddHHmm").alias("cycle")).distinct()
+    steps = 4
+    dealt = ev.withColumn("step", F.pmod(F.xxhash64("name", "cycle"), F.lit(steps)))
+    for step in range(steps):
+        for _ in range(2):
+            K.advance_stored_breakpoint(dealt.where(F.col("step") == step).drop("step"), path, step)
+    return K.stored_breakpoints(spark, path)
+
+
+# Lines with letters of the charset, control characters, and blank ones.
+_GBK_LINE = ["事件|", "|状态\t", "|\x07\x1f结束 "]
+
+
+@register("io_gbk", f"""
+SELECT CASE WHEN event_type = 'view' THEN '' ELSE '{_GBK_LINE[0]}' || event_type || '|状态' || chr(9) ||
+       CAST(user_id AS VARCHAR) || '|' || chr(7) || chr(31) || '结束 ' END AS line, count(*) AS n
+FROM events GROUP BY 1""")
+def q_io_gbk(spark, sf_dir):
+    """SRC-5: every event as a line, written as GBK and read back unchanged."""
+    path = _folder(spark, "gbk")
+    ev = I.table(spark, sf_dir, "events")
+    line = F.concat(F.lit(_GBK_LINE[0]), F.col("event_type"), F.lit(_GBK_LINE[1]),
+                    F.col("user_id").cast("string"), F.lit(_GBK_LINE[2]))
+    K.write_encoded(ev.select(F.when(F.col("event_type") == "view", F.lit("")).otherwise(line).alias("value")),
+                    path, "GBK")
+    return R.scan_encoded(spark, path, "GBK").groupBy(F.col("value").alias("line")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("io_dropped_lines", """
+WITH f AS (SELECT CASE event_type WHEN 'error' THEN 2 WHEN 'view' THEN 5 ELSE 4 END AS n FROM events)
+SELECT count(*) AS lines, count(CASE WHEN n = 4 THEN 1 END) AS kept, count(CASE WHEN n <> 4 THEN 1 END) AS dropped,
+       count(CASE WHEN n < 4 THEN 1 END) AS short, count(CASE WHEN n > 4 THEN 1 END) AS long,
+       (SELECT CAST(sum(event_id) AS BIGINT) FROM events WHERE event_type NOT IN ('error', 'view')) AS kept_ids
+FROM f""")
+def q_io_dropped_lines(spark, sf_dir):
+    """SRC-8: a table written with damaged lines (error events lack fields, view events have one
+    too many) is read and accounted for in one pass."""
+    path = _folder(spark, "damaged")
+    ev = _events(spark, sf_dir)
+    key, rest = F.col("event_id").cast("string"), F.col("event_type")
+    line = (F.when(rest == "error", F.concat_ws("|", key, rest))
+            .when(rest == "view", F.concat_ws("|", key, F.col("user_id").cast("string"), rest, "d", F.lit("x")))
+            .otherwise(F.concat_ws("|", key, F.col("user_id").cast("string"), rest, "d")))
+    ev.select(line.alias("value")).write.text(f"{path}/lines")
+    seen = Observation("lines")
+    rows = R.scan_delimited_observed(spark, f"{path}/lines", "|", ["event_id", "user_id", "event_type", "d"], seen)
+    rows.write.parquet(f"{path}/rows")
+    ids = spark.read.parquet(f"{path}/rows").agg(F.sum(F.col("event_id").cast("bigint")).alias("kept_ids"))
+    return ids.select(*[F.lit(seen.get[c]).cast("bigint").alias(c)
+                        for c in ("lines", "kept", "dropped", "short", "long")], "kept_ids")
+
+
+def _vendor_record(msisdn, start, station, code) -> Column:
+    return F.struct(msisdn.alias("msisdn"), start.alias("starttime"), station.alias("enbid"), code.alias("pcause"))
+
+
+def _huawei_line(value: Column) -> Column:
+    """msisdn|time|0x-station|code"""
+    p = F.split(value, "\\|", -1)
+    return F.when(F.size(p) == 4, _vendor_record(p[0], p[1], C.hex_to_dec(p[2]), p[3]))
+
+
+def _zte_line(value: Column) -> Column:
+    """A JSON object."""
+    r = F.from_json(value, "num string, at string, bs string, cc string")
+    return F.when(F.json_object_keys(value).isNotNull(), _vendor_record(r["num"], r["at"], r["bs"], r["cc"]))
+
+
+def _ericsson_line(value: Column) -> Column:
+    """code,station,time,msisdn"""
+    p = F.split(value, ",", -1)
+    return F.when(F.size(p) == 4, _vendor_record(p[3], p[2], p[1], p[0]))
+
+
+@register("io_vendors", oracle(("raw_mme_log",), body="""
+SELECT vendor, T0 AS msisdn, T1 AS starttime,
+       CASE WHEN vendor = 'huawei' THEN CAST(CAST(('0x' || substr(T12, 3)) AS BIGINT) AS VARCHAR) ELSE T12 END AS enbid,
+       T13 AS pcause
+FROM raw_mme_log"""))
+def q_io_vendors(spark, sf_dir):
+    """SRC-13: raw logs of three vendors, each in its own form and folder, in one scan."""
+    path = _folder(spark, "vendors")
+    raw = I.raw_mme_log(spark, sf_dir)
+    forms = {"huawei": F.concat_ws("|", "T0", "T1", "T12", "T13"),
+             "zte": F.to_json(F.struct(F.col("T0").alias("num"), F.col("T1").alias("at"), F.col("T12").alias("bs"),
+                                       F.col("T13").alias("cc"))),
+             "ericsson": F.concat_ws(",", "T13", "T12", "T1", "T0")}
+    for vendor, line in forms.items():
+        raw.where(F.col("vendor") == vendor).select(line.alias("value")).write.text(f"{path}/{vendor}_mm")
+    parsers = {"huawei": _huawei_line, "zte": _zte_line, "ericsson": _ericsson_line}
+    named = {f"/{v}_": _labelled(parse, v) for v, parse in parsers.items()}
+    return R.scan_vendors(spark, path, named)
+
+
+def _labelled(parse, vendor: str):
+    """The parser's record with the vendor's name."""
+    def run(value: Column) -> Column:
+        r = parse(value)
+        fields = ("msisdn", "starttime", "enbid", "pcause")
+        return F.when(r.isNotNull(), F.struct(F.lit(vendor).alias("vendor"), *[r[f].alias(f) for f in fields]))
+    return run
+
+
 @register("stream_radius_ingest", oracle(("session_events",), body="""
 SELECT strftime(time, '%Y%m%d') AS dayid, status, count(*) AS n, count(DISTINCT mdn) AS users,
        count(CASE WHEN net IS NULL THEN 1 END) AS no_net FROM session_events GROUP BY 1, 2"""))

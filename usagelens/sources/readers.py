@@ -13,7 +13,7 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -113,6 +113,23 @@ def scan_delimited(spark: SparkSession, path: str, sep: str, names: Sequence[str
                            first_line_is_header=first_line_is_header)
 
 
+def scan_delimited_observed(spark: SparkSession, path: str, sep: str, names: Sequence[str],
+                            observation: Observation, charset: str | None = None) -> DataFrame:
+    """SRC-6/8 with an account of what was dropped: :func:`scan_delimited`, and in the same
+    pass ``observation`` counts ``lines``, ``kept`` and ``dropped`` ones and those with too
+    few (``short``) or too many (``long``) fields.  The counts are there once an action over
+    the rows has run to its end (``observation.get``); there is no second scan."""
+    n = len(names)
+    fields = F.size(F.split(F.col("value"), re.escape(sep), -1))
+    lines = scan_lines(spark, path, charset).withColumn("__fields", fields)
+    count = lambda when: F.count(F.when(when, 1))
+    seen = F.col("__fields")
+    observed = lines.observe(observation, F.count(F.lit(1)).alias("lines"), count(seen == n).alias("kept"),
+                             count(seen != n).alias("dropped"), count(seen < n).alias("short"),
+                             count(seen > n).alias("long"))
+    return parse_delimited(observed.select("value"), sep, names)
+
+
 def scan_table(spark: SparkSession, name: str, where: Column | None = None) -> DataFrame:
     """SRC-9: metastore table narrowed by a (partition) predicate."""
     df = spark.table(name)
@@ -180,6 +197,32 @@ def scan_multi_vendor(spark: SparkSession, specs: Sequence[tuple[str, Callable[[
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def scan_vendors(spark: SparkSession, path: str, parsers: Mapping[str, Callable[[Column], Column]],
+                 charset: str | None = None) -> DataFrame:
+    """SRC-13 in one scan: every file under ``path`` is read once, and each line is parsed by
+    the vendor whose pattern (a regular expression, the first that matches) occurs in the
+    path of its file.
+
+    A parser turns the line into a struct; all parsers must give the same fields, and a null
+    struct drops the line (malformed).  Lines of files that no pattern names are dropped too.
+    Missing vendors cost nothing; a missing folder is an error."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    origin = F.col("_metadata.file_path")
+    value = F.col("value")
+    if charset and charset.upper().replace("-", "") != "UTF8":
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        value = F.decode(value.cast("binary"), charset)
+    lines = lines.select(value.alias("value"), origin.alias("__origin"))
+    record = None
+    for pattern, parser in parsers.items():
+        found = F.col("__origin").rlike(pattern)
+        parsed = parser(F.col("value"))
+        record = F.when(found, parsed) if record is None else record.when(found, parsed)
+    if record is None:
+        raise ValueError("no vendor parser is given")
+    return lines.select(record.alias("r")).where(F.col("r").isNotNull()).select("r.*")
+
+
 def kafka_stream(spark: SparkSession, servers: str, topics: str, starting_offsets: str = "latest",
                  max_offsets_per_trigger: int | None = None) -> DataFrame:
     """SRC-14: Kafka records as a stream (key, value as text, topic, partition,

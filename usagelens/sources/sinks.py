@@ -10,12 +10,16 @@ sized by AQE's rebalance (skew-aware) and ``maxRecordsPerFile`` instead of a fix
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators.joins import sized
+from ..session import scratch_path
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -42,6 +46,54 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], f
     w.format(fmt).save(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder of the file system ``path`` names; False if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _same_partition(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    """Null-safe equality of partition values (compared as text, as folders name them)."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & left[c].cast("string").eqNullSafe(right[c].cast("string"))
+    return out
+
+
+def replace_where(new: DataFrame, path: str, predicate: Column, partition_cols: Sequence[str],
+                  fmt: str = "parquet") -> None:
+    """SNK-7 by predicate: the stored rows for which ``predicate`` holds go, ``new`` comes.
+
+    Only partitions that hold such rows or get new ones are rewritten: their other rows and
+    the new ones are put together in a staging folder, which then overwrites exactly those
+    partitions, so the job never writes to what it is reading.  A partition of which nothing
+    is left is removed.  Every new row must satisfy the predicate: a run that was cut short
+    and is started again then replaces its own rows.  A null predicate keeps the row."""
+    spark = new.sparkSession
+    cols = list(partition_cols)
+    hit = F.coalesce(predicate, F.lit(False))
+    if not new.where(~hit).isEmpty():
+        raise ValueError("new rows outside the predicate would not be replaced by a second run")
+    stored = spark.read.format(fmt).load(path)
+    staging = scratch_path(spark, f"replace-{uuid.uuid4().hex}")
+    touched = stored.where(hit).select(*cols).unionByName(new.select(*cols)).distinct()
+    touched.write.parquet(f"{staging}/touched")
+    touched = spark.read.schema(touched.schema).parquet(f"{staging}/touched")
+    kept = stored.join(sized(touched), _same_partition(stored, touched, cols), "left_semi").where(~hit)
+    write_partitioned(kept.unionByName(new), f"{staging}/rows", cols, fmt)
+    rows = spark.read.format(fmt).schema(stored.schema).load(f"{staging}/rows")
+    left = rows.select(*cols).distinct()
+    # Folders of touched partitions that keep no row (one name per folder, not per row).
+    emptied = touched.join(left, _same_partition(touched, left, cols), "left_anti")
+    files = spark.read.format("binaryFile").load(path)
+    folders = files.join(emptied, _same_partition(files, emptied, cols), "left_semi").select(
+        F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect()
+    write_partitioned(rows, path, cols, fmt)
+    for r in folders:
+        remove_path(spark, r["folder"])
+    remove_path(spark, staging)
+
+
 def write_partition(df: DataFrame, path: str, partition: Mapping[str, str], fmt: str = "parquet") -> None:
     """SNK-1: overwrite one time partition (``d``/``h``/``m5`` given as values)."""
     write_partitioned(df.withColumns({k: F.lit(v) for k, v in partition.items()}), path, list(partition), fmt)
@@ -110,6 +162,20 @@ def keyed_rows(df: DataFrame, key_cols: Sequence[str], slot_col: str, metrics: S
     return out.withColumn("rowkey", C.compose_key(*key_cols, F.date_format("slot", "yyyyMMddHHmm")))
 
 
+def write_encoded(df: DataFrame, path: str, charset: str, line_col: str = "value") -> None:
+    """SRC-5, the way out: lines of text in another charset (GBK), one per row.
+
+    Lines are encoded to bytes and written as they are, so blank lines and control characters
+    stay.  A line feed inside a line would make two of it, and a character that the charset
+    lacks would be lost: both fail the write."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    line = F.coalesce(F.col(line_col).cast("string"), F.lit(""))
+    whole = F.when(F.contains(line, F.lit("\n")), F.raise_error(F.lit("line feed inside a line")).cast("string")
+                   ).otherwise(line)
+    df.select(F.encode(whole, charset).cast("string").alias("value")).write.mode("overwrite").text(path)
+
+
 def insert_into_table(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """SNK-9: append (or dynamically overwrite) into a partitioned catalog table."""
     df.write.insertInto(table, overwrite=overwrite)
@@ -130,36 +196,86 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 def compact(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet",
             target_bytes: int = TARGET_FILE_BYTES, partition_cols: Sequence[str] = ()) -> int:
-    """SNK-11: rewrite ``path`` into files of about ``target_bytes`` at ``out_path``.
-
-    Unpartitioned: ``ceil(bytes / target)`` output partitions; returns that count.
-    Partitioned: the table keeps its partition layout; rows are rebalanced by AQE
-    (a hot partition is split over several tasks instead of one) and each file is
-    capped at the row count worth ``target_bytes`` (``maxRecordsPerFile``); returns
-    that row cap."""
-    total = input_bytes(spark, path)
-    df = spark.read.format(fmt).load(path)
-    if partition_cols:
-        rows = df.count()
-        per_file = max(1, rows * target_bytes // max(total, 1))
-        write_partitioned(df, out_path, list(partition_cols), fmt, max_records_per_file=per_file)
-        return per_file
-    n = max(1, math.ceil(total / target_bytes))
-    df.repartition(n).write.mode("overwrite").format(fmt).save(out_path)
-    return n
+    """SNK-11: rewrite ``path`` into files of about ``target_bytes`` at ``out_path``; returns
+    their number.
+
+    The sizes come from file metadata alone.  Unpartitioned: ``ceil(bytes / target)`` files.
+    Partitioned: every partition gets that many files for its own bytes, each written by a
+    task of its own, so a large partition is spread over many tasks and a small one is a
+    single file.  Rows are dealt round robin within a partition."""
+    if not partition_cols:
+        n = max(1, math.ceil(input_bytes(spark, path) / target_bytes))
+        spark.read.format(fmt).load(path).repartition(n).write.mode("overwrite").format(fmt).save(out_path)
+        return n
+    cols = list(partition_cols)
+    plan = file_plan(spark, path, cols, target_bytes)
+    total = plan.agg(F.sum("__files")).first()[0] or 0
+    if not total:
+        return 0
+    rows = spark.read.format(fmt).load(path)
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(f"r.{c}").cast("string").eqNullSafe(F.col(f"p.{c}"))
+    turn = F.pmod(F.monotonically_increasing_id(), F.col("p.__files"))
+    dealt = (rows.alias("r").join(sized(plan).alias("p"), same)
+             .select("r.*", (F.col("p.__first") + turn).cast("int").alias("__task"))
+             .repartitionById(int(total), F.col("__task")).drop("__task"))
+    (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
+     .format(fmt).save(out_path))
+    return int(total)
+
+
+def file_plan(spark: SparkSession, path: str, partition_cols: Sequence[str], target_bytes: int) -> DataFrame:
+    """Per partition (values as text): ``__files``, its number of files at ``target_bytes``, and
+    ``__first``, the files of the partitions before it.  Reads file metadata only."""
+    cols = list(partition_cols)
+    sizes = (spark.read.format("binaryFile").load(path).groupBy(*[F.col(c).cast("string").alias(c) for c in cols])
+             .agg(F.sum("length").alias("__bytes")))
+    files = sizes.select(*cols, F.ceil(F.col("__bytes") / target_bytes).alias("__files"))
+    # One row per partition folder: the driver lists them all anyway to plan the scan.
+    before = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("__first", F.coalesce(F.sum("__files").over(before), F.lit(0)))
 
 
 def advance_breakpoint(state: DataFrame, updates: DataFrame) -> DataFrame:
     """SNK-12: monotone (current, last) cycle per job name.  ``state``: (name, curr,
     last); ``updates``: (name, cycle).  A cycle at or after the current one becomes the
     current, and the one before it the last: a re-run of the current cycle therefore sets
-    ``last`` to it too, as the reference does.  An older cycle changes nothing."""
-    known = state.select("name", F.col("curr").alias("__curr"))
-    fresh = (updates.where(F.col("cycle").isNotNull()).join(known, "name", "left")
-             .where(F.col("__curr").isNull() | (F.col("cycle") >= F.col("__curr"))).select("name", "cycle"))
+    ``last`` to it too, as the reference does.  A cycle between the two becomes the last; an
+    older one changes nothing.  So the two are the greatest of all cycles seen, in whatever
+    order they come."""
     values = (state.select("name", F.col("curr").alias("cycle"))
-              .unionAll(state.select("name", F.col("last").alias("cycle"))).unionAll(fresh))
-    order = Window.partitionBy("name").orderBy(F.col("cycle").desc_nulls_last())
+              .unionAll(state.select("name", F.col("last").alias("cycle")))
+              .unionAll(updates.select("name", "cycle"))).where(F.col("cycle").isNotNull())
+    order = Window.partitionBy("name").orderBy(F.col("cycle").desc())
     top = values.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= 2)
     return top.groupBy("name").agg(F.max(F.when(F.col("__k") == 1, F.col("cycle"))).alias("curr"),
                                    F.max(F.when(F.col("__k") == 2, F.col("cycle"))).alias("last"))
+
+
+BREAKPOINTS = "name string, curr string, last string"
+
+
+def stored_breakpoints(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Breakpoints as the last step (below ``before``) left them; empty before the first."""
+    try:
+        steps = spark.read.schema(f"{BREAKPOINTS}, step string").parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], BREAKPOINTS)
+    number = F.col("step").cast("bigint")
+    known = steps if before is None else steps.where(number < before)
+    newest = known.agg(F.max(number)).first()[0]
+    return known.where(number == newest).drop("step")
+
+
+def advance_stored_breakpoint(updates: DataFrame, path: str, step: int) -> None:
+    """SNK-12 as kept state: read, advance and write back in one step that may be repeated.
+
+    ``step`` numbers the runs upwards (a micro-batch's id, a cycle's number).  A step starts
+    from the newest state below its number and overwrites its own, so running it again, after
+    a failure or by mistake, gives the same state and no cycle counts twice."""
+    spark = updates.sparkSession
+    now = advance_breakpoint(stored_breakpoints(spark, path, step), updates)
+    now.write.mode("overwrite").parquet(f"{path}/step={step}")
