@@ -176,13 +176,14 @@ def brute_model(texts):
     """Modified Kneser-Ney with dictionaries, one n-gram at a time."""
     grams = {Q.ORDER: Counter()}
     for t in texts:
-        f = Q.folded(t).tolist()
-        grams[Q.ORDER].update(tuple(f[i:i + Q.ORDER]) for i in range(len(f) - Q.ORDER + 1))
+        f = brute_fold(t)
+        grams[Q.ORDER].update(f[i:i + Q.ORDER] for i in range(len(f) - Q.ORDER + 1))
     for n in range(Q.ORDER - 1, 0, -1):
         grams[n] = Counter(g[1:] for g in grams[n + 1])
     info = {}
     for n, c in grams.items():
-        d = Q.discounts(np.array(list(c.values())))
+        held = Counter(c.values())
+        d = Q.discounts(*(held[k] for k in (1, 2, 3, 4)))
         ctx = defaultdict(lambda: [0, 0.0])
         for g, k in c.items():
             ctx[g[:-1]][0] += k
@@ -191,31 +192,63 @@ def brute_model(texts):
 
     def p(g):
         if not g:
-            return 1 / Q.ALPHABET
+            return 1 / (len(grams[1]) + 1)
         c, d, ctx = info[len(g)]
-        if g[:-1] not in ctx:
-            return p(g[1:])
         total, cut = ctx[g[:-1]]
-        k = c.get(g, 0)
-        return max(k - d[min(k, 3)], 0) / total + cut / total * p(g[1:])
+        return (c[g] - d[min(c[g], 3)]) / total + cut / total * p(g[1:])
     return p
 
 
-def test_kneser_ney_by_brute_force():
+def brute_fold(text):
+    out = re.sub("[\x20\x09-\x0D]+", " ", text.lower()).removeprefix(" ")
+    out = re.sub("[0-9]", "0", out)
+    out = "".join("#" if c in "#*$%&|<>" else "." if "!" <= c <= "~" and not c.isalnum() else c for c in out)
+    return Q.START * (Q.ORDER - 1) + out
+
+
+@pytest.mark.parametrize("hot", [Q.HOT, 40, 0])
+def test_kneser_ney_by_brute_force(spark, monkeypatch, hot):
+    """Whatever is broadcast and whatever is joined: the same scores as with dictionaries."""
+    monkeypatch.setattr(Q, "HOT", hot)
     rng = random.Random(4)
-    texts = ["".join(rng.choice("abca b,1") for _ in range(120)) for _ in range(12)] + ["", "é漢"]
-    keys, sizes = Q.ngram_keys(texts)
-    total = np.bincount(keys, minlength=Q.SIZE)
-    k = np.flatnonzero(total)
-    s = Q.Scorer(Q.kneser_ney(k, total[k]))
-    p = brute_model(texts)
-    tests = texts + ["zz top %%", "abc", ""]
-    got = s.log_perplexity(tests)
-    for t, v in zip(tests, got, strict=True):
-        f = Q.folded(t).tolist()
+    texts = ["".join(rng.choice("abca b,1$7É漢字\U0001F600\n") for _ in range(120)) for _ in range(40)]
+    texts += ["", " ", "é漢", "aa" * 5000, None]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    p = brute_model([t or "" for t in texts if t])
+    got = {r.doc_id: r.log_ppl for r in Q.quality_rules(df.repartition(3)).collect()}
+    for i, t in enumerate(texts):
+        f = brute_fold(t or "")
         n = len(f) - Q.ORDER + 1
-        want = -sum(math.log(p(tuple(f[i:i + Q.ORDER]))) for i in range(n)) / max(n, 1)
-        assert v == pytest.approx(want, abs=1e-4)
+        want = -sum(math.log(p(f[j:j + Q.ORDER])) for j in range(n)) / max(n, 1)
+        assert got[i] == pytest.approx(want, abs=1e-4)
+
+
+def test_ngrams_follow_the_input_and_every_letter_counts(spark):
+    """More text, more n-grams: no bound of an alphabet; letters of any script are told apart."""
+    rng = random.Random(9)
+    han = [chr(0x4E00 + i) for i in range(900)]
+
+    def model(n):
+        docs = [("".join(rng.choices(han, k=400)),) for _ in range(n)]
+        return Q.train(spark.createDataFrame(docs, "text string")).count()
+    small, large = model(20), model(200)
+    assert large > 9 * small and large > 40 ** 4 / 40
+    same = Q.folded("ж ш щ")
+    assert len(set(same.tolist())) == 5          # three letters, the space, the mark in front
+
+
+def test_word_order_matters(spark):
+    """The same words in another order are less likely."""
+    rng = random.Random(10)
+    subject, verb, thing = (["sky", "sea", "ox", "elm"], ["hums", "roars", "eats", "grows"], ["oats", "ash", "ice", "up"])
+    said = [" ".join(f"{rng.choice(subject)} {rng.choice(verb)} {rng.choice(thing)}." for _ in range(30))
+            for _ in range(60)]
+    words = said[0].split()
+    rng.shuffle(words)
+    rows = [(i, t, "en") for i, t in enumerate([*said, " ".join(words)])]
+    got = {r.doc_id: r.log_ppl for r in Q.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[len(said)] > 1.3 * max(got[i] for i in range(len(said)))
 
 
 def test_rules_query(spark, sf_dir):

@@ -1,30 +1,40 @@
 """Quality rules: surface counts and n-gram perplexity bands.
 
-The language model is a modified Kneser-Ney model over folded characters.  Spark counts
-every n-gram of the whole corpus (each task adds its texts into one count array, then the
-arrays are summed by key).  The folded alphabet is fixed, so the model is bounded by
-ALPHABET ** ORDER entries however large the corpus is, and can be broadcast.  It is kept
-in sorted hash arrays (n-gram hash, log probability; context hash, back-off) that scoring
-searches by bisection.  Per language, perplexities outside a lower and an upper band
-reject a document: far below is boilerplate, far above is noise.
+The language model is an interpolated modified Kneser-Ney model over characters: every
+letter of every script stands for itself, only ASCII digits, the symbols that the rules
+count and other ASCII punctuation are one class each.  Nothing bounds it: Spark counts the
+n-grams of the whole corpus (each task adds up its own first) and builds the orders one upon
+the other with joins on n-grams, so the model grows with the text and its script.
+
+Every n-gram that is scored has been counted, so a score is one lookup.  The model is split
+by count into two tiers of sorted hash arrays (n-gram hash, log probability): the most
+frequent n-grams, at most HOT of them, are broadcast and searched by bisection in the task
+that reads the texts; all others stay partitioned by hash, and the documents that hold them
+ask with their own pre-aggregated (hash, count) in one join.  The size of the first tier
+changes where an n-gram is looked up, never a score.
+
+Per language, perplexities outside a lower and an upper band reject a document: far below is
+boilerplate, far above is noise.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from usagelens.llm.common import batches, materialize, mix64, prepare
+from usagelens.llm.common import batches, materialize, mix64, prepare, run_starts
 
 ORDER = 4
-ALPHABET = 40
-SIZE = ALPHABET ** ORDER
+HOT = 1_000_000           # n-grams in the broadcast tier (12 bytes each)
+LOCAL = 2_000_000         # n-grams a task adds up before it hands them on
 BATCH_CHARS = 2_000_000
 # Band: quartiles of log perplexity per language, widened by this many (floored) ranges.
 BAND_RANGES = 3.0         # the outer fences of a box plot
@@ -33,160 +43,178 @@ STEP = 0.001              # log perplexities are counted in steps of this size
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
+START = "\n"             # stands before a text; spaces in it are all " "
 
-_FOLD: dict[str, np.ndarray] = {}
+_K = np.uint64(0x9E3779B97F4A7C15)
 
 
+@lru_cache(maxsize=1)
 def fold_table() -> np.ndarray:
-    """Class of every code point (0 space, 1-26 a-z, 27-34 other letters, 35 digits,
-    36 ASCII punctuation, 37 symbols of the rules, 38 anything else)."""
-    if "t" not in _FOLD:
-        t = np.full(0x110000, 38, np.uint8)
-        letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-        t[letters] = 27 + np.flatnonzero(letters) % 8
-        t[33:127] = 36
-        t[48:58] = 35
-        t[97:123] = t[65:91] = np.arange(1, 27)
-        t[[ord(c) for c in SYMBOLS]] = 37
-        t[[32, *range(9, 14)]] = 0
-        _FOLD["t"] = t
-    return _FOLD["t"]
+    """Character that stands for every code point: one for all white space, one each for
+    ASCII digits, SYMBOLS and other ASCII punctuation, else the code point itself."""
+    t = np.arange(0x110000, dtype=np.uint32)
+    for c in range(33, 127):
+        if not chr(c).isalpha():
+            t[c] = ord("0" if chr(c).isdigit() else "#" if chr(c) in SYMBOLS else ".")
+    t[[32, *range(9, 14)]] = 32
+    return t
 
 
 def folded(text: str) -> np.ndarray:
-    """Classes of the lower-cased text, runs of spaces as one, ORDER - 1 spaces in front."""
+    """Characters of the lower-cased text, runs of spaces as one and none at the start,
+    ORDER - 1 START in front."""
     c = fold_table()[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")]
-    keep = c != 0
-    keep[1:] |= c[:-1] != 0
-    return np.concatenate((np.zeros(ORDER - 1, np.uint8), c[keep]))
+    keep = c != 32
+    keep[1:] |= c[:-1] != 32
+    return np.concatenate((np.full(ORDER - 1, ord(START), np.uint32), c[keep]))
 
 
-def ngram_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams of all texts one after another, and the number of each text's."""
+def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """N-grams of all texts one after another: their hashes, where they start among the
+    characters (returned too), and the number of each text's."""
     parts = [folded(t) for t in texts]
     sizes = np.array([len(p) - ORDER + 1 for p in parts], np.int64)
-    flat = np.concatenate(parts).astype(np.int32)
-    keys = flat[:len(flat) - ORDER + 1].copy()
-    for k in range(1, ORDER):
-        keys = keys * ALPHABET + flat[k:len(flat) - ORDER + 1 + k]
-    ends = np.cumsum(sizes + ORDER - 1)
+    flat = np.concatenate(parts)
     valid = np.ones(len(flat), bool)
     for k in range(1, ORDER):          # n-grams that would run into the next text
-        valid[ends - k] = False
-    return keys[valid[:len(keys)]], sizes
+        valid[np.cumsum(sizes + ORDER - 1) - k] = False
+    at = np.flatnonzero(valid)
+    return gram_hash(flat, at), at, flat, sizes
 
 
-def count_ngrams(batches_in):
-    """Per task: the number of every n-gram of its texts."""
-    total = np.zeros(SIZE, np.int64)
-    for batch in batches_in:
-        for run in batches([t for t in batch.column(0).to_pylist() if t],
-                           lambda t: len(t) + 16, BATCH_CHARS):
-            total += np.bincount(ngram_keys(run)[0], minlength=SIZE)
-    keys = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(total[keys])],
-                                     names=["key", "n"])
+def gram_hash(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit hash of the ORDER characters from every place on."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(ORDER):
+        h = h * _K + flat[at + k].astype(np.uint64) + np.uint64(1)
+    return mix64(h)
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts for counts 0, 1, 2, 3 and more."""
-    n1, n2, n3, n4 = (int((counts == k).sum()) for k in (1, 2, 3, 4))
-    if not (n1 and n2 and n3):
-        return np.array([0.0, 0.5, 0.75, 0.9])   # too small a corpus for the estimate
-    y = n1 / (n1 + 2 * n2)
-    d = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return np.clip(d, 0.0, [0.0, 0.999, 1.999, 2.999])
+def count_ngrams(parts):
+    """(gram, n) of a task's texts, each n-gram once unless there are more than LOCAL."""
+    total: Counter = Counter()
 
+    def flush():
+        grams = list(total)
+        for lo in range(0, len(grams), 200_000):
+            cut = grams[lo:lo + 200_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cut, pa.string()), pa.array([total[g] for g in cut], pa.int64())],
+                names=["gram", "n"])
+        total.clear()
 
-def hashed(order: int, keys: np.ndarray) -> np.ndarray:
-    """64-bit hash of an n-gram (distinct n-grams of all orders have distinct hashes)."""
-    return mix64(keys.astype(np.uint64) * np.uint64(8) + np.uint64(order))
+    for batch in parts:
+        for run in batches([t for t in batch.column(0).to_pylist() if t],
+                           lambda t: len(t) + 16, BATCH_CHARS):
+            h, at, flat, _ = ngrams(run)
+            order = np.argsort(h)
+            starts = run_starts(h[order])
+            n = np.diff(np.append(starts, len(h))).tolist()
+            first = at[order[starts]]
+            text = np.stack([flat[first + k] for k in range(ORDER)], 1).astype("<u4").tobytes(
+                ).decode("utf-32-le", "surrogatepass")
+            for i, k in enumerate(n):
+                total[text[i * ORDER:(i + 1) * ORDER]] += k
+            if len(total) >= LOCAL:
+                yield from flush()
+    yield from flush()
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """Modified Kneser-Ney discounts for counts 0, 1, 2, 3 and more, from the numbers of
+    n-grams with counts 1 to 4."""
+    if not (n1 and n2 and n3):
+        return [0.0, 0.5, 0.75, 0.9]   # too small a corpus for the estimate
+    y = n1 / (n1 + 2 * n2)
+    d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+    return [0.0, *(min(max(x, 0.0), top) for x, top in zip(d, (0.999, 1.999, 2.999), strict=True))]
 
 
-def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
-    """Sorted hash arrays of the model: ``gram``/``logp`` and ``context``/``backoff``.
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, n, p) of every n-gram of ``counts`` (gram, n): its interpolated probability.
 
     The highest order uses the counts themselves, each lower one the number of different
-    letters seen in front of the shorter n-gram.
+    characters seen in front of the shorter n-gram.  p = (c - D(c)) / total(context) +
+    gamma(context) * p(shorter n-gram); below single characters all are alike.
     """
-    level = np.zeros(SIZE, np.int64)
-    level[keys] = counts
-    levels = {ORDER: level}
-    for order in range(ORDER - 1, 0, -1):
-        level = (level.reshape(ALPHABET, -1) > 0).sum(axis=0)
-        levels[order] = level
-    p = np.full(1, 1.0 / ALPHABET)
-    grams, logps, contexts, backoffs = [], [], [], []
-    for order in range(1, ORDER + 1):
-        c = levels[order].reshape(-1, ALPHABET)
-        d = discounts(levels[order])
-        cut = d[np.minimum(c, 3)]
-        total = c.sum(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gamma = np.where(total > 0, cut.sum(axis=1) / total, 1.0)
-            own = np.where(total[:, None] > 0, (c - cut) / total[:, None], 0.0)
-        lower = np.broadcast_to(p, (1, ALPHABET)) if order == 1 else np.tile(
-            p.reshape(-1, ALPHABET), (ALPHABET, 1))[:len(c)]
-        p = (own + gamma[:, None] * lower).ravel()
-        seen = np.flatnonzero(levels[order])
-        grams.append(hashed(order, seen))
-        logps.append(np.log(p[seen]))
-        held = np.flatnonzero(total)
-        contexts.append(hashed(order, held))
-        backoffs.append(np.log(gamma[held]))
-    gram, context = np.concatenate(grams), np.concatenate(contexts)
-    g, c = np.argsort(gram), np.argsort(context)
-    return {"gram": gram[g], "logp": np.concatenate(logps)[g].astype(np.float32),
-            "context": context[c], "backoff": np.concatenate(backoffs)[c].astype(np.float32)}
-
-
-def find(hashes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Position of every wanted hash in a sorted array, and whether it is there."""
-    if not len(hashes):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-    return at, hashes[at] == wanted
-
-
-class Scorer:
-    """Log probabilities by bisection, remembered per n-gram in a worker's table."""
-
-    def __init__(self, model: dict[str, np.ndarray]):
-        self.model = model
-        self.known = np.full(SIZE, np.nan, np.float32)
-
-    def lookup(self, keys: np.ndarray) -> np.ndarray:
-        m = self.model
-        logp = np.full(len(keys), -np.log(ALPHABET))
-        open_, penalty = np.arange(len(keys)), np.zeros(len(keys))
-        for order in range(ORDER, 0, -1):
-            part = keys[open_] % ALPHABET ** order
-            at, there = find(m["gram"], hashed(order, part))
-            logp[open_[there]] = penalty[open_[there]] + m["logp"][at[there]]
-            missed, part = open_[~there], part[~there]
-            at, there = find(m["context"], hashed(order, part // ALPHABET))
-            penalty[missed[there]] += m["backoff"][at[there]]
-            logp[missed] = penalty[missed] - np.log(ALPHABET)
-            open_ = missed
-        return logp
-
-    def log_perplexity(self, texts: list[str]) -> np.ndarray:
-        """Mean negative log probability per folded character (0 for a text without any)."""
-        keys, sizes = ngram_keys(texts)
-        present = np.flatnonzero(np.bincount(keys, minlength=SIZE))
-        new = present[np.isnan(self.known[present])]
-        self.known[new] = self.lookup(new)
-        sums = np.concatenate(([0.0], np.cumsum(self.known[keys], dtype=np.float64)))
-        ends = np.cumsum(sizes)
-        return -(sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
-
-
-@lru_cache(maxsize=1)
-def scorer(packed: tuple[bytes, ...]) -> Scorer:
-    """The worker's scorer for a broadcast model (kept between tasks)."""
-    kinds = (np.uint64, np.float32, np.uint64, np.float32)
-    arrays = [np.frombuffer(b, k) for b, k in zip(packed, kinds, strict=True)]
-    return Scorer(dict(zip(("gram", "logp", "context", "backoff"), arrays, strict=True)))
+    level = {order: counts.withColumnRenamed("n", "c")}
+    for k in range(order - 1, 0, -1):
+        shorter = F.expr(f"substring(gram, 2, {k})").alias("gram")
+        level[k] = materialize(level[k + 1].groupBy(shorter).agg(F.count(F.lit(1)).alias("c")), f"kn-counts-{k}")
+    known = level[1].count()
+    p = None
+    for k in range(1, order + 1):
+        seen = level[k].where("c <= 4").groupBy("c").count().collect()
+        d = discounts(*({r["c"]: r["count"] for r in seen}.get(i, 0) for i in (1, 2, 3, 4)))
+        cut = F.element_at(F.array(*[F.lit(x) for x in d]), (F.least("c", F.lit(3)) + 1).cast("int"))
+        rows = level[k].select("gram", "c", cut.alias("cut"), F.expr(f"left(gram, {k - 1})").alias("context"),
+                               F.expr(f"substring(gram, 2, {k - 1})").alias("shorter"))
+        context = rows.groupBy("context").agg(F.sum("c").alias("total"), F.sum("cut").alias("mass"))
+        rows = rows.join(context, "context")
+        if p is None:
+            rows = rows.withColumn("lower", F.lit(1.0 / (known + 1)))
+        else:
+            rows = rows.join(p.select(F.col("gram").alias("shorter"), F.col("p").alias("lower")), "shorter")
+        p = materialize(rows.select("gram", "c", (
+            (F.col("c") - F.col("cut")) / F.col("total") + F.col("mass") / F.col("total") * F.col("lower"))
+            .alias("p")), f"kn-order-{k}")
+    return p.withColumnRenamed("c", "n")
+
+
+def hash_grams(parts):
+    """(hash, logp, n) of model rows (gram, p, n)."""
+    for batch in parts:
+        flat = np.frombuffer("".join(batch.column(0).to_pylist()).encode("utf-32-le", "surrogatepass"),
+                             "<u4")
+        h = gram_hash(flat, np.arange(0, len(flat), ORDER)) if len(flat) else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h.view(np.int64)), pa.array(np.log(batch.column(1).to_numpy()).astype(np.float32)),
+             batch.column(2)], names=["hash", "logp", "n"])
+
+
+def tiers(model: DataFrame) -> tuple[tuple[bytes, bytes], DataFrame]:
+    """The frequent n-grams as sorted arrays (hash, logp), and the others as a table.
+
+    Frequent is a count from the least power of two on that leaves at most HOT of them.
+    """
+    hashed = materialize(model.select("gram", "p", "n").mapInArrow(
+        hash_grams, "hash long, logp float, n long"), "kn-hashed")
+    binned = hashed.groupBy(F.floor(F.log2("n")).alias("bin")).count().collect()
+    least, held = 64, 0
+    for bin_, n in sorted(((r["bin"], r["count"]) for r in binned), reverse=True):
+        held += n
+        if held > HOT:
+            break
+        least = bin_
+    frequent = F.floor(F.log2("n")) >= least
+    hot = hashed.where(frequent).select("hash", "logp").toArrow()
+    h = hot.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    arrays = h[order].tobytes(), hot.column(1).to_numpy().astype(np.float32)[order].tobytes()
+    return arrays, hashed.where(~frequent).select("hash", "logp")
+
+
+def look_up(texts: list[str], hashes: np.ndarray, logp: np.ndarray):
+    """Of every text: the sum of its frequent n-grams' log probabilities, the number of its
+    n-grams, and (hash, count) of the others."""
+    h, _, _, sizes = ngrams(texts)
+    order = np.argsort(h)
+    starts = run_starts(h[order])
+    each = np.diff(np.append(starts, len(h)))
+    unlike = h[order[starts]]
+    at = np.minimum(np.searchsorted(hashes, unlike), max(len(hashes) - 1, 0))
+    there = hashes[at] == unlike if len(hashes) else np.zeros(len(unlike), bool)
+    value, hit = np.zeros(len(h)), np.zeros(len(h), bool)
+    found = np.zeros(len(unlike))
+    found[there] = logp[at[there]]
+    value[order], hit[order] = np.repeat(found, each), np.repeat(there, each)
+    ends = np.cumsum(sizes)
+    rest = []
+    for lo, hi in zip(ends - sizes, ends, strict=True):
+        own, n = np.unique(h[lo:hi][~hit[lo:hi]].view(np.int64), return_counts=True)
+        rest.append([{"hash": x, "n": k} for x, k in zip(own.tolist(), n.tolist(), strict=True)])
+    sums = [float(value[lo:hi].sum()) for lo, hi in zip(ends - sizes, ends, strict=True)]
+    return sums, sizes, rest
 
 
 def repeat_words(words: list[str]) -> int:
@@ -240,11 +268,18 @@ def bands(scored: DataFrame) -> DataFrame:
                     (F.col("q3") + width).alias("high"))
 
 
-def train(docs: DataFrame) -> dict[str, np.ndarray]:
-    """The model of every text of ``docs`` (at most ALPHABET ** ORDER counts are collected)."""
-    counted = (docs.select(F.col("text").cast("string")).mapInArrow(count_ngrams, "key int, n long")
-               .groupBy("key").agg(F.sum("n").alias("n"))).toPandas()
-    return kneser_ney(counted["key"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
+def train(docs: DataFrame) -> DataFrame:
+    """The model of every text of ``docs``: (gram, n, p)."""
+    counted = (docs.select(F.col("text").cast("string")).mapInArrow(count_ngrams, "gram string, n long")
+               .groupBy("gram").agg(F.sum("n").alias("n")))
+    return kneser_ney(materialize(counted, "kn-counts"))
+
+
+COLUMNS = ["row", "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+           "base_failed", "hot_sum", "n_grams", "rest"]
+SCORED = ("row long, doc_id long, lang string, n_words long, word_chars long, n_symbols long, "
+          "n_dup_lines long, n_repeat_words long, base_failed boolean, hot_sum double, n_grams long, "
+          "rest array<struct<hash: long, n: long>>")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -253,43 +288,45 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     ``docs``: doc_id, text, lang; other columns are ignored.  A null text has no word
     (all counts 0, base_failed); null languages share a band of their own.  A document is
-    kept if its base rules hold and its log perplexity lies within its language's band.
-    Repeated rows give repeated rows; an empty table gives an empty result.
+    kept if its base rules hold and its log perplexity (mean negative log probability of its
+    characters, 0 where there is none) lies within its language's band.  Repeated rows give
+    repeated rows; an empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
-    model = train(docs)
-    packed = spark.sparkContext.broadcast(
-        tuple(model[k].tobytes() for k in ("gram", "logp", "context", "backoff")))
+    arrays, rare = tiers(train(docs))
+    frequent = spark.sparkContext.broadcast(arrays)
 
     def score(parts):
-        lm = scorer(packed.value)
+        hashes, logp = (np.frombuffer(b, k) for b, k in zip(frequent.value, (np.uint64, np.float32), strict=True))
+        base, seen = TaskContext.get().partitionId() << 33, 0
+        rest_kind = pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64())]))
         for batch in parts:
-            for lo, run in zip_offsets(batch):
+            texts, lo = [t or "" for t in batch.column(1).to_pylist()], 0
+            for run in batches(texts, lambda t: len(t) + 16, BATCH_CHARS):
                 counts = np.array([surface_counts(t) for t in run], np.int64)
                 cut = batch.slice(lo, len(run))
                 failed = (counts[:, 0] < 50) | (100 * counts[:, 4] > 50 * counts[:, 0])
+                sums, sizes, rest = look_up(run, hashes, logp)
                 yield pa.RecordBatch.from_arrays(
-                    [cut.column(0), cut.column(2), *map(pa.array, counts.T), pa.array(failed),
-                     pa.array(lm.log_perplexity(run))],
-                    names=["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                           "n_repeat_words", "base_failed", "log_ppl"])
-
-    def zip_offsets(batch):
-        lo = 0
-        for run in batches([t or "" for t in batch.column(1).to_pylist()],
-                           lambda t: len(t) + 16, BATCH_CHARS):
-            yield lo, run
-            lo += len(run)
+                    [pa.array(np.arange(base + seen + lo, base + seen + lo + len(run))), cut.column(0),
+                     cut.column(2), *map(pa.array, counts.T), pa.array(failed), pa.array(sums, pa.float64()),
+                     pa.array(sizes), pa.array(rest, rest_kind)],
+                    names=COLUMNS)
+                lo += len(run)
+            seen += len(texts)
 
     scored = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     F.col("text").cast("string").alias("text"),
-                    F.col("lang").cast("string").alias("lang"))
-        .mapInArrow(score, "doc_id long, lang string, n_words long, word_chars long, "
-                           "n_symbols long, n_dup_lines long, n_repeat_words long, "
-                           "base_failed boolean, log_ppl double")
-        .withColumn("lang_key", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("null"))),
-        "quality-scores")
+                    F.col("lang").cast("string").alias("lang")).mapInArrow(score, SCORED), "quality-lookups")
+    asked = scored.select("row", F.inline("rest")).join(rare, "hash")
+    answered = asked.groupBy("row").agg(F.sum(F.col("n") * F.col("logp").cast("double")).alias("rest_sum"))
+    total = F.col("hot_sum") + F.coalesce("rest_sum", F.lit(0.0))
+    scored = materialize(
+        scored.drop("rest").join(answered, "row", "left")
+        .withColumn("log_ppl", F.when(F.col("n_grams") > 0, -total / F.col("n_grams")).otherwise(F.lit(0.0)))
+        .withColumn("lang_key", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("null")))
+        .drop("row", "hot_sum", "rest_sum", "n_grams"), "quality-scores")
     inside = F.col("log_ppl").between(F.col("low"), F.col("high"))
     return (scored.join(F.broadcast(bands(scored)), "lang_key", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
