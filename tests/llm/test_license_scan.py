@@ -4,7 +4,10 @@ import random
 import re
 import textwrap
 
+import duckdb
+
 from tests_llm_helpers import compare_with_oracle
+from usagelens.llm import queries
 from usagelens.llm import license_scan as S
 
 SCHEMA = "doc_id long, text string, score string, labels long"
@@ -26,13 +29,12 @@ def brute(text):
                 places.append(i)
                 labels.add(label)
     more = set(labels)
-    for line in lower.split("\n"):
-        for label, body in S.TEMPLATES:
-            t = set(body.split())
-            share = len(t & set(find(line))) / len(t)
-            if 100 * len(t & set(find(line))) >= S.PERCENT * len(t):
-                more.add(label)
-                score = max(score, share)
+    for label, body in S.TEMPLATES:
+        t, n = set(body.split()), len(body.split())
+        share = max((len(t & set(words[i:i + n])) / len(t) for i in range(len(words))), default=0)
+        if 100 * round(share * len(t)) >= S.PERCENT * len(t):
+            more.add(label)
+            score = max(score, share)
     return (len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(labels)), ",".join(sorted(more)), 1.0 if places else score)
 
@@ -50,7 +52,7 @@ def test_scan_by_brute_force(spark):
     assert len(rows) == len(texts)
     for r in rows:
         assert tuple(r)[1:8] == brute(texts[r.doc_id]), texts[r.doc_id]
-        assert {b.label for b in r.blocks} <= set(r.labels.split(","))
+        assert {b.label for b in r.notices} <= set(r.labels.split(","))
     assert S.license_scan(df.limit(0)).collect() == []
     assert [r.labels for r in S.license_scan(df.limit(3), templates=()).collect()] == ["", "", "mit"]
 
@@ -62,10 +64,36 @@ def test_templates_wrapped_at_72_columns(spark):
         texts.append("int x;\n" + "\n".join(" * " + x for x in lines) + "\nint y;")
     texts += ["the software is free of charge and is provided to the public\n" * 5, None]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)
-    got = {r.doc_id: r.notices for r in S.license_scan(df).collect()}
+    got = {r.doc_id: r for r in S.license_scan(df).collect()}
     for i, (label, body) in enumerate(S.TEMPLATES):
-        assert (6, label, 1.0) in {tuple(b) for b in got[i]}
-    assert got[len(texts) - 2] == got[len(texts) - 1] == []
+        assert (6, label, 1.0) in {tuple(b) for b in got[i].notices}
+        assert label in got[i].labels.split(",") and got[i].score == 1.0
+    assert got[len(texts) - 2].notices == got[len(texts) - 1].notices == []
+
+
+def test_the_query_labels_wrapped_notices(spark, tmp_dir):
+    """What op9 returns, as its SQL does, for notices wrapped over lines and in comments."""
+    rows = [(i, "x = 1\n" + "\n".join("# " + x for x in textwrap.wrap(body, 40 + 8 * (i % 5))))
+            for i, (_, body) in enumerate(S.TEMPLATES)]
+    rows += [(99, None), (100, "the software is free of charge\n" * 9), (100, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = queries.QUERIES["op9_license_scan"](spark, tmp_dir).collect()
+    by = {r.doc_id: r for r in got}
+    assert all(label in by[i].labels.split(",") for i, (label, _) in enumerate(S.TEMPLATES))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
+    result = con.execute(queries.ORACLE["op9_license_scan"])
+    names = [d[0] for d in result.description]
+    want = [tuple(dict(zip(names, row, strict=True))[c] for c in got[0].asDict()) for row in result.fetchall()]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_repeated_and_long_rows(spark):
+    long_text = "lorem ipsum " * 400_000 + "Released under\nthe MIT // License " + "dolor " * 1000
+    rows = [(1, long_text, "x", 1), (1, long_text, "x", 1), (2, "the " * 300_000, "x", 1)]
+    got = S.license_scan(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r.labels for r in sorted(got, key=lambda r: r.doc_id)] == ["mit", "mit", ""]
+    assert got[0].first_word == 800_001 or got[0].doc_id == 2
 
 
 def brute_windows(words):

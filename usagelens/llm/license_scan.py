@@ -1,15 +1,14 @@
 """License scans: exact phrases and an exact set-similarity join with license templates.
 
-Text blocks are lines.  A block matches a template if it holds at least ``percent`` of the
-template's distinct words.  Words are ordered by their frequency in the whole corpus, rare
-first; a block that matches must share one of a template's first n - need + 1 words
-(prefix filter), must have at least ``need`` template words at all (length filter), and
-the positions of the shared word in both ordered sets bound what can still be shared
-(positional filter).  What passes is verified, so every matching block is found.
-
-A notice may be wrapped over several lines.  Notices are windows over the whole word
-sequence, as long as the template, that hold the same share of its distinct words; only
-the words around a prefix word are looked at, and only where enough template words stand.
+A text block is a window over the words of a whole text, as long as the template; line
+breaks, comment marks and punctuation are no words, so a notice wrapped over many lines is
+one block.  A block matches if it holds at least ``percent`` of the template's distinct
+words.  Words are ordered by their frequency in the whole corpus, rare first.  Only windows
+around a template's first n - need + 1 words can match (prefix filter); of these, stretches
+of overlapping windows are looked at together: a stretch needs ``need`` template words at
+all (length filter), and the positions of the shared words in both ordered sets bound what
+can still be shared (positional filter).  In what passes a window slides and counts, so every
+matching block is found.
 """
 
 from __future__ import annotations
@@ -75,42 +74,29 @@ class Templates:
         self.rank = {w: i for i, w in enumerate(vocabulary)}
         self.labels = [label for label, _ in sets]
         self.sets = [sorted(self.rank[w] for w in s) for _, s in sets]
-        self.members = [frozenset(s) for s in self.sets]
         self.words = [s for _, s in sets]
         self.lengths = [len(words_of(t)) for _, t in templates]
         self.need = [-(-len(s) * percent // 100) for s in self.sets]
-        self.index: dict[int, list[tuple[int, int]]] = {}
+        self.index: dict[int, list[int]] = {}
         for t, ranks in enumerate(self.sets):
-            for i, r in enumerate(ranks[:len(ranks) - self.need[t] + 1]):
-                self.index.setdefault(r, []).append((t, i))
-        self.least = min(self.need, default=1)
+            for r in ranks[:len(ranks) - self.need[t] + 1]:
+                self.index.setdefault(r, []).append(t)
         self.hooks = frozenset(w for w, r in self.rank.items() if r in self.index)
 
-    def matches(self, line_words: set[bytes]) -> dict[int, float]:
-        """Containment of every template that a block's words reach."""
-        if self.hooks.isdisjoint(line_words):
-            return {}
-        block = sorted(self.rank[w] for w in line_words if w in self.rank)
-        if len(block) < self.least:
-            return {}
-        shared: Counter = Counter()
-        ruled_out: set[int] = set()
-        for j, r in enumerate(block):
-            for t, i in self.index.get(r, ()):
-                if len(block) < self.need[t]:
-                    continue
-                shared[t] += 1
-                rest = min(len(self.sets[t]) - i - 1, len(block) - j - 1)
-                if shared[t] + rest < self.need[t]:
-                    ruled_out.add(t)
-        found = {}
-        own = frozenset(block)
-        for t in shared.keys() - ruled_out:
-            overlap = len(self.members[t] & own)
-            if overlap >= self.need[t]:
-                found[t] = overlap / len(self.sets[t])
-        return found
-
+    def reachable(self, t: int, block: set[bytes]) -> bool:
+        """Whether a set of words passes the length and the positional filter of a template."""
+        ranks = sorted(self.rank[w] for w in block if w in self.rank)
+        if len(ranks) < self.need[t]:
+            return False
+        place = {r: i for i, r in enumerate(self.sets[t])}
+        shared = 0
+        for j, r in enumerate(ranks):
+            i = place.get(r)
+            if i is not None:
+                shared += 1
+                if shared + min(len(place) - i - 1, len(ranks) - j - 1) < self.need[t]:
+                    return False
+        return shared >= self.need[t]
 
     def notices(self, words: list[bytes]) -> list[dict]:
         """The fullest window of every stretch of windows that hold a template."""
@@ -119,7 +105,7 @@ class Templates:
         near: dict[int, list[int]] = {}
         for p, w in enumerate(words):
             if w in self.hooks:
-                for t, _ in self.index[self.rank[w]]:
+                for t in self.index[self.rank[w]]:
                     near.setdefault(t, []).append(p)
         found = []
         for t, places in near.items():
@@ -136,7 +122,7 @@ class Templates:
     def stretches(self, t: int, words: list[bytes], lo: int, hi: int):
         """Notices of one template whose windows lie in words[lo..hi]."""
         lo, hi, length, wanted = max(lo, 0), min(hi, len(words) - 1), self.lengths[t], self.words[t]
-        if sum(w in wanted for w in words[lo:hi + 1]) < self.need[t]:
+        if not self.reachable(t, set(words[lo:hi + 1])):
             return
         held: Counter = Counter()
         best, at = 0, 0
@@ -195,13 +181,13 @@ def word_frequencies(docs: DataFrame, words: list[bytes], text: str = "text") ->
 def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates=TEMPLATES,
                  percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels,
-    labels, score, blocks (line, label, containment of every matching block), notices
-    (first_word, label, containment of template-long windows, whatever the line breaks).
+    labels, score, notices (first_word, label, containment of the fullest window of every
+    stretch of matching ones).
 
     ``docs``: doc_id, text; other columns are ignored.  A null text is an empty one: no
     words, no labels, score 0.  ``score`` is 1 where a phrase stands, else the largest
-    containment of a block, else 0.  Repeated rows give repeated rows; an empty table gives an
-    empty result; without templates only the phrases count.
+    containment of a window, else 0.  Repeated rows give repeated rows; an empty table gives
+    an empty result; without templates only the phrases count.
     """
     prepare(docs.sparkSession)
     phrases = PHRASES if phrases is None else phrases
@@ -209,28 +195,19 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templat
     index = Templates(templates, word_frequencies(docs, vocabulary), percent)
 
     def scan(text: str | None):
-        raw = (text or "").encode().lower()
-        words, blocks = [], []
-        for number, line in enumerate(raw.split(b"\n")):
-            own = WORD.findall(line)
-            words += own
-            for t, share in index.matches(set(own)).items():
-                blocks.append({"line": number, "label": index.labels[t], "containment": share})
+        words = words_of(text)
         places, labels = base_places(words, phrases)
-        blocks.sort(key=lambda b: (b["line"], b["label"], -b["containment"]))
         notices = sorted(index.notices(words), key=lambda b: (b["first_word"], b["label"],
                                                               -b["containment"]))
-        score = 1.0 if places else max((b["containment"] for b in blocks), default=0.0)
+        score = 1.0 if places else max((b["containment"] for b in notices), default=0.0)
         return (len(words), len(places), min(places, default=None), max(places, default=None),
-                ",".join(sorted(labels)), ",".join(sorted(labels | {b["label"] for b in blocks})),
-                score, blocks, notices)
+                ",".join(sorted(labels)), ",".join(sorted(labels | {b["label"] for b in notices})),
+                score, notices)
 
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.struct(
-        [("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())])),
-        pa.list_(pa.struct([("first_word", pa.int64()), ("label", pa.string()),
-                            ("containment", pa.float64())]))]
+        [("first_word", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))]
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
-             "blocks", "notices"]
+             "notices"]
 
     def scan_batches(parts):
         for batch in parts:
@@ -244,7 +221,5 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templat
                         F.col("text").cast("string").alias("text"))
             .mapInArrow(scan_batches, "doc_id long, n_words long, n_base long, first_word long, "
                                       "last_word long, base_labels string, labels string, "
-                                      "score double, blocks array<struct<line: long, "
-                                      "label: string, containment: double>>, "
-                                      "notices array<struct<first_word: long, "
+                                      "score double, notices array<struct<first_word: long, "
                                       "label: string, containment: double>>"))

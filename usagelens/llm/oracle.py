@@ -193,8 +193,8 @@ def op9(phrases: dict[str, str], templates, percent: int) -> str:
             "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     return f"""
 WITH phrase(p, label, k) AS (VALUES {base}),
-template(t, label, ws) AS (
-    SELECT t, label, list_distinct(string_split(body, ' ')) FROM (VALUES {known}) AS v(t, label, body)),
+template(t, label, n, ws) AS (
+    SELECT t, label, len(string_split(body, ' ')), list_distinct(string_split(body, ' ')) FROM (VALUES {known}) AS v(t, label, body)),
 doc AS (SELECT doc_id, coalesce(text, '') AS text, {words.format(t="coalesce(text, '')")} AS w
         FROM documents),
 place AS (
@@ -204,14 +204,18 @@ place AS (
 based AS (
     SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
            list(DISTINCT label) AS ls FROM place GROUP BY doc_id),
-line AS (
-    SELECT doc_id, list_distinct({words.format(t="l")}) AS ws
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM doc)),
+hit AS (       -- places of a template's words
+    SELECT doc_id, i, t, word
+    FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM doc)
+    JOIN (SELECT t, unnest(ws) AS word FROM template) USING (word)),
+win AS (       -- distinct template words in the window that starts at such a place
+    SELECT a.doc_id, a.t, a.i, count(DISTINCT b.word) AS held
+    FROM hit a JOIN template USING (t)
+    JOIN hit b ON a.doc_id = b.doc_id AND a.t = b.t AND b.i >= a.i AND b.i < a.i + template.n
+    GROUP BY a.doc_id, a.t, a.i),
 matched AS (
-    SELECT doc_id, label, len(list_intersect(line.ws, template.ws)) / len(template.ws) AS share
-    FROM line CROSS JOIN template
-    WHERE len(line.ws) > 0
-      AND 100 * len(list_intersect(line.ws, template.ws)) >= {percent} * len(template.ws)),
+    SELECT doc_id, label, held / len(ws) AS share FROM win JOIN template USING (t)
+    WHERE 100 * held >= {percent} * len(ws)),
 method AS (
     SELECT doc_id, max(share) AS share, list(DISTINCT label) AS ls FROM matched GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,

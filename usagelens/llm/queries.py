@@ -90,8 +90,8 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases and template matches of every document (the columns its SQL gives)."""
-    return license_scan(read_table(spark, sf_dir, "documents")).drop("blocks", "notices")
+    """License phrases and template labels of every document."""
+    return license_scan(read_table(spark, sf_dir, "documents")).drop("notices")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
