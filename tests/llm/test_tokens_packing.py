@@ -37,6 +37,48 @@ def test_ids_equal_the_library(library):
             t, add_special_tokens=False).ids
 
 
+def test_ids_equal_the_library_over_all_planes(library):
+    cache = IdCache(PATH, limit=50)
+    rng = np.random.default_rng(7)
+    ranges = [(32, 127), (0x80, 0x250), (0x300, 0x370), (0x370, 0x590), (0x600, 0x700), (0x900, 0xE00),
+              (0x1100, 0x1200), (0x1E00, 0x2100), (0x3000, 0x3100), (0x4E00, 0x5000), (0xAC00, 0xAD00),
+              (0xFB00, 0xFE00), (0x1D400, 0x1D500), (0x1F300, 0x1F700), (0x20000, 0x20100)]
+    marks = ["’", "“", "—", "ΣΑΣ", "İı", "ﬁ", "e\u0301", "\u0308", " \u0301", "<|endoftext|>", "<|x", "\u2003", "\u200d",
+             "\x1c", "\x85", "\xa0", " ", "\n", "'s", "3½", "가", "\u1100\u1161"]
+    for _ in range(4000):
+        lo, hi = ranges[rng.integers(len(ranges))]
+        chars = [chr(c) for c in rng.integers(lo, hi, 8)] + list(rng.choice(marks, 6)) + ["a", "Q", " ", "z"]
+        t = "".join(rng.permutation(chars))
+        assert np.frombuffer(cache.ids(t), "<u2").tolist() == library.encode(
+            t, add_special_tokens=False).ids, ascii(t)
+
+
+def test_only_unproven_pieces_go_to_the_library(monkeypatch):
+    cache, asked = IdCache(PATH), []
+    whole = cache.whole
+    monkeypatch.setattr(cache, "whole", lambda piece: asked.append(piece) or whole(piece))
+    plain_words = "Plain words with CAPS, numbers 12.5 and été stand here "
+    for odd in ("don’t", "“quoted”", "1990–1999", "漢字", "<|endoftext|>x", "a<|b"):
+        asked.clear()
+        cache.clear()
+        cache.ids(plain_words * 50 + odd + " " + plain_words * 50 + odd)
+        assert asked == [odd]
+    asked.clear()
+    cache.ids("漢" * 400 + " " + "漢" * 400)
+    assert len(asked) == 2 and not any(len(k) > 256 for k in cache)
+
+
+def test_repeated_and_long_rows(spark, library):
+    long_text = "naïve — word’s end. " * 60_000
+    texts = [long_text, "same", "same", "x" * 300_000]
+    got = {}
+    for r in token_counts(frame(spark, texts).union(frame(spark, texts[:2])), PATH, 2048).collect():
+        got.setdefault(r.doc_id, []).append(r.n_tokens)
+    assert got[0] == [len(library.encode(long_text, add_special_tokens=False).ids)] * 2 and len(got[1]) == 2
+    rows = pack(frame(spark, texts).union(frame(spark, texts[:2])), PATH, 2048).collect()
+    assert sum(r.length for r in rows if r.doc_id == 0) == 2 * (got[0][0] + 1)
+
+
 def test_token_counts(spark, library):
     rows = token_counts(frame(spark, TEXTS), PATH, 2048).collect()
     assert len(rows) == len(TEXTS)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import prepare
-from usagelens.llm.tokens import length_cache, plain
+from usagelens.llm.tokens import length_cache, pieces
 
 HEAD = 4_000            # pieces a task reports
 FREQUENT = 20_000       # pieces in the broadcast table
@@ -29,8 +29,8 @@ def piece_heads(batches):
     seen: Counter = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            if text and plain(text):
-                seen.update(text.lower().split())
+            if text:
+                seen.update(pieces(text))
         if len(seen) > LOCAL:
             seen = Counter(dict(seen.most_common(LOCAL // 3)))
     top = [(p, n) for p, n in seen.most_common(HEAD) if len(p) <= MAX_PIECE]

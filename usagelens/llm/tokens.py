@@ -1,11 +1,14 @@
 """Token ids of texts through per-worker caches over the ``tokenizers`` library.
 
-``word_bpe_49k.json`` encodes every pre-token on its own, so the ids of a text are the
-ids of its pre-tokens in order.  :class:`PieceCache` splits a text at white space,
-looks every piece up in a bounded cache and lets the library's model encode misses.
-Texts for which that shortcut is not provably the same (code points from U+0100 on,
-control characters 1C-1F, which Python but not the library treats as white space, or
-``<|``, where a special token may start) go through the library whole.
+``word_bpe_49k.json`` encodes every pre-token on its own, and no pre-token, special token or
+normalisation reaches over ASCII white space (NFC composes nothing with it, lower case is
+per character, the pattern's matches hold none).  So the ids of a text are those of its
+white-space pieces in order.  :class:`PieceCache` looks every piece up in a bounded cache;
+on a miss it is split into pre-tokens here, for the library's model alone, where that is
+proven to be the same.  Pieces for which it is not (code points from U+0100 on, control
+characters 1C-1F, which Python but not the library treats as white space, or ``<|``, where a
+special token may start) go through the library, and only they do: a text with a curly quote
+sends the one word that holds it.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ import regex
 PRETOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
+LONGEST_KEY = 256     # longer pieces that the library encodes are not kept
+
 
 def plain(text: str) -> bool:
     """True if splitting at white space provably gives the library's pre-tokens."""
@@ -31,6 +36,20 @@ def plain(text: str) -> bool:
     return len(raw.translate(None, b"\x1c\x1d\x1e\x1f")) == len(raw)
 
 
+def pieces(text: str) -> list[str]:
+    """The pieces of a text: lower-cased where they are proven, else as they stand."""
+    if plain(text):
+        return text.lower().split()
+    out = []
+    for raw in text.encode().split():      # bytes split at 09-0D and 20 alone
+        piece = raw.decode()
+        if plain(piece):
+            out += piece.lower().split()
+        else:
+            out.append(piece)
+    return out
+
+
 def byte_chars() -> dict[int, str]:
     """Byte-level alphabet: printable bytes stand for themselves, the others for U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -74,6 +93,9 @@ class PieceCache(dict):
         return value
 
     def __missing__(self, piece: str):
+        if not plain(piece):
+            value = self.whole(piece)
+            return self.store(piece, value) if len(piece) <= LONGEST_KEY else value
         if piece.isalpha():
             return self.store(piece, self.pretoken(piece))
         head, last = piece[:-1], piece[-1]
@@ -86,7 +108,7 @@ class PieceCache(dict):
         return self.store(piece, total)
 
     def whole(self, text: str):
-        """The library's own encoding of a text."""
+        """The library's own encoding of a piece."""
         return self.value(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
@@ -97,9 +119,7 @@ class IdCache(PieceCache):
         return np.array(ids, "<u2").tobytes()
 
     def ids(self, text: str) -> bytes:
-        if not plain(text):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        return b"".join(map(self.__getitem__, pieces(text)))
 
 
 class LengthCache(PieceCache):
@@ -109,9 +129,7 @@ class LengthCache(PieceCache):
         return len(ids)
 
     def count(self, text: str) -> int:
-        if not plain(text):
-            return self.whole(text)
-        return sum(map(self.__getitem__, text.lower().split()))
+        return sum(map(self.__getitem__, pieces(text)))
 
 
 @lru_cache(maxsize=4)
