@@ -16,8 +16,10 @@ from usagelens.session import configure, scratch_path
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-# Rows per Arrow batch handed to Python: bounds a worker's memory with long texts.
+# Rows and bytes per Arrow batch handed to Python: bound a worker's memory, also with long
+# texts (a single longer text is a batch of its own).
 ARROW_ROWS = 1000
+ARROW_BYTES = 8_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +30,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the operators and the package on every executor.
 
+    The limits on Arrow batches hold for the whole session: plans are lazy and read them when
+    they run.
+
     The package travels as a zip through Spark's own file distribution, so workers
     import it (and keep their caches between tasks) wherever they run.
     """
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if not getattr(sc, "_usagelens_llm_shipped", False):
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

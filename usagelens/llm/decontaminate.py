@@ -88,12 +88,15 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
         docs.select("doc_id", F.explode(shingle_hashes(words_of(F.col("text")))).alias("h"))
         .join(lookup, "h").select(F.col("doc_id").alias("hit_id"), "item_row").distinct(),
         "containment-candidates")
-    wanted = found.join(tagged.select("item_row", "item_id", "n", "shingles")
-                        .dropDuplicates(["item_row"]), "item_row").drop("item_row")
+    # Documents are reduced to the hit ones by their ids alone; only those meet the shingles.
+    ids = materialize(found.select("hit_id").distinct(), "containment-documents")
+    hit_docs = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_semi")
+    known = materialize(tagged.select("item_row", "item_id", "n", "shingles")
+                        .dropDuplicates(["item_row"]), "containment-items")
     spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), SPACES, " "), F.lit(" "))
     standing = bound(spaced, lambda t: F.size(F.filter("shingles", lambda s: F.contains(
         t, F.concat(F.lit(" "), s, F.lit(" "))))))
-    checked = (docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("hit_id")))
+    checked = (hit_docs.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id"))).join(known, "item_row")
                .select("doc_id", "item_id", "n", standing.alias("matched"))
                .where(F.col("matched") * 100 >= F.col("n") * percent))
     best = F.max(F.struct((F.col("matched") / F.col("n")).alias("share"), "matched", "n"))
