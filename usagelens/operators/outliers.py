@@ -2,8 +2,8 @@
 
 Peers are aggregates (one row per peer group), so the comparison is a join of each
 subject's aggregate to a small-per-key peer table.  The only step that orders a
-peer group's rows is the trimmed mean, which switches to the range-partitioned
-position computation when a group is too large for one task.
+peer group's rows is the trimmed mean; its positions spread a large group over many tasks
+(``windows.positions_within``).
 """
 
 from __future__ import annotations
@@ -62,13 +62,21 @@ def usage_outlier_period(period_usage: DataFrame, peer_keys: Sequence[str], tieb
     rows = period_usage.withColumn("total_flow", total)
     for k in peer_keys:
         rows = rows.where(F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != ""))
-    kept = W.position_trim_skew_safe(rows, peer_keys, ["total_flow", *tiebreak], trim_lo, trim_hi)
-    peers = (kept.groupBy(*peer_keys)
-             .agg(exact_avg("total_flow").alias("avg_total_flow"), F.count_distinct(subject).alias("cnt"))
-             .where(F.col("cnt") > min_users).select(*peer_keys, "avg_total_flow"))
-    subjects = rows.groupBy(*peer_keys, subject).agg(
+    # One pass over the placed rows: a subject's means, and its part of the trimmed mean.
+    placed = W.positions_within(rows, peer_keys, ["total_flow", *tiebreak])
+    kept = W.within_percent(trim_lo, trim_hi)
+    part = placed.groupBy(*peer_keys, subject).agg(
         exact_avg("upflow").alias("avg_upflow"), exact_avg("downflow").alias("avg_downflow"),
-        exact_avg("total_flow").alias("avg_flow"))
+        exact_avg("total_flow").alias("avg_flow"), F.sum(F.when(kept, F.col("total_flow"))).alias("__kept_sum"),
+        F.count(F.when(kept, F.col("total_flow"))).alias("__kept"),
+        F.count(F.when(kept, 1)).alias("__kept_rows"))
+    # A null subject is not counted among the users, but its rows are peer rows.
+    counted = F.when((F.col("__kept_rows") > 0) & F.col(subject).isNotNull(), 1)
+    peers = (part.groupBy(*peer_keys)
+             .agg((F.sum("__kept_sum").cast("double") / F.sum("__kept").cast("double")).alias("avg_total_flow"),
+                  F.count(counted).alias("cnt"))
+             .where(F.col("cnt") > min_users).select(*peer_keys, "avg_total_flow"))
+    subjects = part.drop("__kept_sum", "__kept", "__kept_rows")
     j = subjects.join(peers, list(peer_keys), "left")
     pct = F.col("avg_flow") * 100 / F.col("avg_total_flow")
     return j.where((pct < lo * 100) | (pct > hi * 100))

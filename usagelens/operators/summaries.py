@@ -162,30 +162,30 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
                          .when(F.col("dim_type") == "CITY", F.col("city"))
                          .when(F.col("dim_type") == "PROV", F.col("prov"))
                          .otherwise(F.col("modelname")))
-    part = ["summ_cycle", "dim_type", "custid"]
+    # Measures a level is ranked by (TERMDETAIL: users alone).  They are ranked as long rows,
+    # all at once: positions from counts, so that no task sorts a whole customer.
+    measure = lambda name: F.struct(F.lit(name).alias("measure"), F.col(name).cast("bigint").alias("value"))
+    ranked = F.when(F.col("dim_type") == LEVEL_TERM, F.array(measure("users"))).otherwise(
+        F.array(*[measure(m) for m in ("upflow", "downflow", "users", "sessions")]))
     tie = ["enbid", "prov", "city", "modelname", "tac"]
-    for m in ("upflow", "downflow", "users", "sessions"):
-        agg = W.rank_within(agg, part, [m], f"{m}_rank", ascending=ascending, tiebreak=tie)
+    long = agg.select("summ_cycle", "custid", "dim_type", "dim_obj", "totalflow", *tie, F.inline(ranked))
+    placed = W.positions_within(long, ["summ_cycle", "dim_type", "custid", "measure"],
+                                [("value", ascending), *tie], "meas_rank", "__n")
+
+    def m(label, value):
+        return F.struct(label.alias("meas_obj"), value.cast("bigint").alias("meas_value"))
+    label = F.when(F.col("dim_type") == LEVEL_TERM, F.lit(TERM_MEASURE))
+    for name, text in (("upflow", "OUTFLOW"), ("downflow", "INFLOW"), ("users", ACTIVE_USERS)):
+        label = label.when(F.col("measure") == name, F.lit(text))
+    own = m(label.otherwise(F.lit(SESSIONS)), F.col("value"))
+    # The total's row goes along with the measure whose rank it carries.
+    rows = F.when(F.col("measure") == total_rank_from, F.array(own, m(F.lit("TOTALFLOW"), F.col("totalflow")))
+                  ).otherwise(F.array(own))
     out_city = F.when(F.col("dim_type") == "PROV", F.lit("-1")).otherwise(F.col("city"))
-    base = agg.select("summ_cycle", "custid", out_city.alias("city"), "prov",
-                      F.lit("-1").alias("district"), "dim_type", "dim_obj", "upflow", "downflow",
-                      "totalflow", "users", "sessions", "upflow_rank", "downflow_rank", "users_rank",
-                      "sessions_rank")
+    out = placed.select("summ_cycle", "custid", out_city.alias("city"), "prov", F.lit("-1").alias("district"),
+                        "dim_type", "dim_obj", F.col("meas_rank").cast("int").alias("meas_rank"), F.inline(rows))
     ids = ["summ_cycle", "custid", "city", "prov", "district", "dim_type", "dim_obj"]
-
-    def m(label, value, rank):
-        return F.struct(F.lit(label).alias("meas_obj"), value.cast("bigint").alias("meas_value"),
-                        rank.cast("int").alias("meas_rank"))
-    flow_rows = F.array(m("OUTFLOW", F.col("upflow"), F.col("upflow_rank")),
-                        m("INFLOW", F.col("downflow"), F.col("downflow_rank")),
-                        m("TOTALFLOW", F.col("totalflow"), F.col(f"{total_rank_from}_rank")),
-                        m(ACTIVE_USERS, F.col("users"), F.col("users_rank")),
-                        m(SESSIONS, F.col("sessions"), F.col("sessions_rank")))
-    term_rows = F.array(m(TERM_MEASURE, F.col("users"), F.col("users_rank")))
-    # One projection for every level (a union of per-level branches would make Spark
-    # run the whole aggregate and the rank windows once per branch).
-    rows = F.when(F.col("dim_type") == LEVEL_TERM, term_rows).otherwise(flow_rows)
-    return base.select(*ids, F.inline(rows)).where(F.col("meas_value") != 0)
+    return out.where(F.col("meas_value") != 0).select(*ids, "meas_obj", "meas_value", "meas_rank")
 
 
 def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
@@ -205,12 +205,15 @@ def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame,
     u = users.where(user_filter).select("mdn", "custid")
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("city"),
                         F.lit(True).alias("known"))
-    base = (log.select(cycle.alias("summ_cycle"), "mdn", "enbid", "result", "cause")
+    failed = F.col("result") == "failed"
+    # The log is read, reduced and joined once; levels and causes both come from these rows
+    # (only a failed request keeps its cause).
+    base = (log.groupBy(cycle.alias("summ_cycle"), "mdn", "enbid", F.when(failed, F.col("cause")).alias("cause"))
+            .agg(F.count(F.lit(1)).alias("reqcnt"), A.sum_if(F.lit(1), failed).alias("failcnt"))
             .join(J.sized(u), "mdn", "left").join(J.sized(b), "enbid", "left")
             .withColumn("custid", F.coalesce("custid", F.lit(unknown_customer))))
-    failed = F.col("result") == "failed"
     bs = base.groupBy("summ_cycle", "custid", "enbid", "prov", "city", "known").agg(
-        F.count(F.lit(1)).alias("reqcnt"), A.sum_if(F.lit(1), failed).alias("failcnt"))
+        F.sum("reqcnt").alias("reqcnt"), F.sum("failcnt").alias("failcnt"))
     levels = {"CITY": ["summ_cycle", "custid", "prov", "city"], "PROV": ["summ_cycle", "custid", "prov"],
               "CUST": ["summ_cycle", "custid"]}
     coarse = A.grouping_sets(bs.where(F.col("known")), list(levels.values()),
@@ -227,8 +230,8 @@ def daily_failure_summary(log: DataFrame, users: DataFrame, stations: DataFrame,
     ids = ["summ_cycle", "custid", "prov", "city", "dim_type", "dim_obj", "dim_obj_2"]
     level_long = _long(levels, ids, [(MME_REQS, F.col("reqcnt"), F.lit(-1)),
                                      (MME_FAILREQS, F.col("failcnt"), F.lit(-1))])
-    causes = base.where(failed).groupBy("summ_cycle", "custid", "cause").agg(
-        F.count(F.lit(1)).alias("failcnt"), F.count_distinct("mdn").alias("failusers"))
+    causes = base.where(F.col("failcnt") > 0).groupBy("summ_cycle", "custid", "cause").agg(
+        F.sum("failcnt").alias("failcnt"), F.count_distinct("mdn").alias("failusers"))
     causes = W.rank_within(causes, ["summ_cycle", "custid"], ["failcnt"], "failrank",
                            ascending=False, tiebreak=["cause"])
     cause_long = _long(causes.select("summ_cycle", "custid", F.lit("-1").alias("prov"),

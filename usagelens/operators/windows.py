@@ -186,46 +186,37 @@ def positions_within(df: DataFrame, partition: Sequence[str],
 
     A window over the group would sort it in one task, and one group may hold a third
     of the data.  Here rows are numbered only among rows of one group that agree in the
-    first order column and in a coarse, order-preserving bucket of the second; the rows
-    before them are counted from two tables of counts, per value and bucket inside a
-    bucket of the first column, and per bucket of the first column inside the group (a
-    bounded number).  It is one lazy plan, the same at every size."""
+    first order column and in a coarse, order-preserving bucket of the second; how many rows
+    come before them is counted per such key, inside a bucket of the first column and
+    per bucket inside the group (a bounded number).  The rows are read twice, for the counts
+    and for the numbers, and shuffled once: the counts come to where the numbered rows are.
+    It is one lazy plan, the same at every size."""
     pairs = [(o, True) if isinstance(o, str) else o for o in order]
     cols = [F.col(c).asc() if up else F.col(c).desc() for c, up in pairs]
     value, up = pairs[0]
     second = pairs[1] if len(pairs) > 1 else None
-    rows = df.withColumn("__b1", _bucket(df, value, up)).withColumn(
-        "__b2", _bucket(df, *second) if second else F.lit(0))
+    group = [F.col(c).alias(f"g{i}") for i, c in enumerate(partition)] or [F.lit(0).alias("g0")]
+    # One struct per key: its null fields equal each other, in groups as in joins.
+    key = F.struct(F.struct(F.struct(*group).alias("group"), _bucket(df, value, up).alias("b1")).alias("bucket"),
+                   F.col(value).alias("value"), (_bucket(df, *second) if second else F.lit(0)).alias("b2"))
+    rows = df.withColumn("__key", key)
     # Descending buckets are negated; a null one (null value) comes first ascending and
     # last descending, like the value.
-    b1 = F.col("__b1").asc_nulls_first() if up else F.col("__b1").asc_nulls_last()
-    b2 = (F.col("__b2").asc_nulls_first() if not second or second[1]
-          else F.col("__b2").asc_nulls_last())
-    keys = [*partition, "__b1", value, "__b2"]
-    fine = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-    inside = Window.partitionBy(*partition, "__b1")
-    fine = fine.withColumn("__off", F.coalesce(F.sum("__c").over(
-        inside.orderBy(cols[0], b2).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    group = Window.partitionBy(*partition)
-    coarse = rows.groupBy(*partition, "__b1").agg(F.count(F.lit(1)).alias("__c"))
-    coarse = coarse.withColumn("__before", F.coalesce(F.sum("__c").over(
-        group.orderBy(b1).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn(size, F.sum("__c").over(group))
-    numbered = rows.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*cols)))
-    out = _null_safe_join(numbered, fine.drop("__c"), keys)
-    out = _null_safe_join(out, coarse.drop("__c"), [*partition, "__b1"])
-    return (out.withColumn(pos, F.col("__before") + F.col("__off") + F.col("__rn"))
-            .drop("__rn", "__off", "__before", "__b1", "__b2"))
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where null equals null; the keys appear once."""
-    renamed = right.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                           *[c for c in right.columns if c not in keys])
-    match = F.lit(True)
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    return left.join(renamed, match).drop(*[f"__k{i}" for i in range(len(keys))])
+    b1 = F.col("__b.b1").asc_nulls_first() if up else F.col("__b.b1").asc_nulls_last()
+    at = F.col("__key.value").asc() if up else F.col("__key.value").desc()
+    b2 = (F.col("__key.b2").asc_nulls_first() if not second or second[1]
+          else F.col("__key.b2").asc_nulls_last())
+    fine = rows.groupBy("__key").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", F.col("__key.bucket"))
+    before = lambda w: F.coalesce(F.sum("__c").over(
+        w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    coarse = fine.groupBy("__b").agg(F.sum("__c").alias("__c")).withColumn("__g", F.col("__b.group"))
+    groups = Window.partitionBy("__g")
+    coarse = coarse.select("__b", before(groups.orderBy(b1)).alias("__before"), F.sum("__c").over(groups).alias(size))
+    fine = fine.withColumn("__off", before(Window.partitionBy("__b").orderBy(at, b2)))
+    offsets = fine.join(coarse, "__b").select("__key", (F.col("__before") + F.col("__off")).alias("__first"), size)
+    numbered = rows.withColumn("__rn", F.row_number().over(Window.partitionBy("__key").orderBy(*cols)))
+    return (numbered.join(offsets, "__key").withColumn(pos, F.col("__first") + F.col("__rn"))
+            .drop("__key", "__first", "__rn"))
 
 
 def position_trim_skew_safe(df: DataFrame, partition: Sequence[str], order: Sequence[str],
@@ -233,6 +224,10 @@ def position_trim_skew_safe(df: DataFrame, partition: Sequence[str], order: Sequ
     """WN-9 for groups that grow with the data: the rows of :func:`position_trim`
     (``pos*100/n`` strictly between ``lo`` and ``hi``), with the positions of
     :func:`positions_within`, which spread a hot group over many tasks."""
-    ranked = positions_within(df, partition, order)
-    pct = F.col("__pos") * 100 / F.col("__n")
-    return ranked.where((pct > lo) & (pct < hi)).drop("__pos", "__n")
+    return positions_within(df, partition, order).where(within_percent(lo, hi)).drop("__pos", "__n")
+
+
+def within_percent(lo: int, hi: int, pos: str = "__pos", size: str = "__n") -> Column:
+    """Position percentile strictly between ``lo`` and ``hi``."""
+    pct = F.col(pos) * 100 / F.col(size)
+    return (pct > lo) & (pct < hi)
