@@ -7,6 +7,7 @@ whole-stage codegen and is pushed through Catalyst like hand-written SQL.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -210,8 +211,9 @@ def compose_key(*cols: ColumnOrName, sep: str = "_") -> Column:
 
 
 def split_key(key: ColumnOrName, names: Sequence[str], sep: str = "_") -> list[Column]:
-    """PRJ-23 inverse: split into at most ``len(names)`` parts (the last keeps the rest)."""
-    parts = F.split(_c(key), sep, len(names))
+    """PRJ-23 inverse: split at the text ``sep`` into at most ``len(names)`` parts (the last
+    keeps the rest)."""
+    parts = F.split(_c(key), re.escape(sep), len(names))
     return [parts.getItem(i).alias(n) for i, n in enumerate(names)]
 
 

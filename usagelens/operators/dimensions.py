@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from . import aggregates as A
 from . import joins as J
+from .sessions import with_service_tags
 from .summaries import NATION
 from . import windows as W
 
@@ -225,6 +226,25 @@ def terminal_stats(users: DataFrame, companies: DataFrame, devices: DataFrame) -
             .agg(F.count(F.lit(1)).alias("tercnt")))
 
 
+# Terminal types that do not belong on an industry card.
+PHONE_TYPES = ("Mobile Phone/Feature phone", "Smartphone")
+
+
+def user_terminal_counts(users: DataFrame, devices: DataFrame,
+                         abnormal: Sequence[str] = PHONE_TYPES) -> DataFrame:
+    """AN-32: users, users with a known terminal number (IMEI) and users whose terminal is of an
+    ``abnormal`` type, per company, per company and service (flags tested independently) and
+    per domain that a VPDN user owns.  Levels above carry '-1'.  One explode of the user's tags
+    replaces a union of one aggregate per level."""
+    dev = devices.select(F.lpad(F.col("tac").cast("string"), 8, "0").alias("__tac"), "devicetype")
+    j = users.join(J.sized(dev), C.tac_of("imei") == F.col("__tac"), "left")
+    tagged = with_service_tags(j.select("companycode", "isvpdn", "isdirect", "iscommon", "vpdndomain", "imei", "devicetype"))
+    return tagged.groupBy("companycode", F.coalesce("servtype", F.lit("-1")).alias("servtype"),
+                          F.coalesce("domain", F.lit("-1")).alias("vpdndomain")).agg(
+        F.count(F.lit(1)).alias("usrcnt"), A.count_if(F.length("imei") > 0).alias("tercnt"),
+        A.count_if(F.col("devicetype").isin(*abnormal)).alias("abnormalcnt"))
+
+
 def detect_changes(today: DataFrame, yesterday: DataFrame, keys: Sequence[str],
                    fingerprint_cols: Sequence[str], closed: Column) -> tuple[DataFrame, DataFrame]:
     """AN-48: rows of today that are new or changed (no (key, md5 fingerprint) match

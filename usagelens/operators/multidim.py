@@ -184,6 +184,30 @@ def auth_errors(auth: DataFrame, users: DataFrame, cycle: Column) -> DataFrame:
                                   {"err_cnt": ("count", F.lit(1))})
 
 
+def auth_stations(auth: DataFrame, users: DataFrame, cycle: Column, net: str = "3g",
+                  unknown_station: str = "0") -> DataFrame:
+    """AN-21 station part: authentication requests of one network per company × service ×
+    station, and for VPDN records also per domain: requests, failures, successes, distinct
+    users, users with a failure and users with a success.  ``auth``: mdn, nai, net, result,
+    enbid; a record's service is told by its own domain (:func:`by_own_domain`).
+
+    Rows are reduced per user first, so distinct users are counted without a set per group
+    and a busy station is combined map-side."""
+    rec = auth.where(F.col("net") == net).select(
+        cycle.alias("cycle"), "mdn", F.col("enbid").cast("string").alias("bsid"),
+        (F.col("result") == "success").alias("ok"), C.domain_of("nai").alias("authdomain"))
+    tagged = by_own_domain(rec, users).where(F.col("level") != COMPANY)
+    keys = ["cycle", "companycode", "servtype", "domain", "bsid"]
+    per_user = tagged.groupBy(*keys, "mdn").agg(F.count(F.lit(1)).alias("n"), A.count_if(F.col("ok")).alias("s"))
+    return per_user.groupBy(*keys).agg(
+        F.sum("n").alias("rn"), F.sum(F.col("n") - F.col("s")).alias("rfn"), F.sum("s").alias("rsn"),
+        F.count("mdn").alias("req_card_cnt"), A.count_if(F.col("n") > F.col("s")).alias("req_card_fcnt"),
+        A.count_if(F.col("s") > 0).alias("req_card_scnt")).select(
+        "cycle", "companycode", "servtype", F.coalesce("domain", F.lit("-1")).alias("vpdndomain"),
+        F.coalesce("bsid", F.lit(unknown_station)).alias("bsid"), "rn", "rfn", "rsn", "req_card_cnt",
+        "req_card_fcnt", "req_card_scnt")
+
+
 def mme_summary(log: DataFrame, users: DataFrame, cycle: Column, attach: Column) -> DataFrame:
     """AN-22: attach requests (PRJ-4) with the measures of :func:`auth_summary`, per service
     the user has (flags tested independently) and over all users of the company."""

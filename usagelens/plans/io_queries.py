@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import columns as C
+from ..functions import predicates as P
 from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import sinks as K
@@ -307,3 +308,119 @@ def q_column_helpers(spark, sf_dir):
                     C.drop_last_n(F.concat(F.col("o_orderkey").cast("string"), F.lit("xy")), 2).alias("dropped"),
                     C.section_key(F.lpad(F.col("o_custkey").cast("string"), 11, "1")).alias("section"),
                     C.ratio_or_zero(F.col("o_orderkey"), F.col("o_custkey") % 7).alias("ratio"))
+
+
+@register("io_slot", """
+WITH first AS (SELECT min(ts) AS t FROM events)
+SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events, first
+WHERE strftime(ts, '%Y%m%d%H') = strftime(t, '%Y%m%d%H') GROUP BY 1""")
+def q_io_slot(spark, sf_dir):
+    """SNK-1 then SRC-1/FLT-1: the table in day and hour partitions, its first slot written once
+    more as one partition, and only that slot read."""
+    path = _folder(spark, "slots")
+    ev = I.table(spark, sf_dir, "events").select("event_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("d"),
+                                                 F.date_format("ts", "HH").alias("h"))
+    K.write_partitioned(ev, path, ["d", "h"])
+    slot = ev.agg(F.min(F.struct("d", "h")).alias("s")).select("s.*").first().asDict()
+    K.write_partition(ev.where(P.partition_is(slot)).drop(*slot), path, slot)
+    return R.scan_partition(spark, path, **slot).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("bigint").alias("ids"))
+
+
+@register("io_subpaths", """
+SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events
+WHERE event_type IN ('error', 'view') GROUP BY 1""")
+def q_io_subpaths(spark, sf_dir):
+    """SRC-3: two sub-paths of a partitioned table, with their partition column."""
+    path = _folder(spark, "subpaths")
+    K.write_partitioned(I.table(spark, sf_dir, "events").select("event_id", "event_type"), path, ["event_type"])
+    return R.scan_with_base(spark, path, ["event_type=error", "event_type=view"]).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("bigint").alias("ids"))
+
+
+@register("io_csv", """
+SELECT n_regionkey AS region, count(*) AS n, string_agg(n_name, ',' ORDER BY n_name) AS names FROM nation GROUP BY 1""")
+def q_io_csv(spark, sf_dir):
+    """SNK-3 then SRC-6/7: a report exported with a header in one file, and read without it."""
+    path = _folder(spark, "csv")
+    K.write_csv(I.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), path, single_file=True)
+    back = R.scan_delimited(spark, path, ",", ["n_nationkey", "n_name", "n_regionkey"], first_line_is_header=True)
+    return back.groupBy(F.col("n_regionkey").cast("int").alias("region")).agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names"))
+
+
+@register("io_table", _DAYS_SQL)
+def q_io_table(spark, sf_dir):
+    """SNK-9 then SRC-9: rows appended to a partitioned catalog table, their days overwritten by
+    the same rows, and the table read with a predicate."""
+    path, table = _folder(spark, "table"), f"io_table_{uuid.uuid4().hex[:8]}"
+    ev = _events(spark, sf_dir).select("event_id", "user_id", "event_type", "d")
+    spark.sql(f"CREATE TABLE {table} (event_id BIGINT, user_id BIGINT, event_type STRING, d STRING) "
+              f"USING parquet PARTITIONED BY (d) LOCATION '{path}'")
+    for overwrite in (False, True):
+        K.insert_into_table(ev, table, overwrite=overwrite)
+    return _day_totals(R.scan_table(spark, table, F.col("d") >= "0"))
+
+
+@register("geo_series", oracle(("stations",), per="""
+SELECT row_number() OVER (ORDER BY provname, cityname) AS id, provname AS prov, cityname AS city, count(*) AS num
+FROM stations GROUP BY 2, 3""", body="""
+SELECT '202401' AS cycle, 'province' AS level, 'c1' AS custid, prov, '-' AS city, '-' AS cause,
+       measure, CAST(CASE measure WHEN 'num' THEN num WHEN 'low' THEN num - 1 WHEN 'high' THEN num + 1 ELSE num * 2 END AS DOUBLE) AS value
+FROM per CROSS JOIN (VALUES ('num'), ('low'), ('high'), ('fcst')) AS m(measure)"""))
+def q_geo_series(spark, sf_dir):
+    """AN-42: a forecast file as the external program leaves it (derived from the stations),
+    loaded at province level."""
+    path = _folder(spark, "series")
+    per = I.stations(spark, sf_dir).groupBy("provname", "cityname").agg(F.count(F.lit(1)).alias("num"))
+    text = F.concat_ws(",", F.concat(F.col("provname"), F.col("cityname")), F.lit("c1"), "provname", "cityname", "num",
+                       F.col("num") - 1, F.col("num") + 1, F.col("num") * 2)
+    header = spark.createDataFrame([(",".join(R.GEO_SERIES_FIELDS["forecast"]),), ("damaged,line",)], "value string")
+    per.select(text.alias("value")).unionAll(header).write.text(path)
+    return R.geo_series_load(spark, path, "forecast", "province", "202401")
+
+
+@register("time_helpers", """
+SELECT o_orderkey, strftime(o_orderdate + INTERVAL 5400 SECOND, '%Y%m%d%H%M') AS shifted,
+       CAST(epoch(o_orderdate) - epoch(TIMESTAMP '1992-01-01') AS BIGINT) AS since,
+       isodow(o_orderdate) AS dow, CAST(date_trunc('week', o_orderdate) AS DATE) AS week_first,
+       CAST(date_trunc('week', o_orderdate) AS DATE) + 6 AS week_last,
+       day(o_orderdate) AS dom, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_first,
+       last_day(o_orderdate) AS month_last,
+       CASE WHEN CAST(o_custkey AS VARCHAR) LIKE '86%' THEN CAST(o_custkey AS VARCHAR)
+            ELSE '86' || CAST(o_custkey AS VARCHAR) END AS number,
+       regexp_matches(CAST(o_custkey AS VARCHAR), '(1|3)$') AS odd_end, CAST('orders' AS VARCHAR) AS origin
+FROM orders""")
+def q_time_helpers(spark, sf_dir):
+    """PRJ-2, 16, 21, 34, 35, 36 and FLT-4 over every order, all read from text."""
+    o = C.cast_all(I.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyyMMddHHmm").alias("label"),
+        F.to_date("o_orderdate").alias("day")))
+    week, month = C.week_bounds("day"), C.month_bounds("day")
+    out = o.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+        C.shift_time("label", "yyyyMMddHHmm", 5400).alias("shifted"),
+        C.time_interval(F.lit("199201010000"), F.col("label"), "yyyyMMddHHmm").alias("since"),
+        week["dow"].cast("bigint").alias("dow"), week["week_first"].alias("week_first"), week["week_last"].alias("week_last"),
+        month["dom"].cast("bigint").alias("dom"), month["month_first"].alias("month_first"),
+        month["month_last"].alias("month_last"),
+        C.normalize_number(F.concat(F.lit("00"), "o_custkey")).alias("number"),
+        P.matches("o_custkey", "(1|3)$").alias("odd_end"))
+    return C.tag(out, origin="orders")
+
+
+@register("list_helpers", oracle(("users",), body="""
+SELECT domain, count(*) AS users, count(CASE WHEN paired = '1' THEN 1 END) AS first_places,
+       count(DISTINCT mdn) AS owners
+FROM (SELECT mdn, unnest(string_split(vpdndomain, ',')) AS domain,
+             unnest(['1', '2']) AS paired FROM users) GROUP BY 1"""))
+def q_list_helpers(spark, sf_dir):
+    """PRJ-32, 33 and 23: comma lists of every user exploded alone and side by side."""
+    u = I.users(spark, sf_dir).select("mdn", "vpdndomain")
+    single = C.explode_csv(u, "vpdndomain", "domain").groupBy("domain").agg(
+        F.count(F.lit(1)).alias("users"), F.count_distinct("mdn").alias("owners"))
+    key = u.select(C.compose_key("mdn", F.col("vpdndomain"), sep="|").alias("k"))
+    back = key.select(*C.split_key("k", ["mdn", "domain"], sep="|")).withColumn("paired", F.lit("1,2"))
+    pairs = C.zip_explode(back, ["domain", "paired"]).groupBy("domain").agg(
+        F.count(F.when(F.col("paired") == "1", 1)).alias("first_places"))
+    return single.join(pairs, "domain").select("domain", "users", "first_places", "owners")
