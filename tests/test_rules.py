@@ -58,6 +58,23 @@ def test_null_network_is_not_the_total(spark):
                                            (None, "3g", 2), (None, "t", 2)], key=str)
 
 
+def test_positions_by_dates_and_texts_both_ways(spark):
+    import datetime as dt
+    import random
+    from pyspark.sql import Window
+    rng = random.Random(8)
+    day = dt.datetime(1969, 12, 30)
+    rows = [(rng.choice(["k", None]), rng.choice([None, day + dt.timedelta(hours=rng.randrange(150))]),
+             rng.choice([None, "", "a", "abcd", "abcde", "abcf", "é", "zz"]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, s string, id long")
+    for order in ([("t", True), ("s", False), "id"], [("t", False), ("s", True), "id"],
+                  [("s", False), ("t", False), "id"], [("s", True), ("t", True), "id"]):
+        pairs = [(o, True) if isinstance(o, str) else o for o in order]
+        w = Window.partitionBy("k").orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in pairs])
+        want = {r.id: r.p for r in df.withColumn("p", F.row_number().over(w)).collect()}
+        assert {r.id: r.p for r in W.positions_within(df, ["k"], order, "p").collect()} == want
+
+
 def test_global_rank_matches_row_number(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 37) % 101).alias("v"), "id")
     got = W.global_rank(df, ["v"], "r", tiebreak=["id"])

@@ -27,7 +27,7 @@ _WIDTH = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4
           "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1, "string": 24}
 # Measured decisions of recent dimension plans.  The key is the canonical plan in full with
 # the byte size of the files it reads, so a dimension that has grown is measured again.
-_SIZE_CHECKED: dict[tuple[str, str, int], bool] = {}
+_SIZE_CHECKED: dict[tuple[int, tuple[str, ...], int], bool] = {}
 SIZE_CHECKS_KEPT = 256
 
 
@@ -53,13 +53,12 @@ def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
     (fixed-width part × rows + measured text bytes) are within the budget.  Plan
     statistics are not used: for a dimension derived by joins they multiply the
     inputs' sizes and would never allow it.  The decision is remembered for the same plan
-    over inputs of the same size."""
+    over the same input files; a plan that reads no file is measured every time."""
     limit = broadcast_limit(dim.sparkSession) if limit_bytes is None else limit_bytes
     if limit <= 0:
         return False
-    plan = dim._jdf.queryExecution().optimizedPlan()
-    key = (plan.canonicalized().toString(), str(plan.stats().sizeInBytes()), limit)
-    if key in _SIZE_CHECKED:
+    key = (dim.semanticHash(), tuple(sorted(dim.inputFiles())), limit)
+    if key[1] and key in _SIZE_CHECKED:
         return _SIZE_CHECKED[key]
     text = [c for c, t in dim.dtypes if t == "string"]
     fixed = 16 + sum(_WIDTH.get(t, 32) for c, t in dim.dtypes if c not in text) + 8 * len(text)

@@ -157,24 +157,30 @@ def drop_min_max_sum(df: DataFrame, keys: Sequence[str], value_col: str, n_days:
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
-def _bucket(df: DataFrame, column: str, ascending: bool) -> Column:
-    """A coarse key that never decreases along the order of ``column``.
+def _bucket(df: DataFrame, column: str) -> Column:
+    """A coarse key that never decreases from a smaller value of ``column`` to a greater one.
 
-    Numbers: 256 steps per doubling of the distance from zero; text (ascending): its
-    first four characters; anything else: one bucket.  Nulls stay null, so they keep
-    the place the order gives them."""
+    Numbers: 256 steps per doubling of the distance from zero; dates and times: the day;
+    text: its first four characters; anything else: one bucket.  Nulls stay null."""
     kind = dict(df.dtypes)[column]
+    c = F.col(column)
     if kind.startswith(NUMBERS):
-        x = F.col(column).cast("double")
+        x = c.cast("double")
         far = F.floor(F.log2(F.abs(x) + 1) * 256)
         step = F.when(F.isnan(x), F.lit(1 << 40)).when(x < 0, -far).otherwise(far)
-        step = F.when(x.isNotNull(), step)
-        return step if ascending else -step
-    if kind == "string" and ascending:
+        return F.when(x.isNotNull(), step)
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_date(F.to_date(c))
+    if kind == "string":
         return F.substring(column, 1, 4)
     return F.lit(0)
 
 
+def _directed(column: Column, ascending: bool) -> Column:
+    """Nulls first ascending and last descending."""
+    return column.asc_nulls_first() if ascending else column.desc_nulls_last()
+
+
 def positions_within(df: DataFrame, partition: Sequence[str],
                      order: Sequence[str | tuple[str, bool]], pos: str = "__pos",
                      size: str = "__n") -> DataFrame:
@@ -192,20 +198,16 @@ def positions_within(df: DataFrame, partition: Sequence[str],
     and for the numbers, and shuffled once: the counts come to where the numbered rows are.
     It is one lazy plan, the same at every size."""
     pairs = [(o, True) if isinstance(o, str) else o for o in order]
-    cols = [F.col(c).asc() if up else F.col(c).desc() for c, up in pairs]
+    cols = [_directed(F.col(c), up) for c, up in pairs]
     value, up = pairs[0]
-    second = pairs[1] if len(pairs) > 1 else None
+    second, up2 = pairs[1] if len(pairs) > 1 else (None, True)
     group = [F.col(c).alias(f"g{i}") for i, c in enumerate(partition)] or [F.lit(0).alias("g0")]
     # One struct per key: its null fields equal each other, in groups as in joins.
-    key = F.struct(F.struct(F.struct(*group).alias("group"), _bucket(df, value, up).alias("b1")).alias("bucket"),
-                   F.col(value).alias("value"), (_bucket(df, *second) if second else F.lit(0)).alias("b2"))
+    key = F.struct(F.struct(F.struct(*group).alias("group"), _bucket(df, value).alias("b1")).alias("bucket"),
+                   F.col(value).alias("value"), (_bucket(df, second) if second else F.lit(0)).alias("b2"))
     rows = df.withColumn("__key", key)
-    # Descending buckets are negated; a null one (null value) comes first ascending and
-    # last descending, like the value.
-    b1 = F.col("__b.b1").asc_nulls_first() if up else F.col("__b.b1").asc_nulls_last()
-    at = F.col("__key.value").asc() if up else F.col("__key.value").desc()
-    b2 = (F.col("__key.b2").asc_nulls_first() if not second or second[1]
-          else F.col("__key.b2").asc_nulls_last())
+    # Buckets are ordered as their column is; a null value has a null bucket.
+    b1, at, b2 = _directed(F.col("__b.b1"), up), _directed(F.col("__key.value"), up), _directed(F.col("__key.b2"), up2)
     fine = rows.groupBy("__key").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", F.col("__key.bucket"))
     before = lambda w: F.coalesce(F.sum("__c").over(
         w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
