@@ -132,6 +132,15 @@ def test_repeated_null_and_no_ids(spark):
     assert J.jaccard_classes(df.limit(0)).collect() == []
 
 
+def test_columns_of_any_name_survive(spark):
+    t = "one two three four five six seven"
+    df = spark.createDataFrame([(2, t, "b", 1, [2.0]), (1, t, "a", 0, None), (3, None, "c", None, None)],
+                               "doc_id long, text string, row string, component int, rest array<double>")
+    kept = J.keep_one_per_class(df)
+    assert kept.dtypes == df.dtypes
+    assert {tuple(r) for r in kept.collect()} == {(1, t, "a", 0, None), (3, "", "c", None, None)}
+
+
 def test_packed_rows_do_not_follow_the_partitions(spark):
     """Four times the partitions, the same packed rows (and the same entries in them)."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

@@ -108,6 +108,16 @@ def test_language_odd_rows(spark):
     assert L.identify(df.limit(0), learned).collect() == []
 
 
+def test_language_of_repeated_and_long_rows_and_ties(spark):
+    learned = spark.createDataFrame([("the cat sat on the mat", "en"), ("der hund und die katze", "de"),
+                                     ("der hund und die katze", "nl")], "text string, lang string")
+    long_text = "the cat sat on the mat " * 150_000
+    rows = [(1, long_text, "x"), (2, "der hund", "x"), (2, "der hund", "x"), (None, "the mat", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [(r.doc_id, r.lang_pred) for r in L.identify(df, learned).collect()]
+    assert sorted(got, key=str) == sorted([(1, "en"), (2, "de"), (2, "de"), (None, "en")], key=str)
+
+
 # --- quality classifier ---
 
 def test_quality_held_out(spark, sf_dir):
@@ -153,6 +163,16 @@ def test_quality_odd_rows(spark):
     assert C.quality_scores(df.limit(0), labels).collect() == []
 
 
+def test_quality_of_repeated_and_long_rows(spark):
+    rows = [(i, "good prose of many words " * 9, "en", 0.5, "x") for i in range(6)]
+    rows += [(i, "#$% !! 99 " * 20, "en", 0.5, "x") for i in range(6, 12)]
+    rows += [(20, "good prose of many words " * 120_000, "en", 0.5, "x")] * 2
+    labels = spark.createDataFrame([(i, int(i < 6)) for i in range(12)] + [(0, 1)], "doc_id long, label int")
+    got = C.quality_scores(spark.createDataFrame(rows, SCHEMA), labels).collect()
+    long_rows = [r.score for r in got if r.doc_id == 20]
+    assert len(got) == len(rows) and len(long_rows) == 2 and long_rows[0] == long_rows[1] > 0.5
+
+
 # --- quality rules ---
 
 def brute_counts(text):
@@ -299,6 +319,15 @@ def test_low_quality_labels_are_rejected(spark, sf_dir):
     assert sum(low) <= 0.5 * len(low) and sum(clean) >= 0.99 * len(clean)
 
 
+def test_rules_of_repeated_and_long_rows(spark):
+    text = "some words that make a sentence of their own here . " * 20
+    rows = [(1, text, "en"), (1, text, "en"), (2, text + "and more " * 400_000, "en"), (3, "漢字 " * 100, None)]
+    got = Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    same = [r for r in got if r.doc_id == 1]
+    assert len(got) == 4 and len(same) == 2 and same[0] == same[1]
+    assert next(r for r in got if r.doc_id == 2).n_words == len(text.split()) + 800_000
+
+
 def test_rules_odd_rows(spark):
     df = spark.createDataFrame([(i, t, None, 0.5, "x") for i, t in enumerate(ODD)], SCHEMA)
     got = Q.quality_rules(df).collect()

@@ -140,5 +140,17 @@ def test_repeated_and_null_ids(spark):
     assert S.remove_repeats(df.limit(0)).collect() == []
 
 
+def test_columns_of_any_name_survive(spark):
+    rows = [(1, "q" * 250, "r1", 1.5, [1], "x"), (2, "plain", None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string, `rest.c0` double, spans array<int>, n_spans string")
+    got = S.remove_repeats(df)
+    assert got.columns == ["doc_id", "text", "row", "rest.c0", "spans", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    first, second = sorted(got.collect(), key=lambda r: r.doc_id)
+    assert (first.row, first["rest.c0"], first.spans, first.n_removed) == ("r1", 1.5, [1], brute([rows[0][1]])[0][1])
+    assert (second.text, second.row, second.spans, second.n_spans) == ("plain", None, None, 0)
+    bare = S.remove_repeats(df.select("text", "doc_id"))
+    assert bare.columns[:2] == ["text", "doc_id"] and bare.count() == 2
+
+
 def test_oracle(spark, sf_dir):
     compare_with_oracle(spark, sf_dir, "op7_suffix_dedup")

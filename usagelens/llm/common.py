@@ -102,6 +102,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def set_aside(docs: DataFrame):
+    """``docs`` as (doc_id, text, rest) with all other columns in one struct, whatever their
+    names, and the function that gives a result of that form its columns back."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)] or [F.lit(0).alias("c")])
+
+    def back(df: DataFrame, *added: str) -> DataFrame:
+        columns = [F.col(c) if c in ("doc_id", "text") else F.col(f"rest.c{others.index(c)}").alias(c)
+                   for c in docs.columns]
+        return df.select(*columns, *added)
+
+    return docs.select("doc_id", "text", rest.alias("rest")), back
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a distinct long ``row`` in document order and null texts as empty.
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import batches, materialize, mix64, numbered, prepare, run_starts
+from usagelens.llm.common import batches, materialize, mix64, numbered, prepare, run_starts, set_aside
 from usagelens.llm.components import components
 
 SHINGLE = 5
@@ -483,5 +483,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_per_class(docs: DataFrame) -> DataFrame:
-    """The document of smallest doc_id of every class, all columns unchanged."""
-    return linked_documents(docs).where("row = component").select(*docs.columns)
+    """The document of smallest doc_id of every class, with the columns of ``docs`` (of any
+    names; a null text comes back empty)."""
+    narrow, back = set_aside(docs)
+    return back(linked_documents(narrow).where("row = component"))

@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from usagelens.llm.common import batches, materialize, mix64, numbered, prepare, run_starts
+from usagelens.llm.common import batches, materialize, mix64, numbered, prepare, run_starts, set_aside
 
 WINDOW = 100
 GRAM = 32
@@ -53,6 +54,7 @@ POSTS = ("bucket int, kind int, key binary, digest binary, row binary, start bin
          "length binary, ahead binary, left binary, right binary")
 VERDICTS = "row long, first long, last long, anchor long, verdict int"
 REMOVE, SHIP, SPLIT = 1, 2, 3
+STATISTICS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def power(base: np.uint64, n: int) -> np.uint64:
@@ -487,38 +489,37 @@ def cut(text: bytes, spans) -> tuple[bytes, int]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document: its columns with the text cut, n_bytes, n_removed, n_spans, kept_sha256.
 
-    ``docs``: doc_id, text and any other columns except the five names added here and
-    ``row``.  Texts are UTF-8 bytes (null: empty, nothing to remove); matches never cross
-    documents.  The cut ``text`` drops a character of which only a part is left;
+    ``docs``: doc_id, text and any other columns; those that bear one of the four names added
+    here are replaced.  Texts are UTF-8 bytes (null: empty, nothing to remove); matches never
+    cross documents.  The cut ``text`` drops a character of which only a part is left;
     ``kept_sha256`` is taken over the remaining bytes themselves.  Rows that repeat an id
     count as documents of their own, ordered by text.  An empty table gives no rows.
     """
-    spark = prepare(docs.sparkSession)
-    rows = numbered(docs)
-    columns = [f for f in rows.schema.fields if f.name != "row"]
-    names = [f.name for f in columns]
-    text_at = names.index("text")
+    prepare(docs.sparkSession)
+    narrow, back = set_aside(docs.drop(*STATISTICS))
+    rows = numbered(narrow)
+    kinds = StructType([StructField("doc_id", narrow.schema["doc_id"].dataType), StructField("text", StringType()),
+                        StructField("rest", narrow.schema["rest"].dataType),
+                        *(StructField(c, LongType()) for c in STATISTICS[:3]),
+                        StructField(STATISTICS[3], StringType())])
 
     def trim(batches_in):
         for batch in batches_in:
+            doc_id, texts, rest, spans = batch.columns
             kept, numbers = [], []
-            for text, spans in zip(batch.column(text_at).to_pylist(),
-                                   batch.column(len(names)).to_pylist(), strict=True):
+            for text, own in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
                 raw = text.encode()
-                left, runs = cut(raw, spans) if spans else (raw, 0)
+                left, runs = cut(raw, own) if own else (raw, 0)
                 kept.append(left.decode("utf-8", "ignore") if runs else text)
                 numbers.append((len(raw), len(raw) - len(left), runs,
                                 hashlib.sha256(left).hexdigest()))
-            arrays = list(batch.columns[:len(names)])
-            arrays[text_at] = pa.array(kept, pa.string())
             stats = list(zip(*numbers, strict=True)) or [(), (), (), ()]
-            arrays += [pa.array(x, pa.int64()) for x in stats[:3]] + [pa.array(stats[3], pa.string())]
             yield pa.RecordBatch.from_arrays(
-                arrays, names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                [doc_id, pa.array(kept, pa.string()), rest, *(pa.array(x, pa.int64()) for x in stats[:3]),
+                 pa.array(stats[3], pa.string())], names=["doc_id", "text", "rest", *STATISTICS])
 
     spans = (repeated_spans(rows).groupBy("row")
-             .agg(F.collect_list(F.struct("first", "last")).alias("__spans")))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-    return (rows.join(spans.hint("shuffle_hash"), "row", "left").select(*names, "__spans")
-            .mapInArrow(trim, schema + ", n_bytes long, n_removed long, n_spans long, "
-                                       "kept_sha256 string"))
+             .agg(F.collect_list(F.struct("first", "last")).alias("spans")))
+    trimmed = (rows.join(spans.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "rest", "spans")
+               .mapInArrow(trim, kinds))
+    return back(trimmed, *STATISTICS)
