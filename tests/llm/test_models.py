@@ -226,6 +226,18 @@ def brute_fold(text):
     return Q.START * (Q.ORDER - 1) + out
 
 
+def test_hash_arrays_find_what_they_hold():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        held = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        held = np.sort(np.concatenate((held, held[:5] + np.uint64(1)))) if n else held
+        logp = rng.random(len(held)).astype(np.float32)
+        wanted = np.concatenate((held, rng.integers(0, 1 << 63, 50).astype(np.uint64), [np.uint64(0)]))
+        got, there = Q.HashArrays(held, logp).find(wanted)
+        assert there.tolist() == np.isin(wanted, held).tolist()
+        assert got[:len(held)].tolist() == logp.astype(float).tolist()
+
+
 @pytest.mark.parametrize("hot", [Q.HOT, 40, 0])
 def test_kneser_ney_by_brute_force(spark, monkeypatch, hot):
     """Whatever is broadcast and whatever is joined: the same scores as with dictionaries."""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from usagelens.llm.common import batches, materialize, mix64, prepare, run_starts
+from usagelens.llm.common import batches, materialize, mix64, prepare
 
 ORDER = 4
 HOT = 1_000_000           # n-grams in the broadcast tier (12 bytes each)
@@ -103,20 +103,27 @@ def count_ngrams(parts):
                 names=["gram", "n"])
         total.clear()
 
+    known: dict[int, str] = {}             # text of the hashes seen
     for batch in parts:
         for run in batches([t for t in batch.column(0).to_pylist() if t],
                            lambda t: len(t) + 16, BATCH_CHARS):
             h, at, flat, _ = ngrams(run)
-            order = np.argsort(h)
-            starts = run_starts(h[order])
-            n = np.diff(np.append(starts, len(h))).tolist()
-            first = at[order[starts]]
-            text = np.stack([flat[first + k] for k in range(ORDER)], 1).astype("<u4").tobytes(
-                ).decode("utf-32-le", "surrogatepass")
-            for i, k in enumerate(n):
-                total[text[i * ORDER:(i + 1) * ORDER]] += k
-            if len(total) >= LOCAL:
+            unlike, n = np.unique(h, return_counts=True)
+            unlike = unlike.tolist()
+            new = np.array([x for x in unlike if x not in known], np.uint64)
+            if len(new):
+                place = np.minimum(np.searchsorted(new, h), len(new) - 1)
+                met = np.flatnonzero(new[place] == h)
+                first = np.zeros(len(new), np.int64)
+                first[place[met]] = at[met]        # any place of the n-gram serves
+                text = np.stack([flat[first + k] for k in range(ORDER)], 1).astype("<u4").tobytes(
+                    ).decode("utf-32-le", "surrogatepass")
+                known.update((x, text[i * ORDER:(i + 1) * ORDER]) for i, x in enumerate(new.tolist()))
+            for x, k in zip(unlike, n.tolist(), strict=True):
+                total[known[x]] += k
+            if len(known) >= LOCAL:
                 yield from flush()
+                known.clear()
     yield from flush()
 
 
@@ -194,26 +201,46 @@ def tiers(model: DataFrame) -> tuple[tuple[bytes, bytes], DataFrame]:
     return arrays, hashed.where(~frequent).select("hash", "logp")
 
 
-def look_up(texts: list[str], hashes: np.ndarray, logp: np.ndarray):
+class HashArrays:
+    """The frequent n-grams of a task: sorted hashes, their log probabilities, and where each
+    run of hashes with the same leading bits begins (hashes are spread evenly)."""
+
+    def __init__(self, hashes: np.ndarray, logp: np.ndarray):
+        self.hashes, self.logp = hashes, logp
+        bits = max(1, int(len(hashes)).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        edges = np.arange((1 << bits) + 1, dtype=np.uint64)
+        self.begin = np.searchsorted(hashes >> self.shift, edges).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of every wanted hash (0 where it is not there), and whether it is."""
+        logp, there = np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        lead = (wanted >> self.shift).astype(np.int64)
+        at, end = self.begin[lead], self.begin[lead + 1]
+        open_ = np.flatnonzero(at < end)
+        at, end = at[open_], end[open_]
+        while len(open_):                    # as many turns as the longest run has hashes
+            hit = self.hashes[at] == wanted[open_]
+            logp[open_[hit]] = self.logp[at[hit]]
+            there[open_[hit]] = True
+            left = ~hit & (at + 1 < end)
+            open_, at, end = open_[left], at[left] + 1, end[left]
+        return logp, there
+
+
+def look_up(texts: list[str], frequent: HashArrays):
     """Of every text: the sum of its frequent n-grams' log probabilities, the number of its
     n-grams, and (hash, count) of the others."""
     h, _, _, sizes = ngrams(texts)
-    order = np.argsort(h)
-    starts = run_starts(h[order])
-    each = np.diff(np.append(starts, len(h)))
-    unlike = h[order[starts]]
-    at = np.minimum(np.searchsorted(hashes, unlike), max(len(hashes) - 1, 0))
-    there = hashes[at] == unlike if len(hashes) else np.zeros(len(unlike), bool)
-    value, hit = np.zeros(len(h)), np.zeros(len(h), bool)
-    found = np.zeros(len(unlike))
-    found[there] = logp[at[there]]
-    value[order], hit[order] = np.repeat(found, each), np.repeat(there, each)
+    logp, there = frequent.find(h)
     ends = np.cumsum(sizes)
-    rest = []
-    for lo, hi in zip(ends - sizes, ends, strict=True):
-        own, n = np.unique(h[lo:hi][~hit[lo:hi]].view(np.int64), return_counts=True)
-        rest.append([{"hash": x, "n": k} for x, k in zip(own.tolist(), n.tolist(), strict=True)])
-    sums = [float(value[lo:hi].sum()) for lo, hi in zip(ends - sizes, ends, strict=True)]
+    sums, rest = [], []
+    for lo, hi in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        sums.append(float(logp[lo:hi].sum()))
+        own = h[lo:hi][~there[lo:hi]]
+        if len(own):
+            own, n = np.unique(own.view(np.int64), return_counts=True)
+        rest.append([{"hash": x, "n": k} for x, k in zip(own.tolist(), n.tolist(), strict=True)] if len(own) else [])
     return sums, sizes, rest
 
 
@@ -297,7 +324,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     frequent = spark.sparkContext.broadcast(arrays)
 
     def score(parts):
-        hashes, logp = (np.frombuffer(b, k) for b, k in zip(frequent.value, (np.uint64, np.float32), strict=True))
+        hot = HashArrays(*(np.frombuffer(b, k) for b, k in zip(frequent.value, (np.uint64, np.float32), strict=True)))
         base, seen = TaskContext.get().partitionId() << 33, 0
         rest_kind = pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64())]))
         for batch in parts:
@@ -306,7 +333,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                 counts = np.array([surface_counts(t) for t in run], np.int64)
                 cut = batch.slice(lo, len(run))
                 failed = (counts[:, 0] < 50) | (100 * counts[:, 4] > 50 * counts[:, 0])
-                sums, sizes, rest = look_up(run, hashes, logp)
+                sums, sizes, rest = look_up(run, hot)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(base + seen + lo, base + seen + lo + len(run))), cut.column(0),
                      cut.column(2), *map(pa.array, counts.T), pa.array(failed), pa.array(sums, pa.float64()),
