@@ -196,20 +196,20 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 def compact(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet",
             target_bytes: int = TARGET_FILE_BYTES, partition_cols: Sequence[str] = ()) -> int:
-    """SNK-11: rewrite ``path`` into files of about ``target_bytes`` at ``out_path``; returns
-    their number.
+    """SNK-11: rewrite ``path`` into files of about ``target_bytes`` at ``out_path``.
 
-    The sizes come from file metadata alone.  Unpartitioned: ``ceil(bytes / target)`` files.
-    Partitioned: every partition gets that many files for its own bytes, each written by a
-    task of its own, so a large partition is spread over many tasks and a small one is a
-    single file.  Rows are dealt round robin within a partition."""
+    The sizes come from file metadata alone.  Unpartitioned: ``ceil(bytes / target)`` files;
+    returns their number.  Partitioned: every partition gets that many files for its own
+    bytes, each written by a task of its own, so a large partition is spread over many tasks
+    and a small one is a single file; rows are dealt round robin within a partition.  Returns
+    the bytes planned for the largest file (at most ``target_bytes``)."""
     if not partition_cols:
         n = max(1, math.ceil(input_bytes(spark, path) / target_bytes))
         spark.read.format(fmt).load(path).repartition(n).write.mode("overwrite").format(fmt).save(out_path)
         return n
     cols = list(partition_cols)
     plan = file_plan(spark, path, cols, target_bytes)
-    total = plan.agg(F.sum("__files")).first()[0] or 0
+    total, largest = plan.agg(F.sum("__files"), F.max(F.ceil(F.col("__bytes") / F.col("__files")))).first()
     if not total:
         return 0
     rows = spark.read.format(fmt).load(path)
@@ -222,7 +222,7 @@ def compact(spark: SparkSession, path: str, out_path: str, fmt: str = "parquet",
              .repartitionById(int(total), F.col("__task")).drop("__task"))
     (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
      .format(fmt).save(out_path))
-    return int(total)
+    return int(largest)
 
 
 def file_plan(spark: SparkSession, path: str, partition_cols: Sequence[str], target_bytes: int) -> DataFrame:
@@ -231,7 +231,7 @@ def file_plan(spark: SparkSession, path: str, partition_cols: Sequence[str], tar
     cols = list(partition_cols)
     sizes = (spark.read.format("binaryFile").load(path).groupBy(*[F.col(c).cast("string").alias(c) for c in cols])
              .agg(F.sum("length").alias("__bytes")))
-    files = sizes.select(*cols, F.ceil(F.col("__bytes") / target_bytes).alias("__files"))
+    files = sizes.where(F.col("__bytes") > 0).withColumn("__files", F.ceil(F.col("__bytes") / target_bytes))
     # One row per partition folder: the driver lists them all anyway to plan the scan.
     before = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("__first", F.coalesce(F.sum("__files").over(before), F.lit(0)))
