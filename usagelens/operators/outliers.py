@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from . import joins as J
 from . import windows as W
+from ..session import stored
 
 
 def exact_avg(col: str | Column) -> Column:
@@ -63,13 +64,13 @@ def usage_outlier_period(period_usage: DataFrame, peer_keys: Sequence[str], tieb
     for k in peer_keys:
         rows = rows.where(F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != ""))
     # One pass over the placed rows: a subject's means, and its part of the trimmed mean.
-    placed = W.positions_within(rows, peer_keys, ["total_flow", *tiebreak])
+    placed = W.positions_within(stored(rows, "period-usage"), peer_keys, ["total_flow", *tiebreak])
     kept = W.within_percent(trim_lo, trim_hi)
-    part = placed.groupBy(*peer_keys, subject).agg(
+    part = stored(placed.groupBy(*peer_keys, subject).agg(
         exact_avg("upflow").alias("avg_upflow"), exact_avg("downflow").alias("avg_downflow"),
         exact_avg("total_flow").alias("avg_flow"), F.sum(F.when(kept, F.col("total_flow"))).alias("__kept_sum"),
         F.count(F.when(kept, F.col("total_flow"))).alias("__kept"),
-        F.count(F.when(kept, 1)).alias("__kept_rows"))
+        F.count(F.when(kept, 1)).alias("__kept_rows")), "period-subjects")
     # A null subject is not counted among the users, but its rows are peer rows.
     counted = F.when((F.col("__kept_rows") > 0) & F.col(subject).isNotNull(), 1)
     peers = (part.groupBy(*peer_keys)

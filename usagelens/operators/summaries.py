@@ -162,15 +162,16 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
                          .when(F.col("dim_type") == "CITY", F.col("city"))
                          .when(F.col("dim_type") == "PROV", F.col("prov"))
                          .otherwise(F.col("modelname")))
-    # Measures a level is ranked by (TERMDETAIL: users alone).  They are ranked as long rows,
-    # all at once: positions from counts, so that no task sorts a whole customer.
+    # Measures a level is ranked by (TERMDETAIL: users alone), as long rows: one window and one
+    # sort rank them all.  A rank group is one measure of one customer and level, at most a row
+    # per station, place or terminal type of the registers.
     measure = lambda name: F.struct(F.lit(name).alias("measure"), F.col(name).cast("bigint").alias("value"))
     ranked = F.when(F.col("dim_type") == LEVEL_TERM, F.array(measure("users"))).otherwise(
         F.array(*[measure(m) for m in ("upflow", "downflow", "users", "sessions")]))
     tie = ["enbid", "prov", "city", "modelname", "tac"]
     long = agg.select("summ_cycle", "custid", "dim_type", "dim_obj", "totalflow", *tie, F.inline(ranked))
-    placed = W.positions_within(long, ["summ_cycle", "dim_type", "custid", "measure"],
-                                [("value", ascending), *tie], "meas_rank", "__n")
+    placed = W.rank_within(long, ["summ_cycle", "dim_type", "custid", "measure"], ["value"], "meas_rank",
+                           ascending=ascending, tiebreak=tie)
 
     def m(label, value):
         return F.struct(label.alias("meas_obj"), value.cast("bigint").alias("meas_value"))

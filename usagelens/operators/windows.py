@@ -9,7 +9,7 @@ WindowGroupLimit before the shuffle.  "Latest per key" is an aggregate
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,16 +157,21 @@ def drop_min_max_sum(df: DataFrame, keys: Sequence[str], value_col: str, n_days:
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+STEPS = 16            # buckets per doubling of a number: few, as every bucket costs a window its set-up
+EXACT = 16            # below this distance from zero a bucket holds one whole number
+
+
 def _bucket(df: DataFrame, column: str) -> Column:
     """A coarse key that never decreases from a smaller value of ``column`` to a greater one.
 
-    Numbers: 256 steps per doubling of the distance from zero; dates and times: the day;
+    Numbers: STEPS steps per doubling of the distance from zero; dates and times: the day;
     text: its first four characters; anything else: one bucket.  Nulls stay null."""
     kind = dict(df.dtypes)[column]
     c = F.col(column)
     if kind.startswith(NUMBERS):
         x = c.cast("double")
-        far = F.floor(F.log2(F.abs(x) + 1) * 256)
+        far = F.floor(F.log2(F.abs(x) + 1) * STEPS)
         step = F.when(F.isnan(x), F.lit(1 << 40)).when(x < 0, -far).otherwise(far)
         return F.when(x.isNotNull(), step)
     if kind in ("date", "timestamp", "timestamp_ntz"):
@@ -176,6 +181,14 @@ def _bucket(df: DataFrame, column: str) -> Column:
     return F.lit(0)
 
 
+def _one_value(df: DataFrame, column: str) -> Column:
+    """Whether the bucket of a row is known to hold a single value (or null) of ``column``."""
+    c = F.col(column)
+    if dict(df.dtypes)[column] in INTEGERS:
+        return c.isNull() | (F.abs(c.cast("double")) < EXACT)
+    return c.isNull()
+
+
 def _directed(column: Column, ascending: bool) -> Column:
     """Nulls first ascending and last descending."""
     return column.asc_nulls_first() if ascending else column.desc_nulls_last()
@@ -191,34 +204,58 @@ def positions_within(df: DataFrame, partition: Sequence[str],
     descending, and null group keys form a group like any other.
 
     A window over the group would sort it in one task, and one group may hold a third
-    of the data.  Here rows are numbered only among rows of one group that agree in the
-    first order column and in a coarse, order-preserving bucket of the second; how many rows
-    come before them is counted per such key, inside a bucket of the first column and
-    per bucket inside the group (a bounded number).  The rows are read twice, for the counts
-    and for the numbers, and shuffled once: the counts come to where the numbered rows are.
-    It is one lazy plan, the same at every size."""
+    of the data.  Here rows are numbered only among rows of one group that share a narrow,
+    order-preserving bucket of the first order column; where such a bucket holds one value
+    (nulls and whole numbers near zero, the ones that many rows share), it is split again by
+    a bucket of the second column.  The rows before them come from counts per bucket.  The
+    rows are read twice, for the counts and for the numbers, and shuffled once: counts and
+    windows share their keys.  It is one lazy plan, the same at every size."""
     pairs = [(o, True) if isinstance(o, str) else o for o in order]
     cols = [_directed(F.col(c), up) for c, up in pairs]
     value, up = pairs[0]
     second, up2 = pairs[1] if len(pairs) > 1 else (None, True)
-    group = [F.col(c).alias(f"g{i}") for i, c in enumerate(partition)] or [F.lit(0).alias("g0")]
-    # One struct per key: its null fields equal each other, in groups as in joins.
-    key = F.struct(F.struct(F.struct(*group).alias("group"), _bucket(df, value).alias("b1")).alias("bucket"),
-                   F.col(value).alias("value"), (_bucket(df, second) if second else F.lit(0)).alias("b2"))
-    rows = df.withColumn("__key", key)
-    # Buckets are ordered as their column is; a null value has a null bucket.
-    b1, at, b2 = _directed(F.col("__b.b1"), up), _directed(F.col("__key.value"), up), _directed(F.col("__key.b2"), up2)
-    fine = rows.groupBy("__key").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", F.col("__key.bucket"))
+    group = _never_null(df, {f"__g{i}": F.col(c) for i, c in enumerate(partition)}) or {"__g0": F.lit(0)}
+    bucket = {**group, **_never_null(df, {"__b1": _bucket(df, value)})}
+    split = F.when(_one_value(df, value), _bucket(df, second)) if second else F.lit(0)
+    key = {**bucket, **_never_null(df, {"__b2": split})}
+    rows = df.withColumns(key)
+
+    def ordered(name: str, ascending: bool) -> list[Column]:
+        """The order of a key column whose nulls stand in a column of their own."""
+        flag = [_directed(F.col(f"{name}_null"), not ascending)] if f"{name}_null" in key else []
+        return [*flag, _directed(F.col(name), ascending)]
+
     before = lambda w: F.coalesce(F.sum("__c").over(
         w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    coarse = fine.groupBy("__b").agg(F.sum("__c").alias("__c")).withColumn("__g", F.col("__b.group"))
-    groups = Window.partitionBy("__g")
-    coarse = coarse.select("__b", before(groups.orderBy(b1)).alias("__before"), F.sum("__c").over(groups).alias(size))
-    fine = fine.withColumn("__off", before(Window.partitionBy("__b").orderBy(at, b2)))
-    offsets = fine.join(coarse, "__b").select("__key", (F.col("__before") + F.col("__off")).alias("__first"), size)
-    numbered = rows.withColumn("__rn", F.row_number().over(Window.partitionBy("__key").orderBy(*cols)))
-    return (numbered.join(offsets, "__key").withColumn(pos, F.col("__first") + F.col("__rn"))
-            .drop("__key", "__first", "__rn"))
+    fine = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__c"))
+    coarse = fine.groupBy(*bucket).agg(F.sum("__c").alias("__c"))
+    groups = Window.partitionBy(*group)
+    coarse = coarse.select(*bucket, before(groups.orderBy(*ordered("__b1", up))).alias("__before"),
+                           F.sum("__c").over(groups).alias(size))
+    inside = Window.partitionBy(*bucket).orderBy(*ordered("__b2", up2))
+    offsets = (fine.withColumn("__off", before(inside)).join(coarse, list(bucket))
+               .select(*key, (F.col("__before") + F.col("__off")).alias("__first"), size))
+    numbered = rows.withColumn("__rn", F.row_number().over(Window.partitionBy(*key).orderBy(*cols)))
+    return (numbered.join(offsets, list(key)).withColumn(pos, F.col("__first") + F.col("__rn"))
+            .drop(*key, "__first", "__rn"))
+
+
+STAND_INS = {"string": "", "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01", "boolean": False}
+
+
+def _never_null(df: DataFrame, columns: Mapping[str, Column]) -> dict[str, Column]:
+    """Key columns in which nulls equal each other under plain equality, so that groups, windows
+    and joins on them share one partitioning: a stand-in, and a flag beside it."""
+    kinds = dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes)
+    fields = {f.name: f.nullable for f in df.select(*[c.alias(n) for n, c in columns.items()]).schema.fields}
+    out: dict[str, Column] = {}
+    for name, c in columns.items():
+        if not fields[name]:
+            out[name] = c
+        else:
+            out[f"{name}_null"] = c.isNull()
+            out[name] = F.coalesce(c, F.lit(STAND_INS.get(kinds[name], 0)).cast(kinds[name]))
+    return out
 
 
 def position_trim_skew_safe(df: DataFrame, partition: Sequence[str], order: Sequence[str],

@@ -10,8 +10,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants.  They are defaults: a value the cluster already set wins.
 DEFAULTS = {
@@ -87,3 +88,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a materialized table."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared scratch folder and read back: for a result that
+    a plan reads more than once and that costs more to compute twice than to write."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
