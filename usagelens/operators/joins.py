@@ -5,7 +5,8 @@ fixed domain (provinces, cities, network types, code tables), or after a measure
 check (:func:`fits_broadcast`) shows it is below
 ``spark.sql.autoBroadcastJoinThreshold``.  Dimensions that grow with the data
 (subscribers, stations, devices) fail the check at scale and are joined with a
-shuffled join; AQE's skew-join handling splits hot keys at run time.  Deciding
+shuffled hash join: the records pass by unsorted and a task holds its part of the
+dimension alone; AQE's skew-join handling splits hot keys at run time.  Deciding
 before planning matters: when Spark plans a sort-merge join and AQE only later
 finds the small side, the fact side has already been shuffled.
 """
@@ -29,6 +30,8 @@ _WIDTH = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4
 # the byte size of the files it reads, so a dimension that has grown is measured again.
 _SIZE_CHECKED: dict[tuple[int, tuple[str, ...], int], bool] = {}
 SIZE_CHECKS_KEPT = 256
+# Records that the sorts and hash maps of one task hold (some tens of MB each).
+ROWS_PER_TASK = 250_000
 
 
 def _bytes(conf_value: str) -> int:
@@ -75,9 +78,23 @@ def fits_broadcast(dim: DataFrame, limit_bytes: int | None = None) -> bool:
 
 def sized(dim: DataFrame, limit_bytes: int | None = None) -> DataFrame:
     """JN-1/JN-6: the dimension with a broadcast hint when its measured size is under
-    the budget, otherwise unchanged (Spark then plans a shuffled join, and AQE may
-    still switch to a broadcast on the measured shuffle size)."""
-    return F.broadcast(dim) if fits_broadcast(dim, limit_bytes) else dim
+    the budget, otherwise hinted as the hashed side of a shuffled join (a sort-merge join
+    would hold the records of a task in a sort, which grow faster than the dimension)."""
+    return F.broadcast(dim) if fits_broadcast(dim, limit_bytes) else dim.hint("shuffle_hash")
+
+
+def tasks_for(spark, rows: int) -> int | None:
+    """How many tasks share ``rows`` records, ROWS_PER_TASK each; None when that is no more
+    than the session's cores, among which Spark deals them anyway."""
+    tasks = -(-rows // ROWS_PER_TASK)
+    return tasks if tasks > spark.sparkContext.defaultParallelism else None
+
+
+def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` to so many tasks (None: left as it is).  Left to itself,
+    Spark merges shuffle partitions until a task has its share of the cores or 64 MB of
+    compressed rows, millions of them, and sorts and hash maps grow with that."""
+    return df if tasks is None else df.repartition(tasks, *keys)
 
 
 def reduce_unless_broadcast(facts: DataFrame, keys: Sequence, sums: Sequence[str],

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import sized
+from ..operators.joins import fits_broadcast, sized, spread, tasks_for
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,29 +65,39 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_regionkey").alias("prov_id"), F.col("r_name").alias("prov")))
 
 
-def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usage records (one per lineitem).
+def usage_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """Tasks among which the usage records are dealt (None: as Spark does)."""
+    return tasks_for(spark, table(spark, sf_dir, "lineitem").count())
+
+
+def usage_records(spark: SparkSession, sf_dir: str, by_user: bool = False) -> DataFrame:
+    """Usage records (one per lineitem); ``by_user``: many records come dealt by ``mdn``, for
+    operators that group a user's records.
 
     Columns: mdn, session_id, enbid, cellid, tac, net, nai_domain, gwaddress, upflow, downflow,
     duration, starttime, d (yyyy-MM-dd day of the record).
     """
-    li = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-            .select(F.col("o_custkey").alias("mdn"),
-                    F.col("l_orderkey").alias("session_id"),
-                    F.col("l_suppkey").alias("enbid"),
-                    F.col("l_linenumber").cast("string").alias("cellid"),
-                    F.col("l_partkey").alias("tac"),
-                    F.col("l_returnflag").alias("net"),
-                    F.concat(F.lit("d"), (F.col("l_partkey") % 7).cast("string")).alias("nai_domain"),
-                    F.concat(F.lit("10.0."), (F.col("l_suppkey") % 4).cast("string"), F.lit("."),
-                             F.col("l_linenumber").cast("string")).alias("gwaddress"),
-                    _units("l_quantity", 1).alias("upflow"),
-                    _units("l_extendedprice").alias("downflow"),
-                    F.round(F.col("l_discount") * 100).cast("bigint").alias("duration"),
-                    F.col("l_shipdate").alias("starttime"),
-                    F.to_date("l_shipdate").alias("d")))
+    tasks = usage_tasks(spark, sf_dir)
+    li = spread(table(spark, sf_dir, "lineitem"), tasks, "l_orderkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), tasks, "o_orderkey")
+    if tasks is not None:
+        orders = orders.hint("shuffle_hash")
+    records = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+               .select(F.col("o_custkey").alias("mdn"),
+                       F.col("l_orderkey").alias("session_id"),
+                       F.col("l_suppkey").alias("enbid"),
+                       F.col("l_linenumber").cast("string").alias("cellid"),
+                       F.col("l_partkey").alias("tac"),
+                       F.col("l_returnflag").alias("net"),
+                       F.concat(F.lit("d"), (F.col("l_partkey") % 7).cast("string")).alias("nai_domain"),
+                       F.concat(F.lit("10.0."), (F.col("l_suppkey") % 4).cast("string"), F.lit("."),
+                                F.col("l_linenumber").cast("string")).alias("gwaddress"),
+                       _units("l_quantity", 1).alias("upflow"),
+                       _units("l_extendedprice").alias("downflow"),
+                       F.round(F.col("l_discount") * 100).cast("bigint").alias("duration"),
+                       F.col("l_shipdate").alias("starttime"),
+                       F.to_date("l_shipdate").alias("d")))
+    return spread(records, tasks, "mdn") if by_user else records
 
 
 def located_usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +107,10 @@ def located_usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     g = geo(spark, sf_dir).select("city_id", "prov")
     where = cust.join(F.broadcast(g), cust.c_nationkey == g.city_id).select(F.col("c_custkey").alias("mdn"), "prov")
-    return usage_records(spark, sf_dir).join(sized(where), "mdn")
+    records = usage_records(spark, sf_dir, by_user=True)
+    if not fits_broadcast(where):
+        where = spread(where, usage_tasks(spark, sf_dir), "mdn")
+    return records.join(sized(where), "mdn")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
