@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -346,16 +346,20 @@ def active_users_nday(usage: DataFrame, users: DataFrame, day_col: str, keys: Se
     """AN-12: distinct users seen in the ``n`` days ending on each day, per key
     (network type, city...).
 
-    Each distinct (user, day, key) is emitted once for each of the ``n`` window-end
-    days it belongs to (a bounded explode of ``n`` rows), then counted distinct per
-    (end day, key): one shuffle for every end day at once, instead of one job per
-    day reading the last ``n`` partitions."""
+    A record counts for the window-end days from its own day to the day before the user's
+    next record of the key, at most ``n`` (the next record counts from there on).  So a user
+    is emitted once per end day and key, and a plain count of rows, added up map-side, is
+    the distinct count: users are grouped once, and no set of (end day, user) is held."""
     u = users if user_filter is None else users.where(user_filter)
     seen = (usage.select("mdn", F.col(day_col).alias("day"), *[k for k in keys if k in usage.columns])
             .join(J.sized(u.select("mdn", *[k for k in keys if k not in usage.columns])), "mdn")
-            .select("mdn", "day", *keys).distinct())
-    ends = seen.withColumn("end_day", F.explode(F.sequence(F.col("day"), F.date_add(F.col("day"), n - 1))))
-    return ends.groupBy("end_day", *keys).agg(F.count_distinct("mdn").alias("active_users"))
+            .select("mdn", "day", *keys))
+    following = F.lead("day").over(Window.partitionBy("mdn", *keys).orderBy("day"))
+    last = F.date_add(F.col("day"), n - 1)
+    last = F.least(last, F.date_sub(following, 1))  # of two records of one day the later one counts
+    ends = (seen.withColumn("last", last).where(F.col("last") >= F.col("day"))
+            .withColumn("end_day", F.explode(F.sequence(F.col("day"), F.col("last")))))
+    return ends.groupBy("end_day", *keys).agg(F.count("mdn").alias("active_users"))
 
 
 def gateway_reconciliation(records: DataFrame, gateways: dict[str, str], cycle: Column,
