@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from usagelens.operators import aggregates as A
 from usagelens.operators import joins as J
 from usagelens.operators import summaries as S
 from usagelens.plans import catalog as C
@@ -39,7 +40,7 @@ def test_tasks_follow_the_rows(spark):
 
 @pytest.mark.parametrize("name", ["rollup_period", "roaming_matrix", "usage_summary", "usage_outlier_period",
                                   "movement_outlier", "day_aggregate", "device_outlier", "usage_outlier_day",
-                                  "active_users_nday"])
+                                  "levels_long", "active_users_nday"])
 def test_records_are_dealt_by_their_number(spark, sf_dir, many, name):
     assert many > spark.sparkContext.defaultParallelism
     records = (I.usage_records(spark, sf_dir, by_user=True) if name == "active_users_nday"
@@ -47,7 +48,7 @@ def test_records_are_dealt_by_their_number(spark, sf_dir, many, name):
     plan = _plan(records)
     assert f", {many}), REPARTITION_BY_NUM" in plan
     assert "SortMergeJoin" not in plan
-    if name in ("roaming_matrix", "usage_summary", "active_users_nday", "day_aggregate"):
+    if name in ("roaming_matrix", "usage_summary", "levels_long", "active_users_nday", "day_aggregate"):
         assert "SortMergeJoin" not in _plan(C.QUERIES[name](spark, sf_dir))
 
 
@@ -63,3 +64,21 @@ def test_active_users_count_once_per_window(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
     keyed = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", _plan(out))
     assert keyed and not any("mdn" in k for k in keyed)  # no set of (end day, user) in memory
+
+
+def test_marks_count_distinct_users_without_their_shuffle(spark):
+    rows = spark.createDataFrame(
+        [(1, "c", "p", "e"), (1, "c", "p", "e"), (1, "c", "p", None), (1, "c", None, "e"), (2, "c", "p", "e"),
+         (None, "c", "p", "e"), (2, None, "p", "e")], "mdn long, cycle string, prov string, enbid string")
+    marked = A.mark_first(rows, ["mdn", "cycle"], ["prov", "enbid"], "first_")
+    for depth, keys in enumerate((["cycle"], ["cycle", "prov"], ["cycle", "prov", "enbid"])):
+        out = marked.groupBy(*keys).agg(F.sum(f"first_{depth}").alias("users"))
+        want = rows.groupBy(*keys).agg(F.count_distinct("mdn").alias("users"))
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("name", ["levels_long"])
+def test_expanded_rows_are_not_shuffled_per_user(spark, sf_dir, name):
+    plan = _plan(C.QUERIES[name](spark, sf_dir))
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan[:plan.index("Expand")])
+    assert dealt and not any("mdn" in keys for keys in dealt)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
@@ -96,6 +96,22 @@ def rollup(df: DataFrame, cols: Sequence[str], aggs: Sequence[Column],
     return df.rollup(*cols).agg(*aggs, *extra)
 
 
+def mark_first(df: DataFrame, keys: Sequence[str], path: Sequence[str], prefix: str) -> DataFrame:
+    """AG-2 without a distinct shuffle: columns ``<prefix>0`` .. ``<prefix>k`` (1 or 0) that mark,
+    for each depth of ``path``, the first row of ``keys`` with its first so many path columns.
+    ``keys[0]`` is the column to count: a row where it is null is never marked.  The sum of
+    mark d over any rows grouped by ``keys[1:]`` and the first d path columns is their
+    distinct count of ``keys[0]``, and can be added up map-side."""
+    w = Window.partitionBy(*keys).orderBy(*path)
+    new = F.lag(F.lit(1)).over(w).isNull()
+    marks = {}
+    for depth in range(len(path) + 1):
+        if depth:
+            new = new | ~F.lag(path[depth - 1]).over(w).eqNullSafe(F.col(path[depth - 1]))
+        marks[f"{prefix}{depth}"] = F.when(new & F.col(keys[0]).isNotNull(), 1).otherwise(0)
+    return df.withColumns(marks)
+
+
 def with_total_row(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
                    total_labels: Mapping[str, str]) -> DataFrame:
     """AG-17: per-group rows plus one grand-total row whose key columns carry

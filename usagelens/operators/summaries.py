@@ -563,10 +563,19 @@ def levels_long(usage: DataFrame, levels: Sequence[str], cycle: Column) -> DataF
     """AN-52: day measures at every depth of a dimension path (null for the absent
     deeper levels).  The reference emitted each depth without re-aggregating (so
     coarse keys repeated); here it is a real ``rollup``, one row per key and depth,
-    with the depth in ``level``."""
+    with the depth in ``level``.
+
+    Distinct users: with a user's records in the order of the path, the first record of
+    each key is marked at its depth and the marks are added up, so the rollup shuffles
+    sums per key and no copy of every user per depth."""
     levels = list(levels)
-    agg = A.rollup(usage.withColumn("cycle", cycle), ["cycle", *levels], [
+    rows = usage.select(cycle.alias("cycle"), *levels, "mdn", "upflow", "downflow").where(F.col("cycle").isNotNull())
+    rows = A.mark_first(rows, ["mdn", "cycle"], levels, "first_")
+    marks = [f"first_{k}" for k in range(len(levels) + 1)]
+    agg = A.rollup(rows, ["cycle", *levels], [
         F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
-        F.count_distinct("mdn").alias("users")], id_col="gid")
-    depth = len(levels) - F.bit_count(F.col("gid"))
-    return agg.where(F.col("cycle").isNotNull()).withColumn("level", depth.cast("int")).drop("gid")
+        *[F.sum(m).alias(m) for m in marks]], id_col="gid")
+    agg = agg.where(F.col("cycle").isNotNull()).withColumn(
+        "level", (len(levels) - F.bit_count(F.col("gid"))).cast("int"))
+    users = F.element_at(F.array(*marks), F.col("level") + 1)
+    return agg.select("cycle", *levels, "upflow", "downflow", users.alias("users"), "level")
