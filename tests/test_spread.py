@@ -40,7 +40,7 @@ def test_tasks_follow_the_rows(spark):
 
 @pytest.mark.parametrize("name", ["rollup_period", "roaming_matrix", "usage_summary", "usage_outlier_period",
                                   "movement_outlier", "day_aggregate", "device_outlier", "usage_outlier_day",
-                                  "levels_long", "active_users_nday"])
+                                  "daily_dimension_summary", "levels_long", "active_users_nday"])
 def test_records_are_dealt_by_their_number(spark, sf_dir, many, name):
     assert many > spark.sparkContext.defaultParallelism
     records = (I.usage_records(spark, sf_dir, by_user=True) if name == "active_users_nday"
@@ -77,7 +77,7 @@ def test_marks_count_distinct_users_without_their_shuffle(spark):
         assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
 
 
-@pytest.mark.parametrize("name", ["levels_long"])
+@pytest.mark.parametrize("name", ["levels_long", "daily_dimension_summary"])
 def test_expanded_rows_are_not_shuffled_per_user(spark, sf_dir, name):
     plan = _plan(C.QUERIES[name](spark, sf_dir))
     dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan[:plan.index("Expand")])

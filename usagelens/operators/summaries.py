@@ -116,14 +116,17 @@ def message_summary(sms: DataFrame, users: DataFrame, cycle: Column,
 def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
                             devices: DataFrame, cycle: Column, unknown_customer: str = UNKNOWN,
                             city_sentinel: str = "-", user_filter: Column | None = None,
-                            ascending: bool = True, total_rank_from: str = "downflow") -> DataFrame:
+                            ascending: bool = True, total_rank_from: str = "downflow",
+                            tasks: int | None = None) -> DataFrame:
     """AN-4: usage summary at levels BS / CITY / PROV / TERMDETAIL.
 
     Enrichment is one chain of left joins (users → custid or ``unknown_customer``;
     stations on (enbid, prov); devices on tac).  All four levels are computed by one
     ``GROUPING SETS`` aggregate (a single Expand over the enriched rows), measures
     up / down / total volume, active users (distinct mdn) and sessions
-    (count of session ids); TERMDETAIL counts distinct users per model.  Each
+    (count of session ids); TERMDETAIL counts distinct users per model.  Distinct users are
+    sums of marks on a user's first row per key, so only sums per key are shuffled; ``tasks``
+    says among how many tasks the records are dealt by user for that (None: as Spark does).  Each
     measure is ranked per (cycle, level, customer) with ``row_number`` — ascending
     by default, as in the reference, where the TOTALFLOW row also carries the
     downlink rank (``total_rank_from``).  Output is long; zero values dropped."""
@@ -149,27 +152,39 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
                         F.coalesce("bcity", F.lit(city_sentinel)).alias("city"),
                         "modelname", F.col("tac").cast("string").alias("tac"),
                         "upflow", "downflow", "mdn", "sessions"))
+    if not all(J.fits_broadcast(d) for d in (b, t)):  # else no join has dealt the records anew
+        enriched = J.spread(enriched, tasks, "mdn")
+    user = ["mdn", "summ_cycle", "custid"]
+    marked = A.mark_first(A.mark_first(enriched, user, ["prov", "city", "enbid"], "place_"),
+                          user, ["prov", "city", "modelname", "tac"], "term_")
+    first = {LEVEL_BS: "place_3", LEVEL_CITY: "place_2", LEVEL_PROV: "place_1", LEVEL_TERM: "term_4"}
     sets = {LEVEL_BS: ["summ_cycle", "custid", "enbid", "prov", "city"],
             LEVEL_CITY: ["summ_cycle", "custid", "prov", "city"],
             LEVEL_PROV: ["summ_cycle", "custid", "prov"],
             LEVEL_TERM: ["summ_cycle", "custid", "prov", "city", "modelname", "tac"]}
-    agg = A.grouping_sets(enriched, list(sets.values()), [
+    agg = A.grouping_sets(marked, list(sets.values()), [
         F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
-        F.count_distinct("mdn").alias("users"), F.sum("sessions").alias("sessions")], id_col="gid")
+        *[F.sum(m).alias(m) for m in first.values()], F.sum("sessions").alias("sessions")], id_col="gid")
     level = A.level_of("gid", list(sets.values()), sets)
     agg = agg.withColumn("dim_type", level).withColumn("totalflow", F.col("upflow") + F.col("downflow"))
+    agg = agg.withColumn("users", F.coalesce(*[F.when(F.col("dim_type") == k, F.col(m)) for k, m in first.items()]))
     agg = agg.withColumn("dim_obj", F.when(F.col("dim_type") == "BS", F.col("enbid"))
                          .when(F.col("dim_type") == "CITY", F.col("city"))
                          .when(F.col("dim_type") == "PROV", F.col("prov"))
                          .otherwise(F.col("modelname")))
     # Measures a level is ranked by (TERMDETAIL: users alone), as long rows: one window and one
     # sort rank them all.  A rank group is one measure of one customer and level, at most a row
-    # per station, place or terminal type of the registers.
+    # per station, place or terminal type of the registers.  The rows are dealt out for that
+    # while they are wide, once and not per measure.
     measure = lambda name: F.struct(F.lit(name).alias("measure"), F.col(name).cast("bigint").alias("value"))
     ranked = F.when(F.col("dim_type") == LEVEL_TERM, F.array(measure("users"))).otherwise(
         F.array(*[measure(m) for m in ("upflow", "downflow", "users", "sessions")]))
     tie = ["enbid", "prov", "city", "modelname", "tac"]
-    long = agg.select("summ_cycle", "custid", "dim_type", "dim_obj", "totalflow", *tie, F.inline(ranked))
+    agg = agg.select("summ_cycle", "custid", "dim_type", "dim_obj", "totalflow", *tie,
+                     "upflow", "downflow", "users", "sessions")
+    wide = agg.repartition("summ_cycle", "dim_type", "custid") if tasks is None else J.spread(
+        agg, tasks, "summ_cycle", "dim_type", "custid")
+    long = wide.select("summ_cycle", "custid", "dim_type", "dim_obj", "totalflow", *tie, F.inline(ranked))
     placed = W.rank_within(long, ["summ_cycle", "dim_type", "custid", "measure"], ["value"], "meas_rank",
                            ascending=ascending, tiebreak=tie)
 
