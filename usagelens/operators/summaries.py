@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import stored_step
 from . import aggregates as A
 from . import joins as J
+from . import packing as P
 from . import windows as W
 
 # Labels and sentinels the reference's reports write.
@@ -121,72 +123,96 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
     """AN-4: usage summary at levels BS / CITY / PROV / TERMDETAIL.
 
     Enrichment is one chain of left joins (users → custid or ``unknown_customer``;
-    stations on (enbid, prov); devices on tac).  All four levels are computed by one
-    ``GROUPING SETS`` aggregate (a single Expand over the enriched rows), measures
-    up / down / total volume, active users (distinct mdn) and sessions
-    (count of session ids); TERMDETAIL counts distinct users per model.  Distinct users are
-    sums of marks on a user's first row per key, so only sums per key are shuffled; ``tasks``
-    says among how many tasks the records are dealt by user for that (None: as Spark does).  Each
-    measure is ranked per (cycle, level, customer) with ``row_number`` — ascending
-    by default, as in the reference, where the TOTALFLOW row also carries the
-    downlink rank (``total_rank_from``).  Output is long; zero values dropped."""
+    stations on (enbid, prov); devices on tac).  Measures are up / down / total volume, active
+    users (distinct mdn) and sessions (count of session ids); TERMDETAIL counts distinct users
+    per model.  Distinct users are sums of marks on a user's first row per key.  The marked
+    records are stored, as each level reads them.  Each measure is ranked per (cycle, level,
+    customer) with ``row_number`` — ascending by default, as in the reference, where the
+    TOTALFLOW row also carries the downlink rank (``total_rank_from``).  Output is long; zero
+    values dropped.
+
+    ``tasks`` says among how many tasks many records, dealt by user, are dealt again for the
+    joins, marks and ranks (None: as Spark does); they are packed for that.  A step of two such
+    shuffles is stored, so that its shuffle files need not stay until the end."""
     if user_filter is None:
         user_filter = F.col("isnb") == "1"
     u = users.where(user_filter).select("mdn", "custid")
     b = stations.select("enbid", F.col("provname").alias("prov"), F.col("cityname").alias("bcity"),
                         F.lit(True).alias("bmatch"))
-    t = devices.select("tac", "modelname")
+    models = devices.select("tac", "modelname").distinct()
+    # A record counts once per row that the device register has for its terminal; models
+    # themselves only name TERMDETAIL rows and are joined to those.
+    repeated = devices.groupBy("tac").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     # Records are reduced per (cycle, user, station, terminal) first when a join would
     # shuffle them; sums and session counts are additive, distinct users are counted
     # after the joins.
     facts = J.reduce_unless_broadcast(
         usage.withColumn("summ_cycle", cycle)
         .withColumn("sessions", F.when(F.col("session_id").isNotNull(), 1).otherwise(0)),
-        ["summ_cycle", "mdn", "enbid", "prov", "tac"], ["upflow", "downflow", "sessions"], [u, b, t])
+        ["summ_cycle", "mdn", "enbid", "prov", "tac"], ["upflow", "downflow", "sessions"], [u, b])
+    copies = F.coalesce("copies", F.lit(1).cast("bigint"))
+    facts = (facts.join(J.sized(u), "mdn", "left").join(J.sized(repeated), "tac", "left")
+             .select("summ_cycle", F.coalesce("custid", F.lit(unknown_customer)).alias("custid"), "mdn", "enbid", "prov", "tac",
+                     *[(F.col(c) * copies).alias(c) for c in ("upflow", "downflow", "sessions")]))
+    codes: dict[str, P.Code] = {}
+    dealt = tasks is not None and not J.fits_broadcast(b)
+    if dealt:  # by station for the join, and by user again
+        facts = stored_step(facts, "dimension-facts")
+        codes = P.codes_of(facts, [c for c in facts.columns if c not in ("mdn", "prov")])
+        facts = P.spread_packed(facts, tasks, ["enbid", "prov"], codes)
     # Province and city shown are the station's (province null, city '-' when unknown).
-    enriched = (facts.join(J.sized(u), "mdn", "left").join(J.sized(b), ["enbid", "prov"], "left")
-                .join(J.sized(t), "tac", "left")
-                .select("summ_cycle", F.coalesce("custid", F.lit(unknown_customer)).alias("custid"),
-                        F.col("enbid").cast("string").alias("enbid"),
-                        F.when(F.col("bmatch"), F.col("prov")).alias("prov"),
-                        F.coalesce("bcity", F.lit(city_sentinel)).alias("city"),
-                        "modelname", F.col("tac").cast("string").alias("tac"),
-                        "upflow", "downflow", "mdn", "sessions"))
-    if not all(J.fits_broadcast(d) for d in (b, t)):  # else no join has dealt the records anew
-        enriched = J.spread(enriched, tasks, "mdn")
+    enriched = (facts.join(J.sized(b), ["enbid", "prov"], "left")
+                .withColumns({"prov": F.when(F.col("bmatch"), F.col("prov")),
+                              "city": F.coalesce("bcity", F.lit(city_sentinel))}).drop("bcity", "bmatch"))
+    if dealt:
+        places = P.codes_of(b, ["prov", "bcity"])
+        if "bcity" in places and (city := P.texts_code([*places.pop("bcity").texts, city_sentinel])):
+            places["city"] = city
+        enriched = P.spread_packed(enriched, tasks, ["mdn"], {**codes, **places})
     user = ["mdn", "summ_cycle", "custid"]
     marked = A.mark_first(A.mark_first(enriched, user, ["prov", "city", "enbid"], "place_"),
-                          user, ["prov", "city", "modelname", "tac"], "term_")
-    first = {LEVEL_BS: "place_3", LEVEL_CITY: "place_2", LEVEL_PROV: "place_1", LEVEL_TERM: "term_4"}
-    sets = {LEVEL_BS: ["summ_cycle", "custid", "enbid", "prov", "city"],
-            LEVEL_CITY: ["summ_cycle", "custid", "prov", "city"],
-            LEVEL_PROV: ["summ_cycle", "custid", "prov"],
-            LEVEL_TERM: ["summ_cycle", "custid", "prov", "city", "modelname", "tac"]}
-    agg = A.grouping_sets(marked, list(sets.values()), [
-        F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
-        *[F.sum(m).alias(m) for m in first.values()], F.sum("sessions").alias("sessions")], id_col="gid")
-    level = A.level_of("gid", list(sets.values()), sets)
-    agg = agg.withColumn("dim_type", level).withColumn("totalflow", F.col("upflow") + F.col("downflow"))
-    agg = agg.withColumn("users", F.coalesce(*[F.when(F.col("dim_type") == k, F.col(m)) for k, m in first.items()]))
-    agg = agg.withColumn("dim_obj", F.when(F.col("dim_type") == "BS", F.col("enbid"))
-                         .when(F.col("dim_type") == "CITY", F.col("city"))
-                         .when(F.col("dim_type") == "PROV", F.col("prov"))
-                         .otherwise(F.col("modelname")))
+                          user, ["prov", "city", "tac"], "term_")
+    first = {LEVEL_PROV: "place_1", LEVEL_CITY: "place_2", LEVEL_BS: "place_3", LEVEL_TERM: "term_3"}
+    sums = ["upflow", "downflow", "sessions"]
+    marked = stored_step(marked.select("summ_cycle", "custid", "prov", "city", "enbid", "tac", *sums, *first.values()),
+                         "dimension-records")
+    codes = P.codes_of(marked, marked.columns) if tasks is not None else {}
+    group = ["summ_cycle", "custid"]
+    by_group = lambda df, codes: (df.repartition(*group) if tasks is None
+                                  else P.spread_packed(df, tasks, group, codes))
+    # Station rows are summed where they are ranked.
+    bs = by_group(marked.drop("tac", *[m for k, m in first.items() if k != LEVEL_BS]), codes)
+    bs = (bs.groupBy(*group, "enbid", "prov", "city").agg(*[F.sum(c).alias(c) for c in sums], F.sum(first[LEVEL_BS]).alias("users"))
+          .withColumns({"dim_type": F.lit(LEVEL_BS), "enbid": F.col("enbid").cast("string")}).withColumn("dim_obj", F.col("enbid")))
+    # Cities and provinces are few rows, summed map-side.
+    sets = {LEVEL_CITY: [*group, "prov", "city"], LEVEL_PROV: [*group, "prov"]}
+    areas = A.grouping_sets(marked, list(sets.values()), [
+        *[F.sum(c).alias(c) for c in sums], *[F.sum(first[k]).alias(first[k]) for k in sets]], id_col="gid")
+    areas = areas.withColumn("dim_type", A.level_of("gid", list(sets.values()), sets))
+    is_city = F.col("dim_type") == LEVEL_CITY
+    areas = (areas.withColumn("users", F.when(is_city, F.col(first[LEVEL_CITY])).otherwise(F.col(first[LEVEL_PROV])))
+             .withColumns({"dim_obj": F.when(is_city, F.col("city")).otherwise(F.col("prov")), "enbid": F.lit(None).cast("string")}))
+    terms = marked.select(*group, "prov", "city", "tac", first[LEVEL_TERM])
+    terms = (P.spread_packed(terms, tasks, ["tac"], codes).groupBy(*group, "prov", "city", "tac")
+             .agg(F.sum(first[LEVEL_TERM]).alias("users")).join(J.sized(models), "tac", "left"))
+    terms = by_group(terms, {**codes, **(P.codes_of(models, ["modelname"]) if tasks is not None else {})})
+    terms = terms.withColumn("dim_type", F.lit(LEVEL_TERM)).withColumn("tac", F.col("tac").cast("string"))
+
     # Measures a level is ranked by (TERMDETAIL: users alone), as long rows: one window and one
     # sort rank them all.  A rank group is one measure of one customer and level, at most a row
-    # per station, place or terminal type of the registers.  The rows are dealt out for that
-    # while they are wide, once and not per measure.
+    # per station, place or terminal type of the registers.
     measure = lambda name: F.struct(F.lit(name).alias("measure"), F.col(name).cast("bigint").alias("value"))
-    ranked = F.when(F.col("dim_type") == LEVEL_TERM, F.array(measure("users"))).otherwise(
-        F.array(*[measure(m) for m in ("upflow", "downflow", "users", "sessions")]))
-    tie = ["enbid", "prov", "city", "modelname", "tac"]
-    agg = agg.select("summ_cycle", "custid", "dim_type", "dim_obj", "totalflow", *tie,
-                     "upflow", "downflow", "users", "sessions")
-    wide = agg.repartition("summ_cycle", "dim_type", "custid") if tasks is None else J.spread(
-        agg, tasks, "summ_cycle", "dim_type", "custid")
-    long = wide.select("summ_cycle", "custid", "dim_type", "dim_obj", "totalflow", *tie, F.inline(ranked))
-    placed = W.rank_within(long, ["summ_cycle", "dim_type", "custid", "measure"], ["value"], "meas_rank",
-                           ascending=ascending, tiebreak=tie)
+    names = ["upflow", "downflow", "users", "sessions"]
+
+    def ranked(level: DataFrame, obj: Column, measures: Sequence[str], tie: Sequence[str]) -> DataFrame:
+        total = F.col("upflow") + F.col("downflow") if "upflow" in measures else F.lit(None).cast("bigint")
+        long = level.select(*group, "dim_type", obj.alias("dim_obj"), total.alias("totalflow"), "prov", "city",
+                            *[c for c in tie if c not in ("prov", "city")], F.inline(F.array(*[measure(n) for n in measures])))
+        placed = W.rank_within(long, [*group, "dim_type", "measure"], ["value"], "meas_rank", ascending=ascending, tiebreak=tie)
+        return placed.select(*group, "dim_type", "dim_obj", "totalflow", "prov", "city", "measure", "value", "meas_rank")
+    placed = (ranked(bs, F.col("dim_obj"), names, ["enbid", "prov", "city"])
+              .unionByName(ranked(areas, F.col("dim_obj"), names, ["prov", "city"]))
+              .unionByName(ranked(terms, F.col("modelname"), ["users"], ["prov", "city", "modelname", "tac"])))
 
     def m(label, value):
         return F.struct(label.alias("meas_obj"), value.cast("bigint").alias("meas_value"))
@@ -195,8 +221,8 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
         label = label.when(F.col("measure") == name, F.lit(text))
     own = m(label.otherwise(F.lit(SESSIONS)), F.col("value"))
     # The total's row goes along with the measure whose rank it carries.
-    rows = F.when(F.col("measure") == total_rank_from, F.array(own, m(F.lit("TOTALFLOW"), F.col("totalflow")))
-                  ).otherwise(F.array(own))
+    rows = F.when((F.col("measure") == total_rank_from) & (F.col("dim_type") != LEVEL_TERM),
+                  F.array(own, m(F.lit("TOTALFLOW"), F.col("totalflow")))).otherwise(F.array(own))
     out_city = F.when(F.col("dim_type") == "PROV", F.lit("-1")).otherwise(F.col("city"))
     out = placed.select("summ_cycle", "custid", out_city.alias("city"), "prov", F.lit("-1").alias("district"),
                         "dim_type", "dim_obj", F.col("meas_rank").cast("int").alias("meas_rank"), F.inline(rows))

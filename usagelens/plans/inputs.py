@@ -22,10 +22,13 @@ Role mapping (see FIXTURES.md section 3):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import fits_broadcast, sized, spread, tasks_for
+from ..operators.packing import codes_of, spread_packed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,44 +73,50 @@ def usage_tasks(spark: SparkSession, sf_dir: str) -> int | None:
     return tasks_for(spark, table(spark, sf_dir, "lineitem").count())
 
 
-def usage_records(spark: SparkSession, sf_dir: str, by_user: bool = False) -> DataFrame:
+def usage_records(spark: SparkSession, sf_dir: str, by_user: bool = False, packed: Sequence[str] = ()) -> DataFrame:
     """Usage records (one per lineitem); ``by_user``: many records come dealt by ``mdn``, for
-    operators that group a user's records.
+    operators that group a user's records.  ``packed``: columns (of session_id, enbid, tac, line,
+    upflow, downflow and d) that the query reads and that many records are to be shuffled with in few bits.
 
     Columns: mdn, session_id, enbid, cellid, tac, net, nai_domain, gwaddress, upflow, downflow,
     duration, starttime, d (yyyy-MM-dd day of the record).
     """
     tasks = usage_tasks(spark, sf_dir)
-    li = spread(table(spark, sf_dir, "lineitem"), tasks, "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("session_id"), F.col("l_suppkey").alias("enbid"), F.col("l_partkey").alias("tac"),
+        F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("net"),
+        _units("l_quantity", 1).alias("upflow"), _units("l_extendedprice").alias("downflow"),
+        F.round(F.col("l_discount") * 100).cast("bigint").alias("duration"),
+        F.col("l_shipdate").alias("starttime"))
+    day = F.to_date("starttime").alias("d")
+    if "d" in packed:
+        lines = lines.select("*", day)
+    codes = codes_of(lines, packed) if packed and tasks is not None else {}
+    li = spread_packed(lines, tasks, ["session_id"], codes)
     orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), tasks, "o_orderkey")
     if tasks is not None:
         orders = orders.hint("shuffle_hash")
-    records = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-               .select(F.col("o_custkey").alias("mdn"),
-                       F.col("l_orderkey").alias("session_id"),
-                       F.col("l_suppkey").alias("enbid"),
-                       F.col("l_linenumber").cast("string").alias("cellid"),
-                       F.col("l_partkey").alias("tac"),
-                       F.col("l_returnflag").alias("net"),
-                       F.concat(F.lit("d"), (F.col("l_partkey") % 7).cast("string")).alias("nai_domain"),
-                       F.concat(F.lit("10.0."), (F.col("l_suppkey") % 4).cast("string"), F.lit("."),
-                                F.col("l_linenumber").cast("string")).alias("gwaddress"),
-                       _units("l_quantity", 1).alias("upflow"),
-                       _units("l_extendedprice").alias("downflow"),
-                       F.round(F.col("l_discount") * 100).cast("bigint").alias("duration"),
-                       F.col("l_shipdate").alias("starttime"),
-                       F.to_date("l_shipdate").alias("d")))
-    return spread(records, tasks, "mdn") if by_user else records
-
-
-def located_usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = (li.join(orders, li.session_id == orders.o_orderkey)
+               .select(F.col("o_custkey").alias("mdn"), *lines.columns))
+    if by_user:
+        records = spread_packed(records, tasks, ["mdn"], codes)
+    return records.select(
+        "mdn", "session_id", "enbid", F.col("line").cast("string").alias("cellid"), "tac", "net",
+        F.concat(F.lit("d"), (F.col("tac") % 7).cast("string")).alias("nai_domain"),
+        F.concat(F.lit("10.0."), (F.col("enbid") % 4).cast("string"), F.lit("."),
+                 F.col("line").cast("string")).alias("gwaddress"),
+        "upflow", "downflow", "duration", "starttime", "d" if "d" in packed else day)
+
+
+def located_usage_records(spark: SparkSession, sf_dir: str, packed: Sequence[str] = ()) -> DataFrame:
     """Usage records that also carry ``prov``: the province the record itself names (that of
     the subscriber's address).  Station ids are only unique within a province, so records
-    whose station lies elsewhere find no station row under (enbid, prov)."""
+    whose station lies elsewhere find no station row under (enbid, prov).  ``packed`` as in
+    :func:`usage_records`."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     g = geo(spark, sf_dir).select("city_id", "prov")
     where = cust.join(F.broadcast(g), cust.c_nationkey == g.city_id).select(F.col("c_custkey").alias("mdn"), "prov")
-    records = usage_records(spark, sf_dir, by_user=True)
+    records = usage_records(spark, sf_dir, by_user=True, packed=packed)
     if not fits_broadcast(where):
         where = spread(where, usage_tasks(spark, sf_dir), "mdn")
     return records.join(sized(where), "mdn")
