@@ -1,6 +1,7 @@
 """Packed shuffles: the same rows in fewer bytes, also where values are null, extreme or repeated."""
 
 import datetime as dt
+import random
 import re
 import time
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from helpers import duck, rows_digest, spark_rows
 from usagelens.operators import joins as J
+from usagelens.operators import outliers as O
 from usagelens.operators import packing as P
 from usagelens.operators import summaries as S
 from usagelens.plans import catalog as C
@@ -120,3 +122,49 @@ def test_stored_step_leaves_no_shuffle_files(spark, tmp_dir):
         time.sleep(0.2)
     assert len(left) <= 1  # the count above has one of its own
     assert spark.conf.get(DROP_SHUFFLES, None) == was
+
+
+def _outliers_by_sorting(rows, min_users):
+    """AN-7 on (custid, mdn, up, down) rows by sorting each peer group."""
+    mean = lambda xs: sum(xs) / len(xs) if xs else None
+    total = lambda r: None if r[2] is None or r[3] is None else r[2] + r[3]
+    last = lambda v: (v is not None, v or 0)
+    out = []
+    for c in {r[0] for r in rows if r[0] and r[0].strip()}:
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: (last(total(r)), last(r[1])))
+        kept = [r for i, r in enumerate(own, 1) if 10 < i * 100 / len(own) < 90]
+        if len({r[1] for r in kept} - {None}) <= min_users:
+            continue
+        peer = mean([total(r) for r in kept if total(r) is not None])
+        for m in {r[1] for r in own}:
+            of = [r for r in own if r[1] == m]
+            means = [mean([x for x in v if x is not None]) for v in ([r[2] for r in of], [r[3] for r in of], [total(r) for r in of])]
+            if peer and means[2] is not None and not 50 <= means[2] * 100 / peer <= 150:
+                out.append(str((c, m, *means, peer)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("tasks", [None, 3])
+@pytest.mark.parametrize("few", [2, 40])
+def test_usage_outlier_period_finds_its_cuts_by_counts(spark, many, tasks, few):
+    rng = random.Random(7 * few)
+    some = lambda n: None if rng.random() < 0.08 else rng.randrange(n)
+    rows = [(c, some(5 + n // 9), some(few), some(few)) for c, n in
+            (("a", 90), ("b", 11), ("c", 1), ("d", 2), ("e", 10), (" ", 40), (None, 40), ("f", 230)) for _ in range(n)]
+    rows += [("zero", m, 0, 0) for m in range(50)] + [("zero", m % 7, 900, m) for m in range(12)] + [("null", m, None, 1) for m in range(30)]
+    rows += [("g", m, u * 10**11, 10**15 + u) for m in range(20) for u in (1, 5, 9)]
+    df = spark.createDataFrame(rows, "custid string, mdn long, upflow long, downflow long")
+    out = O.usage_outlier_period(df, ["custid"], ["mdn", "cycle"], min_users=1, tasks=tasks)
+    assert out.columns == ["custid", "mdn", "avg_upflow", "avg_downflow", "avg_flow", "avg_total_flow"]
+    found = sorted(str(tuple(r)) for r in out.collect())
+    assert found == _outliers_by_sorting(rows, 1) and len(found) > 20
+
+
+def test_usage_outlier_period_deals_packed_rows_once(spark, sf_dir, many):
+    out = C.QUERIES["usage_outlier_period"](spark, sf_dir)
+    plan = _plan(out)
+    dealt = re.findall(r"hashpartitioning\(([^)]*), \d+\), REPARTITION_BY_NUM", plan)
+    assert [re.sub(r"#\d+L?", "", d) for d in dealt] == ["mdn"] and "Window" not in plan
+    assert "__word_0" in plan.split("REPARTITION_BY_NUM")[1].split("\n")[1]
+    want = duck(sf_dir).execute(C.ORACLE["usage_outlier_period"])
+    assert rows_digest(*spark_rows(out)) == rows_digest([c[0] for c in want.description], want.fetchall())

@@ -1,9 +1,9 @@
 """Outlier detection (survey AN-6..10).
 
 Peers are aggregates (one row per peer group), so the comparison is a join of each
-subject's aggregate to a small-per-key peer table.  The only step that orders a
-peer group's rows is the trimmed mean; its positions spread a large group over many tasks
-(``windows.positions_within``).
+subject's aggregate to a small-per-key peer table.  The only step that needs the order of a
+peer group's rows is the trimmed mean; counts find the rows at its two cuts, and no group is
+sorted (``windows.trim_cuts``).
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from . import joins as J
 from . import windows as W
-from ..session import stored
+from ..session import stored_step
+from .packing import codes_of, spread_packed
 
 
 def exact_avg(col: str | Column) -> Column:
@@ -49,36 +50,55 @@ def usage_outlier_day(day_usage: DataFrame, peer_keys: Sequence[str], join_keys:
 
 def usage_outlier_period(period_usage: DataFrame, peer_keys: Sequence[str], tiebreak: Sequence[str],
                          subject: str = "mdn", lo: float = 0.5, hi: float = 1.5, trim_lo: int = 10,
-                         trim_hi: int = 90, min_users: int = 100) -> DataFrame:
+                         trim_hi: int = 90, min_users: int = 100, tasks: int | None = None) -> DataFrame:
     """AN-7: week / month outliers against a trimmed peer mean.
 
     Peer rows (one per subject and day) are ordered by total volume; rows whose
     position percentile ``pos*100/n`` is strictly between ``trim_lo`` and ``trim_hi``
-    form the trimmed mean (``tiebreak`` makes the order total; the positions split a
-    hot peer group over many tasks).  Rows whose peer key is null or blank are left out,
-    as in the reference.  Peers need more than ``min_users`` distinct subjects among the
-    kept rows.  Subjects whose mean is below ``lo`` × or above ``hi`` ×
-    the peer mean are returned."""
-    total = F.col("upflow") + F.col("downflow")
-    rows = period_usage.withColumn("total_flow", total)
+    form the trimmed mean (``tiebreak`` makes the order total; its columns after the subject
+    change neither a subject's number of kept rows nor their volume and are not read; the two
+    cuts of a peer group are found by counts, no group is sorted).  Rows whose peer key is null or
+    blank are left out, as in the reference.  Peers need more than ``min_users`` distinct subjects
+    among the kept rows.  Subjects whose mean is below ``lo`` × or above ``hi`` ×
+    the peer mean are returned.  ``tasks``: among how many tasks the rows are dealt by subject
+    (None: as Spark does)."""
+    rows = period_usage
     for k in peer_keys:
         rows = rows.where(F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != ""))
-    # One pass over the placed rows: a subject's means, and its part of the trimmed mean.
-    placed = W.positions_within(stored(rows, "period-usage"), peer_keys, ["total_flow", *tiebreak])
-    kept = W.within_percent(trim_lo, trim_hi)
-    part = stored(placed.groupBy(*peer_keys, subject).agg(
-        exact_avg("upflow").alias("avg_upflow"), exact_avg("downflow").alias("avg_downflow"),
-        exact_avg("total_flow").alias("avg_flow"), F.sum(F.when(kept, F.col("total_flow"))).alias("__kept_sum"),
-        F.count(F.when(kept, F.col("total_flow"))).alias("__kept"),
-        F.count(F.when(kept, 1)).alias("__kept_rows")), "period-subjects")
+    tie = list(tiebreak[:tiebreak.index(subject) + 1] if subject in tiebreak else tiebreak)
+    # The rows are read for the cuts, for the peers' means and for the subjects' means.
+    rows = stored_step(rows.select(*dict.fromkeys([*peer_keys, subject, *tie, "upflow", "downflow"])), "period-usage")
+    codes = codes_of(rows, [c for c in rows.columns if c != subject]) if tasks is not None else {}
+    rows_by_subject = spread_packed(rows, tasks, [subject], codes)
+    total = F.col("upflow") + F.col("downflow")
+    order = ["total_flow", *tie]
+    cuts = stored_step(W.trim_cuts(rows.withColumn("total_flow", total), peer_keys, order, trim_lo, trim_hi), "period-cuts")
+
+    placed = rows_by_subject.withColumn("total_flow", total).join(J.sized(cuts), list(peer_keys))
+    values, start, end = ([F.col(f"{at}{c}") for c in order] for at in ("", "__from.", "__to."))
+    alike = lambda cut: F.struct(*values).eqNullSafe(F.struct(*cut))
+    between = W.after(values, start) & W.after(end, values)
+    # Rows alike in the whole order belong to one subject: of those at a cut, so many are kept.
+    at_cut = lambda cut, n: F.coalesce(F.max(F.when(alike(cut), F.col(n))), F.lit(0))
+    volume = lambda cut, n: F.coalesce(F.max(F.when(alike(cut), F.col(n) * F.col("total_flow"))), F.lit(0))
+    valued = lambda cut, n: F.coalesce(F.max(F.when(alike(cut) & F.col("total_flow").isNotNull(), F.col(n))), F.lit(0))
+    ends = [(start, "__n_from"), (end, "__n_to")]
+    part = placed.groupBy(*peer_keys, subject).agg(
+        (F.coalesce(F.sum(F.when(between, F.col("total_flow"))), F.lit(0)) + sum(volume(*e) for e in ends)).alias("__kept_sum"),
+        (F.count(F.when(between, F.col("total_flow"))) + sum(valued(*e) for e in ends)).alias("__kept"),
+        (F.count(F.when(between, 1)) + sum(at_cut(*e) for e in ends)).alias("__kept_rows"))
     # A null subject is not counted among the users, but its rows are peer rows.
     counted = F.when((F.col("__kept_rows") > 0) & F.col(subject).isNotNull(), 1)
     peers = (part.groupBy(*peer_keys)
-             .agg((F.sum("__kept_sum").cast("double") / F.sum("__kept").cast("double")).alias("avg_total_flow"),
+             .agg(F.sum("__kept_sum").cast("double").alias("__sum"), F.sum("__kept").cast("double").alias("__count"),
                   F.count(counted).alias("cnt"))
-             .where(F.col("cnt") > min_users).select(*peer_keys, "avg_total_flow"))
-    subjects = part.drop("__kept_sum", "__kept", "__kept_rows")
-    j = subjects.join(peers, list(peer_keys), "left")
+             .where(F.col("cnt") > min_users)
+             .select(*peer_keys, F.when(F.col("__count") > 0, F.col("__sum") / F.col("__count")).alias("avg_total_flow")))
+    peers = stored_step(peers, "period-peers")
+    subjects = rows_by_subject.withColumn("total_flow", total).groupBy(*peer_keys, subject).agg(
+        exact_avg("upflow").alias("avg_upflow"), exact_avg("downflow").alias("avg_downflow"),
+        exact_avg("total_flow").alias("avg_flow"))
+    j = subjects.join(J.sized(peers), list(peer_keys), "left")
     pct = F.col("avg_flow") * 100 / F.col("avg_total_flow")
     return j.where((pct < lo * 100) | (pct > hi * 100))
 

@@ -291,11 +291,17 @@ DAY_KEYS = ["cycle", "custid", "mdn", "enbid", "provid", "lanid", "eci", "apn",
 
 
 def day_aggregate(usage: DataFrame, users: DataFrame, stations: DataFrame, cycle: Column,
-                  user_filter: Column | None = None, city_sentinel: str = "-") -> DataFrame:
+                  user_filter: Column | None = None, city_sentinel: str = "-",
+                  tasks: int | None = None, needed: Sequence[str] | None = None) -> DataFrame:
     """AN-38: per (cycle, customer, user, station, cell, apn, tac, home area) totals:
     up / down volume, sessions (record count), duration (sum) and times (distinct
     session ids).  Users inner-joined (``isnb = '1'``), stations left-joined on
-    (enbid, prov); the station's province/city become ``provid``/``lanid``."""
+    (enbid, prov); the station's province/city become ``provid``/``lanid``.
+
+    ``needed``: the columns of the result that the caller reads (all).  ``tasks``: among how many
+    tasks many records, dealt by user, are dealt again by station where the stations are too many
+    to be sent to all; the rows are stored with the needed columns before, and packed (None: as
+    Spark does)."""
     if user_filter is None:
         user_filter = F.col("isnb") == "1"
     u = users.where(user_filter).select("mdn", "custid", F.col("beloprov").alias("own_provid"),
@@ -312,10 +318,16 @@ def day_aggregate(usage: DataFrame, users: DataFrame, stations: DataFrame, cycle
            .agg(F.sum("upflow").alias("upflow"), F.sum("downflow").alias("downflow"),
                 F.count("mdn").alias("sessions"), F.sum("duration").alias("duration"),
                 F.count_distinct("session_id").alias("times")))
-    j = (agg.join(J.sized(u), "mdn").join(J.sized(b), ["enbid", "prov"], "left")
+    rows = agg.join(J.sized(u), "mdn")
+    needed = list(needed or [*DAY_KEYS, "upflow", "downflow", "sessions", "duration", "times"])
+    if tasks is not None and not J.fits_broadcast(b):
+        narrow = [c for c in needed if c not in ("enbid", "prov", "provid", "lanid")]
+        rows = stored_step(rows.select("enbid", "prov", *narrow), "day-usage")
+        rows = P.spread_packed(rows, tasks, ["enbid", "prov"], P.codes_of(rows, narrow))
+    j = (rows.join(J.sized(b), ["enbid", "prov"], "left")
          .withColumn("provid", F.when(F.col("bmatch"), F.col("prov")))
          .withColumn("lanid", F.coalesce("bcity", F.lit(city_sentinel))))
-    return j.select(*DAY_KEYS, "upflow", "downflow", "sessions", "duration", "times")
+    return j.select(*needed)
 
 
 def rollup_period(day_rows: DataFrame, period: Column, keys: Sequence[str]) -> DataFrame:

@@ -14,6 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored_step
+from .joins import sized
+
 
 def _order(cols: Sequence[str | Column], ascending: bool) -> list[Column]:
     out = []
@@ -162,16 +165,16 @@ STEPS = 16            # buckets per doubling of a number: few, as every bucket c
 EXACT = 16            # below this distance from zero a bucket holds one whole number
 
 
-def _bucket(df: DataFrame, column: str) -> Column:
+def _bucket(df: DataFrame, column: str, steps: int = STEPS) -> Column:
     """A coarse key that never decreases from a smaller value of ``column`` to a greater one.
 
-    Numbers: STEPS steps per doubling of the distance from zero; dates and times: the day;
+    Numbers: ``steps`` steps per doubling of the distance from zero; dates and times: the day;
     text: its first four characters; anything else: one bucket.  Nulls stay null."""
     kind = dict(df.dtypes)[column]
     c = F.col(column)
     if kind.startswith(NUMBERS):
         x = c.cast("double")
-        far = F.floor(F.log2(F.abs(x) + 1) * STEPS)
+        far = F.floor(F.log2(F.abs(x) + 1) * steps)
         step = F.when(F.isnan(x), F.lit(1 << 40)).when(x < 0, -far).otherwise(far)
         return F.when(x.isNotNull(), step)
     if kind in ("date", "timestamp", "timestamp_ntz"):
@@ -270,3 +273,67 @@ def within_percent(lo: int, hi: int, pos: str = "__pos", size: str = "__n") -> C
     """Position percentile strictly between ``lo`` and ``hi``."""
     pct = F.col(pos) * 100 / F.col(size)
     return (pct > lo) & (pct < hi)
+
+
+FINE_STEPS = 4096     # buckets per doubling of a number, within one coarse bucket
+
+
+def trim_cuts(df: DataFrame, partition: Sequence[str], order: Sequence[str], lo: int = 10, hi: int = 90) -> DataFrame:
+    """WN-9 without numbering the rows: the rows between which :func:`within_percent` of a row's
+    position in its group (ascending by ``order``, nulls first) lies.
+
+    One row per group that keeps any: ``partition``, structs ``__from`` and ``__to`` of the
+    ``order`` values at the first and the last kept position, and ``__n_from`` / ``__n_to``: how
+    many of the rows with just those values are kept (``__n_to`` 0 where they are the same ones).
+    The positions are found by counts alone: per bucket of the first column, then inside the bucket
+    that holds the position per finer bucket, per value, and so on for the next column.  ``df`` is
+    read once for each of these steps and should be stored; nothing but counts is shuffled, and
+    the group keys must not be null."""
+    keys: list[Column] = []
+    exact: dict[str, str] = {}
+    for c in order:
+        keys += [_bucket(df, c), *([_bucket(df, c, FINE_STEPS)] if dict(df.dtypes)[c].startswith(NUMBERS) else []), F.col(c)]
+        exact[c] = f"__at{len(keys) - 1}"
+    rows = df.select(*partition, *[k.alias(f"__k{i}") for i, k in enumerate(keys)])
+    # Counts per bucket for the whole group give its size and so the two positions to look for.
+    groups = Window.partitionBy(*partition)
+    by_key = lambda w, i: F.sum("__c").over(w.orderBy(F.col(f"__k{i}").asc_nulls_first()))
+    counts = (rows.groupBy(*partition, "__k0").agg(F.count(F.lit(1)).alias("__c"))
+              .withColumns({"__upto": by_key(groups, 0), "__n": F.sum("__c").over(groups)}))
+    first, last = F.expr(f"greatest(__n * {lo} div 100 + 1, 1)"), F.expr(f"least((__n * {hi} - 1) div 100, __n)")
+    side = lambda k, place: F.struct(F.lit(k).alias("__side"), place.alias("__place"))
+    counts = counts.where(first <= last).select("*", F.inline(F.array(side(0, first), side(1, last))))
+    known: list[str] = []
+    for i in range(len(keys)):
+        if i:
+            found = rows.join(sized(at), list(partition))
+            for j in range(i):
+                found = found.where(F.col(f"__k{j}").eqNullSafe(F.col(f"__at{j}")))
+            counts = found.groupBy(*partition, "__side", "__place", "__before", *known, f"__k{i}").agg(F.count(F.lit(1)).alias("__c"))
+            counts = counts.withColumn("__upto", F.col("__before") + by_key(Window.partitionBy(*partition, "__side"), i))
+        below = F.col("__upto") - F.col("__c")
+        at = stored_step(counts.where((F.col("__upto") >= F.col("__place")) & (below < F.col("__place")))
+                         .select(*partition, "__side", "__place", below.alias("__below"), "__c", *known,
+                                 F.col(f"__k{i}").alias(f"__at{i}")), "trim-cuts")
+        known.append(f"__at{i}")
+        if i < len(keys) - 1:
+            at = at.drop("__c").withColumnRenamed("__below", "__before")
+    values = F.struct(*[F.col(k).alias(c) for c, k in exact.items()])
+    of = lambda k, v: F.first(F.when(F.col("__side") == k, v), ignorenulls=True)
+    cuts = at.groupBy(*partition).agg(
+        of(0, values).alias("__from"), of(1, values).alias("__to"),
+        of(0, F.col("__place")).alias("__p1"), of(1, F.col("__place")).alias("__p2"),
+        of(0, F.col("__below") + F.col("__c")).alias("__end1"), of(1, F.col("__below")).alias("__below2"))
+    same = F.col("__from").eqNullSafe(F.col("__to"))
+    return cuts.select(*partition, "__from", "__to",
+                       (F.least("__end1", "__p2") - F.col("__p1") + 1).alias("__n_from"),
+                       F.when(same, 0).otherwise(F.col("__p2") - F.col("__below2")).alias("__n_to"))
+
+
+def after(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Whether the values ``left`` come after ``right`` in ascending order, nulls first; never null."""
+    out = F.lit(False)
+    for a, b in reversed([*zip(left, right, strict=True)]):
+        greater = F.coalesce(a > b, a.isNotNull() & b.isNull())
+        out = greater | (a.eqNullSafe(b) & out)
+    return out
