@@ -70,8 +70,9 @@ def test_daily_dimension_summary_deals_packed_records_once_per_level(spark, sf_d
     assert rows_digest(*spark_rows(out)) == rows_digest([c[0] for c in want.description], want.fetchall())
 
 
-@pytest.mark.parametrize("tasks", [None, 3])
-def test_daily_dimension_summary_with_repeated_and_null_keys(spark, many, tasks):
+@pytest.mark.parametrize("tasks,records_a_row", [(None, 2), (3, 2), (3, 0)])
+def test_daily_dimension_summary_with_repeated_and_null_keys(spark, many, monkeypatch, tasks, records_a_row):
+    monkeypatch.setattr(S, "RECORDS_A_ROW", records_a_row)
     usage = spark.createDataFrame(
         [("202401", m, s, e, p, t, u, 10 * u) for m, s, e, p, t, u in
          [(1, 1, 7, "P", 5, 3), (1, 1, 7, "P", 5, 3), (1, 2, 7, "Q", 5, 4), (2, None, 7, "P", None, 5), (2, 3, 8, "P", 6, 0),

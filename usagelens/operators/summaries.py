@@ -32,6 +32,7 @@ LOCAL, ROAMOUT, ROAMIN = "LOCAL", "ROAMOUT", "ROAMIN"
 USER_PREFIX, FLUX_PREFIX = "USER_", "FLUX_"
 UNKNOWN = "未知"   # customer / city of a record whose dimension row is missing
 NATION = "全国"    # national total row
+RECORDS_A_ROW = 2  # records of a row from which they are summed before they are dealt by the row's group
 
 
 def usage_summary(usage: DataFrame, users: DataFrame, stations: DataFrame,
@@ -180,10 +181,20 @@ def daily_dimension_summary(usage: DataFrame, users: DataFrame, stations: DataFr
     group = ["summ_cycle", "custid"]
     by_group = lambda df, codes: (df.repartition(*group) if tasks is None
                                   else P.spread_packed(df, tasks, group, codes))
-    # Station rows are summed where they are ranked.
-    bs = by_group(marked.drop("tac", *[m for k, m in first.items() if k != LEVEL_BS]), codes)
-    bs = (bs.groupBy(*group, "enbid", "prov", "city").agg(*[F.sum(c).alias(c) for c in sums], F.sum(first[LEVEL_BS]).alias("users"))
-          .withColumns({"dim_type": F.lit(LEVEL_BS), "enbid": F.col("enbid").cast("string")}).withColumn("dim_obj", F.col("enbid")))
+    # Station rows are summed where they are ranked, unless a station row has many records: those
+    # are summed map-side first, so that a ranking task never holds many more rows than it ranks.
+    place = ["enbid", "prov", "city"]
+    records = marked.drop("tac", *[m for k, m in first.items() if k != LEVEL_BS])
+    summed = lambda df: df.groupBy(*group, *place).agg(
+        *[F.sum(c).alias(c) for c in sums], F.sum(first[LEVEL_BS]).alias("users"))
+    seen = None if tasks is None else marked.agg(
+        F.count(F.lit(1)).alias("records"), F.approx_count_distinct(F.struct(*group, *place)).alias("rows")).first()
+    if seen and seen["records"] > RECORDS_A_ROW * seen["rows"]:
+        bs = by_group(summed(records), {c: codes[c] for c in place if c in codes})  # sums exceed the records' ranges
+    else:
+        bs = summed(by_group(records, codes))
+    bs = (bs.withColumns({"dim_type": F.lit(LEVEL_BS), "enbid": F.col("enbid").cast("string")})
+          .withColumn("dim_obj", F.col("enbid")))
     # Cities and provinces are few rows, summed map-side.
     sets = {LEVEL_CITY: [*group, "prov", "city"], LEVEL_PROV: [*group, "prov"]}
     areas = A.grouping_sets(marked, list(sets.values()), [
